@@ -98,3 +98,142 @@ REGISTRY = {
     "score_stats": score_stats,
     "coverage_counts": coverage_counts,
 }
+
+
+# ------------------------------------------------------------ reports, filters, backlog
+from brewlens.functions import text as T  # noqa: E402
+from brewlens.functions import lexicons as LX  # noqa: E402
+from brewlens.operators import quality as Q  # noqa: E402
+
+
+def upper_median(spark, sf_dir):
+    o = S.table(spark, sf_dir, "orders")
+    return Q.upper_median(o, "o_totalprice", "median_score")
+
+
+def share_and_flags(spark, sf_dir):
+    rep = Q.quality_report(S.posts_from_orders(spark, sf_dir))
+    return rep.select("total", "total_comments", "min_score", "max_score",
+                      F.round("avg_score", R).alias("avg_score"), "high_quality",
+                      *[F.round(c, R).alias(c) for c in
+                        ("high_quality_share", "with_text_share", "with_comments_share", "avg_comments")],
+                      F.array_join("flags", ",").alias("flags"))
+
+
+def array_len_totals(spark, sf_dir):
+    c = S.table(spark, sf_dir, "conversations")
+    totals = c.agg(F.count_distinct("conv_id").alias("total_posts"),
+                   F.count(F.lit(1)).alias("total_comments"),
+                   F.sum(F.json_array_length(F.to_json(F.split("text", "\n")))).cast("long").alias("total_lines"))
+    totals = totals.withColumn("avg_comments_per_post",
+                               F.round(F.col("total_comments") / F.col("total_posts"), R))
+    kept = Q.first_k_then_filter(c, "conv_id", "turn", 3, F.lit(True)) \
+        .agg(F.count(F.lit(1)).alias("kept_first3"))
+    return M._one_row_pair(totals, kept)
+
+
+def group_pct(spark, sf_dir):
+    g = Q.group_share(S.table(spark, sf_dir, "documents"), "source")
+    return g.select("source", "n", F.round("pct", R).alias("pct"), "total")
+
+
+def date_span(spark, sf_dir):
+    return Q.date_span(S.table(spark, sf_dir, "orders"), "o_orderdate")
+
+
+def backlog_left_join(spark, sf_dir):
+    return Q.backlog_counts(S.table(spark, sf_dir, "documents"), S.table(spark, sf_dir, "labels"),
+                            "doc_id", "doc_id")
+
+
+def backlog_anti(spark, sf_dir):
+    d = S.table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars")
+    return Q.backlog(d, S.table(spark, sf_dir, "labels"), "doc_id", "doc_id")
+
+
+def not_exists(spark, sf_dir):
+    pr = (S.table(spark, sf_dir, "documents").where(F.col("lang") == "en")
+          .select(F.col("doc_id").alias("id"), F.col("doc_id").cast("string").alias("post_id")))
+    fe = (S.table(spark, sf_dir, "labels").where(F.col("quality") == 1)
+          .select(F.col("doc_id").alias("processed_review_id")))
+    return Q.backlog(pr, fe, "id", "processed_review_id")
+
+
+def clean_text(spark, sf_dir):
+    d = S.table(spark, sf_dir, "documents").select(
+        F.lit("doc").alias("kind"), F.col("doc_id").alias("id"), T.clean_text("text").alias("cleaned"))
+    p = S.table(spark, sf_dir, "pages").select(
+        F.lit("page").alias("kind"), F.col("page_id").alias("id"),
+        T.clean_text(F.concat_ws(" ", "url", S.page_title(F.col("html")))).alias("cleaned"))
+    u = d.unionByName(p)
+    return u.select("kind", "id", "cleaned", F.length("cleaned").cast("long").alias("n"))
+
+
+def min_len(spark, sf_dir):
+    d = S.table(spark, sf_dir, "documents").select(
+        F.lit("doc").alias("kind"), F.col("doc_id").alias("id"),
+        T.post_text(F.lit(None).cast("string"), F.col("text")).alias("t"))
+    p = S.table(spark, sf_dir, "pages").select(
+        F.lit("page").alias("kind"), F.col("page_id").alias("id"),
+        T.post_text(S.page_title(F.col("html")), F.lit(None).cast("string")).alias("t"))
+    u = d.unionByName(p)
+    return (u.where(F.length("t") >= LX.MIN_TEXT_CHARS)
+            .select("kind", "id", F.length("t").cast("long").alias("n")))
+
+
+def engagement_filter(spark, sf_dir):
+    p = S.posts_from_orders(spark, sf_dir)
+    return (p.where((F.col("score") >= LX.ENGAGEMENT_MIN_SCORE)
+                    & (F.col("n_comments") >= LX.ENGAGEMENT_MIN_COMMENTS))
+            .select("post_id", "score", "n_comments"))
+
+
+def topic_filter(spark, sf_dir):
+    p = S.posts_from_documents(spark, sf_dir)
+    return (p.where(T.contains_any("title", LX.TOPIC_WORDS) & (F.col("score") >= LX.TOPIC_MIN_SCORE))
+            .select("post_id", "title", "score"))
+
+
+def first10_then_score(spark, sf_dir):
+    c = S.table(spark, sf_dir, "conversations")
+    score = F.floor(F.length("text") / 100.0)
+    return Q.first_k_then_filter(c, "conv_id", "turn", 3, score >= LX.COMMENT_MIN_SCORE) \
+        .select("conv_id", "turn", score.cast("long").alias("score"))
+
+
+CATALOG_WANTED = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+                  "documents", "embeddings", "pages", "benchmark", "labels", "conversations", "raw_posts"]
+
+
+def catalog_counts(spark, sf_dir):
+    import os
+    present = {}
+    for name in CATALOG_WANTED:
+        path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+        if os.path.exists(path) or not path.startswith("/"):
+            try:
+                present[name] = spark.read.parquet(path)
+            except Exception:  # noqa: BLE001 -- a missing table is a status
+                pass
+    out = Q.catalog_counts(spark, present, CATALOG_WANTED)
+    cols = {n: ",".join(df.columns) for n, df in present.items()}
+    col_expr = F.coalesce(*[F.when(F.col("table_name") == n, F.lit(c)) for n, c in cols.items()], F.lit(None))
+    return out.withColumn("columns", col_expr)
+
+
+REGISTRY.update({
+    "upper_median": upper_median,
+    "share_and_flags": share_and_flags,
+    "array_len_totals": array_len_totals,
+    "group_pct": group_pct,
+    "date_span": date_span,
+    "backlog_left_join": backlog_left_join,
+    "backlog_anti": backlog_anti,
+    "not_exists": not_exists,
+    "clean_text": clean_text,
+    "min_len": min_len,
+    "engagement_filter": engagement_filter,
+    "topic_filter": topic_filter,
+    "first10_then_score": first10_then_score,
+    "catalog_counts": catalog_counts,
+})

@@ -132,3 +132,33 @@ def extractions_from_labels(spark, sf_dir) -> DataFrame:
 def mentions_from_conversations(spark, sf_dir) -> DataFrame:
     c = table(spark, sf_dir, "conversations")
     return c.select(F.col("conv_id").cast("string").alias("post_id"))
+
+
+# ------------------------------------------------------------ posts for reports
+
+def posts_from_orders(spark, sf_dir) -> DataFrame:
+    """orders -> scored posts: score = totalprice / 1000 (whole), comments =
+    the order's line items, text = the document with the same id (if any)."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    li = (table(spark, sf_dir, "lineitem").groupBy("l_orderkey")
+          .agg(F.count(F.lit(1)).alias("n_comments")))
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    j = (o.join(li, o.o_orderkey == li.l_orderkey, "left")
+         .join(d, o.o_orderkey == d.doc_id, "left"))
+    return j.select(F.col("o_orderkey").alias("post_id"),
+                    F.floor(F.col("o_totalprice") / 1000.0).cast("long").alias("score"),
+                    F.col("text"),
+                    F.coalesce("n_comments", F.lit(0)).cast("long").alias("n_comments"))
+
+
+def page_title(html_col):
+    return F.regexp_extract(html_col, r"<title>(.*?)</title>", 1)
+
+
+def posts_from_documents(spark, sf_dir) -> DataFrame:
+    """documents -> posts: title = first line, score = n_chars / 100 (whole)."""
+    d = table(spark, sf_dir, "documents")
+    return d.select(F.col("doc_id").alias("post_id"),
+                    F.substring_index("text", "\n", 1).alias("title"),
+                    F.col("text").alias("body"),
+                    F.floor(F.col("n_chars") / 100.0).cast("long").alias("score"))
