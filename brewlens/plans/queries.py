@@ -7,7 +7,7 @@ order differs between engines), dates are ISO strings.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from brewlens.operators import metrics as M
@@ -237,3 +237,99 @@ REGISTRY.update({
     "first10_then_score": first10_then_score,
     "catalog_counts": catalog_counts,
 })
+
+
+# ------------------------------------------------------------ extraction
+from brewlens.operators import extract as X  # noqa: E402
+
+
+def term_facts(spark, sf_dir, terms=LX.FLAVOR_TERMS):
+    d = X.flavor_facts(S.cleaned_documents(spark, sf_dir).select("doc_id", "cleaned"), "cleaned", terms=terms)
+    f = d.select("doc_id", F.explode_outer("flavors").alias("f")).where(F.col("f").isNotNull())
+    return f.select("doc_id", F.col("f.ord").cast("long").alias("pos"), F.col("f.term").alias("term"),
+                    F.col("f.intensity").alias("intensity"), F.col("f.confidence").alias("confidence"),
+                    F.round("f.sentiment", R).alias("sentiment"), F.col("f.context").alias("context"),
+                    F.col("f.is_primary").alias("is_primary"))
+
+
+def term_facts_volume(spark, sf_dir):
+    """term_facts with the test-volume fragments appended to the lexicon."""
+    return term_facts(spark, sf_dir, LX.FLAVOR_TERMS + S.VOLUME_TERMS)
+
+
+def brand_pattern(spark, sf_dir):
+    d = S.table(spark, sf_dir, "documents").where(F.col("lang") == "en").select("doc_id", "text")
+    r = X.roaster_facts(d, "text")
+    return r.select("doc_id", F.posexplode("roasters").alias("p", "r")).select(
+        "doc_id", (F.col("p") + 1).cast("long").alias("pos"), F.col("r.name").alias("name"),
+        F.col("r.context").alias("context"))
+
+
+def origin_norm(spark, sf_dir):
+    d = S.cleaned_documents(spark, sf_dir).select("doc_id", "cleaned")
+    d = X.origin_names(d, "cleaned", "canonical", "canonical")
+    d = X.origin_names(d, "cleaned", "compat", "compat")
+    kinds = [d.select("doc_id", F.lit(m).alias("mode"), F.posexplode(m).alias("p", "origin")) for m in ("canonical", "compat")]
+    u = kinds[0].unionByName(kinds[1])
+    return u.select("doc_id", "mode", (F.col("p") + 1).cast("long").alias("pos"), "origin")
+
+
+LEXICON_KINDS = [("flavor", LX.FLAVOR_TERMS), ("brew", LX.BREW_METHODS), ("drink", LX.DRINK_TERMS),
+                 ("roaster", LX.KNOWN_ROASTERS), ("origin", LX.ORIGIN_TERMS)]
+
+
+def lexicon_hits(spark, sf_dir):
+    d = S.cleaned_documents(spark, sf_dir).select("doc_id", F.lower("cleaned").alias("lt"))
+    def tag(kind):
+        return lambda t: F.struct(F.lit(kind).alias("kind"), t.alias("term"))
+    parts = [F.transform(T.lexicon_hits(F.col("lt"), words, lowered=True), tag(kind))
+             for kind, words in LEXICON_KINDS]
+    e = d.select("doc_id", F.explode(F.concat(*parts)).alias("h"))
+    return e.select("doc_id", F.col("h.kind").alias("kind"), F.col("h.term").alias("term"))
+
+
+def mention_freq(spark, sf_dir):
+    posts = S.posts_from_documents(spark, sf_dir).select("post_id", "title", "body")
+    m = X.drink_mentions(posts, S.comments_from_conversations(spark, sf_dir),
+                         terms=LX.DRINK_TERMS + S.VOLUME_TERMS)
+    counts = m.select(F.explode("mentioned_drinks").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    n_posts = m.agg(F.count(F.lit(1)).alias("n_posts"))
+    all_rows = Window.partitionBy()
+    c = counts.select("term", "n", F.sum("n").over(all_rows).alias("total_mentions"),
+                      F.count(F.lit(1)).over(all_rows).alias("unique_terms"))
+    j = c.withColumn("_k", F.lit(1)).join(F.broadcast(n_posts.withColumn("_k", F.lit(1))), "_k").drop("_k")
+    return j.select("term", "n", "total_mentions", "unique_terms", "n_posts",
+                    F.round(F.col("total_mentions") / F.col("n_posts"), R).alias("avg_per_post"))
+
+
+def first_price(spark, sf_dir):
+    o = S.table(spark, sf_dir, "orders").select(
+        F.lit("order").alias("kind"), F.col("o_orderkey").alias("id"),
+        F.concat(F.lit("Paid $"), F.col("o_totalprice").cast("decimal(12,2)").cast("string"),
+                 F.lit(" or $ "), F.col("o_custkey").cast("string")).alias("t"))
+    d = S.table(spark, sf_dir, "documents").select(F.lit("doc").alias("kind"), F.col("doc_id").alias("id"),
+                                                    F.col("text").alias("t"))
+    u = o.unionByName(d)
+    return u.select("kind", "id", T.first_price("t").alias("price"))
+
+
+def keywords_topn(spark, sf_dir):
+    return X.keywords(S.cleaned_documents(spark, sf_dir), "doc_id", "cleaned")
+
+
+def word_count(spark, sf_dir):
+    d = S.cleaned_documents(spark, sf_dir)
+    return d.select("doc_id", T.word_count(F.lower("cleaned")).alias("word_count"))
+
+
+REGISTRY.update({
+    "term_facts": term_facts,
+    "term_facts_volume": term_facts_volume,
+    "brand_pattern": brand_pattern,
+    "origin_norm": origin_norm,
+    "lexicon_hits": lexicon_hits,
+    "mention_freq": mention_freq,
+    "first_price": first_price,
+    "keywords_topn": keywords_topn,
+    "word_count": word_count,
+})

@@ -80,3 +80,17 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused sub-folder of the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def spread(df):
+    """Give CPU-heavy text stages at least one partition per core.
+
+    A small input (one parquet file with one row group) scans as a single
+    partition; then the rows are dealt round-robin over the default
+    parallelism.  On a large input the scan already has more splits than
+    cores and nothing changes, so no shuffle is added at scale.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
