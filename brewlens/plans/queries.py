@@ -333,3 +333,85 @@ REGISTRY.update({
     "keywords_topn": keywords_topn,
     "word_count": word_count,
 })
+
+
+# ------------------------------------------------------------ keyed writes
+from brewlens.operators import upsert as U  # noqa: E402
+
+
+def union_dedupe_last(spark, sf_dir):
+    e = S.table(spark, sf_dir, "events").select("event_id", "event_type", "value", "ts")
+    search = e.where(F.col("event_type").isin("click", "view")).select(
+        "event_id", "value", F.lit("search").alias("src"), F.lit(0).alias("slice"), "ts")
+    top = e.where(F.col("value") >= 250).select(
+        "event_id", "value", F.lit("top").alias("src"), F.lit(1).alias("slice"), "ts")
+    d = U.dedupe(search.unionByName(top), ["event_id"], ["slice", "ts"], keep="last")
+    return d.select("event_id", "src", "value")
+
+
+def _customer_rows(spark, sf_dir):
+    return S.table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
+        F.col("c_mktsegment").alias("segment"), "c_acctbal")
+
+
+def insert_ignore(spark, sf_dir):
+    c = _customer_rows(spark, sf_dir)
+    target = c.where(F.col("segment").isin("BUILDING", "AUTOMOBILE")).select(
+        "id", "name", "segment", F.lit("T").alias("version"))
+    first = c.where(F.col("c_acctbal") > 5000).select("id", "name", "segment", F.lit("A").alias("version"),
+                                                      F.lit(0).alias("seq"))
+    second = c.select("id", "name", "segment", F.lit("B").alias("version"), F.lit(1).alias("seq"))
+    return U.insert_ignore(target, first.unionByName(second), ["id"], ["seq"])
+
+
+def upsert_partial(spark, sf_dir):
+    c = _customer_rows(spark, sf_dir)
+    target = c.where(F.col("c_acctbal") >= 0).select(
+        "id", F.col("name").alias("cleaned_text"), F.col("c_acctbal").alias("sentiment_score"),
+        F.col("segment").alias("language"), F.lit(7).alias("word_count"),
+        F.lit(None).cast("timestamp").alias("processed_at"))
+    o = S.table(spark, sf_dir, "orders")
+    upd = o.groupBy(F.col("o_custkey").alias("id")).agg(
+        F.concat(F.lit("orders "), F.count(F.lit(1)).cast("string")).alias("cleaned_text"),
+        (F.max("o_totalprice") / 1e6).alias("sentiment_score"),
+        F.lit("en").alias("language"),
+        F.count(F.lit(1)).cast("int").alias("word_count"),
+        F.lit(S.FIXED_NOW).cast("timestamp").alias("processed_at"))
+    m = U.upsert(target, upd, ["id"], ["cleaned_text", "sentiment_score", "processed_at"])
+    return m.select("id", "cleaned_text", F.round("sentiment_score", R).alias("sentiment_score"), "language",
+                    "word_count", F.date_format("processed_at", "yyyy-MM-dd HH:mm:ss").alias("processed_at"))
+
+
+def rankings_upsert(spark, sf_dir):
+    fe = S.flavor_mentions_from_events(spark, sf_dir)
+    pr = S.reviews_from_customer(spark, sf_dir)
+    stored = M.flavor_rankings(fe.where(F.col("created_at") < F.lit("2024-01-20 00:00:00").cast("timestamp")),
+                               pr, "month", S.AS_OF).where(F.col("flavor_id") != "view")
+    stored = stored.unionByName(M.flavor_rankings(fe, pr, "week", S.AS_OF))
+    stored = stored.withColumn("computed_at", F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    fresh = M.flavor_rankings(fe, pr, "month", S.AS_OF).withColumn(
+        "computed_at", F.lit(S.FIXED_NOW).cast("timestamp"))
+    r = M.upsert_rankings(stored, fresh)
+    return r.select("flavor_id", _iso("period_start").alias("period_start"), "period_type", "mention_count",
+                    "unique_products", F.round("avg_sentiment", R).alias("avg_sentiment"),
+                    "positive_mentions", "negative_mentions", "popularity_rank",
+                    F.date_format("computed_at", "yyyy-MM-dd HH:mm:ss").alias("computed_at"))
+
+
+def ids_writeback(spark, sf_dir):
+    o = S.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"),
+                                                 F.array().cast("array<bigint>").alias("mentioned_flavor_ids"))
+    li = S.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("id"), "l_partkey", "l_linenumber")
+    w = U.ids_writeback(o, li, "id", "l_partkey", "l_linenumber", "mentioned_flavor_ids")
+    return w.select("id", F.array_join(F.transform("mentioned_flavor_ids", lambda x: x.cast("string")), ",")
+                    .alias("ids"))
+
+
+REGISTRY.update({
+    "union_dedupe_last": union_dedupe_last,
+    "insert_ignore": insert_ignore,
+    "upsert_partial": upsert_partial,
+    "rankings_upsert": rankings_upsert,
+    "ids_writeback": ids_writeback,
+})
