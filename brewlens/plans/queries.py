@@ -415,3 +415,40 @@ REGISTRY.update({
     "rankings_upsert": rankings_upsert,
     "ids_writeback": ids_writeback,
 })
+
+
+# ------------------------------------------------------------ linking
+from brewlens.operators import link as L  # noqa: E402
+
+
+def alias_lookup(spark, sf_dir):
+    aliases = L.flavor_alias_table(S.flavor_terms_from_part(spark, sf_dir))
+    rows = L.link_flavors(S.flavor_facts_from_lineitem(spark, sf_dir), aliases)
+    return rows.select("processed_review_id", "flavor_term_id", "mention_text", "mention_order")
+
+
+def origin_key_lookup(spark, sf_dir):
+    lookup, _ = L.find_or_create_origins(S.origins_from_nation(spark, sf_dir),
+                                         S.origin_probes_from_customer(spark, sf_dir))
+    return lookup.select("normalized_name",
+                         F.when(F.col("created"), F.lit("new")).otherwise(F.col("origin_id").cast("string"))
+                         .alias("origin_ref"), "country", F.coalesce("region", F.lit("")).alias("region"))
+
+
+def fuzzy_best_match(spark, sf_dir):
+    cache = L.entity_cache(S.entities_from_supplier(spark, sf_dir))
+    probes = S.name_probes_from_customer(spark, sf_dir).withColumn("entity_type", F.lit("roaster"))
+    m = L.match_entities(probes, cache)
+    return m.select("probe_id", "entity_id", "method", F.round("ratio", R).alias("ratio"))
+
+
+def entity_create_leaders(spark, sf_dir):
+    return L.create_entities(S.name_probes_from_customer(spark, sf_dir), S.entities_from_supplier(spark, sf_dir))
+
+
+REGISTRY.update({
+    "alias_lookup": alias_lookup,
+    "origin_key_lookup": origin_key_lookup,
+    "fuzzy_best_match": fuzzy_best_match,
+    "entity_create_leaders": entity_create_leaders,
+})

@@ -187,3 +187,58 @@ def cleaned_documents(spark, sf_dir) -> DataFrame:
     from brewlens.functions.text import clean_text
     d = table(spark, sf_dir, "documents")
     return d.select("doc_id", "lang", "text", clean_text("text").alias("cleaned"))
+
+
+# ------------------------------------------------------------ linking
+
+def entities_from_supplier(spark, sf_dir) -> DataFrame:
+    """supplier -> entities; type 'roaster' for a non-negative balance, else 'cafe'."""
+    from brewlens.functions.text import slugify
+    s = table(spark, sf_dir, "supplier")
+    return s.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"),
+                    slugify(F.col("s_name")).alias("slug"),
+                    F.when(F.col("s_acctbal") >= 0, F.lit("roaster")).otherwise(F.lit("cafe")).alias("entity_type"))
+
+
+def name_probes_from_customer(spark, sf_dir) -> DataFrame:
+    """customer names respelled as supplier names with one character dropped
+    (the second to last), in customer-key order: near matches and near
+    duplicates of each other."""
+    c = table(spark, sf_dir, "customer")
+    n = F.replace(F.col("c_name"), F.lit("Customer"), F.lit("Supplier"))
+    edited = F.concat(F.substring(n, F.lit(1), F.length(n) - 2), F.substring(n, F.length(n), F.lit(1)))
+    return c.select(F.col("c_custkey").alias("probe_id"), F.col("c_custkey").alias("seq"), edited.alias("name"))
+
+
+def flavor_facts_from_lineitem(spark, sf_dir) -> DataFrame:
+    """lineitem x part -> flavor facts of a review (= order): the mention is the
+    part name in upper case with padding, or its last word for returned lines."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_returnflag")
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    j = li.join(p, li.l_partkey == p.p_partkey)
+    term = F.when(F.col("l_returnflag") == "R", F.substring_index("p_name", " ", -1)) \
+        .otherwise(F.concat(F.lit(" "), F.upper("p_name"), F.lit(" ")))
+    return j.select(F.col("l_orderkey").alias("processed_review_id"),
+                    F.col("l_orderkey").cast("string").alias("post_id"),
+                    term.alias("term"), F.lit(None).cast("string").alias("context"),
+                    F.lit(None).cast("string").alias("intensity"), F.lit(None).cast("double").alias("sentiment"),
+                    F.lit(None).cast("double").alias("confidence"), F.lit(None).cast("boolean").alias("is_primary"),
+                    (F.col("l_linenumber") - 1).alias("pos"))
+
+
+def origins_from_nation(spark, sf_dir) -> DataFrame:
+    n = table(spark, sf_dir, "nation")
+    r = table(spark, sf_dir, "region")
+    j = n.join(r, n.n_regionkey == r.r_regionkey)
+    return j.select(F.col("n_nationkey").cast("long").alias("id"), F.col("n_name").alias("country"),
+                    F.col("r_name").alias("region"),
+                    F.concat(F.lower("n_name"), F.lit("_"), F.lower("r_name")).alias("normalized_name"))
+
+
+def origin_probes_from_customer(spark, sf_dir) -> DataFrame:
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    n = table(spark, sf_dir, "nation")
+    r = table(spark, sf_dir, "region")
+    j = c.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
+    return j.select(F.col("n_name").alias("country"),
+                    F.when(F.col("c_mktsegment") == "BUILDING", F.col("r_name")).alias("region"))
