@@ -452,3 +452,59 @@ REGISTRY.update({
     "fuzzy_best_match": fuzzy_best_match,
     "entity_create_leaders": entity_create_leaders,
 })
+
+
+# ------------------------------------------------------------ menus and pages
+from brewlens.operators import menu as MN  # noqa: E402
+
+
+def _menu_rows(spark, sf_dir):
+    p = S.table(spark, sf_dir, "part")
+    base = p.select(F.col("p_partkey").alias("item_id"), F.col("p_name").alias("name"),
+                    F.col("p_type").alias("category"), F.col("p_brand").alias("description"),
+                    F.concat_ws(" ", "p_type", "p_name", F.concat(F.col("p_size").cast("string"), F.lit(" calories")))
+                    .alias("page_text"))
+    a = MN.menu_items(base, "a").withColumn("source", F.lit("a"))
+    b = MN.menu_items(base, "b").withColumn("source", F.lit("b"))
+    return a.unionByName(b)
+
+
+def menu_infer(spark, sf_dir):
+    m = _menu_rows(spark, sf_dir)
+    groups = (MN.customization_groups(spark).groupBy("source")
+              .agg(F.array_join(F.sort_array(F.collect_list("group_name")), ",").alias("customization_groups")))
+    j = m.join(F.broadcast(groups), "source", "left")
+    return j.select("item_id", "source", "temperature", "has_caffeine", "is_seasonal",
+                    F.array_join("sizes", ",").alias("sizes"), "customization_groups")
+
+
+def calories(spark, sf_dir):
+    m = _menu_rows(spark, sf_dir).where(F.col("source") == "a")
+    return m.select("item_id", "calories")
+
+
+def page_fields(spark, sf_dir):
+    p = MN.page_fields(S.table(spark, sf_dir, "pages"))
+    return p.select("page_id", "name", "description", "meta_description",
+                    F.array_join(MN.sizes(F.col("page_text"), "a"), ",").alias("sizes_a"),
+                    F.array_join(MN.sizes(F.col("page_text"), "b"), ",").alias("sizes_b"),
+                    F.length("page_text").cast("long").alias("text_chars"))
+
+
+def page_links(spark, sf_dir):
+    return MN.page_links(S.table(spark, sf_dir, "pages"), segments=1, section="menu")
+
+
+def readiness(spark, sf_dir):
+    items = _menu_rows(spark, sf_dir).select("source")
+    posts = S.table(spark, sf_dir, "documents").select("doc_id")
+    return Q.readiness(items, posts)
+
+
+REGISTRY.update({
+    "menu_infer": menu_infer,
+    "calories": calories,
+    "page_fields": page_fields,
+    "page_links": page_links,
+    "readiness": readiness,
+})
