@@ -138,7 +138,7 @@ def _canonical(t):
 
 
 def extract_posts(posts: DataFrame, id_col: str = "id", title_col: str = "title",
-                  body_col: str = "body") -> DataFrame:
+                  body_col: str = "body", flavor_terms: Sequence[str] = LX.FLAVOR_TERMS) -> DataFrame:
     """One-pass extraction for every post with at least 10 characters of text.
 
     Returns id, cleaned_text, sentiment_score, word_count, flavors, roasters,
@@ -151,7 +151,7 @@ def extract_posts(posts: DataFrame, id_col: str = "id", title_col: str = "title"
     d = d.withColumn("cleaned_text", T.clean_text("raw_text"))
     d = d.withColumn("sentiment_score", T.sentiment("cleaned_text"))
     d = d.withColumn("word_count", T.word_count(F.lower("cleaned_text")))
-    d = flavor_facts(d, "cleaned_text")
+    d = flavor_facts(d, "cleaned_text", terms=flavor_terms)
     d = roaster_facts(d, "raw_text")
     d = origin_names(d, "cleaned_text")
     d = d.withColumn("brew_methods", T.lexicon_hits("cleaned_text", LX.BREW_METHODS))
@@ -198,3 +198,16 @@ def drink_mentions(posts: DataFrame, comments: DataFrame, post_key: str = "post_
     j = posts.join(bodies, post_key, "left")
     text = F.concat_ws(" ", F.col("title"), F.col("body"), F.coalesce(F.col("_comments"), F.lit("")))
     return j.select(post_key, T.lexicon_hits(text, terms).alias("mentioned_drinks"))
+
+
+def with_keywords(extracted: DataFrame, top_n: int = LX.KEYWORDS_TOP_N) -> DataFrame:
+    """Attach each post's top-N keywords (in rank order) to the extraction.
+
+    The per-post list is at most N entries, so gathering it is bounded.
+    """
+    kw = keywords(extracted, "id", "cleaned_text", top_n)
+    lists = (kw.groupBy(F.col("doc_id").alias("id"))
+             .agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", "keyword"))), lambda s: s["keyword"])
+                  .alias("keywords")))
+    return (extracted.join(lists, "id", "left")
+            .withColumn("keywords", F.coalesce("keywords", F.array().cast("array<string>"))))

@@ -508,3 +508,64 @@ REGISTRY.update({
     "page_links": page_links,
     "readiness": readiness,
 })
+
+
+# ------------------------------------------------------------ composites
+
+
+def _extracted_documents(spark, sf_dir, terms=LX.FLAVOR_TERMS):
+    d = S.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"),
+                                                   F.lit(None).cast("string").alias("title"),
+                                                   F.col("text").alias("body"))
+    return X.extract_posts(d, flavor_terms=terms)
+
+
+def extract_all(spark, sf_dir):
+    e = X.with_keywords(_extracted_documents(spark, sf_dir))
+    return e.select(
+        "id", F.round("sentiment_score", R).alias("sentiment_score"), "word_count",
+        F.size("flavors").cast("long").alias("n_flavors"),
+        F.array_join(F.transform(F.filter("flavors", lambda f: f["is_primary"]), lambda f: f["term"]), ",")
+        .alias("primary_terms"),
+        F.array_join(F.transform("roasters", lambda r: r["name"]), ",").alias("roasters"),
+        F.array_join("origins", ",").alias("origins"),
+        F.array_join("brew_methods", ",").alias("brew_methods"),
+        "price",
+        F.array_join("keywords", ",").alias("keywords"))
+
+
+def link_all(spark, sf_dir):
+    """Extraction -> flavor links -> roaster entities -> origins, per review."""
+    terms = LX.FLAVOR_TERMS + S.VOLUME_TERMS
+    e = _extracted_documents(spark, sf_dir, terms).withColumn("post_id", F.col("id").cast("string"))
+    flavor_dim = spark.createDataFrame([(i + 1, t, t, []) for i, t in enumerate(terms)],
+                                       "id long, term string, normalized_term string, synonyms array<string>")
+    facts = e.select(F.col("id").alias("processed_review_id"), "post_id",
+                     F.posexplode("flavors").alias("pos", "f")).select(
+        "processed_review_id", "post_id", "pos", F.col("f.term").alias("term"), F.col("f.context").alias("context"),
+        F.col("f.intensity").alias("intensity"), F.col("f.sentiment").alias("sentiment"),
+        F.col("f.confidence").alias("confidence"), F.col("f.is_primary").alias("is_primary"))
+    fl = L.link_flavors(facts, L.flavor_alias_table(flavor_dim))
+    mentions = e.select("id", "post_id", F.posexplode("roasters").alias("pos", "r"))
+    # processing order: review, then mention position (positions < 2^20 per review)
+    probes = mentions.select(F.xxhash64("id", "pos").alias("probe_id"), "id",
+                             (F.col("id") * 1048576 + F.col("pos")).alias("seq"), F.col("r.name").alias("name"))
+    ents = L.create_entities(probes.select("probe_id", "seq", "name"), S.entities_from_supplier(spark, sf_dir))
+    rl = probes.select("probe_id", "id").join(ents.select("probe_id", "entity_id"), "probe_id")
+    origins = e.select("id", F.explode("origins").alias("country"))
+    lookup, _ = L.find_or_create_origins(S.origins_from_nation(spark, sf_dir),
+                                         origins.select("country", F.lit(None).cast("string").alias("region")))
+    ol = origins.select("id", T.origin_key("country").alias("normalized_name")).join(lookup, "normalized_name")
+    per = (e.select("id")
+           .join(fl.groupBy(F.col("processed_review_id").alias("id")).agg(F.count(F.lit(1)).alias("flavors_linked")),
+                 "id", "left")
+           .join(rl.groupBy("id").agg(F.count(F.lit(1)).alias("roasters_linked")), "id", "left")
+           .join(ol.groupBy("id").agg(F.count(F.lit(1)).alias("origins_linked")), "id", "left"))
+    return per.select("id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c)
+                              for c in ("flavors_linked", "roasters_linked", "origins_linked")])
+
+
+REGISTRY.update({
+    "extract_all": extract_all,
+    "link_all": link_all,
+})
