@@ -569,3 +569,92 @@ REGISTRY.update({
     "extract_all": extract_all,
     "link_all": link_all,
 })
+
+
+# ------------------------------------------------------------ sources and streams
+from brewlens.session import scratch_path  # noqa: E402
+from brewlens.sources import ingest as IG  # noqa: E402
+from brewlens.streaming import stream as ST  # noqa: E402
+
+
+def _events_as_discussions(spark, sf_dir):
+    e = S.table(spark, sf_dir, "events")
+    return e.select(
+        F.col("event_id").cast("string").alias("post_id"), F.col("event_type").alias("title"),
+        F.col("props").alias("text"),
+        F.when(F.col("user_id") > 0, F.concat(F.lit("u"), F.col("user_id").cast("string"))).alias("author"),
+        F.floor("value").alias("score"), F.lit(None).cast("double").alias("upvote_ratio"),
+        F.lit(0).cast("long").alias("num_comments"), F.unix_seconds(F.col("ts").cast("timestamp"))
+        .cast("double").alias("created_utc"),
+        F.concat(F.lit("/r/"), F.col("event_type"), F.lit("/"), F.col("event_id").cast("string")).alias("url"),
+        F.col("event_type").alias("subreddit"),
+        F.array().cast(IG.DISCUSSION["top_comments"].dataType).alias("top_comments"),
+        F.lit(None).cast("string").alias("flair"),
+        F.date_format(F.col("ts"), "yyyy-MM-dd").alias("scraped_date"),
+        F.array().cast("array<string>").alias("mentioned_drinks"))
+
+
+def json_roundtrip(spark, sf_dir):
+    """events -> landed JSON (by source and day) -> read back -> raw_posts."""
+    path = scratch_path(spark, "landed-json")
+    d = _events_as_discussions(spark, sf_dir).withColumn("source", F.col("subreddit")) \
+        .withColumn("day", F.col("scraped_date"))
+    IG.land_json(d, path, "source", "day")
+    back = IG.read_json_records(spark, path)
+    rp = IG.discussions_to_raw_posts(back, scraped_at=S.FIXED_NOW)
+    return rp.select("id", "source", "title", "body", "url", "author",
+                     F.date_format("posted_at", "yyyy-MM-dd'T'HH:mm:ss").alias("posted_at"))
+
+
+def _land_events_for_stream(spark, sf_dir, landing):
+    """Land the events as JSON files, plus a replay of one event type (dupes)."""
+    e = S.table(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string").alias("id"), F.col("event_type").alias("term"),
+        F.col("user_id").cast("string").alias("post_id"), F.col("ts").cast("timestamp").alias("created_at"),
+        (F.col("value") / 250.0 - 1.0).alias("sentiment"))
+    e.repartition(5, "term").write.mode("overwrite").option("timestampFormat", IG.TS_FORMAT).json(f"{landing}/a")
+    (e.where(F.col("term") == "click").repartition(2).write.mode("overwrite")
+     .option("timestampFormat", IG.TS_FORMAT).json(f"{landing}/b"))
+    return e.schema
+
+
+STREAM_SCHEMA = "id string, post_id string, created_at timestamp, sentiment double, term string"
+
+
+def stream_ingest_equals_batch(spark, sf_dir):
+    land = scratch_path(spark, "landing")
+    _land_events_for_stream(spark, sf_dir, land)
+    target, ckpt = scratch_path(spark, "raw-events"), scratch_path(spark, "ckpt-ingest")
+    schema = _ddl(STREAM_SCHEMA)
+    ST.ingest(spark, f"{land}/*", schema, ["id"], target, ckpt, max_files_per_trigger=2)
+    t = spark.read.parquet(target)
+    return t.select("id", "term", "post_id", F.date_format("created_at", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("created_at"))
+
+
+def _ddl(s):
+    from pyspark.sql.types import _parse_datatype_string
+    return _parse_datatype_string(s)
+
+
+def stream_windows(spark, sf_dir):
+    land = scratch_path(spark, "landing")
+    _land_events_for_stream(spark, sf_dir, land)
+    src = spark.readStream.schema(_ddl(STREAM_SCHEMA)).option("timestampFormat", IG.TS_FORMAT).json(f"{land}/a")
+    parts, c1 = scratch_path(spark, "daily-partials"), scratch_path(spark, "ckpt-partials")
+    firsts, c2 = scratch_path(spark, "daily-firsts"), scratch_path(spark, "ckpt-firsts")
+    ST.write_append(ST.daily_partials(src), parts, c1)
+    ST.write_append(ST.daily_distinct(src), firsts, c2)
+    p = spark.read.parquet(parts)
+    u = (spark.read.parquet(firsts).groupBy("day", "term")
+         .agg(F.count(F.lit(1)).alias("unique_posts")))
+    j = p.withColumn("day", F.to_date("window_start")).join(u, ["day", "term"], "left")
+    return j.select(F.date_format("day", "yyyy-MM-dd").alias("day"), "term", "mention_count",
+                    F.round("sentiment_sum", R).alias("sentiment_sum"), "positive_mentions", "negative_mentions",
+                    F.coalesce("unique_posts", F.lit(0)).cast("long").alias("unique_posts"))
+
+
+REGISTRY.update({
+    "json_roundtrip": json_roundtrip,
+    "stream_ingest_equals_batch": stream_ingest_equals_batch,
+    "stream_windows": stream_windows,
+})
