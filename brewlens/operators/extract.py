@@ -121,8 +121,11 @@ def origin_names(df: DataFrame, text_col: str, out: str = "origins", mode: str =
     ``mode='canonical'`` maps each term to its country; ``'compat'`` keeps the
     original string rule (``kenyan`` -> ``Keya``).
     """
-    hits = f"_{out}_hits"
-    d = df.withColumn(hits, T.lexicon_hits(F.col(text_col), LX.ORIGIN_TERMS))
+    hits, low = f"_{out}_hits", f"_{out}_low"
+    # lower-case once: the hit array is consumed by a higher-order function,
+    # which is evaluated without common-subexpression elimination
+    d = df.withColumn(low, F.lower(F.col(text_col)))
+    d = d.withColumn(hits, T.lexicon_hits(F.col(low), LX.ORIGIN_TERMS, lowered=True)).drop(low)
     if mode == "compat":
         names = F.transform(hits, compat_origin_name)
     else:
@@ -169,10 +172,12 @@ def keywords(df: DataFrame, id_col: str, text_col: str, top_n: int = LX.KEYWORDS
     ``posexplode`` + one hash aggregate on (doc, token) with map-side combine,
     then a per-document rank whose ``<= N`` filter is a window-group limit.
     """
+    # the _outer form: a plain explode makes the optimizer infer a size > 0
+    # filter, which would tokenize every text twice (once below any repartition)
     toks = df.select(F.col(id_col).alias("doc_id"),
-                     F.posexplode(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(T.KEYWORD_TOKENS), 0))
+                     F.posexplode_outer(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(T.KEYWORD_TOKENS), 0))
                      .alias("pos", "token"))
-    toks = toks.where(~F.col("token").isin(list(stop_words)))
+    toks = toks.where(F.col("token").isNotNull() & ~F.col("token").isin(list(stop_words)))
     counts = toks.groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("cnt"), F.min("pos").alias("first_pos"))
     w = Window.partitionBy("doc_id").orderBy(F.col("cnt").desc(), F.col("first_pos"))
     return (counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top_n)

@@ -4,10 +4,10 @@ similarity join, and deterministic creation of new entities.
 Nothing here loops over rows on the driver.  Lookups are equi-joins (Spark/AQE
 broadcasts the dimension side when its measured size allows).  The fuzzy step
 is a similarity join: occurrence-numbered character bigrams, a prefix filter
-over globally rare bigrams (so hot bigrams never fan out), a length filter and
-a shared-bigram count bound that provably keep every pair with
-``ratio > 0.85``, then an Arrow-batched pandas UDF computes the exact
-``difflib`` ratio on the surviving candidates only.
+over globally rare bigrams (so hot bigrams never fan out) sized from a
+shared-bigram bound, and a length filter -- together they provably keep every
+pair with ``ratio > 0.85`` -- then an Arrow-batched pandas UDF applies
+difflib's cheap upper bounds and computes the exact ratio on the survivors.
 """
 
 from __future__ import annotations
@@ -91,16 +91,26 @@ def find_or_create_origins(origins: DataFrame, probes: DataFrame):
 MIN_RATIO = LX.FUZZY_MIN_RATIO
 
 
+def _ratio(x: str, y: str) -> float:
+    """``SequenceMatcher(None, x, y).ratio()``, or 0.0 when its cheap upper
+    bounds already rule out ``> 0.85`` (``real_quick_ratio``, ``quick_ratio``)."""
+    m = difflib.SequenceMatcher(None, x, y)
+    if m.real_quick_ratio() <= MIN_RATIO or m.quick_ratio() <= MIN_RATIO:
+        return 0.0
+    return m.ratio()
+
+
 def _ratio_batch(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Exact ``difflib.SequenceMatcher(None, a, b).ratio()`` per pair (Arrow batches)."""
-    return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)], dtype="float64")
+    """Exact ratio per pair for the pairs that can pass the threshold (Arrow batches)."""
+    return pd.Series([_ratio(x, y) for x, y in zip(a, b)], dtype="float64")
 
 
 _RATIO_UDF = None
 
 
 def sequence_ratio(a, b):
-    """Column: the ratio of each (a, b) pair, as a pandas UDF (created on first use)."""
+    """Column: the ratio of each (a, b) pair as a pandas UDF (created on first
+    use); exact whenever the ratio exceeds 0.85, 0.0 for pairs ruled out."""
     global _RATIO_UDF
     if _RATIO_UDF is None:
         _RATIO_UDF = F.pandas_udf(_ratio_batch, "double")
@@ -134,13 +144,16 @@ def similarity_candidates(left: DataFrame, right: DataFrame, block: str | None =
     ``left``/``right``: (lid, lstr[, block]) / (rid, rstr[, block]).  Lossless:
     the prefix filter keeps, for each string, its rarest bigram tokens (global
     rarity over both sides); two strings with enough shared tokens must share
-    one of them.  Length and shared-count bounds then prune before the UDF.
+    one of them.  The length bound prunes before the UDF, which applies
+    difflib's own upper bounds before the full ratio.
     """
     bl = [block] if block else []
     lt = left.select("lid", "lstr", *bl, F.length("lstr").alias("llen"))
     rt = right.select("rid", "rstr", *bl, F.length("rstr").alias("rlen"))
-    lx = lt.select("lid", "llen", *bl, F.explode(_tokens(F.col("lstr"))).alias("tok"))
-    rx = rt.select("rid", "rlen", *bl, F.explode(_tokens(F.col("rstr"))).alias("tok"))
+    lx = (lt.select("lid", "llen", *bl, F.explode_outer(_tokens(F.col("lstr"))).alias("tok"))
+          .where(F.col("tok").isNotNull()))
+    rx = (rt.select("rid", "rlen", *bl, F.explode_outer(_tokens(F.col("rstr"))).alias("tok"))
+          .where(F.col("tok").isNotNull()))
     freq = (lx.select("tok").unionByName(rx.select("tok")).groupBy("tok").agg(F.count(F.lit(1)).alias("f")))
 
     def prefix(x, idc, lenc):
@@ -150,12 +163,8 @@ def similarity_candidates(left: DataFrame, right: DataFrame, block: str | None =
 
     lp, rp = prefix(lx, "lid", "llen"), prefix(rx, "rid", "rlen")
     pairs = lp.join(rp, ["tok", *bl]).select("lid", "rid", "llen", "rlen").distinct()
-    pairs = pairs.where(F.lit(2.0) * F.least("llen", "rlen") > F.lit(MIN_RATIO) * (F.col("llen") + F.col("rlen")))
-    # shared-token bound on the full token sets
-    shared = (pairs.join(lx.select("lid", "tok"), "lid").join(rx.select("rid", "tok"), ["rid", "tok"])
-              .groupBy("lid", "rid", "llen", "rlen").agg(F.count(F.lit(1)).alias("shared")))
-    return shared.where(F.col("shared") > F.lit(0.275) * (F.col("llen") + F.col("rlen")) - F.lit(1.0) - F.lit(1e-9)) \
-        .select("lid", "rid")
+    return (pairs.where(F.lit(2.0) * F.least("llen", "rlen") > F.lit(MIN_RATIO) * (F.col("llen") + F.col("rlen")))
+            .select("lid", "rid"))
 
 
 def entity_cache(entities: DataFrame) -> DataFrame:
@@ -236,11 +245,13 @@ def create_entities(probes: DataFrame, entities: DataFrame, entity_type: str = "
         "norm", "nseq", "first_name", F.col("m.entity_id").alias("ex_id"),
         F.col("m.method").alias("ex_method"), F.col("m.ratio").alias("ex_ratio")).checkpoint()
     open_names = names.where(F.col("ex_method").isNull() | (F.col("ex_method") != "exact"))
+    # only a name without any existing match can become a leader (a target)
+    may_lead = open_names.where(F.col("ex_id").isNull())
     cands = similarity_candidates(open_names.select(F.col("nseq").alias("lid"), F.col("norm").alias("lstr")),
-                                  open_names.select(F.col("nseq").alias("rid"), F.col("norm").alias("rstr")))
+                                  may_lead.select(F.col("nseq").alias("rid"), F.col("norm").alias("rstr")))
     edges = (cands.where(F.col("rid") < F.col("lid"))
              .join(open_names.select(F.col("nseq").alias("lid"), F.col("norm").alias("a")), "lid")
-             .join(open_names.select(F.col("nseq").alias("rid"), F.col("norm").alias("b")), "rid")
+             .join(may_lead.select(F.col("nseq").alias("rid"), F.col("norm").alias("b")), "rid")
              .withColumn("ratio", sequence_ratio(F.col("a"), F.col("b")))
              .where(F.col("ratio") > MIN_RATIO)
              .select("lid", "rid", "ratio")).checkpoint()

@@ -130,7 +130,8 @@ def page_links(pages: DataFrame, url_col: str = "url", html_col: str = "html",
     (exactly ``segments`` segments, the 2nd equal to ``section``)."""
     base = F.regexp_extract(F.col(url_col), URL_BASE, 1)
     links = F.array_sort(F.array_distinct(F.regexp_extract_all(F.col(html_col), F.lit(HREF), 1)))
-    d = pages.select("page_id", base.alias("base"), F.explode(links).alias("link"))
+    d = (pages.select("page_id", base.alias("base"), F.explode_outer(links).alias("link"))
+         .where(F.col("link").isNotNull()))
     absolute = F.when(F.col("link").startswith("http"), F.col("link")).otherwise(F.concat("base", "link"))
     path = F.regexp_extract(absolute, URL_PATH, 1)
     segs = F.filter(F.split(path, "/"), lambda x: x != "")

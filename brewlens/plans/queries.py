@@ -260,7 +260,7 @@ def term_facts_volume(spark, sf_dir):
 def brand_pattern(spark, sf_dir):
     d = S.table(spark, sf_dir, "documents").where(F.col("lang") == "en").select("doc_id", "text")
     r = X.roaster_facts(d, "text")
-    return r.select("doc_id", F.posexplode("roasters").alias("p", "r")).select(
+    return r.select("doc_id", F.posexplode_outer("roasters").alias("p", "r")).where(F.col("r").isNotNull()).select(
         "doc_id", (F.col("p") + 1).cast("long").alias("pos"), F.col("r.name").alias("name"),
         F.col("r.context").alias("context"))
 
@@ -269,7 +269,8 @@ def origin_norm(spark, sf_dir):
     d = S.cleaned_documents(spark, sf_dir).select("doc_id", "cleaned")
     d = X.origin_names(d, "cleaned", "canonical", "canonical")
     d = X.origin_names(d, "cleaned", "compat", "compat")
-    kinds = [d.select("doc_id", F.lit(m).alias("mode"), F.posexplode(m).alias("p", "origin")) for m in ("canonical", "compat")]
+    kinds = [d.select("doc_id", F.lit(m).alias("mode"), F.posexplode_outer(m).alias("p", "origin"))
+             .where(F.col("origin").isNotNull()) for m in ("canonical", "compat")]
     u = kinds[0].unionByName(kinds[1])
     return u.select("doc_id", "mode", (F.col("p") + 1).cast("long").alias("pos"), "origin")
 
@@ -284,7 +285,7 @@ def lexicon_hits(spark, sf_dir):
         return lambda t: F.struct(F.lit(kind).alias("kind"), t.alias("term"))
     parts = [F.transform(T.lexicon_hits(F.col("lt"), words, lowered=True), tag(kind))
              for kind, words in LEXICON_KINDS]
-    e = d.select("doc_id", F.explode(F.concat(*parts)).alias("h"))
+    e = d.select("doc_id", F.explode_outer(F.concat(*parts)).alias("h")).where(F.col("h").isNotNull())
     return e.select("doc_id", F.col("h.kind").alias("kind"), F.col("h.term").alias("term"))
 
 
@@ -292,7 +293,8 @@ def mention_freq(spark, sf_dir):
     posts = S.posts_from_documents(spark, sf_dir).select("post_id", "title", "body")
     m = X.drink_mentions(posts, S.comments_from_conversations(spark, sf_dir),
                          terms=LX.DRINK_TERMS + S.VOLUME_TERMS)
-    counts = m.select(F.explode("mentioned_drinks").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    counts = (m.select(F.explode_outer("mentioned_drinks").alias("term")).where(F.col("term").isNotNull())
+              .groupBy("term").agg(F.count(F.lit(1)).alias("n")))
     n_posts = m.agg(F.count(F.lit(1)).alias("n_posts"))
     all_rows = Window.partitionBy()
     c = counts.select("term", "n", F.sum("n").over(all_rows).alias("total_mentions"),
@@ -419,6 +421,7 @@ REGISTRY.update({
 
 # ------------------------------------------------------------ linking
 from brewlens.operators import link as L  # noqa: E402
+from brewlens.session import checkpoint_root  # noqa: E402
 
 
 def alias_lookup(spark, sf_dir):
@@ -538,6 +541,9 @@ def link_all(spark, sf_dir):
     """Extraction -> flavor links -> roaster entities -> origins, per review."""
     terms = LX.FLAVOR_TERMS + S.VOLUME_TERMS
     e = _extracted_documents(spark, sf_dir, terms).withColumn("post_id", F.col("id").cast("string"))
+    # reused by four linking branches and by every creation round: cut the lineage once
+    checkpoint_root(spark)
+    e = e.checkpoint()
     flavor_dim = spark.createDataFrame([(i + 1, t, t, []) for i, t in enumerate(terms)],
                                        "id long, term string, normalized_term string, synonyms array<string>")
     facts = e.select(F.col("id").alias("processed_review_id"), "post_id",
