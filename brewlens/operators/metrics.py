@@ -38,8 +38,11 @@ def flavor_rankings(extractions: DataFrame, reviews: DataFrame | None, period: s
     """
     as_of_d = _as_date(as_of)
     start_d = as_of_d - dt.timedelta(days=period_days(period))
+    # the bound takes the column's own type (TIMESTAMP or TIMESTAMP_NTZ) so the
+    # comparison is on the raw column and reaches the parquet scan as a pushed filter
+    start = F.lit(f"{start_d.isoformat()} 00:00:00").cast(extractions.schema["created_at"].dataType)
     fe = (extractions
-          .where((F.col("created_at") >= F.lit(f"{start_d.isoformat()} 00:00:00").cast("timestamp"))
+          .where((F.col("created_at") >= start)
                  & (F.col("confidence_score") > LX.RANKING_MIN_CONFIDENCE))
           .select(flavor_col, "processed_review_id", "sentiment",
                   *([] if reviews is not None else ["post_id"])))
@@ -169,12 +172,20 @@ def linking_coverage(reviews: DataFrame, extractions: DataFrame, mentions: DataF
         mentions.select("post_id").distinct(), "post_id", "left_semi")
     a = with_flavors.agg(F.count_distinct("id").alias("reviews_with_flavors"))
     b = with_roasters.agg(F.count_distinct("post_id").alias("reviews_with_roasters"))
-    return _one_row_pair(a, b)
+    return one_row(a, b)
 
 
-def _one_row_pair(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Side-by-side of two one-row aggregates, joined on a constant key."""
-    return a.withColumn("_k", F.lit(1)).join(b.withColumn("_k", F.lit(1)), "_k").drop("_k")
+def one_row(*aggs: DataFrame) -> DataFrame:
+    """Side-by-side of one-row aggregates without a join.
+
+    The rows are stacked (each column is non-null in exactly one of them) and
+    folded by one final aggregate, so no cross product is planned.
+    """
+    cols = [c for a in aggs for c in a.columns]
+    u = aggs[0]
+    for a in aggs[1:]:
+        u = u.unionByName(a, allowMissingColumns=True)
+    return u.agg(*[F.max(c).alias(c) for c in cols])
 
 
 def review_stats(reviews: DataFrame) -> DataFrame:

@@ -100,7 +100,8 @@ def readiness(menu_items: DataFrame, posts: DataFrame) -> DataFrame:
     m = menu_items.agg(F.count(F.lit(1)).alias("menu_items"),
                        F.count_distinct("source").alias("sources"))
     p = posts.agg(F.count(F.lit(1)).alias("posts"))
-    j = m.withColumn("_k", F.lit(1)).join(p.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    from brewlens.operators.metrics import one_row
+    j = one_row(m, p)
     return j.select("*",
                     (F.col("menu_items") >= LX.READINESS["min_menu_items"]).alias("menu_ready"),
                     (F.col("posts") >= LX.READINESS["min_posts"]).alias("posts_ready"),

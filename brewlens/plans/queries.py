@@ -77,7 +77,7 @@ def score_stats(spark, sf_dir):
     st = M.review_stats(r)
     sc = r.agg(F.min("score").alias("min_score"), F.max("score").alias("max_score"),
                F.round(F.avg("score"), R).alias("avg_score"))
-    return M._one_row_pair(st.withColumn("avg_sentiment", F.col("avg_sentiment").cast("double")), sc)
+    return M.one_row(st.withColumn("avg_sentiment", F.col("avg_sentiment").cast("double")), sc)
 
 
 def coverage_counts(spark, sf_dir):
@@ -129,7 +129,7 @@ def array_len_totals(spark, sf_dir):
                                F.round(F.col("total_comments") / F.col("total_posts"), R))
     kept = Q.first_k_then_filter(c, "conv_id", "turn", 3, F.lit(True)) \
         .agg(F.count(F.lit(1)).alias("kept_first3"))
-    return M._one_row_pair(totals, kept)
+    return M.one_row(totals, kept)
 
 
 def group_pct(spark, sf_dir):
@@ -296,10 +296,13 @@ def mention_freq(spark, sf_dir):
     counts = (m.select(F.explode_outer("mentioned_drinks").alias("term")).where(F.col("term").isNotNull())
               .groupBy("term").agg(F.count(F.lit(1)).alias("n")))
     n_posts = m.agg(F.count(F.lit(1)).alias("n_posts"))
+    # the post count rides along as one extra row; windows over the small
+    # aggregated table spread the totals (no join)
+    u = counts.unionByName(n_posts, allowMissingColumns=True)
     all_rows = Window.partitionBy()
-    c = counts.select("term", "n", F.sum("n").over(all_rows).alias("total_mentions"),
-                      F.count(F.lit(1)).over(all_rows).alias("unique_terms"))
-    j = c.withColumn("_k", F.lit(1)).join(F.broadcast(n_posts.withColumn("_k", F.lit(1))), "_k").drop("_k")
+    j = u.select("term", "n", F.sum("n").over(all_rows).alias("total_mentions"),
+                 F.count("term").over(all_rows).alias("unique_terms"),
+                 F.max("n_posts").over(all_rows).alias("n_posts")).where(F.col("term").isNotNull())
     return j.select("term", "n", "total_mentions", "unique_terms", "n_posts",
                     F.round(F.col("total_mentions") / F.col("n_posts"), R).alias("avg_per_post"))
 

@@ -36,7 +36,7 @@ def flavor_mentions_from_events(spark, sf_dir) -> DataFrame:
         F.col("user_id").alias("processed_review_id"),
         F.col("user_id").cast("string").alias("post_id"),
         F.col("event_type").alias("flavor_term_id"),
-        F.col("ts").cast("timestamp").alias("created_at"),
+        F.col("ts").alias("created_at"),  # TIMESTAMP_NTZ, read as UTC wall time
         (F.col("value") / 250.0 - 1.0).alias("sentiment"),
         (F.get_json_object("props", "$.k").cast("double") / 100.0).alias("confidence_score"))
 
