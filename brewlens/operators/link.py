@@ -101,8 +101,25 @@ def _ratio(x: str, y: str) -> float:
 
 
 def _ratio_batch(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Exact ratio per pair for the pairs that can pass the threshold (Arrow batches)."""
-    return pd.Series([_ratio(x, y) for x, y in zip(a, b)], dtype="float64")
+    """Exact ratio per pair for the pairs that can pass the threshold (Arrow batches).
+
+    ``SequenceMatcher`` indexes its second string once (``set_seq2``); pairs
+    are visited grouped by that string so one matcher serves them all and
+    only ``set_seq1`` changes per pair -- the same ratio, far less work.
+    """
+    out = [0.0] * len(a)
+    xs, ys = a.tolist(), b.tolist()
+    m = difflib.SequenceMatcher(None)
+    current = None
+    for i in sorted(range(len(ys)), key=ys.__getitem__):
+        y = ys[i]
+        if y != current:
+            m.set_seq2(y)
+            current = y
+        m.set_seq1(xs[i])
+        if m.real_quick_ratio() > MIN_RATIO and m.quick_ratio() > MIN_RATIO:
+            out[i] = m.ratio()
+    return pd.Series(out, dtype="float64")
 
 
 _RATIO_UDF = None
@@ -167,6 +184,16 @@ def similarity_candidates(left: DataFrame, right: DataFrame, block: str | None =
             .select("lid", "rid"))
 
 
+def _spread_pairs(pairs: DataFrame) -> DataFrame:
+    """Deal candidate pairs round-robin over the shuffle partitions before the
+    Python verification.  The pairs are narrow rows, so AQE would otherwise
+    coalesce them into a few large partitions and leave most cores idle
+    during the (CPU-bound) ratio step.  Round-robin is skew-free."""
+    spark = pairs.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+    return pairs.repartition(n)
+
+
 def entity_cache(entities: DataFrame) -> DataFrame:
     """Lookup keys of existing entities: lower(name) and lower(slug).
 
@@ -197,7 +224,7 @@ def match_entities(probes: DataFrame, cache: DataFrame) -> DataFrame:
         rest.select(F.col("probe_id").alias("lid"), F.col("norm").alias("lstr"), F.col("entity_type").alias("blk")),
         cache.select(F.col("key").alias("rid"), F.col("key").alias("rstr"),
                      F.col("entity_type").alias("blk")), block="blk")
-    scored = (cands.join(rest.select(F.col("probe_id").alias("lid"), "norm"), "lid")
+    scored = (_spread_pairs(cands).join(rest.select(F.col("probe_id").alias("lid"), "norm"), "lid")
               .join(cache.select(F.col("key").alias("rid"), "entity_id", "pos_id", "pos_p"), "rid")
               .withColumn("ratio", sequence_ratio(F.col("norm"), F.col("rid")))
               .where(F.col("ratio") > MIN_RATIO))
@@ -249,7 +276,7 @@ def create_entities(probes: DataFrame, entities: DataFrame, entity_type: str = "
     may_lead = open_names.where(F.col("ex_id").isNull())
     cands = similarity_candidates(open_names.select(F.col("nseq").alias("lid"), F.col("norm").alias("lstr")),
                                   may_lead.select(F.col("nseq").alias("rid"), F.col("norm").alias("rstr")))
-    edges = (cands.where(F.col("rid") < F.col("lid"))
+    edges = (_spread_pairs(cands.where(F.col("rid") < F.col("lid")))
              .join(open_names.select(F.col("nseq").alias("lid"), F.col("norm").alias("a")), "lid")
              .join(may_lead.select(F.col("nseq").alias("rid"), F.col("norm").alias("b")), "rid")
              .withColumn("ratio", sequence_ratio(F.col("a"), F.col("b")))
