@@ -139,3 +139,66 @@ def page_links(pages: DataFrame, url_col: str = "url", html_col: str = "html",
                     F.size(segs).cast("long").alias("n_segments"),
                     F.coalesce((F.size(segs) == segments) & (F.try_element_at(segs, F.lit(2)) == section),
                                F.lit(False)).alias("is_category"))
+
+
+# FIXED VALUES: link patterns of the two menu sites (the character classes
+# include a backslash and a hyphen, as written in the collectors)
+PRODUCT_LINK = r"/menu/product/[a-zA-Z0-9\\-]+"
+ITEM_LINK = r"(?i)/en/menu/[a-z0-9\\-]+/[a-z0-9\\-]+"
+ANCHOR = r"(?is)<a\b[^>]*href=\"([^\"]*)\"[^>]*>(.*?)</a>"
+
+
+def _path(href):
+    """urlparse(href).path for absolute or relative hrefs."""
+    return F.when(href.startswith("http"), F.regexp_extract(href, URL_PATH, 1)) \
+        .otherwise(F.regexp_extract(href, r"^([^?#]*)", 1))
+
+
+def _segments(path):
+    return F.filter(F.split(path, "/"), lambda x: x != "")
+
+
+def menu_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """Per page: product links (menu A), item links and categories (menu B).
+
+    Each list is the first non-empty of its ordered sources -- page links,
+    then a regex over the raw page source -- as a sorted distinct list.
+    Categories: links under ``/en/menu/`` whose path has exactly three
+    segments with ``menu`` second, first anchor per path, named by its
+    anchor text or else the title-cased last segment.
+    """
+    html = F.col(html_col)
+    base = F.regexp_extract(F.col(url_col), URL_BASE, 1)
+    hrefs = F.regexp_extract_all(html, F.lit(ANCHOR), 1)
+    texts = F.regexp_extract_all(html, F.lit(ANCHOR), 2)
+    d = pages.select("page_id", base.alias("base"), hrefs.alias("hrefs"), texts.alias("texts"), html.alias("src"))
+    dom_products = F.transform(F.filter("hrefs", lambda h: h.contains("/menu/product/")),
+                               lambda h: F.replace(h, F.col("base"), F.lit("")))
+    src_products = F.regexp_extract_all(F.col("src"), F.lit(PRODUCT_LINK), 0)
+    menu_hrefs = F.filter("hrefs", lambda h: h.contains("/en/menu/"))
+    dom_items = F.transform(
+        F.filter(menu_hrefs, lambda h: (F.size(_segments(_path(h))) >= 4)
+                 & (F.try_element_at(_segments(_path(h)), F.lit(2)) == "menu")), _path)
+    src_items = F.regexp_extract_all(F.col("src"), F.lit(ITEM_LINK), 0)
+
+    def first_nonempty(a, b):
+        a, b = F.array_sort(F.array_distinct(a)), F.array_sort(F.array_distinct(b))
+        return F.when(F.size(a) > 0, a).otherwise(b)
+
+    anchors = F.arrays_zip(F.col("hrefs").alias("href"), F.col("texts").alias("text"))
+    cats = F.filter(anchors, lambda a: a["href"].contains("/en/menu/")
+                    & (F.size(_segments(_path(a["href"]))) == 3)
+                    & (F.try_element_at(_segments(_path(a["href"])), F.lit(2)) == "menu")
+                    & ~_path(a["href"]).endswith("/menu"))
+    cats = F.transform(cats, lambda a: F.struct(_path(a["href"]).alias("path"),
+                                                fragment_text(a["text"]).alias("text")))
+    paths = F.transform(cats, lambda c: c["path"])
+    firsts = F.filter(cats, lambda c, i: F.array_position(paths, c["path"]) == i + 1)
+    named = F.transform(firsts, lambda c: F.struct(
+        c["path"].alias("path"),
+        F.when(c["text"] != "", c["text"]).otherwise(
+            F.initcap(F.replace(F.element_at(_segments(c["path"]), -1), F.lit("-"), F.lit(" ")))).alias("name")))
+    return d.select("page_id",
+                    first_nonempty(dom_products, src_products).alias("product_links"),
+                    first_nonempty(dom_items, src_items).alias("item_links"),
+                    named.alias("categories"))

@@ -667,3 +667,14 @@ REGISTRY.update({
     "stream_ingest_equals_batch": stream_ingest_equals_batch,
     "stream_windows": stream_windows,
 })
+
+
+def menu_links(spark, sf_dir):
+    m = MN.menu_links(S.table(spark, sf_dir, "pages"))
+    return m.select("page_id", F.array_join("product_links", ",").alias("product_links"),
+                    F.array_join("item_links", ",").alias("item_links"),
+                    F.array_join(F.transform("categories", lambda c: F.concat_ws("=", c["path"], c["name"])), ",")
+                    .alias("categories"))
+
+
+REGISTRY["menu_links"] = menu_links

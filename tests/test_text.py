@@ -103,3 +103,19 @@ def test_menu_rules(spark):
     assert caf.select(MN.has_caffeine(F.col("n"), F.lit(""), "b")).collect()[1][0] is True
     assert one(spark, MN.sizes(F.col("t"), "a"), "nothing") == ["Tall", "Grande", "Venti"]
     assert one(spark, MN.calories(F.col("t")), "190 Calories per cup") == "190"
+
+
+def test_menu_links_fallbacks(spark):
+    html_dom = ('<a href="https://www.site.com/menu/product/123-abc">x</a>'
+                '<a href="/en/menu/coffee">Coffee</a><a href="/en/menu/iced-coffee"> </a>'
+                '<a href="/en/menu/coffee">Again</a><a href="/en/menu/tea/green">Green</a>')
+    html_src = 'text /menu/product/zz-9 and /EN/MENU/tea/green-tea here'
+    df = spark.createDataFrame([(1, "https://www.site.com/en/menu", html_dom), (2, "https://a.b/x", html_src)],
+                               "page_id long, url string, html string")
+    r = {x["page_id"]: x for x in MN.menu_links(df).collect()}
+    assert r[1]["product_links"] == ["/menu/product/123-abc"]
+    assert r[1]["item_links"] == ["/en/menu/tea/green"]
+    assert [(c["path"], c["name"]) for c in r[1]["categories"]] == [
+        ("/en/menu/coffee", "Coffee"), ("/en/menu/iced-coffee", "Iced Coffee")]
+    assert r[2]["product_links"] == ["/menu/product/zz-9"]
+    assert r[2]["item_links"] == ["/EN/MENU/tea/green-tea"]
