@@ -68,6 +68,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:
             root = None
     if not root:
+        master = spark.conf.get("spark.master", "") or ""
+        if not master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder on the cluster's shared file system")
+        # a local test session only: a folder of our own on this machine
         root = tempfile.mkdtemp(prefix="brewlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     try:
@@ -91,7 +95,11 @@ def spread(df):
     parallelism.  On a large input the scan already has more splits than
     cores and nothing changes, so no shuffle is added at scale.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 -- no RDD view (e.g. a remote session): leave the plan as is
+        return df
+    if current < target:
         return df.repartition(target)
     return df
