@@ -141,18 +141,23 @@ def _canonical(t):
 
 
 def extract_posts(posts: DataFrame, id_col: str = "id", title_col: str = "title",
-                  body_col: str = "body", flavor_terms: Sequence[str] = LX.FLAVOR_TERMS) -> DataFrame:
+                  body_col: str = "body", flavor_terms: Sequence[str] = LX.FLAVOR_TERMS,
+                  sentiment_fn=None) -> DataFrame:
     """One-pass extraction for every post with at least 10 characters of text.
 
     Returns id, cleaned_text, sentiment_score, word_count, flavors, roasters,
     origins, brew_methods, process_methods, price.  Roasters and price read
     the uncleaned text; everything else the cleaned text.  Keywords are a
     separate shuffle stage (:func:`keywords`).
+
+    ``sentiment_fn`` is the scorer hook: a function from a column name to a
+    Column (for example a user's pandas UDF); by default the built-in lexicon
+    scorer, which stays in the JVM.
     """
     d = posts.select(F.col(id_col).alias("id"), T.post_text(title_col, body_col).alias("raw_text"))
     d = d.where(F.length("raw_text") >= LX.MIN_TEXT_CHARS)
     d = d.withColumn("cleaned_text", T.clean_text("raw_text"))
-    d = d.withColumn("sentiment_score", T.sentiment("cleaned_text"))
+    d = d.withColumn("sentiment_score", (sentiment_fn or T.sentiment)("cleaned_text"))
     d = d.withColumn("word_count", T.word_count(F.lower("cleaned_text")))
     d = flavor_facts(d, "cleaned_text", terms=flavor_terms)
     d = roaster_facts(d, "raw_text")
@@ -164,11 +169,12 @@ def extract_posts(posts: DataFrame, id_col: str = "id", title_col: str = "title"
 
 
 def keywords(df: DataFrame, id_col: str, text_col: str, top_n: int = LX.KEYWORDS_TOP_N,
-             stop_words: Sequence[str] = LX.STOP_WORDS) -> DataFrame:
+             stop_words: Sequence[str] = LX.STOP_WORDS, token_hook=None) -> DataFrame:
     """Top-N tokens per document by count, ties by first occurrence.
 
-    Tokens are lower-case alphabetic runs minus stop words (a part-of-speech
-    tagger or lemmatiser can be applied to the token column as a hook).
+    Tokens are lower-case alphabetic runs minus stop words; ``token_hook``
+    (Column -> Column, e.g. a pandas UDF running a tagger) may map each token
+    to its lemma or to null to drop it.
     ``posexplode`` + one hash aggregate on (doc, token) with map-side combine,
     then a per-document rank whose ``<= N`` filter is a window-group limit.
     """
@@ -178,6 +184,9 @@ def keywords(df: DataFrame, id_col: str, text_col: str, top_n: int = LX.KEYWORDS
                      F.posexplode_outer(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(T.KEYWORD_TOKENS), 0))
                      .alias("pos", "token"))
     toks = toks.where(F.col("token").isNotNull() & ~F.col("token").isin(list(stop_words)))
+    if token_hook is not None:
+        # tagger / lemmatiser hook: Column -> Column (lemma, or null to drop the token)
+        toks = toks.withColumn("token", token_hook(F.col("token"))).where(F.col("token").isNotNull())
     counts = toks.groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("cnt"), F.min("pos").alias("first_pos"))
     w = Window.partitionBy("doc_id").orderBy(F.col("cnt").desc(), F.col("first_pos"))
     return (counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top_n)

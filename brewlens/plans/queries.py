@@ -645,7 +645,8 @@ def _ddl(s):
     return _parse_datatype_string(s)
 
 
-def stream_windows(spark, sf_dir):
+def _stream_partials(spark, sf_dir):
+    """Land the events, run the two daily streams to completion; their sink paths."""
     land = scratch_path(spark, "landing")
     _land_events_for_stream(spark, sf_dir, land)
     src = spark.readStream.schema(_ddl(STREAM_SCHEMA)).option("timestampFormat", IG.TS_FORMAT).json(f"{land}/a")
@@ -653,6 +654,21 @@ def stream_windows(spark, sf_dir):
     firsts, c2 = scratch_path(spark, "daily-firsts"), scratch_path(spark, "ckpt-firsts")
     ST.write_append(ST.daily_partials(src), parts, c1)
     ST.write_append(ST.daily_distinct(src), firsts, c2)
+    return parts, firsts
+
+
+def stream_rollup(spark, sf_dir):
+    """30-day figures per term rolled up from the closed daily partials."""
+    parts, _ = _stream_partials(spark, sf_dir)
+    r = ST.rollup_partials(spark.read.parquet(parts), S.AS_OF, 30)
+    return r.select("term", F.col("mention_count").cast("long").alias("mention_count"),
+                    F.round("avg_sentiment", R).alias("avg_sentiment"),
+                    F.col("positive_mentions").cast("long").alias("positive_mentions"),
+                    F.col("negative_mentions").cast("long").alias("negative_mentions"))
+
+
+def stream_windows(spark, sf_dir):
+    parts, firsts = _stream_partials(spark, sf_dir)
     p = spark.read.parquet(parts)
     u = (spark.read.parquet(firsts).groupBy("day", "term")
          .agg(F.count(F.lit(1)).alias("unique_posts")))
@@ -666,6 +682,7 @@ REGISTRY.update({
     "json_roundtrip": json_roundtrip,
     "stream_ingest_equals_batch": stream_ingest_equals_batch,
     "stream_windows": stream_windows,
+    "stream_rollup": stream_rollup,
 })
 
 

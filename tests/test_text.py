@@ -119,3 +119,12 @@ def test_menu_links_fallbacks(spark):
         ("/en/menu/coffee", "Coffee"), ("/en/menu/iced-coffee", "Iced Coffee")]
     assert r[2]["product_links"] == ["/menu/product/zz-9"]
     assert r[2]["item_links"] == ["/EN/MENU/tea/green-tea"]
+
+
+def test_hooks(spark):
+    posts = spark.createDataFrame([(1, None, "Apples and apples and pears, all good today.")],
+                                  "id long, title string, body string")
+    e = X.extract_posts(posts, sentiment_fn=lambda c: F.lit(0.25)).first()
+    assert e["sentiment_score"] == 0.25
+    kw = X.keywords(posts, "id", "body", token_hook=lambda t: F.when(t != "pears", F.regexp_replace(t, "s$", "")))
+    assert [r["keyword"] for r in kw.orderBy("rank").collect()] == ["apple", "good", "today"]
