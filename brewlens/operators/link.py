@@ -100,28 +100,36 @@ def _ratio(x: str, y: str) -> float:
     return m.ratio()
 
 
-def _ratio_batch(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Exact ratio per pair for the pairs that can pass the threshold (Arrow batches).
-
-    ``SequenceMatcher`` indexes its second string once (``set_seq2``); pairs
-    are visited grouped by that string so one matcher serves them all and
-    only ``set_seq1`` changes per pair -- the same ratio, far less work.
-    """
-    out = [0.0] * len(a)
-    xs, ys = a.tolist(), b.tolist()
-    m = difflib.SequenceMatcher(None)
-    current = None
-    for i in sorted(range(len(ys)), key=ys.__getitem__):
-        y = ys[i]
-        if y != current:
-            m.set_seq2(y)
-            current = y
-        m.set_seq1(xs[i])
-        if m.real_quick_ratio() > MIN_RATIO and m.quick_ratio() > MIN_RATIO:
-            out[i] = m.ratio()
-    return pd.Series(out, dtype="float64")
-
-
+def _make_ratio_batch(min_ratio: float):
+    """The UDF body as a closure: pickled by value, so executors need no copy
+    of this package (only difflib and pandas)."""
+    import difflib as _difflib
+
+    import pandas as _pd
+
+    def ratio_batch(a, b):
+        # Exact ratio per pair for the pairs that can pass the threshold.
+        # SequenceMatcher indexes its second string once (set_seq2); pairs are
+        # visited grouped by that string so one matcher serves them all and
+        # only set_seq1 changes per pair -- the same ratio, far less work.
+        out = [0.0] * len(a)
+        xs, ys = a.tolist(), b.tolist()
+        m = _difflib.SequenceMatcher(None)
+        current = None
+        for i in sorted(range(len(ys)), key=ys.__getitem__):
+            y = ys[i]
+            if y != current:
+                m.set_seq2(y)
+                current = y
+            m.set_seq1(xs[i])
+            if m.real_quick_ratio() > min_ratio and m.quick_ratio() > min_ratio:
+                out[i] = m.ratio()
+        return _pd.Series(out, dtype="float64")
+
+    return ratio_batch
+
+
+_ratio_batch = _make_ratio_batch(MIN_RATIO)
 _RATIO_UDF = None
 
 
@@ -130,7 +138,7 @@ def sequence_ratio(a, b):
     use); exact whenever the ratio exceeds 0.85, 0.0 for pairs ruled out."""
     global _RATIO_UDF
     if _RATIO_UDF is None:
-        _RATIO_UDF = F.pandas_udf(_ratio_batch, "double")
+        _RATIO_UDF = F.pandas_udf(_make_ratio_batch(MIN_RATIO), "double")
     return _RATIO_UDF(a, b)
 
 
