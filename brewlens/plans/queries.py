@@ -678,7 +678,32 @@ def stream_windows(spark, sf_dir):
                     F.coalesce("unique_posts", F.lit(0)).cast("long").alias("unique_posts"))
 
 
+POST_SCHEMA = "id long, title string, body string"
+
+
+def stream_extract(spark, sf_dir):
+    """Posts land as JSON files; each micro-batch of new posts is extracted
+    and appended (insert-ignore on id).  Equals the batch extraction."""
+    land = scratch_path(spark, "landing-posts")
+    d = S.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"),
+                                                   F.lit(None).cast("string").alias("title"),
+                                                   F.col("text").alias("body"))
+    d.repartition(4).write.mode("overwrite").json(f"{land}/a")
+    target, ckpt = scratch_path(spark, "processed"), scratch_path(spark, "ckpt-extract")
+
+    def extract(batch):
+        e = X.extract_posts(batch)
+        return e.select("id", "sentiment_score", "word_count", F.size("flavors").cast("long").alias("n_flavors"),
+                        "price")
+
+    ST.ingest(spark, f"{land}/*", _ddl(POST_SCHEMA), ["id"], target, ckpt, max_files_per_trigger=2,
+              transform=extract)
+    t = spark.read.parquet(target)
+    return t.select("id", F.round("sentiment_score", R).alias("sentiment_score"), "word_count", "n_flavors", "price")
+
+
 REGISTRY.update({
+    "stream_extract": stream_extract,
     "json_roundtrip": json_roundtrip,
     "stream_ingest_equals_batch": stream_ingest_equals_batch,
     "stream_windows": stream_windows,

@@ -32,8 +32,14 @@ def _run(writer, available_now: bool = True):
 
 def ingest(spark: SparkSession, landing: str, schema: T.StructType, key: list[str], target: str,
            checkpoint: str, order_col: str | None = None, available_now: bool = True,
-           max_files_per_trigger: int | None = None):
-    """Stream landed JSON into ``target`` (parquet), ignoring known keys."""
+           max_files_per_trigger: int | None = None, transform=None):
+    """Stream landed JSON into ``target`` (parquet), ignoring known keys.
+
+    ``transform`` (DataFrame -> DataFrame, keeping the key columns) runs on the
+    new rows of each micro-batch before they are appended: with the batch
+    extractor this is the incremental extraction job, whose checkpoint
+    replaces the "unprocessed posts" backlog query.
+    """
     src = spark.readStream.schema(schema).option("timestampFormat", TS_FORMAT)
     if max_files_per_trigger:
         src = src.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -47,10 +53,12 @@ def ingest(spark: SparkSession, landing: str, schema: T.StructType, key: list[st
         else:
             b = b.dropDuplicates(key)
         try:
-            known = batch.sparkSession.read.schema(schema).parquet(target).select(*key)
+            known = batch.sparkSession.read.parquet(target).select(*key)
             b = b.join(known, key, "left_anti")
         except AnalysisException:  # first batch: the table does not exist yet
             pass
+        if transform is not None:
+            b = transform(b)
         b.write.mode("append").parquet(target)
 
     w = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
