@@ -720,3 +720,17 @@ def menu_links(spark, sf_dir):
 
 
 REGISTRY["menu_links"] = menu_links
+
+
+def lexicon_table_hits(spark, sf_dir):
+    """Whole-word hits of a lexicon table derived from the benchmark passages:
+    their words of 8+ letters and their opening word pairs."""
+    b = S.table(spark, sf_dir, "benchmark").select(X.words_of(F.col("text")).alias("w"))
+    singles = b.select(F.explode_outer("w").alias("term")).where(F.length("term") >= 8)
+    pairs = b.where(F.size("w") >= 2).select(F.array_join(F.slice("w", 1, 2), " ").alias("term"))
+    lexicon = singles.unionByName(pairs)
+    docs = S.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return X.lexicon_join(docs, "doc_id", "text", lexicon)
+
+
+REGISTRY["lexicon_table_hits"] = lexicon_table_hits
