@@ -107,10 +107,6 @@ def origin_key(country, region=None) -> Column:
     return F.concat(F.lower(col_of(country)), F.lit("_"), F.coalesce(reg, F.lit("general")))
 
 
-def title_case(c) -> Column:
-    return F.initcap(col_of(c))
-
-
 def first_price(c) -> Column:
     """First ``$ 12.50``-style amount as a double, else null."""
     return F.nullif(F.regexp_extract(col_of(c), PRICE_PATTERN, 1), F.lit("")).try_cast("double")

@@ -19,10 +19,6 @@ from brewlens.functions import lexicons as LX
 from brewlens.functions import text as T
 
 
-def _arr(words: Sequence[str]) -> str:
-    return "array(" + ", ".join(T.sql_str(w) for w in words) + ")"
-
-
 def _any_contains(x: str, words: Sequence[str]) -> str:
     return "(" + " OR ".join(f"contains({x}, {T.sql_str(w)})" for w in words) + ")"
 
@@ -86,7 +82,7 @@ def roaster_facts(df: DataFrame, text_col: str, out: str = "roasters",
     titled = {n: n.title() for n in names}
     d = df.withColumn(low, F.lower(F.col(text_col))).withColumn(segs, F.split(F.col(text_col), "[.]", -1))
     d = d.withColumn(known, F.expr(
-        f"transform({T_hits(low, names)}, n -> named_struct("
+        f"transform({_hits_sql(low, names)}, n -> named_struct("
         f"'name', {_case_map('n', titled)}, "
         f"'context', substring(regexp_replace(coalesce(try_element_at(filter({segs}, s -> contains(lower(s), n)), 1), ''), "
         f"'{T.EDGE_WS}', ''), 1, {LX.CONTEXT_CHARS})))"))
@@ -99,7 +95,7 @@ def roaster_facts(df: DataFrame, text_col: str, out: str = "roasters",
     return d.drop(low, segs, known, pat)
 
 
-def T_hits(low_col: str, words: Sequence[str]) -> str:
+def _hits_sql(low_col: str, words: Sequence[str]) -> str:
     """SQL: the lexicon words contained in ``low_col`` in lexicon order."""
     items = ", ".join(f"CASE WHEN contains({low_col}, {T.sql_str(w)}) THEN {T.sql_str(w)} ELSE '' END" for w in words)
     return f"array_remove(array({items}), '')"

@@ -148,11 +148,15 @@ def entity_metrics(entities: DataFrame, products: DataFrame, mentions: DataFrame
 
 
 def top_flavors(flavor_terms: DataFrame, k: int = 10) -> DataFrame:
-    """Top-k flavors by total_mentions (> 0); ties by term then id."""
+    """Top-k flavors by total_mentions (> 0); ties by term then id.
+
+    ``orderBy(...).limit(k)`` plans as TakeOrderedAndProject: each partition
+    keeps its own top k, only k rows per partition reach the final merge.
+    """
     return (flavor_terms.where(F.col("total_mentions") > 0)
             .orderBy(F.col("total_mentions").desc(), F.col("term"), F.col("id"))
             .limit(k)
-            .select("term", "total_mentions"))
+            .select("id", "term", "total_mentions"))
 
 
 def flavors_with_mentions(flavor_terms: DataFrame) -> DataFrame:

@@ -43,10 +43,7 @@ def term_popularity_update(spark, sf_dir):
 
 
 def top_terms(spark, sf_dir):
-    ft = _updated_flavor_terms(spark, sf_dir)
-    return (ft.where(F.col("total_mentions") > 0)
-            .orderBy(F.col("total_mentions").desc(), F.col("term"), F.col("id"))
-            .limit(10).select("id", "term", "total_mentions"))
+    return M.top_flavors(_updated_flavor_terms(spark, sf_dir), 10)
 
 
 def flavors_with_mentions(spark, sf_dir):
