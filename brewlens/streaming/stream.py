@@ -32,13 +32,17 @@ def _run(writer, available_now: bool = True):
 
 def ingest(spark: SparkSession, landing: str, schema: T.StructType, key: list[str], target: str,
            checkpoint: str, order_col: str | None = None, available_now: bool = True,
-           max_files_per_trigger: int | None = None, transform=None):
+           max_files_per_trigger: int | None = None, transform=None, buckets: int = 64):
     """Stream landed JSON into ``target`` (parquet), ignoring known keys.
 
     ``transform`` (DataFrame -> DataFrame, keeping the key columns) runs on the
     new rows of each micro-batch before they are appended: with the batch
     extractor this is the incremental extraction job, whose checkpoint
     replaces the "unprocessed posts" backlog query.
+
+    The target is partitioned by ``key_bucket = pmod(xxhash64(key), buckets)``;
+    a micro-batch reads back only the key column of the buckets it touches
+    (partition pruning), not the whole table.
     """
     src = spark.readStream.schema(schema).option("timestampFormat", TS_FORMAT)
     if max_files_per_trigger:
@@ -52,14 +56,21 @@ def ingest(spark: SparkSession, landing: str, schema: T.StructType, key: list[st
             b = w_first.select("_r.*")
         else:
             b = b.dropDuplicates(key)
+        bucket = F.pmod(F.xxhash64(*[F.col(k) for k in key]), F.lit(buckets))
+        b = b.withColumn("key_bucket", bucket)
+        touched = [r[0] for r in b.select("key_bucket").distinct().collect()]  # at most `buckets` values
+        if not touched:
+            return
         try:
-            known = batch.sparkSession.read.parquet(target).select(*key)
-            b = b.join(known, key, "left_anti")
+            known = (batch.sparkSession.read.parquet(target)
+                     .where(F.col("key_bucket").isin(touched)).select("key_bucket", *key))
+            b = b.join(known, ["key_bucket", *key], "left_anti")
         except AnalysisException:  # first batch: the table does not exist yet
             pass
         if transform is not None:
-            b = transform(b)
-        b.write.mode("append").parquet(target)
+            b = transform(b.drop("key_bucket")).withColumn("key_bucket", bucket)
+        # one writer per touched bucket: keys are unique here, so buckets are even
+        b.repartition(len(touched), "key_bucket").write.mode("append").partitionBy("key_bucket").parquet(target)
 
     w = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     return _run(w, available_now)
