@@ -731,3 +731,29 @@ def lexicon_table_hits(spark, sf_dir):
 
 
 REGISTRY["lexicon_table_hits"] = lexicon_table_hits
+
+
+def extractions_upsert(spark, sf_dir):
+    """Stored extractions re-extracted with a wider lexicon: flavors, roasters,
+    origins, brew methods and price are replaced; process_methods keeps the
+    stored value (it is not in the update list)."""
+    stored = _extracted_documents(spark, sf_dir).withColumn("process_methods", F.array(F.lit("washed")))
+    fresh = _extracted_documents(spark, sf_dir, LX.FLAVOR_TERMS + S.VOLUME_TERMS)
+    cols = ["id", "flavors", "roasters", "origins", "brew_methods", "process_methods", "price"]
+    m = U.upsert(stored.select(*cols), fresh.select(*cols), ["id"],
+                 ["flavors", "roasters", "origins", "brew_methods", "price"])
+    return m.select("id", F.size("flavors").cast("long").alias("n_flavors"),
+                    F.array_join("process_methods", ",").alias("process_methods"), "price")
+
+
+def link_stats(spark, sf_dir):
+    """Run statistics of the linking pass summed over reviews."""
+    per = link_all(spark, sf_dir)
+    return per.agg(*[F.sum(c).cast("long").alias(c) for c in ("flavors_linked", "roasters_linked", "origins_linked")],
+                   F.lit(0).cast("long").alias("products_linked"),
+                   F.count_if(F.col("flavors_linked") > 0).alias("reviews_with_flavors"),
+                   F.count_if(F.col("roasters_linked") > 0).alias("reviews_with_roasters"))
+
+
+REGISTRY["extractions_upsert"] = extractions_upsert
+REGISTRY["link_stats"] = link_stats
