@@ -142,11 +142,19 @@ def sequence_ratio(a, b):
     return _RATIO_UDF(a, b)
 
 
-def _tokens(s):
-    """Occurrence-numbered bigrams of ``s``: 'ab#0', 'ab#1', ... (multiset as a set)."""
+def _bigrams(s):
+    """Character bigrams of ``s`` in order (empty below two characters)."""
     grams = F.transform(F.sequence(F.lit(1), F.greatest(F.length(s) - 1, F.lit(1))),
                         lambda i: F.substring(s, i, 2))
-    grams = F.when(F.length(s) >= 2, grams).otherwise(F.array().cast("array<string>"))
+    return F.when(F.length(s) >= 2, grams).otherwise(F.array().cast("array<string>"))
+
+
+def _tokens(grams):
+    """Occurrence-numbered bigrams: 'ab#0', 'ab#1', ... (a multiset as a set).
+
+    ``grams`` must be a column reference (see :func:`_bigrams`): the lambda
+    reads it at every position and would otherwise rebuild it each time.
+    """
     return F.transform(grams, lambda g, i: F.concat(
         g, F.lit("\u0001"), F.size(F.filter(F.slice(grams, 1, i), lambda x: x == g)).cast("string")))
 
@@ -175,9 +183,11 @@ def similarity_candidates(left: DataFrame, right: DataFrame, block: str | None =
     bl = [block] if block else []
     lt = left.select("lid", "lstr", *bl, F.length("lstr").alias("llen"))
     rt = right.select("rid", "rstr", *bl, F.length("rstr").alias("rlen"))
-    lx = (lt.select("lid", "llen", *bl, F.explode_outer(_tokens(F.col("lstr"))).alias("tok"))
+    lx = (lt.withColumn("_g", _bigrams(F.col("lstr")))
+          .select("lid", "llen", *bl, F.explode_outer(_tokens(F.col("_g"))).alias("tok"))
           .where(F.col("tok").isNotNull()))
-    rx = (rt.select("rid", "rlen", *bl, F.explode_outer(_tokens(F.col("rstr"))).alias("tok"))
+    rx = (rt.withColumn("_g", _bigrams(F.col("rstr")))
+          .select("rid", "rlen", *bl, F.explode_outer(_tokens(F.col("_g"))).alias("tok"))
           .where(F.col("tok").isNotNull()))
     freq = (lx.select("tok").unionByName(rx.select("tok")).groupBy("tok").agg(F.count(F.lit(1)).alias("f")))
 
