@@ -122,3 +122,19 @@ def test_quality_flags(spark):
                                   "score long, text string, n_comments long")
     flags = Q.quality_report(posts).first()["flags"]
     assert flags == ["low_total_count", "low_engagement", "few_comments", "lacking_body_text"]
+
+
+def test_hot_key_holding_a_third_of_rows(spark):
+    n = 30000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("key"),
+        F.col("id").alias("seq"), (F.col("id") * 2).alias("v"))
+    last = U.dedupe(df, ["key"], ["seq"], keep="last")
+    hot = last.where("key = -1").first()
+    assert last.count() == n - n // 3 + 1 and hot["seq"] == n - 3 and hot["v"] == 2 * (n - 3)
+    first = U.dedupe(df, ["key"], ["seq"], keep="first").where("key = -1").first()
+    assert first["seq"] == 0
+    target = spark.createDataFrame([(-1, 5, 5)], "key long, seq long, v long")
+    merged = U.insert_ignore(target, df, ["key"], ["seq"])
+    assert merged.count() == n - n // 3 + 1
+    assert merged.where("key = -1").first()["v"] == 5
