@@ -192,6 +192,8 @@ def topic_filter(spark, sf_dir):
 
 
 def first10_then_score(spark, sf_dir):
+    # the test conversations have at most 8 turns, so the stand-in keeps the
+    # first 3 (the operator's k; the original kept 10) to make the cut visible
     c = S.table(spark, sf_dir, "conversations")
     score = F.floor(F.length("text") / 100.0)
     return Q.first_k_then_filter(c, "conv_id", "turn", 3, score >= LX.COMMENT_MIN_SCORE) \
