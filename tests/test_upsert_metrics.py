@@ -138,3 +138,17 @@ def test_hot_key_holding_a_third_of_rows(spark):
     merged = U.insert_ignore(target, df, ["key"], ["seq"])
     assert merged.count() == n - n // 3 + 1
     assert merged.where("key = -1").first()["v"] == 5
+
+
+def test_rankings_without_review_join_match_join_path(spark):
+    fe = _fe(spark, [0.5, -0.5, 0.1, 0.9]).withColumn("processed_review_id", F.col("id") % 2)
+    fe = fe.withColumn("post_id", (F.col("id") % 2).cast("string"))
+    reviews = spark.createDataFrame([(0, "0"), (1, "1")], "id long, post_id string")
+    a = M.flavor_rankings(fe, reviews, "week", "2024-02-05").first().asDict()
+    b = M.flavor_rankings(fe, None, "week", "2024-02-05").first().asDict()
+    assert a == b and a["unique_products"] == 2
+
+
+def test_upper_median_empty_input(spark):
+    df = spark.createDataFrame([], "x double")
+    assert Q.upper_median(df, "x", "m").first()["m"] is None
