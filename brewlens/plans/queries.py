@@ -657,13 +657,17 @@ def _stream_partials(spark, sf_dir):
 
 
 def stream_rollup(spark, sf_dir):
-    """30-day figures per term rolled up from the closed daily partials."""
+    """7/30/365-day figures per term rolled up from the closed daily partials."""
     parts, _ = _stream_partials(spark, sf_dir)
-    r = ST.rollup_partials(spark.read.parquet(parts), S.AS_OF, 30)
-    return r.select("term", F.col("mention_count").cast("long").alias("mention_count"),
-                    F.round("avg_sentiment", R).alias("avg_sentiment"),
-                    F.col("positive_mentions").cast("long").alias("positive_mentions"),
-                    F.col("negative_mentions").cast("long").alias("negative_mentions"))
+    p = spark.read.parquet(parts)
+    out = None
+    for period in ("week", "month", "year"):
+        r = ST.rollup_partials(p, S.AS_OF, M.period_days(period)).withColumn("period_type", F.lit(period))
+        out = r if out is None else out.unionByName(r)
+    return out.select("period_type", "term", F.col("mention_count").cast("long").alias("mention_count"),
+                      F.round("avg_sentiment", R).alias("avg_sentiment"),
+                      F.col("positive_mentions").cast("long").alias("positive_mentions"),
+                      F.col("negative_mentions").cast("long").alias("negative_mentions"))
 
 
 def stream_windows(spark, sf_dir):
