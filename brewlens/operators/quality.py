@@ -30,14 +30,15 @@ def upper_median(df: DataFrame, col: str, out: str = "median") -> DataFrame:
         return spark.createDataFrame([(None,)], f"{out} double").select(F.col(out).cast(df.schema[col].dataType))
     k = n // 2
     sub = x
+    value, found = None, False
     for _ in range(64):
         st = sub.agg(F.min("x").alias("mn"), F.max("x").alias("mx"), F.count(F.lit(1)).alias("c")).first()
         mn, mx, c = st["mn"], st["mx"], st["c"]
         if mn == mx:
-            value = mn
+            value, found = mn, True
             break
         if c <= SELECT_FINAL_ROWS:
-            value = sub.orderBy("x").offset(k).limit(1).first()["x"]
+            value, found = sub.orderBy("x").offset(k).limit(1).first()["x"], True
             break
         b = F.width_bucket(F.col("x"), F.lit(mn), F.lit(mx), F.lit(SELECT_BUCKETS))
         hist = sorted((r["b"], r["c"]) for r in sub.groupBy(b.alias("b")).agg(F.count(F.lit(1)).alias("c")).collect())
@@ -48,6 +49,8 @@ def upper_median(df: DataFrame, col: str, out: str = "median") -> DataFrame:
                 sub = sub.where(b == F.lit(bucket))
                 break
             seen += cnt
+    if not found:  # not expected (each pass separates the extremes); stay exact regardless
+        value = sub.orderBy("x").offset(k).limit(1).first()["x"]
     return spark.range(1).select(F.lit(value).cast(df.schema[col].dataType).alias(out))
 
 
