@@ -81,13 +81,19 @@ def contains_any(c, words: Sequence[str]) -> Column:
     return out if out is not None else F.lit(False)
 
 
-def lexicon_hits(c, words: Sequence[str], lowered: bool = False) -> Column:
+def lexicon_hits(c, words: Sequence[str], lowered: bool = False, whole_word: bool = False) -> Column:
     """Array of the lexicon words contained in the text, in lexicon order.
 
+    Substring semantics by default (``rose`` hits ``prose``, as in the
+    original); ``whole_word=True`` requires word boundaries on both sides.
     The ``array_remove(array(when...))`` form stays inside whole-stage codegen.
     """
+    import re
     low = col_of(c) if lowered else F.lower(col_of(c))
-    items = [F.when(low.contains(w), F.lit(w)).otherwise(F.lit("")) for w in words]
+
+    def hit(w):
+        return low.rlike(r"\b" + re.escape(w) + r"\b") if whole_word else low.contains(w)
+    items = [F.when(hit(w), F.lit(w)).otherwise(F.lit("")) for w in words]
     return F.array_remove(F.array(*items), "")
 
 

@@ -128,3 +128,8 @@ def test_hooks(spark):
     assert e["sentiment_score"] == 0.25
     kw = X.keywords(posts, "id", "body", token_hook=lambda t: F.when(t != "pears", F.regexp_replace(t, "s$", "")))
     assert [r["keyword"] for r in kw.orderBy("rank").collect()] == ["apple", "good", "today"]
+
+
+def test_whole_word_option(spark):
+    assert one(spark, T.lexicon_hits("t", ["rose", "berry", "cold brew"], whole_word=True),
+               "prose, a blueberry and cold brew") == ["cold brew"]
