@@ -5,6 +5,26 @@ from __future__ import annotations
 SPLIT = r"list_filter(string_split_regex({t}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 WORDS = SPLIT.format(t="coalesce(text, '')")
 
+# --------------------------------------------------------------------- op1
+OP1 = f"""
+WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents),
+o AS MATERIALIZED (
+  SELECT doc_id, w[i] AS w, CASE WHEN i > 1 THEN w[i - 1] END AS v
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
+uni AS (SELECT w, count(*) AS n FROM o GROUP BY w),
+ctx AS (SELECT w AS v, n FROM uni UNION ALL SELECT NULL, count(*) FROM o WHERE v IS NULL),
+bi AS (SELECT v, w, count(*) AS n FROM o GROUP BY v, w),
+s AS (
+  SELECT o.doc_id, ln(CASE WHEN bi.n >= 2 THEN bi.n::DOUBLE / ctx.n
+                           ELSE 0.4 * uni.n::DOUBLE / (SELECT count(*) FROM o) END) AS x
+  FROM o JOIN bi ON bi.v IS NOT DISTINCT FROM o.v AND bi.w = o.w
+  JOIN ctx ON ctx.v IS NOT DISTINCT FROM o.v JOIN uni ON uni.w = o.w),
+t AS (SELECT doc_id, count(*) AS n, sum(x) AS x FROM s GROUP BY doc_id)
+SELECT d.doc_id, coalesce(t.n, 0)::BIGINT AS n_words, round(coalesce(t.x, 0.0), 4) AS log_score,
+  round(coalesce(t.x / t.n, 0.0), 6) AS mean_log_score
+FROM d LEFT JOIN t USING (doc_id)
+"""
+
 # --------------------------------------------------------------------- op2
 _CLOSING = r"""[.!?:;…。！？]["''”’»)\]]*[\x20\x09-\x0D]*$"""
 _NAVIGATION = (r"(?i)^\s*(home|menu|login|log in|sign in|sign up|next|previous|back to top|skip to content|share this)"
@@ -153,6 +173,7 @@ WINDOW same AS (PARTITION BY text_sha256)
 """
 
 ORACLES = {
+    "op1_lm_scoring": OP1,
     "op2_quality_rules": OP2,
     "op3_ngram_jaccard_join": OP3,
     "op4_chat_formatting": OP4,

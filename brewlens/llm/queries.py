@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brewlens.llm import chat, digest_index, mixing, ngram_join, packing, quality_classifier, rules, toxicity
+from brewlens.llm import (chat, digest_index, lm_score, mixing, ngram_join, packing, quality_classifier, rules,
+                          toxicity, wavelet)
 from brewlens.llm.common import read_table
 from brewlens.llm.oracles import ORACLES  # noqa: F401
 
@@ -14,6 +15,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents")
 
 
+def op1_lm_scoring(spark, sf_dir):
+    return lm_score.score(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", F.round("log_score", 4).alias("log_score"),
+        F.round("mean_log_score", 6).alias("mean_log_score"))
+
+
 def op2_quality_rules(spark, sf_dir):
     return rules.clean(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
@@ -51,6 +58,11 @@ def op6_best_fit_packing(spark, sf_dir):
     return packing.pack_documents(documents(spark, sf_dir))
 
 
+def op7_token_wavelet(spark, sf_dir):
+    import public_tokenizers
+    return wavelet.encode_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op8_exact_dedup(spark, sf_dir):
     return digest_index.decisions(documents(spark, sf_dir))
 
@@ -64,11 +76,13 @@ def op10_toxicity(spark, sf_dir):
 
 
 REGISTRY = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_quality_rules": op2_quality_rules,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_chat_formatting": op4_chat_formatting,
     "op5_mixing_sources": op5_mixing_sources,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_token_wavelet": op7_token_wavelet,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_toxicity": op10_toxicity,
