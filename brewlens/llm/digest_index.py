@@ -88,15 +88,12 @@ def deduplicate(docs: DataFrame, path: str | None = None) -> DataFrame:
     decided = decisions(docs, path)
     dropped = decided.filter(~F.col("kept")).select("doc_id").distinct()
     repeats = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").limit(1).count()
-    # an id of a dropped row may be null: those rows are matched too
-    left = docs.join(dropped.withColumnRenamed("doc_id", "dropped_id"),
-                     F.col("doc_id").eqNullSafe(F.col("dropped_id")), "left_anti")
+    lost = dropped.withColumnRenamed("doc_id", "dropped_id")
     if not repeats:
-        return left.select(docs.columns)
+        return docs.join(lost, docs["doc_id"].eqNullSafe(lost["dropped_id"]), "left_anti")
     # ids occur more than once: decide row by row, on the digest as well
-    marked = docs.withColumn("kept_digest", F.sha2(F.coalesce("text", F.lit("")), 256))
-    kept = decided.filter("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_sha256")).distinct()
-    rows = marked.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id"))
-                       & (F.col("kept_digest") == F.col("text_sha256")), "left_semi")
-    with_id = rows.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id", "kept_digest"])
-    return with_id.unionByName(rows.filter("doc_id IS NULL")).select(docs.columns)
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest"))
+    kept = decided.filter("kept").select(F.col("doc_id").alias("kept_id"), "text_sha256").distinct()
+    rows = rows.join(kept, rows["doc_id"].eqNullSafe(kept["kept_id"]) & (rows["digest"] == kept["text_sha256"]), "left_semi")
+    once = rows.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id", "digest"])
+    return once.unionByName(rows.filter("doc_id IS NULL")).select("row.*")

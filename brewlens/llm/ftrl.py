@@ -109,18 +109,34 @@ def fit(docs: DataFrame, labelled: DataFrame, features: Features, settings: Sett
     return w[:-1], float(w[-1])
 
 
+def probabilities(texts: pa.Array, model, features: Features, bits: int) -> np.ndarray:
+    """Scores of whole texts: one sparse dot product each."""
+    weights, bias = model
+    doc, index, value = features(texts, bits)
+    total = np.bincount(doc, weights=weights[index] * value, minlength=len(texts)) + bias
+    return 1.0 / (1.0 + np.exp(-np.clip(total, -35.0, 35.0)))
+
+
 def score(docs: DataFrame, weights: np.ndarray, bias: float, features: Features, bits: int) -> DataFrame:
-    """doc_id and score of every whole text: one sparse dot product per document."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((weights.astype(np.float32), bias))
+    """doc_id and score of every document."""
+    shared = docs.sparkSession.sparkContext.broadcast((weights.astype(np.float32), bias))
 
     def run(batches):
-        w, b = shared.value
         for batch in batches:
             for part in W.slices(batch):
-                doc, index, value = features(part.column("text"), bits)
-                total = np.bincount(doc, weights=w[index] * value, minlength=part.num_rows) + b
-                p = 1.0 / (1.0 + np.exp(-np.clip(total, -35.0, 35.0)))
+                p = probabilities(part.column("text"), shared.value, features, bits)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(p)], ["doc_id", "score"])
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, score double")
+
+
+def at_least(docs: DataFrame, bar: float, weights: np.ndarray, bias: float, features: Features, bits: int) -> DataFrame:
+    """The rows, with all their columns, whose score is ``bar`` or more; nothing is shuffled."""
+    shared = docs.sparkSession.sparkContext.broadcast((weights.astype(np.float32), bias))
+
+    def run(batches):
+        for batch in batches:
+            for part in W.slices(batch):
+                yield part.filter(pa.array(probabilities(part.column("text"), shared.value, features, bits) >= bar))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -49,10 +49,11 @@ def topic_of(text: Column, tokens: Column) -> Column:
 
 
 def measured(docs: DataFrame) -> DataFrame:
-    """doc_id, source, lang, topic, n_tokens of every document."""
-    counted = docs.select("doc_id", "source", "lang", "text", n_words(F.col("text")).alias("n_tokens"))
-    return counted.select("doc_id", "source", "lang", topic_of(F.col("text"), F.col("n_tokens")).alias("topic"),
-                          "n_tokens")
+    """row (all columns of the document) and doc_id, source, lang, topic, n_tokens."""
+    held = docs.select(F.struct("*").alias("row"))
+    counted = held.select("row", n_words(F.col("row.text")).alias("n_tokens"))
+    return counted.select("row", "row.doc_id", "row.source", "row.lang",
+                          topic_of(F.col("row.text"), F.col("n_tokens")).alias("topic"), "n_tokens")
 
 
 def tempered_targets(cells: DataFrame, dimension: str, exponent: float) -> DataFrame:
@@ -104,27 +105,33 @@ def draw(doc_id: Column, seed: str) -> Column:
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
+def cell_probabilities(each: DataFrame, dimensions: dict[str, float], budget: float, rounds: int) -> DataFrame:
+    """One row a cell: cell_<dimension>, weight, probability."""
+    cells = written(each.groupBy(*dimensions).agg(F.sum("n_tokens").alias("tokens")), "mix-cells")
+    targets = {d: written(tempered_targets(cells, d, e), "mix-target") for d, e in dimensions.items()}
+    return written(budgeted(rake(cells, targets, rounds), budget).select(
+        *[F.col(d).alias(f"cell_{d}") for d in dimensions], "weight", "probability"), "mix-probabilities")
+
+
+def _with_cells(each: DataFrame, cells: DataFrame, dimensions, seed: str) -> DataFrame:
+    """Cells are joined back to the documents: Spark broadcasts them if they are small by
+    their size on disk, else it exchanges both sides, and rows of a hot cell can be split."""
+    match = reduce(lambda a, b: a & b, [each[d].eqNullSafe(cells[f"cell_{d}"]) for d in dimensions])
+    return each.join(cells, match).withColumn("kept", draw(each["doc_id"], seed) < F.col("probability"))
+
+
 def mix(docs: DataFrame, dimensions: dict[str, float] | None = None, budget: float = BUDGET, rounds: int = ROUNDS,
         seed: str = ":mix") -> DataFrame:
     """doc_id, source, lang, topic, n_tokens, weight, probability, kept for every document."""
     dimensions = dimensions or DIMENSIONS
-    each = written(measured(docs), "mix-measured")
-    cells = written(each.groupBy(*dimensions).agg(F.sum("n_tokens").alias("tokens")), "mix-cells")
-    targets = {d: written(tempered_targets(cells, d, e), "mix-target") for d, e in dimensions.items()}
-    fitted = budgeted(rake(cells, targets, rounds), budget).select(
-        *[F.col(d).alias(f"cell_{d}") for d in dimensions], "weight", "probability")
-    match = reduce(lambda a, b: a & b, [F.col(d).eqNullSafe(F.col(f"cell_{d}")) for d in dimensions])
-    # few cells carry many documents: one cell's rows are dealt over tasks by the id,
-    # each small cell row being repeated once for every deal
-    deals = 16
-    dealt = each.withColumn("deal", F.pmod(F.xxhash64("doc_id"), F.lit(deals)))
-    spread = fitted.withColumn("cell_deal", F.explode(F.sequence(F.lit(0), F.lit(deals - 1))))
-    joined = dealt.join(spread, match & (F.col("deal") == F.col("cell_deal")))
-    return joined.select("doc_id", *dimensions, "n_tokens", "weight", "probability",
-                         (draw(F.col("doc_id"), seed) < F.col("probability")).alias("kept"))
-
-
-def sample(docs: DataFrame, **options) -> DataFrame:
+    each = written(measured(docs).drop("row"), "mix-measured")
+    joined = _with_cells(each, cell_probabilities(each, dimensions, budget, rounds), dimensions, seed)
+    return joined.select("doc_id", "source", "lang", "topic", "n_tokens", "weight", "probability", "kept")
+
+
+def sample(docs: DataFrame, dimensions: dict[str, float] | None = None, budget: float = BUDGET, rounds: int = ROUNDS,
+           seed: str = ":mix") -> DataFrame:
     """The drawn documents with all their columns."""
-    left = mix(docs, **options).filter(~F.col("kept")).select(F.col("doc_id").alias("left_id")).distinct()
-    return docs.join(left, F.col("doc_id").eqNullSafe(F.col("left_id")), "left_anti").select(docs.columns)
+    dimensions = dimensions or DIMENSIONS
+    cells = cell_probabilities(measured(docs).drop("row"), dimensions, budget, rounds)
+    return _with_cells(measured(docs), cells, dimensions, seed).filter("kept").select("row.*").select(docs.columns)

@@ -43,6 +43,14 @@ def features(texts, bits: int):
     return doc, index, np.sqrt(count / np.maximum(1, total[doc]))
 
 
+def fitted(docs: DataFrame, labels: DataFrame, label: str, held_out_of: tuple[int, int], settings: ftrl.Settings, features):
+    """The model learned from the labels that are not held out."""
+    prepare(docs.sparkSession)
+    modulus, rest = held_out_of
+    learn = labels.select("doc_id", F.col(label).alias("label")).filter(crc_of_id(F.col("doc_id")) % modulus != rest)
+    return ftrl.fit(docs, learn, features, settings)
+
+
 def classify(docs: DataFrame, labels: DataFrame, label: str = "quality", held_out_of: tuple[int, int] = (5, 0),
              settings: ftrl.Settings = SETTINGS, accept: float = ACCEPT, features=features) -> DataFrame:
     """doc_id, held_out, score, predicted for every document.
@@ -50,21 +58,15 @@ def classify(docs: DataFrame, labels: DataFrame, label: str = "quality", held_ou
     Labels whose ``crc32(doc_id as text) mod held_out_of[0] = held_out_of[1]``
     are never learned from.
     """
-    prepare(docs.sparkSession)
+    weights, bias = fitted(docs, labels, label, held_out_of, settings, features)
     modulus, rest = held_out_of
-    learn = labels.select("doc_id", F.col(label).alias("label")).filter(crc_of_id(F.col("doc_id")) % modulus != rest)
-    weights, bias = ftrl.fit(docs, learn, features, settings)
     scored = ftrl.score(docs, weights, bias, features, settings.bits)
     return scored.select("doc_id", F.coalesce(crc_of_id(F.col("doc_id")) % modulus == rest, F.lit(True)).alias("held_out"),
                          "score", (F.col("score") >= accept).cast("int").alias("predicted"))
 
 
-def accepted(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The documents (all their columns) that the classifier does not reject.
-
-    The decision is made per id: equal ids have one decision, taken over their
-    rows' best score.  A row with a null id is kept (it cannot be decided).
-    """
-    rejected = (classify(docs, labels, **options).filter(F.col("doc_id").isNotNull())
-                .groupBy("doc_id").agg(F.max("predicted").alias("best")).filter("best = 0").select("doc_id"))
-    return docs.join(rejected, "doc_id", "left_anti").select(docs.columns)
+def accepted(docs: DataFrame, labels: DataFrame, label: str = "quality", held_out_of: tuple[int, int] = (5, 0),
+             settings: ftrl.Settings = SETTINGS, accept: float = ACCEPT, features=features) -> DataFrame:
+    """The rows (all their columns) that the classifier does not reject."""
+    weights, bias = fitted(docs, labels, label, held_out_of, settings, features)
+    return ftrl.at_least(docs, accept, weights, bias, features, settings.bits)

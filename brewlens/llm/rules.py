@@ -67,7 +67,8 @@ def clean(docs: DataFrame) -> DataFrame:
 
     A column of ``docs`` that has a result's name is replaced by the result.
     """
-    own = [c for c in docs.columns if c.lower() not in RESULTS]
+    names, own = docs.columns, [F.col("_row")]
+    docs = docs.select(F.struct("*").alias("_row"), "text")
     text = F.coalesce("text", F.lit(""))
     body = F.btrim(text, F.lit(SPACE))
     step = docs.select(*own, F.struct(
@@ -101,9 +102,10 @@ def clean(docs: DataFrame) -> DataFrame:
             .withColumn("n_words", F.col("n_words").cast("long")))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     step = step.withColumn("base_failed", failed)
-    return step.withColumn("kept", ~F.col("base_failed")
-                           & (100 * F.col("lost_chars") <= MAX_LOST_PERCENT * F.col("word_chars")))
+    kept = ~F.col("base_failed") & (100 * F.col("lost_chars") <= MAX_LOST_PERCENT * F.col("word_chars"))
+    return step.withColumn("kept", kept).select(*[F.col("_row")[c].alias(c) for c in names if c.lower() not in RESULTS],
+                                                *RESULTS)
 
 
-RESULTS = {"n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_removed_lines", "clean_text",
-           "lost_chars", "base_failed", "kept"}
+RESULTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_removed_lines", "clean_text",
+           "lost_chars", "base_failed", "kept"]
