@@ -11,9 +11,10 @@ difference are metrics, and every step uses their triangle inequality.
    space is cut into K > D parts; D differences cannot touch all parts, so
    linked sets agree exactly on a part that is not empty.  Sets that agree on
    a part are tied together, and the tied groups are the regions: no linked
-   pair lies in two of them.  (Where too many parts of a set are empty for
-   that argument, it is also tied by its least shingles, as many as linked
-   sets must share one of.)
+   pair lies in two of them.  Common shingles are left out of the parts, which
+   takes no difference away.  (Where too many parts of a set are empty for
+   the argument, it is also tied by its least frequent shingles, as many as
+   linked sets must share one of.)
 4. A region is joined exactly and recursively.  Pivot sets split it into
    Voronoi cells; a set is replicated into every cell whose pivot is at most
    twice the threshold distance further than its own, which is as far as a
@@ -48,6 +49,10 @@ from brewlens.llm.common import prepare, shuffle_partitions, written
 from brewlens.llm.components import components
 
 BLOCK = 1 << 20            # postings gathered before they are dealt out
+COMMON_BLOCK = 1 << 21     # shingles in which a task looks for common ones
+COMMON_LEAST = 3           # sets of a block that make a shingle common
+COMMON_MOST = 1 << 17      # shingles in the broadcast table (2 MB)
+BROADCAST_ROWS = 1 << 20   # a table of ids with fewer rows (24 MB) is broadcast
 
 
 @dataclass(frozen=True)
@@ -90,18 +95,47 @@ def set_ids(doc: np.ndarray, value: np.ndarray, n_docs: int):
     return n, W.mix((total[end] - total[end - n]) ^ W.mix(n.astype(W.U)))
 
 
-def ties(doc: np.ndarray, value: np.ndarray, n: np.ndarray, percent: int):
-    """(doc, signature): linked sets have a signature in common."""
+class Common:
+    """The broadcast table of common shingles with the sets they were seen in.
+
+    It decides which parts tie sets together, never which sets are linked, so
+    it may be cut at its bound.
+    """
+
+    def __init__(self, shingle: np.ndarray, seen: np.ndarray):
+        order = np.argsort(shingle)
+        self.shingle, self.seen = shingle[order], seen[order]
+
+    def of(self, value: np.ndarray) -> np.ndarray:
+        """Sets seen for every shingle, 0 for one that is not common."""
+        if not len(self.shingle):
+            return np.zeros(len(value), np.int64)
+        at = np.minimum(np.searchsorted(self.shingle, value), len(self.shingle) - 1)
+        return np.where(self.shingle[at] == value, self.seen[at], 0)
+
+
+NOTHING = Common(np.zeros(0, W.U), np.zeros(0, np.int64))
+
+
+def ties(doc: np.ndarray, value: np.ndarray, n: np.ndarray, percent: int, common: Common = NOTHING):
+    """(doc, signature): linked sets have a signature in common.
+
+    Parts hold only shingles that are not common: the sets without them differ
+    in no more than the whole sets do, and a passage that thousands of texts
+    share ties none of them.
+    """
     first = bands(percent, int(n.max(initial=1)))
     d_of, k_of = parts_of(first, percent)
     band = np.searchsorted(first, n, "right") - 1
     start = np.cumsum(n) - n
+    seen = common.of(value)
+    rare = seen == 0
     docs, signatures = [], []
     for lower in (0, 1):                       # the set's own ring, and the ring below as its window
         ring = band - lower
         use = (n > 0) & (ring >= 0)
         k = np.where(use, k_of[np.maximum(ring, 0)], 0)
-        mine = use[doc]
+        mine = use[doc] & rare
         own, v = doc[mine], value[mine]
         base = np.cumsum(k) - k
         part = ((v >> W.U(32)) * k[own].astype(W.U) >> W.U(32)).astype(np.int64)
@@ -115,14 +149,17 @@ def ties(doc: np.ndarray, value: np.ndarray, n: np.ndarray, percent: int):
         tag = ((filled - base[owner]).astype(W.U) << W.U(16)) + ring[owner].astype(W.U)
         docs.append(owner)
         signatures.append(W.mix(content ^ W.mix(tag)))
-        # too many empty parts: the agreeing ones might all be empty, so tie by least shingles too
+        # too many empty parts: the agreeing ones might all be empty, so tie by least shingles
+        # too (in the order of how many sets they were seen in)
         empty = k - np.bincount(owner, minlength=len(n))
         weak = np.flatnonzero(use & (empty >= k - d_of[np.maximum(ring, 0)]))
         if len(weak):
+            at = ranged(start[weak], n[weak])
+            at = at[np.lexsort((value[at], seen[at], doc[at]))]
             lead = n[weak] - -(-n[weak] * percent // 100) + 1
-            docs.append(np.repeat(weak, lead))
-            signatures.append(W.mix(value[ranged(start[weak], lead)]
-                                    ^ W.mix(np.repeat(ring[weak], lead).astype(W.U) + W.U(1 << 40))))
+            at = at[ranged(np.cumsum(n[weak]) - n[weak], lead)]
+            docs.append(doc[at])
+            signatures.append(W.mix(value[at] ^ W.mix(ring[doc[at]].astype(W.U) + W.U(1 << 40))))
     return np.concatenate(docs), np.concatenate(signatures)
 
 
@@ -238,10 +275,10 @@ def _settle_large(members: DataFrame, settings: Settings) -> tuple[list[DataFram
             F.pmod(F.xxhash64("set_id"), F.col("deals").cast("long")).alias("deal")), "join-large")
         # a few pivots of each region, the same for all its deals
         least = large.groupBy("region").agg(F.min(F.struct(F.xxhash64("set_id", F.lit(turn)).alias("h"), "set_id")).alias("m"))
-        pivot = (large.join(least.select(F.col("region").alias("r"), F.col("m.set_id").alias("s")),
+        pivot = written(large.join(least.select(F.col("region").alias("r"), F.col("m.set_id").alias("s")),
                             (F.col("region") == F.col("r")) & (F.col("set_id") == F.col("s")))
-                 .select("region", F.col("set_id").alias("pivot"), "shingles",
-                         F.explode(F.sequence(F.lit(0), F.col("deals") - 1)).cast("long").alias("deal")))
+                        .select("region", F.col("set_id").alias("pivot"), "shingles",
+                                F.explode(F.sequence(F.lit(0).cast("long"), F.col("deals").cast("long") - 1)).alias("deal")), "join-pivots")
 
         def measure(key, left: pa.Table, right: pa.Table) -> pa.Table:
             left, right = left.combine_chunks(), right.combine_chunks()
@@ -266,7 +303,7 @@ def _settle_large(members: DataFrame, settings: Settings) -> tuple[list[DataFram
         around = seen.filter("ring = 1")
         deal = F.pmod(F.xxhash64("set_id"), F.col("deals").cast("long"))
         ball = seen.filter("ring = 0").withColumn("deal", deal)
-        copies = around.withColumn("deal", F.explode(F.sequence(F.lit(0), F.col("deals") - 1)).cast("long"))
+        copies = around.withColumn("deal", F.explode(F.sequence(F.lit(0).cast("long"), F.col("deals").cast("long") - 1)))
         has = around.select(F.col("region").alias("edged")).distinct()
         ball = ball.join(has, ball["region"] == has["edged"], "left_semi")
         small.append(ball.unionByName(copies).select(F.xxhash64("region", "pivot", "deal").alias("region"), "set_id", "shingles"))
@@ -287,9 +324,43 @@ def sizes_and_ids(docs: DataFrame, settings: Settings) -> DataFrame:
         run, f"doc_id {dict(docs.dtypes)['doc_id']}, n_shingles long, set_id long")
 
 
+def common_shingles(docs: DataFrame, settings: Settings) -> Common:
+    """Shingles that several distinct sets of a block share, the ``COMMON_MOST`` most frequent."""
+    def run(batches):
+        held, size, ids_seen = [], 0, np.zeros(0, W.U)
+
+        def told(parts):
+            shingle, sets = np.unique(np.concatenate(parts), return_counts=True)
+            keep = sets >= COMMON_LEAST
+            return pa.RecordBatch.from_pydict({"shingle": shingle[keep].view(np.int64), "seen": sets[keep]})
+
+        for batch in batches:
+            for part in W.slices(batch):
+                w = W.words(part.column("text"), lower=True)
+                doc, value = W.shingles(w, part.num_rows, settings.size)
+                ids = set_ids(doc, value, part.num_rows)[1]
+                fresh = np.zeros(part.num_rows, bool)
+                fresh[np.unique(ids, return_index=True)[1]] = True
+                fresh &= ~np.isin(ids, ids_seen)
+                ids_seen = np.concatenate([ids_seen, ids[fresh]])
+                held.append(value[fresh[doc]])
+                size += len(held[-1])
+                if size >= COMMON_BLOCK:
+                    yield told(held)
+                    held, size, ids_seen = [], 0, np.zeros(0, W.U)
+        if size:
+            yield told(held)
+
+    named = docs.select("text").mapInArrow(run, "shingle long, seen long").groupBy("shingle").agg(F.sum("seen").alias("seen"))
+    most = named.orderBy(F.desc("seen"), "shingle").limit(COMMON_MOST).toPandas()
+    return Common(most["shingle"].to_numpy(np.int64).view(W.U), most["seen"].to_numpy(np.int64))
+
+
 def tied(docs: DataFrame, settings: Settings) -> DataFrame:
     """(a, b): sets that agree on a part, each with the least of those that agree."""
-    buckets = shuffle_partitions(docs.sparkSession)
+    spark = docs.sparkSession
+    buckets = shuffle_partitions(spark)
+    shared = spark.sparkContext.broadcast(common_shingles(docs, settings))
 
     def deal(ids, doc, signature):
         bucket = (signature >> W.U(40)).astype(np.int64) % buckets
@@ -314,7 +385,7 @@ def tied(docs: DataFrame, settings: Settings) -> DataFrame:
                 fresh &= ~np.isin(ids, seen) & part.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
                 use = fresh[doc]
                 n = np.where(fresh, n, 0)
-                d, s = ties(doc[use], value[use], n, settings.percent)
+                d, s = ties(doc[use], value[use], n, settings.percent, shared.value)
                 held.append((ids[d], s))
                 seen = np.concatenate([seen, ids[fresh]])
                 size += len(d)
@@ -367,6 +438,8 @@ def join(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
                     ["region", "set_id", "n", "shingles"]).filter(right)
 
     texts = docs.select("doc_id", "text")
+    if wanted.count() <= BROADCAST_ROWS:       # else both sides are shuffled
+        wanted = F.broadcast(wanted)
     members = (texts.join(wanted, texts["doc_id"] == wanted["first_id"]).select("region", "set_id", "text")
                .mapInArrow(gather, "region long, set_id long, n long, shingles array<long>"))
     members = written(members.dropDuplicates(["set_id"]), "join-members")
