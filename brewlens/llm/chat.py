@@ -60,7 +60,7 @@ def climb(nodes: DataFrame) -> list[DataFrame]:
                      F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("total")))
     tables = [written(first, "chat-jump")]
     n_nodes = tables[0].count()
-    while (1 << len(tables)) <= n_nodes and tables[-1].filter("up IS NOT NULL").limit(1).count():
+    while 1 << (len(tables) - 1) < n_nodes and tables[-1].filter("up IS NOT NULL").limit(1).count():
         last = tables[-1]
         far = last.select(F.col("node_id").alias("mid"), F.col("up").alias("far"), F.col("n").alias("far_n"),
                           F.col("total").alias("far_total"))

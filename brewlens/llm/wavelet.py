@@ -276,6 +276,9 @@ def write_shards(docs: DataFrame, tokenizer_file: str, folder: str, shard_tokens
 def read_documents(spark, folder: str, manifest: DataFrame, id_type: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, read back from the files."""
     files = [(r["part"], r["serial"], r["file"], r["n_tokens"]) for r in manifest.collect()]   # one small row per shard
+    result = f"doc_id {id_type}, start long, n_tokens long, ids_crc32 long"
+    if not files:
+        return spark.createDataFrame([], result)
     base, bases = 0, []
     for part, serial, name, n in sorted(files):
         bases.append((name, base))
@@ -298,7 +301,7 @@ def read_documents(spark, folder: str, manifest: DataFrame, id_type: str) -> Dat
 
     id_arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[id_type]
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
-    return shards.mapInArrow(run, f"doc_id {id_type}, start long, n_tokens long, ids_crc32 long")
+    return shards.mapInArrow(run, result)
 
 
 def encode_documents(docs: DataFrame, tokenizer_file: str, folder: str | None = None,
