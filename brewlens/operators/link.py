@@ -42,13 +42,10 @@ def link_flavors(facts: DataFrame, aliases: DataFrame) -> DataFrame:
 
     ``facts``: processed_review_id, post_id, term, context, intensity, sentiment,
     confidence, is_primary, pos (position in the review's fact list).  Unknown
-    terms are dropped; mention_order is the 1-based position of the first equal
-    fact; defaults fill missing values; the first fact per (review, flavor) wins.
+    terms are dropped; defaults fill missing values; the first fact per (review,
+    flavor) wins, so its 1-based position is the mention_order.
     """
-    f = facts.withColumn("_probe", T.strip(F.lower("term")))
-    first_pos = f.groupBy("processed_review_id", "term").agg(F.min("pos").alias("mention_order"))
-    j = (f.join(first_pos, ["processed_review_id", "term"])
-         .join(aliases, F.col("_probe") == F.col("alias"), "inner"))
+    j = facts.withColumn("_probe", T.strip(F.lower("term"))).join(aliases, F.col("_probe") == F.col("alias"), "inner")
     rows = j.select(
         "processed_review_id", "post_id", "flavor_term_id",
         F.col("term").alias("mention_text"),
@@ -57,7 +54,7 @@ def link_flavors(facts: DataFrame, aliases: DataFrame) -> DataFrame:
         F.coalesce("sentiment", F.lit(0.0)).alias("sentiment"),
         F.coalesce("confidence", F.lit(0.5)).alias("confidence_score"),
         F.coalesce("is_primary", F.lit(False)).alias("is_primary_flavor"),
-        (F.col("mention_order") + 1).cast("int").alias("mention_order"),
+        (F.col("pos") + 1).cast("int").alias("mention_order"),
         F.col("pos"))
     return dedupe(rows, ["processed_review_id", "flavor_term_id"], ["pos", "mention_text"], keep="first").drop("pos")
 
@@ -68,11 +65,13 @@ def link_flavors(facts: DataFrame, aliases: DataFrame) -> DataFrame:
 def find_or_create_origins(origins: DataFrame, probes: DataFrame):
     """Resolve (country, region) probes by key ``country_region`` /
     ``country_general``; unknown keys create origins (title case, id =
-    xxhash64 of the key).  Returns (lookup, new origins snapshot)."""
+    xxhash64 of the key).  Spellings of one key differ in case only; the one
+    that sorts first is kept, whatever the partitioning.
+    Returns (lookup, new origins snapshot)."""
     p = probes.select(T.origin_key("country", "region").alias("normalized_name"), "country", "region")
-    keys = dedupe(p.withColumn("_seq", F.monotonically_increasing_id()), ["normalized_name"], ["_seq"], "first") \
-        .drop("_seq")
-    existing = origins.select("normalized_name", F.col("id").alias("_id"), F.col("country").alias("_country"))
+    keys = dedupe(p, ["normalized_name"], ["country", "region"], "first")
+    existing = origins.select("normalized_name", F.col("id").alias("_id"), F.col("country").alias("_country"),
+                              F.col("region").alias("_region"))
     j = keys.join(existing, "normalized_name", "left")
     created = F.col("_id").isNull()
     lookup = j.select(
@@ -80,7 +79,7 @@ def find_or_create_origins(origins: DataFrame, probes: DataFrame):
         F.coalesce("_id", F.xxhash64("normalized_name")).alias("origin_id"),
         created.alias("created"),
         F.when(created, F.initcap("country")).otherwise(F.col("_country")).alias("country"),
-        F.when(created, F.initcap("region")).alias("region"))
+        F.when(created, F.initcap("region")).otherwise(F.col("_region")).alias("region"))
     new_rows = lookup.where("created").select(F.col("origin_id").alias("id"), "country", "region", "normalized_name")
     return lookup, insert_ignore(origins.select("id", "country", "region", "normalized_name"),
                                  new_rows, ["normalized_name"])
@@ -202,6 +201,28 @@ def similarity_candidates(left: DataFrame, right: DataFrame, block: str | None =
             .select("lid", "rid"))
 
 
+def _enough_shared(a, b):
+    """Column: strings ``a`` and ``b`` share as many bigrams as a ratio above the
+    threshold needs (a multiset count, exact)."""
+    need = F.lit(0.275) * (F.length(a) + F.length(b)) - F.lit(1.0)
+    return F.size(F.array_intersect("_ltok", "_rtok")) > need
+
+
+def _tokened(df: DataFrame, column: str, name: str) -> DataFrame:
+    return df.withColumn("_g", _bigrams(F.col(column))).withColumn(name, _tokens(F.col("_g"))).drop("_g")
+
+
+def scored_pairs(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
+    """Candidate (lid, rid) pairs with the exact ``ratio`` above the threshold.
+
+    ``left`` (lid, lstr) and ``right`` (rid, rstr) hold each string once.  Only
+    pairs that pass the shared-bigram count reach the Python step.
+    """
+    joined = (_spread_pairs(pairs).join(_tokened(left, "lstr", "_ltok"), "lid").join(_tokened(right, "rstr", "_rtok"), "rid")
+              .where(_enough_shared(F.col("lstr"), F.col("rstr"))).drop("_ltok", "_rtok"))
+    return joined.withColumn("ratio", sequence_ratio(F.col("lstr"), F.col("rstr"))).where(F.col("ratio") > MIN_RATIO)
+
+
 def _spread_pairs(pairs: DataFrame) -> DataFrame:
     """Deal candidate pairs round-robin over the shuffle partitions before the
     Python verification.  The pairs are narrow rows, so AQE would otherwise
@@ -232,33 +253,33 @@ def match_entities(probes: DataFrame, cache: DataFrame) -> DataFrame:
     """Exact (any type) then best fuzzy match (same type, ratio > 0.85).
 
     ``probes``: (probe_id, name, entity_type); returns (probe_id, entity_id,
-    method, ratio) for matched probes only.
+    method, ratio) for matched probes only.  Names are resolved once each,
+    however often they are mentioned, and joined back to the mentions.
     """
     p = probes.select("probe_id", "entity_type", T.normalize_name("name").alias("norm"))
-    exact = p.join(cache.select(F.col("key").alias("norm"), "entity_id"), "norm") \
-        .select("probe_id", "entity_id", F.lit("exact").alias("method"), F.lit(1.0).alias("ratio"))
-    rest = p.join(exact.select("probe_id"), "probe_id", "left_anti")
-    cands = similarity_candidates(
-        rest.select(F.col("probe_id").alias("lid"), F.col("norm").alias("lstr"), F.col("entity_type").alias("blk")),
-        cache.select(F.col("key").alias("rid"), F.col("key").alias("rstr"),
-                     F.col("entity_type").alias("blk")), block="blk")
-    scored = (_spread_pairs(cands).join(rest.select(F.col("probe_id").alias("lid"), "norm"), "lid")
-              .join(cache.select(F.col("key").alias("rid"), "entity_id", "pos_id", "pos_p"), "rid")
-              .withColumn("ratio", sequence_ratio(F.col("norm"), F.col("rid")))
-              .where(F.col("ratio") > MIN_RATIO))
-    best = scored.groupBy(F.col("lid").alias("probe_id")).agg(
-        F.max_by(F.struct("entity_id", "ratio"), F.struct(F.col("ratio"), -F.col("pos_id"), -F.col("pos_p")))
-        .alias("b"))
-    fuzzy = best.select("probe_id", F.col("b.entity_id").alias("entity_id"), F.lit("fuzzy").alias("method"),
+    names = p.select("entity_type", "norm").distinct()
+    exact = names.join(cache.select(F.col("key").alias("norm"), "entity_id"), "norm") \
+        .select("entity_type", "norm", "entity_id", F.lit("exact").alias("method"), F.lit(1.0).alias("ratio"))
+    keys = cache.select("key", "entity_type", "entity_id", "pos_id", "pos_p")
+    rest = names.join(keys.select(F.col("key").alias("norm")), "norm", "left_anti")
+    # a probe type and its name are one string here, so that the pair has one id
+    left = rest.select(F.concat_ws("\u0002", "entity_type", "norm").alias("lid"), F.col("norm").alias("lstr"),
+                       F.col("entity_type").alias("blk"))
+    right = keys.select(F.col("key").alias("rid"), F.col("key").alias("rstr"), F.col("entity_type").alias("blk"))
+    scored = scored_pairs(similarity_candidates(left, right, block="blk"), left, right.drop("blk"))
+    best = (scored.join(keys.select(F.col("key").alias("rid"), "entity_id", "pos_id", "pos_p"), "rid")
+            .groupBy(F.col("blk").alias("entity_type"), F.col("lstr").alias("norm")).agg(
+        F.max_by(F.struct("entity_id", "ratio"), F.struct(F.col("ratio"), -F.col("pos_id"), -F.col("pos_p"))).alias("b")))
+    fuzzy = best.select("entity_type", "norm", F.col("b.entity_id").alias("entity_id"), F.lit("fuzzy").alias("method"),
                         F.col("b.ratio").alias("ratio"))
-    return exact.unionByName(fuzzy)
+    return (p.join(exact.unionByName(fuzzy), ["entity_type", "norm"])
+            .select("probe_id", "entity_id", "method", "ratio"))
 
 
 # ------------------------------------------------------------ creation rounds
 
 
-def create_entities(probes: DataFrame, entities: DataFrame, entity_type: str = "roaster",
-                    max_rounds: int = 1000) -> DataFrame:
+def create_entities(probes: DataFrame, entities: DataFrame, entity_type: str = "roaster") -> DataFrame:
     """Sequential find-or-create semantics, computed in parallel rounds.
 
     ``probes``: (probe_id, seq, name) in processing order.  Each name, in
@@ -270,9 +291,10 @@ def create_entities(probes: DataFrame, entities: DataFrame, entity_type: str = "
     Rounds over the similarity graph of the unmatched names (edges point to
     earlier names): a name with an earlier *leader* neighbour, or any existing
     match, is a follower; a name whose earlier neighbours are all followers is
-    a leader.  A clique resolves in two rounds.  Each round's state is
-    checkpointed (lineage cut in the shared checkpoint folder).  Followers
-    then pick their best target in one aggregate.  New entity ids follow the
+    a leader.  A clique resolves in two rounds; each round decides at least the
+    earliest undecided name, and the rounds go on until none is left.  A
+    round's state and the edges of the names still open are checkpointed
+    (lineage cut in the shared checkpoint folder).  Followers then pick their best target in one aggregate.  New entity ids follow the
     slug of the leader's first name (an existing slug keeps its id).
     Returns (probe_id, seq, name, entity_id, method).
     """
@@ -294,27 +316,28 @@ def create_entities(probes: DataFrame, entities: DataFrame, entity_type: str = "
     may_lead = open_names.where(F.col("ex_id").isNull())
     cands = similarity_candidates(open_names.select(F.col("nseq").alias("lid"), F.col("norm").alias("lstr")),
                                   may_lead.select(F.col("nseq").alias("rid"), F.col("norm").alias("rstr")))
-    edges = (_spread_pairs(cands.where(F.col("rid") < F.col("lid")))
-             .join(open_names.select(F.col("nseq").alias("lid"), F.col("norm").alias("a")), "lid")
-             .join(may_lead.select(F.col("nseq").alias("rid"), F.col("norm").alias("b")), "rid")
-             .withColumn("ratio", sequence_ratio(F.col("a"), F.col("b")))
-             .where(F.col("ratio") > MIN_RATIO)
-             .select("lid", "rid", "ratio")).checkpoint()
-    state = open_names.select(
-        F.col("nseq").alias("id"),
-        F.when(F.col("ex_id").isNotNull(), F.lit("follower")).alias("status")).checkpoint()
-    for _ in range(max_rounds):
-        undecided = state.where(F.col("status").isNull())
-        if undecided.limit(1).count() == 0:
-            break
-        e = edges.join(state.select(F.col("id").alias("rid"), F.col("status").alias("rstatus")), "rid")
-        has_leader = e.where(F.col("rstatus") == "leader").select(F.col("lid").alias("id")).distinct()
-        blocked = e.where(F.col("rstatus").isNull()).select(F.col("lid").alias("id")).distinct()
-        followers = undecided.join(has_leader, "id", "left_semi").select("id", F.lit("follower").alias("status"))
-        leaders = (undecided.join(has_leader, "id", "left_anti").join(blocked, "id", "left_anti")
-                   .select("id", F.lit("leader").alias("status")))
-        decided = followers.unionByName(leaders)
-        state = state.join(decided.select("id"), "id", "left_anti").unionByName(decided).checkpoint()
+    edges = scored_pairs(cands.where(F.col("rid") < F.col("lid")),
+                         open_names.select(F.col("nseq").alias("lid"), F.col("norm").alias("lstr")),
+                         may_lead.select(F.col("nseq").alias("rid"), F.col("norm").alias("rstr"))) \
+        .select("lid", "rid", "ratio").checkpoint()
+    decided = open_names.where(F.col("ex_id").isNotNull()).select(F.col("nseq").alias("id"), F.lit("follower").alias("status"))
+    states = [decided.checkpoint()]
+    undecided = open_names.where(F.col("ex_id").isNull()).select(F.col("nseq").alias("id")).checkpoint()
+    waiting = edges                      # the edges of undecided names
+    while undecided.limit(1).count():
+        open_id = undecided.select(F.col("id").alias("rid"))
+        blocked = waiting.join(open_id, "rid", "left_semi").select(F.col("lid").alias("id")).distinct()
+        leaders = undecided.join(blocked, "id", "left_anti").select("id", F.lit("leader").alias("status")).checkpoint()
+        lead_id = leaders.select(F.col("id").alias("rid"))
+        followers = (waiting.join(lead_id, "rid", "left_semi").select(F.col("lid").alias("id")).distinct()
+                     .join(undecided, "id", "left_semi").select("id", F.lit("follower").alias("status")).checkpoint())
+        now = leaders.unionByName(followers)
+        states.append(now)
+        undecided = undecided.join(now, "id", "left_anti").checkpoint()
+        waiting = waiting.join(undecided.select(F.col("id").alias("lid")), "lid", "left_semi").checkpoint()
+    state = states[0]
+    for more in states[1:]:
+        state = state.unionByName(more)
     # entity id of each leader: its first name's slug; an existing slug keeps its id
     slugs = entities.select(F.lower("slug").alias("slug"), F.col("id").alias("slug_id"))
     lead = (state.where(F.col("status") == "leader").join(names.select(F.col("nseq").alias("id"), "first_name"), "id")

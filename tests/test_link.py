@@ -15,37 +15,41 @@ def _norm(n):
 
 
 def sequential(entities, probes, entity_type="roaster", create=True):
-    """The find-or-create loop, one name at a time (test oracle only)."""
-    cache = {}
+    """What each name resolves to, from the rule: an equal key of any type, else the
+    earliest of the most similar keys of the type (above 0.85), else a new entity.
+
+    The known keys are a list of (key, id, type) in the order they came; a key
+    that comes again keeps its place and takes the later id and type."""
+    known = []
+
+    def learn(key, ident, kind):
+        places = [i for i, k in enumerate(known) if k[0] == key]
+        if places:
+            known[places[0]] = (key, ident, kind)
+        else:
+            known.append((key, ident, kind))
+
     for e in sorted(entities, key=lambda e: e["id"]):
-        cache[e["name"].lower()] = e
-        cache[e["slug"].lower()] = e
-    slugs = {e["slug"]: e["id"] for e in entities}
-    out = {}
-    for pid, name in probes:
-        norm = _norm(name)
-        if norm in cache:
-            out[pid] = cache[norm]["id"]
-            continue
-        best, score = None, 0.0
-        for key, e in cache.items():
-            if e["entity_type"] != entity_type:
-                continue
-            r = difflib.SequenceMatcher(None, norm, key.lower()).ratio()
-            if r > score:
-                score, best = r, e
-        if best is not None and score > 0.85:
-            out[pid] = best["id"]
-            continue
-        if not create:
-            out[pid] = None
-            continue
-        slug = name.lower().replace(" ", "-").replace("'", "")
-        eid = slugs.get(slug, ("new", slug))
-        slugs[slug] = eid
-        cache[norm] = {"id": eid, "name": name, "slug": slug, "entity_type": entity_type}
-        out[pid] = eid
-    return out
+        for text in (e["name"], e["slug"]):
+            learn(text.lower(), e["id"], e["entity_type"])
+    by_slug = {e["slug"]: e["id"] for e in entities}
+    answers = {}
+    for probe, name in probes:
+        wanted = _norm(name)
+        equal = [ident for key, ident, _ in known if key == wanted]
+        ranked = sorted(((-difflib.SequenceMatcher(None, wanted, key).ratio(), place, ident)
+                         for place, (key, ident, kind) in enumerate(known) if kind == entity_type)) if not equal else []
+        if equal:
+            answers[probe] = equal[0]
+        elif ranked and -ranked[0][0] > 0.85:
+            answers[probe] = ranked[0][2]
+        elif create:
+            slug = name.lower().replace(" ", "-").replace("'", "")
+            answers[probe] = by_slug.setdefault(slug, ("new", slug))
+            learn(wanted, answers[probe], entity_type)
+        else:
+            answers[probe] = None
+    return answers
 
 
 def _groups(mapping):
@@ -112,3 +116,37 @@ def test_creation_rounds_on_random_names(spark):
     want = sequential(ents, probes)
     assert all(got[p] == want[p] for p, e in want.items() if e in (1, 2))
     assert _groups(got) == _groups(want)
+
+
+def test_long_chain_of_near_duplicates(spark):
+    """Each name is near the one before it only: rounds go on to the end, no id is null."""
+    text = "abcdefghijklmnopqrstuvwxyz0123456789"
+    names = ["".join(text[(j + 3 * k) % 36] for j in range(20)) for k in range(14)]
+    pdf = spark.createDataFrame([(i, i, n) for i, n in enumerate(names)], "probe_id long, seq long, name string")
+    none = spark.createDataFrame([], "id long, name string, slug string, entity_type string")
+    got = {r.probe_id: r.entity_id for r in L.create_entities(pdf, none).collect()}
+    assert None not in got.values()
+    assert _groups(got) == _groups(sequential([], list(enumerate(names))))
+
+
+def test_each_distinct_name_is_scored_once(spark):
+    names = [(i, ["blue botle", "onix coffee", "zzz"][i % 3], "roaster") for i in range(300)]
+    probes = spark.createDataFrame(names, "probe_id long, name string, entity_type string")
+    ents = spark.createDataFrame([(1, "Blue Bottle", "blue-bottle", "roaster"), (2, "Onyx Coffee", "onyx", "roaster")],
+                                 "id long, name string, slug string, entity_type string")
+    cache = L.entity_cache(ents)
+    got = {r.probe_id: r.entity_id for r in L.match_entities(probes, cache).collect()}
+    assert got == {i: 1 + i % 3 for i in range(300) if i % 3 < 2}
+    p = probes.select(F.lower("name").alias("lid"), F.lower("name").alias("lstr")).distinct()
+    k = cache.select(F.col("key").alias("rid"), F.col("key").alias("rstr"))
+    assert L.similarity_candidates(p, k).count() <= 4        # of 3 names and 4 keys
+
+
+def test_names_that_differ_in_letters_are_pruned(spark):
+    p = spark.read.parquet(f"{SMALL}/part.parquet").select("p_partkey", "p_name")
+    left = p.select(F.col("p_partkey").alias("lid"), F.expr("concat(substring(p_name, 1, 3), substring(p_name, 5))").alias("lstr"))
+    right = p.select(F.col("p_partkey").alias("rid"), F.col("p_name").alias("rstr"))
+    n = p.count()
+    scored = L.scored_pairs(L.similarity_candidates(left, right), left, right)
+    assert {r.lid for r in scored.where("lid = rid").collect()} == {r.p_partkey for r in p.collect()}
+    assert L.similarity_candidates(left, right).count() < n * n / 2
