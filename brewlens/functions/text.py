@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from brewlens.functions import lexicons as LX
 
+# FIXED VALUES (patterns that must match the original text rules)
 URL_PATTERN = r"http\S+|www.\S+"       # the dot is unescaped on purpose
 WS_RUN = r"\s+"
 EDGE_WS = r"^\s+|\s+$"
@@ -22,6 +23,7 @@ SENTENCE_END = r"([.!?])\s+"
 SENT_MARK = "\u0001"
 PRICE_PATTERN = r"\$\s?(\d+(?:\.\d{1,2})?)"
 BRAND_PATTERN = r"\b([A-Z][a-z]+(?:\s+[A-Z][a-z]+){1,2})\s+Coffee\b"
+# END FIXED VALUES
 WORD_TOKENS = r"[a-z']+"
 WORD_COUNT_TOKENS = r"\w+|[^\w\s]"
 KEYWORD_TOKENS = r"[a-z]+"
@@ -130,38 +132,27 @@ def _polarity_case(tok: str) -> str:
     return f"(CASE {tok} {whens} END)"
 
 
-def sentiment_sql(text_sql: str, dialect: str = "spark") -> str:
-    """Lexicon sentiment in [-1, 1] as a SQL expression over ``text_sql``.
+def sentiment_sql(text_sql: str) -> str:
+    """Lexicon sentiment in [-1, 1] as a Spark SQL expression over ``text_sql``.
 
     Tokens ``[a-z']+`` of the lower-cased text; each lexicon hit contributes its
     polarity, times -0.5 when the previous token is a negator; the score is
-    the mean over hits, 0.0 without hits or for empty text.  Generated for
-    Spark SQL and for DuckDB from the same lexicon so the oracle is exact.
+    the mean over hits, 0.0 without hits or for empty text.
     The token array is bound once through a one-element ``transform``.
     """
     negs = ", ".join(sql_str(n) for n in LX.NEGATORS)
     factor = repr(LX.NEGATION_FACTOR)
-    if dialect == "spark":
-        toks = f"regexp_extract_all(lower({text_sql}), '{WORD_TOKENS.replace(chr(39), chr(92) + chr(39))}', 0)"
-        pol = _polarity_case("element_at(t, i)")
-        prev = f"CASE WHEN i > 1 AND element_at(t, i - 1) IN ({negs}) THEN {factor} ELSE 1.0 END"
-        scores = (f"filter(transform(sequence(1, greatest(size(t), 1)), i -> "
-                  f"CASE WHEN size(t) = 0 THEN NULL ELSE {pol} * ({prev}) END), x -> x IS NOT NULL)")
-        body = ("CASE WHEN size(s) = 0 THEN CAST(0.0 AS DOUBLE) ELSE "
-                "aggregate(s, CAST(0.0 AS DOUBLE), (a, x) -> a + x) / size(s) END")
-        return (f"element_at(transform(array({toks}), t -> "
-                f"element_at(transform(array({scores}), s -> {body}), 1)), 1)")
-    toks = f"regexp_extract_all(lower({text_sql}), '{WORD_TOKENS.replace(chr(39), chr(39) * 2)}')"
-    pol = _polarity_case("t[i]")
-    prev = f"CASE WHEN i > 1 AND t[i - 1] IN ({negs}) THEN {factor} ELSE 1.0 END"
-    scores = (f"list_filter(list_transform(range(1, len(t) + 1), lambda i: "
-              f"{pol} * ({prev})), lambda x: x IS NOT NULL)")
-    body = ("CASE WHEN len(s) = 0 THEN CAST(0.0 AS DOUBLE) ELSE "
-            "list_reduce(list_prepend(CAST(0.0 AS DOUBLE), s), lambda a, x: a + x) / len(s) END")
-    return (f"list_transform([{toks}], lambda t: "
-            f"list_transform([{scores}], lambda s: {body})[1])[1]")
+    toks = f"regexp_extract_all(lower({text_sql}), '{WORD_TOKENS.replace(chr(39), chr(92) + chr(39))}', 0)"
+    pol = _polarity_case("element_at(t, i)")
+    prev = f"CASE WHEN i > 1 AND element_at(t, i - 1) IN ({negs}) THEN {factor} ELSE 1.0 END"
+    scores = (f"filter(transform(sequence(1, greatest(size(t), 1)), i -> "
+              f"CASE WHEN size(t) = 0 THEN NULL ELSE {pol} * ({prev}) END), x -> x IS NOT NULL)")
+    body = ("CASE WHEN size(s) = 0 THEN CAST(0.0 AS DOUBLE) ELSE "
+            "aggregate(s, CAST(0.0 AS DOUBLE), (a, x) -> a + x) / size(s) END")
+    return (f"element_at(transform(array({toks}), t -> "
+            f"element_at(transform(array({scores}), s -> {body}), 1)), 1)")
 
 
 def sentiment(c) -> Column:
     """Column version of :func:`sentiment_sql` for Spark (takes a column name)."""
-    return F.expr(sentiment_sql(f"`{c}`", "spark"))
+    return F.expr(sentiment_sql(f"`{c}`"))

@@ -230,36 +230,38 @@ def words_of(text):
     return F.regexp_extract_all(F.lower(text), F.lit(WORD), 0)
 
 
-def word_ngrams(words, max_words: int = 2):
-    """Distinct word n-grams (1..max_words) of a word-array column.
+def word_ngrams(words, lengths=(1, 2)):
+    """Distinct word n-grams of a word-array column, of the given lengths (a number n: 1..n).
 
     ``words`` must be a column reference, not an expression: inside the
     interpreted ``transform`` lambda an expression would be re-evaluated for
     every position.
     """
+    lengths = range(1, lengths + 1) if isinstance(lengths, int) else lengths
 
     def gram_at(n):  # one-argument lambda: transform passes (element, index) to two-argument ones
         return lambda i: F.array_join(F.slice(words, i, n), " ")
 
-    grams = [words]
-    for n in range(2, max_words + 1):
-        grams.append(F.when(F.size(words) >= n, F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), gram_at(n)))
-                     .otherwise(F.array().cast("array<string>")))
+    grams = [words if n == 1 else
+             F.when(F.size(words) >= n, F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), gram_at(n)))
+             .otherwise(F.array().cast("array<string>")) for n in lengths]
     return F.array_distinct(F.concat(*grams))
 
 
-def lexicon_join(docs: DataFrame, id_col: str, text_col: str, lexicon: DataFrame, term_col: str = "term",
-                 max_words: int = 2) -> DataFrame:
+def lexicon_join(docs: DataFrame, id_col: str, text_col: str, lexicon: DataFrame, term_col: str = "term") -> DataFrame:
     """Whole-word lexicon hits for a lexicon kept as a table (any size).
 
     Each document's distinct word n-grams are equi-joined with the lexicon
     terms: a hash join that Spark/AQE broadcasts when the lexicon's measured
     size allows and otherwise shuffles on the n-gram -- never a nested loop.
     Unlike :func:`brewlens.functions.text.lexicon_hits` (substring semantics
-    for small fixed lexicons) a term must match whole words.
+    for small fixed lexicons) a term must match whole words.  The n-grams are
+    as long as the lexicon's own terms: only lengths that occur are made.
     """
+    lex = lexicon.select(F.array_join(words_of(F.col(term_col)), " ").alias("gram"), F.size(words_of(F.col(term_col))).alias("n"))
+    lengths = sorted(r["n"] for r in lex.select("n").distinct().collect() if r["n"])   # one number per term length
     w = docs.select(F.col(id_col).alias("doc_id"), words_of(F.col(text_col)).alias("_words"))
-    g = (w.select("doc_id", F.explode_outer(word_ngrams(F.col("_words"), max_words)).alias("gram"))
+    g = (w.select("doc_id", F.explode_outer(word_ngrams(F.col("_words"), lengths or [1])).alias("gram"))
          .where(F.col("gram").isNotNull()))
-    lex = lexicon.select(F.lower(F.col(term_col)).alias("gram")).distinct()
+    lex = lex.where("n > 0").select("gram").distinct()
     return g.join(lex, "gram").select("doc_id", F.col("gram").alias("term"))

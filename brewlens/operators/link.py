@@ -282,7 +282,8 @@ def match_entities(probes: DataFrame, cache: DataFrame) -> DataFrame:
 def create_entities(probes: DataFrame, entities: DataFrame, entity_type: str = "roaster") -> DataFrame:
     """Sequential find-or-create semantics, computed in parallel rounds.
 
-    ``probes``: (probe_id, seq, name) in processing order.  Each name, in
+    ``probes``: (probe_id, seq, name) in processing order (``seq``: any type that
+    orders, for example a struct of review and position).  Each name, in
     order, takes an exact key match (any type), else the best same-type match
     among the existing keys and the entities created before it (ratio > 0.85;
     ties: existing keys first, then the earliest created), else becomes a new
@@ -345,14 +346,14 @@ def create_entities(probes: DataFrame, entities: DataFrame, entity_type: str = "
             .join(slugs, "slug", "left")
             .select(F.col("id").alias("rid"), F.coalesce("slug_id", F.xxhash64("slug")).alias("lead_id")))
     # follower targets: existing match (scanned first) or the best earlier leader
+    first_place = F.lit(None).cast(names.schema["nseq"].dataType)
     opts = (edges.join(lead, "rid")
             .select(F.col("lid").alias("id"), F.col("ratio"), F.lit(1).alias("prio"), F.col("rid").alias("order"),
                     F.col("lead_id").alias("target"))
             .unionByName(names.where(F.col("ex_method") == "fuzzy").select(
                 F.col("nseq").alias("id"), F.col("ex_ratio").alias("ratio"), F.lit(0).alias("prio"),
-                F.lit(0).cast("long").alias("order"), F.col("ex_id").alias("target"))))
-    best = opts.groupBy("id").agg(
-        F.max_by("target", F.struct(F.col("ratio"), -F.col("prio"), -F.col("order"))).alias("target"))
+                first_place.alias("order"), F.col("ex_id").alias("target"))))
+    best = opts.groupBy("id").agg(F.min_by("target", F.struct(-F.col("ratio"), "prio", "order")).alias("target"))
     decided = (state.join(best, "id", "left")
                .join(lead.select(F.col("rid").alias("id"), "lead_id"), "id", "left")
                .select(F.col("id").alias("nseq"),

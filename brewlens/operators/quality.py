@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from brewlens.functions import lexicons as LX
 
 SELECT_BUCKETS = 4096
-SELECT_FINAL_ROWS = 1_000_000
 
 
 def upper_median(df: DataFrame, col: str, out: str = "median") -> DataFrame:
@@ -19,9 +18,10 @@ def upper_median(df: DataFrame, col: str, out: str = "median") -> DataFrame:
     Distributed selection: count, then repeatedly histogram the remaining
     value range into ``SELECT_BUCKETS`` equal-width buckets (a partial
     aggregate: at most 4,098 rows reach the driver), keep the bucket holding
-    the wanted rank, and stop when the range is one value or small enough for
-    an ordered offset.  A hot value holding a third of the rows ends the loop
-    at once (its bucket collapses to one value).  Nulls are not values.
+    the wanted rank, and stop when the range is one value.  The least and the
+    greatest value never share a bucket, so every pass narrows the range.  A
+    hot value holding a third of the rows ends the loop at once.  Nulls are
+    not values.
     """
     spark = df.sparkSession
     x = df.select(F.col(col).alias("x")).where(F.col("x").isNotNull())
@@ -30,15 +30,10 @@ def upper_median(df: DataFrame, col: str, out: str = "median") -> DataFrame:
         return spark.createDataFrame([(None,)], f"{out} double").select(F.col(out).cast(df.schema[col].dataType))
     k = n // 2
     sub = x
-    value, found = None, False
-    for _ in range(64):
-        st = sub.agg(F.min("x").alias("mn"), F.max("x").alias("mx"), F.count(F.lit(1)).alias("c")).first()
-        mn, mx, c = st["mn"], st["mx"], st["c"]
+    while True:
+        st = sub.agg(F.min("x").alias("mn"), F.max("x").alias("mx")).first()
+        mn, mx = st["mn"], st["mx"]
         if mn == mx:
-            value, found = mn, True
-            break
-        if c <= SELECT_FINAL_ROWS:
-            value, found = sub.orderBy("x").offset(k).limit(1).first()["x"], True
             break
         b = F.width_bucket(F.col("x"), F.lit(mn), F.lit(mx), F.lit(SELECT_BUCKETS))
         hist = sorted((r["b"], r["c"]) for r in sub.groupBy(b.alias("b")).agg(F.count(F.lit(1)).alias("c")).collect())
@@ -49,9 +44,7 @@ def upper_median(df: DataFrame, col: str, out: str = "median") -> DataFrame:
                 sub = sub.where(b == F.lit(bucket))
                 break
             seen += cnt
-    if not found:  # not expected (each pass separates the extremes); stay exact regardless
-        value = sub.orderBy("x").offset(k).limit(1).first()["x"]
-    return spark.range(1).select(F.lit(value).cast(df.schema[col].dataType).alias(out))
+    return spark.range(1).select(F.lit(mn).cast(df.schema[col].dataType).alias(out))
 
 
 def date_span(df: DataFrame, col: str) -> DataFrame:
@@ -66,10 +59,10 @@ def date_span(df: DataFrame, col: str) -> DataFrame:
 def group_share(df: DataFrame, key: str) -> DataFrame:
     """Counts per group with percent of all rows and the grand total.
 
-    The window over the aggregated result only sees one row per group.
+    The total is a scalar subquery: no task sees all groups.
     """
     g = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("n").over(Window.partitionBy())
+    total = df.agg(F.count(F.lit(1))).scalar()
     return g.select(key, "n", (F.col("n") * 100.0 / total).alias("pct"), total.alias("total"))
 
 
@@ -129,7 +122,7 @@ def backlog(raw: DataFrame, processed: DataFrame, raw_key: str, proc_key: str) -
     return raw.join(processed.select(F.col(proc_key).alias(raw_key)), raw_key, "left_anti")
 
 
-def first_k_then_filter(df: DataFrame, group: str, order: str, k: int, keep) -> DataFrame:
+def first_k_then_filter(df: DataFrame, group: str, order: str | list[str], k: int, keep) -> DataFrame:
     """First ``k`` rows per group in ``order``, then the predicate ``keep``.
 
     ``row_number() <= k`` is planned with a partial window-group limit before

@@ -40,13 +40,13 @@ def insert_ignore(target: DataFrame, batch: DataFrame, keys: Sequence[str],
 
     Within the batch the first row per key (by ``order_cols``) wins; rows whose
     key is already in the target are dropped; the result is the new snapshot.
-    Running it twice with the same batch gives the same table.
+    Running it twice with the same batch gives the same table, but for rows
+    with a null key: as in SQL a null conflicts with nothing, so each run adds
+    its (one) row again.  Without ``order_cols`` the row that sorts first by
+    its other columns wins, whatever the partitioning.
     """
     cols = target.columns
-    if order_cols:
-        batch = dedupe(batch, keys, order_cols, keep="first")
-    else:
-        batch = batch.dropDuplicates(list(keys))
+    batch = dedupe(batch, keys, order_cols or [c for c in batch.columns if c not in keys] or list(keys), keep="first")
     fresh = batch.join(target.select(*keys), list(keys), "left_anti")
     return target.unionByName(fresh.select(*cols))
 
@@ -57,11 +57,11 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
 
     New keys are inserted with all their columns; on a conflict only
     ``set_cols`` take the new value and every other column keeps the stored
-    one.  Duplicate keys in ``updates`` are reduced to the last row first.
+    one.  Duplicate keys in ``updates`` are reduced to the last row first (by
+    ``order_cols``, else by all other columns).  Null keys match nothing.
     """
     cols = target.columns
-    if order_cols:
-        updates = dedupe(updates, keys, order_cols, keep="last")
+    updates = dedupe(updates, keys, order_cols or [c for c in updates.columns if c not in keys] or list(keys), keep="last")
     u = updates.select(*keys, *[F.col(c).alias(f"_u_{c}") for c in cols if c not in keys and c in updates.columns],
                        F.lit(True).alias("_u_hit"))
     t = target.withColumn("_t_hit", F.lit(True))

@@ -28,7 +28,7 @@ def term_ranking(period: str):
         return r.select("flavor_id", _iso("period_start").alias("period_start"),
                         _iso("period_end").alias("period_end"), "period_type",
                         "mention_count", "unique_products",
-                        F.round("avg_sentiment", R).alias("avg_sentiment"),
+                        F.round("avg_sentiment", 5).alias("avg_sentiment"),
                         "positive_mentions", "negative_mentions", "popularity_rank")
     return q
 
@@ -149,10 +149,9 @@ def backlog_anti(spark, sf_dir):
 
 
 def not_exists(spark, sf_dir):
-    pr = (S.table(spark, sf_dir, "documents").where(F.col("lang") == "en")
+    pr = (S.table(spark, sf_dir, "documents")
           .select(F.col("doc_id").alias("id"), F.col("doc_id").cast("string").alias("post_id")))
-    fe = (S.table(spark, sf_dir, "labels").where(F.col("quality") == 1)
-          .select(F.col("doc_id").alias("processed_review_id")))
+    fe = S.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("processed_review_id"))
     return Q.backlog(pr, fe, "id", "processed_review_id")
 
 
@@ -192,12 +191,11 @@ def topic_filter(spark, sf_dir):
 
 
 def first10_then_score(spark, sf_dir):
-    # the test conversations have at most 8 turns, so the stand-in keeps the
-    # first 3 (the operator's k; the original kept 10) to make the cut visible
-    c = S.table(spark, sf_dir, "conversations")
-    score = F.floor(F.length("text") / 100.0)
-    return Q.first_k_then_filter(c, "conv_id", "turn", 3, score >= LX.COMMENT_MIN_SCORE) \
-        .select("conv_id", "turn", score.cast("long").alias("score"))
+    # order lines as a post's comments: a part has about 30, so the first 10 are a real cut
+    c = S.table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("post_id"), "l_orderkey", "l_linenumber",
+                                                  F.col("l_quantity").cast("long").alias("score"))
+    return Q.first_k_then_filter(c, "post_id", ["l_orderkey", "l_linenumber"], LX.COMMENTS_FIRST_K,
+                                 F.col("score") >= LX.COMMENT_MIN_SCORE)
 
 
 CATALOG_WANTED = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -398,7 +396,7 @@ def rankings_upsert(spark, sf_dir):
         "computed_at", F.lit(S.FIXED_NOW).cast("timestamp"))
     r = M.upsert_rankings(stored, fresh)
     return r.select("flavor_id", _iso("period_start").alias("period_start"), "period_type", "mention_count",
-                    "unique_products", F.round("avg_sentiment", R).alias("avg_sentiment"),
+                    "unique_products", F.round("avg_sentiment", 5).alias("avg_sentiment"),
                     "positive_mentions", "negative_mentions", "popularity_rank",
                     F.date_format("computed_at", "yyyy-MM-dd HH:mm:ss").alias("computed_at"))
 
@@ -555,9 +553,9 @@ def link_all(spark, sf_dir):
         F.col("f.confidence").alias("confidence"), F.col("f.is_primary").alias("is_primary"))
     fl = L.link_flavors(facts, L.flavor_alias_table(flavor_dim))
     mentions = e.select("id", "post_id", F.posexplode("roasters").alias("pos", "r"))
-    # processing order: review, then mention position (positions < 2^20 per review)
-    probes = mentions.select(F.xxhash64("id", "pos").alias("probe_id"), "id",
-                             (F.col("id") * 1048576 + F.col("pos")).alias("seq"), F.col("r.name").alias("name"))
+    # processing order: review, then mention position
+    order = F.struct("id", "pos")
+    probes = mentions.select(order.alias("probe_id"), "id", order.alias("seq"), F.col("r.name").alias("name"))
     ents = L.create_entities(probes.select("probe_id", "seq", "name"), S.entities_from_supplier(spark, sf_dir))
     rl = probes.select("probe_id", "id").join(ents.select("probe_id", "entity_id"), "probe_id")
     origins = e.select("id", F.explode("origins").alias("country"))
@@ -619,14 +617,15 @@ def _land_events_for_stream(spark, sf_dir, landing):
     e = S.table(spark, sf_dir, "events").select(
         F.col("event_id").cast("string").alias("id"), F.col("event_type").alias("term"),
         F.col("user_id").cast("string").alias("post_id"), F.col("ts").cast("timestamp").alias("created_at"),
-        (F.col("value") / 250.0 - 1.0).alias("sentiment"))
-    e.repartition(5, "term").write.mode("overwrite").option("timestampFormat", IG.TS_FORMAT).json(f"{landing}/a")
-    (e.where(F.col("term") == "click").repartition(2).write.mode("overwrite")
+        (F.col("value") / 250.0 - 1.0).alias("sentiment"),
+        (F.get_json_object("props", "$.k").cast("double") / 100.0).alias("confidence"))
+    e.write.mode("overwrite").option("timestampFormat", IG.TS_FORMAT).json(f"{landing}/a")
+    (e.where(F.col("term") == "click").write.mode("overwrite")
      .option("timestampFormat", IG.TS_FORMAT).json(f"{landing}/b"))
     return e.schema
 
 
-STREAM_SCHEMA = "id string, post_id string, created_at timestamp, sentiment double, term string"
+STREAM_SCHEMA = "id string, post_id string, created_at timestamp, sentiment double, confidence double, term string"
 
 
 def stream_ingest_equals_batch(spark, sf_dir):
@@ -644,37 +643,46 @@ def _ddl(s):
     return _parse_datatype_string(s)
 
 
-def _stream_partials(spark, sf_dir):
-    """Land the events, run the two daily streams to completion; their sink paths."""
+def _stream_partials(spark, sf_dir, prepared=lambda events: events):
+    """Land the events, run the two daily streams to completion.  Returns the daily
+    partials with the open days added, and the first (day, term, post) rows."""
     land = scratch_path(spark, "landing")
     _land_events_for_stream(spark, sf_dir, land)
-    src = spark.readStream.schema(_ddl(STREAM_SCHEMA)).option("timestampFormat", IG.TS_FORMAT).json(f"{land}/a")
+    reader = {"schema": _ddl(STREAM_SCHEMA), "timestampFormat": IG.TS_FORMAT}
     parts, c1 = scratch_path(spark, "daily-partials"), scratch_path(spark, "ckpt-partials")
     firsts, c2 = scratch_path(spark, "daily-firsts"), scratch_path(spark, "ckpt-firsts")
+    src = prepared(spark.readStream.schema(reader["schema"]).option("timestampFormat", IG.TS_FORMAT).json(f"{land}/a"))
     ST.write_append(ST.daily_partials(src), parts, c1)
     ST.write_append(ST.daily_distinct(src), firsts, c2)
-    return parts, firsts
+    landed = prepared(spark.read.schema(reader["schema"]).option("timestampFormat", IG.TS_FORMAT).json(f"{land}/a"))
+    return ST.with_open_days(spark.read.parquet(parts), landed), spark.read.parquet(firsts)
 
 
 def stream_rollup(spark, sf_dir):
-    """7/30/365-day figures per term rolled up from the closed daily partials."""
-    parts, _ = _stream_partials(spark, sf_dir)
-    p = spark.read.parquet(parts)
+    """7/30/365-day figures per term from the daily partials: the batch rankings' figures."""
+    reviews = S.reviews_from_customer(spark, sf_dir).select(F.col("id").cast("string").alias("_id"), F.col("post_id").alias("_post"))
+
+    def prepared(events):
+        kept = events.where(F.col("confidence") > LX.RANKING_MIN_CONFIDENCE)
+        return kept.join(reviews, F.col("post_id") == F.col("_id")).drop("post_id", "_id").withColumnRenamed("_post", "post_id")
+
+    p, firsts = _stream_partials(spark, sf_dir, prepared)
     out = None
     for period in ("week", "month", "year"):
-        r = ST.rollup_partials(p, S.AS_OF, M.period_days(period)).withColumn("period_type", F.lit(period))
+        days = M.period_days(period)
+        start = F.lit(S.AS_OF).cast("date") - F.expr(f"INTERVAL {days} DAYS")
+        posts = firsts.where(F.col("day") >= start).groupBy("term").agg(F.count_distinct("post_id").alias("unique_products"))
+        r = ST.rollup_partials(p, S.AS_OF, days).join(posts, "term").withColumn("period_type", F.lit(period))
         out = r if out is None else out.unionByName(r)
-    return out.select("period_type", "term", F.col("mention_count").cast("long").alias("mention_count"),
-                      F.round("avg_sentiment", R).alias("avg_sentiment"),
+    return out.select("period_type", "term", F.col("mention_count").cast("long").alias("mention_count"), "unique_products",
+                      F.round("avg_sentiment", 5).alias("avg_sentiment"),
                       F.col("positive_mentions").cast("long").alias("positive_mentions"),
                       F.col("negative_mentions").cast("long").alias("negative_mentions"))
 
 
 def stream_windows(spark, sf_dir):
-    parts, firsts = _stream_partials(spark, sf_dir)
-    p = spark.read.parquet(parts)
-    u = (spark.read.parquet(firsts).groupBy("day", "term")
-         .agg(F.count(F.lit(1)).alias("unique_posts")))
+    p, firsts = _stream_partials(spark, sf_dir)
+    u = firsts.groupBy("day", "term").agg(F.count(F.lit(1)).alias("unique_posts"))
     j = p.withColumn("day", F.to_date("window_start")).join(u, ["day", "term"], "left")
     return j.select(F.date_format("day", "yyyy-MM-dd").alias("day"), "term", "mention_count",
                     F.round("sentiment_sum", R).alias("sentiment_sum"), "positive_mentions", "negative_mentions",
@@ -691,7 +699,7 @@ def stream_extract(spark, sf_dir):
     d = S.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"),
                                                    F.lit(None).cast("string").alias("title"),
                                                    F.col("text").alias("body"))
-    d.repartition(4).write.mode("overwrite").json(f"{land}/a")
+    d.write.mode("overwrite").json(f"{land}/a")
     target, ckpt = scratch_path(spark, "processed"), scratch_path(spark, "ckpt-extract")
 
     def extract(batch):
@@ -727,11 +735,10 @@ REGISTRY["menu_links"] = menu_links
 
 def lexicon_table_hits(spark, sf_dir):
     """Whole-word hits of a lexicon table derived from the benchmark passages:
-    their words of 8+ letters and their opening word pairs."""
+    all their words and word pairs, and their opening four words."""
     b = S.table(spark, sf_dir, "benchmark").select(X.words_of(F.col("text")).alias("w"))
-    singles = b.select(F.explode_outer("w").alias("term")).where(F.length("term") >= 8)
-    pairs = b.where(F.size("w") >= 2).select(F.array_join(F.slice("w", 1, 2), " ").alias("term"))
-    lexicon = singles.unionByName(pairs)
+    lexicon = b.select(F.explode_outer(X.word_ngrams(F.col("w"), 2)).alias("term")).unionByName(
+        b.where(F.size("w") >= 4).select(F.array_join(F.slice("w", 1, 4), " ").alias("term"))).where(F.col("term").isNotNull())
     docs = S.table(spark, sf_dir, "documents").select("doc_id", "text")
     return X.lexicon_join(docs, "doc_id", "text", lexicon)
 

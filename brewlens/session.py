@@ -87,19 +87,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+SPREAD_CONF = "brewlens.scan.spread"
+
+
 def spread(df):
-    """Give CPU-heavy text stages at least one partition per core.
+    """Deal a text table's rows over as many partitions as ``brewlens.scan.spread`` says.
 
-    A small input (one parquet file with one row group) scans as a single
-    partition; then the rows are dealt round-robin over the default
-    parallelism.  On a large input the scan already has more splits than
-    cores and nothing changes, so no shuffle is added at scale.
+    Unset (the default) the scan stays as it is.  It is a deployment setting for
+    tables kept as one small file with one row group, which no scan can split.
     """
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 -- no RDD view (e.g. a remote session): leave the plan as is
-        return df
-    if current < target:
-        return df.repartition(target)
-    return df
+    partitions = df.sparkSession.conf.get(SPREAD_CONF, None)
+    return df.repartition(int(partitions)) if partitions else df

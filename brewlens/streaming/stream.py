@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from brewlens.functions import lexicons as LX
+from brewlens.operators.upsert import dedupe
 from brewlens.sources.ingest import TS_FORMAT
 
 
@@ -50,12 +51,19 @@ def ingest(spark: SparkSession, landing: str, schema: T.StructType, key: list[st
     stream = src.json(landing)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()       # read twice: for its buckets, then for its rows
+        try:
+            append(batch)
+        finally:
+            batch.unpersist()
+
+    def append(batch: DataFrame) -> None:
         b = batch
         if order_col:
             w_first = b.groupBy(*key).agg(F.min_by(F.struct(*[c for c in b.columns]), order_col).alias("_r"))
             b = w_first.select("_r.*")
         else:
-            b = b.dropDuplicates(key)
+            b = dedupe(b, key, [c for c in b.columns if c not in key], keep="first")   # the same row on any cluster
         bucket = F.pmod(F.xxhash64(*[F.col(k) for k in key]), F.lit(buckets))
         b = b.withColumn("key_bucket", bucket)
         touched = [r[0] for r in b.select("key_bucket").distinct().collect()]  # at most `buckets` values
@@ -65,8 +73,9 @@ def ingest(spark: SparkSession, landing: str, schema: T.StructType, key: list[st
             known = (batch.sparkSession.read.parquet(target)
                      .where(F.col("key_bucket").isin(touched)).select("key_bucket", *key))
             b = b.join(known, ["key_bucket", *key], "left_anti")
-        except AnalysisException:  # first batch: the table does not exist yet
-            pass
+        except AnalysisException as missing:
+            if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise                     # only a table that does not exist yet is no error
         if transform is not None:
             b = transform(b.drop("key_bucket")).withColumn("key_bucket", bucket)
         # one writer per touched bucket: keys are unique here, so buckets are even
@@ -76,18 +85,29 @@ def ingest(spark: SparkSession, landing: str, schema: T.StructType, key: list[st
     return _run(w, available_now)
 
 
-def daily_partials(events: DataFrame, time_col: str = "created_at", term_col: str = "term",
-                   sentiment_col: str = "sentiment", delay: str = "1 day") -> DataFrame:
-    """Streaming 1-day partial aggregates per term (append when closed)."""
+def _by_day(events: DataFrame, time_col: str, term_col: str, sentiment_col: str) -> DataFrame:
     s = F.col(sentiment_col)
-    return (events.withWatermark(time_col, delay)
-            .groupBy(F.window(time_col, "1 day").alias("w"), F.col(term_col).alias("term"))
+    return (events.groupBy(F.window(time_col, "1 day").alias("w"), F.col(term_col).alias("term"))
             .agg(F.count(F.lit(1)).alias("mention_count"),
-                 F.sum(s).alias("sentiment_sum"),
+                 F.sum(s).alias("sentiment_sum"), F.count(s).alias("sentiment_count"),
                  F.count_if(s > LX.POSITIVE_SENTIMENT).alias("positive_mentions"),
                  F.count_if(s < LX.NEGATIVE_SENTIMENT).alias("negative_mentions"))
             .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "term",
-                    "mention_count", "sentiment_sum", "positive_mentions", "negative_mentions"))
+                    "mention_count", "sentiment_sum", "sentiment_count", "positive_mentions", "negative_mentions"))
+
+
+def daily_partials(events: DataFrame, time_col: str = "created_at", term_col: str = "term",
+                   sentiment_col: str = "sentiment", delay: str = "1 day") -> DataFrame:
+    """Streaming 1-day partial aggregates per term (append when closed)."""
+    return _by_day(events.withWatermark(time_col, delay), time_col, term_col, sentiment_col)
+
+
+def with_open_days(closed: DataFrame, landed: DataFrame, time_col: str = "created_at", term_col: str = "term",
+                   sentiment_col: str = "sentiment") -> DataFrame:
+    """Closed partials plus those of the days the stream still holds open, from the landed rows."""
+    days = closed.select(F.to_date("window_start").alias("_day")).distinct()
+    tail = landed.join(days, F.to_date(time_col) == F.col("_day"), "left_anti")
+    return closed.unionByName(_by_day(tail, time_col, term_col, sentiment_col).select(closed.columns))
 
 
 def daily_distinct(events: DataFrame, time_col: str = "created_at", term_col: str = "term",
@@ -111,6 +131,7 @@ def rollup_partials(partials: DataFrame, as_of: str, days: int) -> DataFrame:
     p = partials.where(F.col("window_start") >= start.cast("timestamp"))
     return p.groupBy("term").agg(
         F.sum("mention_count").alias("mention_count"),
-        (F.sum("sentiment_sum") / F.sum("mention_count")).alias("avg_sentiment"),
+        # a mention without a sentiment counts as a mention only
+        (F.sum("sentiment_sum") / F.nullif(F.sum("sentiment_count"), F.lit(0))).alias("avg_sentiment"),
         F.sum("positive_mentions").alias("positive_mentions"),
         F.sum("negative_mentions").alias("negative_mentions"))

@@ -93,8 +93,7 @@ def test_upper_median_and_hot_value(spark):
     assert Q.upper_median(skew, "x", "m").first()["m"] == vals[len(vals) // 2]
 
 
-def test_upper_median_selection_loop(spark, monkeypatch):
-    monkeypatch.setattr(Q, "SELECT_FINAL_ROWS", 50)
+def test_upper_median_selection_loop(spark):
     df = spark.range(0, 5001).select(((F.col("id") * 7919) % 5003 / 3.0).alias("x"))
     vals = sorted(r["x"] for r in df.collect())
     assert Q.upper_median(df, "x", "m").first()["m"] == vals[len(vals) // 2]
@@ -152,3 +151,29 @@ def test_rankings_without_review_join_match_join_path(spark):
 def test_upper_median_empty_input(spark):
     df = spark.createDataFrame([], "x double")
     assert Q.upper_median(df, "x", "m").first()["m"] is None
+
+
+def test_upsert_reduces_duplicate_keys_without_an_order(spark):
+    target = spark.createDataFrame([(1, "old")], "id long, v string")
+    updates = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (2, "d"), (None, "n")], "id long, v string")
+    out = U.upsert(target, updates, ["id"], ["v"])
+    assert sorted((str(r.id), r.v) for r in out.collect()) == [("1", "b"), ("2", "d"), ("None", "n")]
+    again = U.insert_ignore(target, updates.repartition(7), ["id"])
+    assert sorted((str(r.id), r.v) for r in again.collect()) == [("1", "old"), ("2", "c"), ("None", "n")]
+
+
+def test_rollup_mean_ignores_missing_sentiment(spark):
+    from brewlens.streaming import stream as ST
+    rows = [("t", dt.datetime(2024, 2, 1, 5), 0.8), ("t", dt.datetime(2024, 2, 1, 6), None)]
+    e = spark.createDataFrame(rows, "term string, created_at timestamp, sentiment double")
+    closed = spark.createDataFrame([], ST._by_day(e, "created_at", "term", "sentiment").schema)
+    r = ST.rollup_partials(ST.with_open_days(closed, e), "2024-02-05", 7).first()
+    assert r["mention_count"] == 2 and abs(r["avg_sentiment"] - 0.8) < 1e-9
+
+
+def test_lexicon_terms_of_any_length_match(spark):
+    from brewlens.operators import extract as X
+    docs = spark.createDataFrame([(1, "We drank a cold brew oat milk latte today"), (2, "cold brew")], "id long, text string")
+    lex = spark.createDataFrame([("Cold brew oat milk",), ("latte",), ("",), (None,)], "term string")
+    got = sorted(tuple(r) for r in X.lexicon_join(docs, "id", "text", lex).collect())
+    assert got == [(1, "cold brew oat milk"), (1, "latte")]
