@@ -22,7 +22,8 @@ EDGE_WS = r"^\s+|\s+$"
 SENTENCE_END = r"([.!?])\s+"
 SENT_MARK = "\u0001"
 PRICE_PATTERN = r"\$\s?(\d+(?:\.\d{1,2})?)"
-BRAND_PATTERN = r"\b([A-Z][a-z]+(?:\s+[A-Z][a-z]+){1,2})\s+Coffee\b"
+# word edges spelled out in ASCII: the engines differ in what bounds a word beside accented letters
+BRAND_PATTERN = r"(?<![A-Za-z0-9_])([A-Z][a-z]+(?:\s+[A-Z][a-z]+){1,2})\s+Coffee(?![A-Za-z0-9_])"
 # END FIXED VALUES
 WORD_TOKENS = r"[a-z']+"
 WORD_COUNT_TOKENS = r"\w+|[^\w\s]"

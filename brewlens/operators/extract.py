@@ -80,12 +80,13 @@ def roaster_facts(df: DataFrame, text_col: str, out: str = "roasters",
     """
     low, segs, known, pat = (f"_{out}_{n}" for n in ("low", "segs", "known", "pat"))
     titled = {n: n.title() for n in names}
+    edge = "'" + T.EDGE_WS.replace("\\", "\\\\") + "'"      # a SQL literal: backslashes count twice
     d = df.withColumn(low, F.lower(F.col(text_col))).withColumn(segs, F.split(F.col(text_col), "[.]", -1))
     d = d.withColumn(known, F.expr(
         f"transform({_hits_sql(low, names)}, n -> named_struct("
         f"'name', {_case_map('n', titled)}, "
         f"'context', substring(regexp_replace(coalesce(try_element_at(filter({segs}, s -> contains(lower(s), n)), 1), ''), "
-        f"'{T.EDGE_WS}', ''), 1, {LX.CONTEXT_CHARS})))"))
+        f"{edge}, ''), 1, {LX.CONTEXT_CHARS})))"))
     d = d.withColumn(pat, F.regexp_extract_all(F.col(text_col), F.lit(T.BRAND_PATTERN), 1))
     d = d.withColumn(out, F.expr(
         f"concat({known}, transform(filter(transform({pat}, (m, i) -> named_struct('m', m, 'i', i)), "

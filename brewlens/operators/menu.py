@@ -27,8 +27,9 @@ P_OPEN = r"(?i)<p\b[^>]*>"
 P_CLOSE = r"(?i)</p\s*>"
 H1 = r"(?is)<h1\b[^>]*>(.*?)</h1>"
 H2 = r"(?is)<h2\b[^>]*>(.*?)</h2>"
-META_DESC = r"(?is)<meta\s+name=\"description\"\s+content=\"([^\"]*)\""
-HREF = r"(?i)href=\"([^\"]*)\""
+META_TAG = r"(?is)<meta\b[^>]*?\sname\s*=\s*[\"']description[\"'][^>]*>"     # attributes in any order
+META_CONTENT = r"(?is)\scontent\s*=\s*(?:\"([^\"]*)\"|'([^']*)')"
+HREF = r"(?i)<a\b[^>]*?\shref\s*=\s*(\"[^\"]*\"|'[^']*')"
 URL_BASE = r"^(https?://[^/?#]+)"
 URL_PATH = r"^https?://[^/?#]+([^?#]*)"
 
@@ -49,6 +50,11 @@ def body_html(html):
     return F.regexp_replace(F.regexp_replace(F.regexp_replace(html, COMMENTS, " "), SCRIPTS, " "), STYLES, " ")
 
 
+def _quoted(c, pattern):
+    """The attribute value of a pattern with a group for either kind of quotes."""
+    return F.concat(F.regexp_extract(c, pattern, 1), F.regexp_extract(c, pattern, 2))
+
+
 def page_fields(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """Add name (h1, else h2), description (first 3 paragraphs joined by a
     space), meta_description and page_text."""
@@ -62,7 +68,7 @@ def page_fields(pages: DataFrame, html_col: str = "html") -> DataFrame:
     return d.select("*",
                     F.when(h1 != "", h1).otherwise(h2).alias("name"),
                     F.array_join(paras, " ").alias("description"),
-                    T.strip(F.regexp_extract(F.col(html_col), META_DESC, 1)).alias("meta_description"),
+                    T.strip(_quoted(F.regexp_extract(F.col(html_col), META_TAG, 0), META_CONTENT)).alias("meta_description"),
                     fragment_text(F.col(b)).alias("page_text")).drop(b)
 
 
@@ -126,10 +132,11 @@ def menu_items(items: DataFrame, rules: str) -> DataFrame:
 def page_links(pages: DataFrame, url_col: str = "url", html_col: str = "html",
                segments: int = 3, section: str = "menu") -> DataFrame:
     """Distinct links of each page (sorted), made absolute against the page's
-    scheme and host, with their path segment count and a category flag
+    scheme and host (anchors only, either kind of quotes), with their path segment count and a category flag
     (exactly ``segments`` segments, the 2nd equal to ``section``)."""
     base = F.regexp_extract(F.col(url_col), URL_BASE, 1)
-    links = F.array_sort(F.array_distinct(F.regexp_extract_all(F.col(html_col), F.lit(HREF), 1)))
+    quoted = F.regexp_extract_all(F.col(html_col), F.lit(HREF), 1)
+    links = F.array_sort(F.array_distinct(F.transform(quoted, lambda q: F.substring(q, F.lit(2), F.length(q) - 2))))
     d = (pages.select("page_id", base.alias("base"), F.explode_outer(links).alias("link"))
          .where(F.col("link").isNotNull()))
     absolute = F.when(F.col("link").startswith("http"), F.col("link")).otherwise(F.concat("base", "link"))
@@ -145,7 +152,7 @@ def page_links(pages: DataFrame, url_col: str = "url", html_col: str = "html",
 # include a backslash and a hyphen, as written in the collectors)
 PRODUCT_LINK = r"/menu/product/[a-zA-Z0-9\\-]+"
 ITEM_LINK = r"(?i)/en/menu/[a-z0-9\\-]+/[a-z0-9\\-]+"
-ANCHOR = r"(?is)<a\b[^>]*href=\"([^\"]*)\"[^>]*>(.*?)</a>"
+ANCHOR = r"(?is)<a\b[^>]*href=[\"']([^\"']*)[\"'][^>]*>(.*?)</a>"
 
 
 def _path(href):

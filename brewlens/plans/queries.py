@@ -255,15 +255,14 @@ def term_facts_volume(spark, sf_dir):
 
 
 def brand_pattern(spark, sf_dir):
-    d = S.table(spark, sf_dir, "documents").where(F.col("lang") == "en").select("doc_id", "text")
-    r = X.roaster_facts(d, "text")
+    r = X.roaster_facts(S.documents_and_parts(spark, sf_dir).select("doc_id", "text"), "text")
     return r.select("doc_id", F.posexplode_outer("roasters").alias("p", "r")).where(F.col("r").isNotNull()).select(
         "doc_id", (F.col("p") + 1).cast("long").alias("pos"), F.col("r.name").alias("name"),
         F.col("r.context").alias("context"))
 
 
 def origin_norm(spark, sf_dir):
-    d = S.cleaned_documents(spark, sf_dir).select("doc_id", "cleaned")
+    d = S.documents_and_parts(spark, sf_dir).select("doc_id", T.clean_text("text").alias("cleaned"))
     d = X.origin_names(d, "cleaned", "canonical", "canonical")
     d = X.origin_names(d, "cleaned", "compat", "compat")
     kinds = [d.select("doc_id", F.lit(m).alias("mode"), F.posexplode_outer(m).alias("p", "origin"))
@@ -277,7 +276,8 @@ LEXICON_KINDS = [("flavor", LX.FLAVOR_TERMS), ("brew", LX.BREW_METHODS), ("drink
 
 
 def lexicon_hits(spark, sf_dir):
-    d = S.cleaned_documents(spark, sf_dir).select("doc_id", F.lower("cleaned").alias("lt"))
+    d = (S.documents_and_parts(spark, sf_dir).select("doc_id", T.clean_text("text").alias("cleaned"))
+         .select("doc_id", F.lower("cleaned").alias("lt")))
     def tag(kind):
         return lambda t: F.struct(F.lit(kind).alias("kind"), t.alias("term"))
     parts = [F.transform(T.lexicon_hits(F.col("lt"), words, lowered=True), tag(kind))
@@ -463,7 +463,8 @@ from brewlens.operators import menu as MN  # noqa: E402
 
 def _menu_rows(spark, sf_dir):
     p = S.table(spark, sf_dir, "part")
-    base = p.select(F.col("p_partkey").alias("item_id"), F.col("p_name").alias("name"),
+    name = F.concat_ws(" ", "p_name", S._pick(S.MENU_WORDS, F.col("p_partkey")))
+    base = p.select(F.col("p_partkey").alias("item_id"), name.alias("name"),
                     F.col("p_type").alias("category"), F.col("p_brand").alias("description"),
                     F.concat_ws(" ", "p_type", "p_name", F.concat(F.col("p_size").cast("string"), F.lit(" calories")))
                     .alias("page_text"))
@@ -487,7 +488,7 @@ def calories(spark, sf_dir):
 
 
 def page_fields(spark, sf_dir):
-    p = MN.page_fields(S.table(spark, sf_dir, "pages"))
+    p = MN.page_fields(S.menu_pages(spark, sf_dir))
     return p.select("page_id", "name", "description", "meta_description",
                     F.array_join(MN.sizes(F.col("page_text"), "a"), ",").alias("sizes_a"),
                     F.array_join(MN.sizes(F.col("page_text"), "b"), ",").alias("sizes_b"),
@@ -495,7 +496,7 @@ def page_fields(spark, sf_dir):
 
 
 def page_links(spark, sf_dir):
-    return MN.page_links(S.table(spark, sf_dir, "pages"), segments=1, section="menu")
+    return MN.page_links(S.menu_pages(spark, sf_dir))
 
 
 def readiness(spark, sf_dir):
@@ -723,7 +724,7 @@ REGISTRY.update({
 
 
 def menu_links(spark, sf_dir):
-    m = MN.menu_links(S.table(spark, sf_dir, "pages"))
+    m = MN.menu_links(S.menu_pages(spark, sf_dir))
     return m.select("page_id", F.array_join("product_links", ",").alias("product_links"),
                     F.array_join("item_links", ",").alias("item_links"),
                     F.array_join(F.transform("categories", lambda c: F.concat_ws("=", c["path"], c["name"])), ",")

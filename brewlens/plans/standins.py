@@ -242,3 +242,48 @@ def origin_probes_from_customer(spark, sf_dir) -> DataFrame:
     j = c.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
     return j.select(F.col("n_name").alias("country"),
                     F.when(F.col("c_mktsegment") == "BUILDING", F.col("r_name")).alias("region"))
+
+
+# ------------------------------------------------------------ texts with hits, from part rows
+
+def _pick(words, key):
+    """The word of a fixed list that a key falls on."""
+    return F.element_at(F.array(*[F.lit(w) for w in words]), (F.pmod(key, F.lit(len(words))) + 1).cast("int"))
+
+
+def documents_and_parts(spark, sf_dir) -> DataFrame:
+    """doc_id, lang, text of every document, and of a review made of every part
+    row (doc_id = -1 - p_partkey): brand, origin, brew method, flavor, drink."""
+    from brewlens.functions import lexicons as LX
+    d = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    text = F.concat(F.initcap("p_name"), F.lit(" Coffee was prominent. "), _pick(LX.FLAVOR_TERMS, k), F.lit(" notes from "),
+                    _pick(LX.ORIGIN_TERMS, k), F.lit(", "), _pick(LX.BREW_METHODS, k), F.lit(" at "),
+                    _pick(LX.KNOWN_ROASTERS, F.col("p_size")), F.lit(". "), _pick(LX.DRINK_TERMS, k), F.lit("!"))
+    return d.unionByName(p.select((-1 - k).cast("long").alias("doc_id"), F.lit("en").alias("lang"), text.alias("text")))
+
+
+MENU_WORDS = ["decaf", "herbal tea", "pumpkin", "frappuccino", "black tea", "iced", "frozen", "peppermint"]
+
+
+def menu_pages(spark, sf_dir) -> DataFrame:
+    """The pages, and a menu page made of every part row (page_id = -1 - p_partkey)."""
+    g = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey").cast("string")
+    kind = F.pmod(F.col("p_partkey"), F.lit(3))
+    slug = F.replace("p_name", F.lit(" "), F.lit("-"))
+    meta = F.when(kind == 0, F.concat(F.lit("<meta content='"), "p_name", F.lit("' name='description'>"))) \
+        .otherwise(F.concat(F.lit('<meta name="description" content=" '), "p_name", F.lit('">')))
+    anchors = F.concat(
+        F.lit('<link href="/style.css"><a class="x" href="/menu/product/'), k, F.lit('">'), F.col("p_name"),
+        F.lit('</a><a href="https://shop.example.com/en/menu/'), F.lower("p_type"), F.lit("/"), slug,
+        F.lit('?x=1">item</a><a href="/en/menu/'), F.lower("p_type"), F.lit('"><b>'), F.col("p_type"),
+        F.lit("</b></a><a href='/en/menu/"), slug, F.lit("'></a>"))
+    script = F.concat(F.lit('<script>var a="/menu/product/s-'), k, F.lit('", b="/en/menu/'), F.lower("p_type"), F.lit("/"),
+                      slug, F.lit('";</script>'))
+    html = F.concat(F.lit("<html><head>"), meta, F.lit("</head><body><h1>"), F.col("p_name"), F.lit("</h1>"),
+                    F.when(kind == 2, script).otherwise(anchors), F.lit("</body></html>"))
+    return g.unionByName(p.select((-1 - F.col("p_partkey")).cast("long").alias("page_id"),
+                                  F.lit("https://shop.example.com/en/menu").alias("url"), html.alias("html")))
