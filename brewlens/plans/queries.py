@@ -771,3 +771,57 @@ def link_stats(spark, sf_dir):
 
 REGISTRY["extractions_upsert"] = extractions_upsert
 REGISTRY["link_stats"] = link_stats
+
+
+# ------------------------------------------------------------ the tables that linking writes
+from brewlens.operators import linktables as LT  # noqa: E402
+
+
+def _linked_tables(spark, sf_dir):
+    """Extractions of the part reviews, linked against an empty ledger."""
+    terms = LX.FLAVOR_TERMS
+    d = S.documents_and_parts(spark, sf_dir).where(F.col("doc_id") < 0).select(
+        F.col("doc_id").alias("id"), F.lit(None).cast("string").alias("title"), F.col("text").alias("body"))
+    e = X.extract_posts(d, flavor_terms=terms).select(
+        F.col("id").alias("processed_review_id"), F.col("id").cast("string").alias("post_id"), "flavors", "roasters", "origins")
+    reviews = e.select(F.col("processed_review_id").alias("id"), F.array().cast("array<long>").alias("mentioned_flavor_ids"),
+                       F.array().cast("array<long>").alias("mentioned_roaster_ids"),
+                       F.array().cast("array<string>").alias("mentioned_origins"))
+    flavor_dim = spark.createDataFrame([(i + 1, t, t, []) for i, t in enumerate(terms)],
+                                       "id long, term string, normalized_term string, synonyms array<string>")
+    entities = S.entities_from_supplier(spark, sf_dir).select("id", "entity_type", "name", "slug", F.lit(True).alias("verified"))
+    ledger = spark.createDataFrame([], "processed_review_id long")
+    return LT.link_reviews(e, reviews, flavor_dim, entities, S.origins_from_nation(spark, sf_dir), ledger, LX.CONTEXT_CHARS)
+
+
+def link_mentions(spark, sf_dir):
+    """coffee_mentions rows; the entity is named by its slug."""
+    t = _linked_tables(spark, sf_dir)
+    named = t["entities"].select(F.col("id").alias("roaster_id"), "slug")
+    return t["coffee_mentions"].join(named, "roaster_id").select("post_id", "slug", "mention_text", "mention_context",
+                                                                 "confidence_score")
+
+
+def link_reviews(spark, sf_dir):
+    """The three arrays on each review: flavor ids, entity slugs, and the number of origins."""
+    t = _linked_tables(spark, sf_dir)
+    names = t["entities"].select(F.col("id").alias("entity_id"), "slug")
+    flat = t["reviews"].select("id", "mentioned_flavor_ids", F.size("mentioned_origins").cast("long").alias("n_origins"),
+                               F.posexplode_outer("mentioned_roaster_ids").alias("pos", "entity_id"))
+    back = flat.join(names, "entity_id", "left").groupBy("id", "mentioned_flavor_ids", "n_origins").agg(
+        F.array_sort(F.collect_list(F.when(F.col("slug").isNotNull(), F.struct("pos", "slug")))).alias("s"))
+    return back.select("id", F.array_join(F.transform("mentioned_flavor_ids", lambda x: x.cast("string")), ",").alias("flavor_ids"),
+                       F.array_join(F.transform("s", lambda x: x["slug"]), ",").alias("roasters"), "n_origins")
+
+
+def link_dimensions(spark, sf_dir):
+    """Entities and origins after linking, as one table of names."""
+    t = _linked_tables(spark, sf_dir)
+    e = t["entities"].select(F.lit("entity").alias("kind"), "name", F.col("slug").alias("key"),
+                              F.when(F.col("verified"), "known").otherwise("new").alias("state"))
+    o = t["origins"].select(F.lit("origin").alias("kind"), F.col("country").alias("name"), F.col("normalized_name").alias("key"),
+                            F.lit("").alias("state"))
+    return e.unionByName(o)
+
+
+REGISTRY.update({"link_mentions": link_mentions, "link_reviews": link_reviews, "link_dimensions": link_dimensions})

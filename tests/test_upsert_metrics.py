@@ -177,3 +177,30 @@ def test_lexicon_terms_of_any_length_match(spark):
     lex = spark.createDataFrame([("Cold brew oat milk",), ("latte",), ("",), (None,)], "term string")
     got = sorted(tuple(r) for r in X.lexicon_join(docs, "id", "text", lex).collect())
     assert got == [(1, "cold brew oat milk"), (1, "latte")]
+
+
+def test_second_linking_run_adds_nothing(spark):
+    from brewlens.operators import linktables as LT
+    fact = "struct<term:string,context:string,intensity:string,sentiment:double,confidence:double,is_primary:boolean>"
+    schema = (f"processed_review_id long, post_id string, flavors array<{fact}>, "
+              "roasters array<struct<name:string,context:string>>, origins array<string>")
+    ex = spark.createDataFrame([
+        (1, "a", [("berry", "a berry", None, 0.5, 0.9, True)], [("Onyx Lab", "at Onyx Lab"), ("Onyx Lab", "again")], ["Kenya"]),
+        (2, "b", [("zzz", None, None, None, None, None)], [("Onyx Labs", "x" * 500)], []), (3, "c", [], [], ["Peru", "Kenya"])], schema)
+    rev = spark.createDataFrame([(i, [], [], []) for i in (1, 2, 3)], "id long, mentioned_flavor_ids array<long>, "
+                                "mentioned_roaster_ids array<long>, mentioned_origins array<string>")
+    terms = spark.createDataFrame([(7, "berry", "berry", [])], "id long, term string, normalized_term string, synonyms array<string>")
+    ents = spark.createDataFrame([], "id long, entity_type string, name string, slug string, verified boolean")
+    orig = spark.createDataFrame([(5, "Kenya", None, "kenya_general")], "id long, country string, region string, normalized_name string")
+    t = LT.link_reviews(ex, rev, terms, ents, orig, spark.createDataFrame([], "processed_review_id long"))
+    t = {k: v.cache() for k, v in t.items()}
+    assert [(r.name, r.slug, r.verified) for r in t["entities"].collect()] == [("Onyx Lab", "onyx-lab", False)]
+    m = sorted((r.post_id, r.mention_text, len(r.mention_context), r.confidence_score) for r in t["coffee_mentions"].collect())
+    assert m == [("a", "Onyx Lab", 11, 0.7), ("b", "Onyx Labs", 500, 0.7)]
+    done = {r.id: r for r in t["reviews"].collect()}
+    assert done[1].mentioned_flavor_ids == [7] and len(done[1].mentioned_roaster_ids) == 2 and done[1].mentioned_origins == ["5"]
+    assert done[2].mentioned_roaster_ids == done[1].mentioned_roaster_ids[:1] and len(done[3].mentioned_origins) == 2
+    again = LT.link_reviews(ex, t["reviews"], terms, t["entities"], t["origins"], t["ledger"])
+    assert again["coffee_mentions"].count() == again["flavor_extractions"].count() == 0
+    for name in ("entities", "origins", "reviews", "ledger"):
+        assert sorted(map(str, again[name].collect())) == sorted(map(str, t[name].collect()))
