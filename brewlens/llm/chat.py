@@ -51,32 +51,44 @@ def _unescape_role(c: Column) -> Column:
     return _unescape(F.replace(plain, F.lit("\u0000"), F.lit("\\")))
 
 
-def climb(nodes: DataFrame) -> list[DataFrame]:
-    """Jump tables: the k-th has node_id, up (ancestor 2**k steps up or null),
-    n (nodes on the way, the node included) and total (their scores)."""
+def climb(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """Jump tables and reach.
+
+    The k-th jump table has node_id and up, the ancestor 2**k steps up, for
+    the nodes that lie so deep.  Reach has node_id, n (nodes up to the root,
+    the node included) and total (their scores).  A round only carries nodes
+    that have not reached their root.
+    """
     known = nodes.select(F.col("node_id").alias("known_id"))
     first = (nodes.join(known, nodes["parent_id"] == known["known_id"], "left")
              .select("node_id", F.col("known_id").alias("up"), F.lit(1).cast("long").alias("n"),
                      F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("total")))
-    tables = [written(first, "chat-jump")]
-    n_nodes = tables[0].count()
-    while 1 << (len(tables) - 1) < n_nodes and tables[-1].filter("up IS NOT NULL").limit(1).count():
-        last = tables[-1]
-        far = last.select(F.col("node_id").alias("mid"), F.col("up").alias("far"), F.col("n").alias("far_n"),
-                          F.col("total").alias("far_total"))
-        tables.append(written(
-            last.join(far, last["up"] == far["mid"], "left")
-            .select("node_id", F.col("far").alias("up"), (F.col("n") + F.coalesce("far_n", F.lit(0))).alias("n"),
-                    (F.col("total") + F.coalesce("far_total", F.lit(0.0))).alias("total")), "chat-jump"))
-    return tables
-
-
-def chosen_leaves(nodes: DataFrame, tables: list[DataFrame], top: int | None) -> DataFrame:
+    first = written(first, "chat-jump")
+    done, going = [first.filter("up IS NULL").drop("up")], first.filter("up IS NOT NULL")
+    jumps, steps, n_nodes = [], 1, first.count()
+    while steps < n_nodes and going.limit(1).count():
+        jumps.append(going.select("node_id", "up"))
+        far = going
+        for part in done:
+            far = far.unionByName(part.withColumn("up", F.lit(None).cast(first.schema["up"].dataType)))
+        far = far.select(F.col("node_id").alias("mid"), F.col("up").alias("far"), F.col("n").alias("far_n"),
+                         F.col("total").alias("far_total"))
+        step = written(going.join(far, going["up"] == far["mid"])
+                       .select("node_id", F.col("far").alias("up"), (F.col("n") + F.col("far_n")).alias("n"),
+                               (F.col("total") + F.col("far_total")).alias("total")), "chat-jump")
+        done.append(step.filter("up IS NULL").drop("up"))
+        going, steps = step.filter("up IS NOT NULL"), 2 * steps
+    reach = done[0]
+    for part in done[1:]:
+        reach = reach.unionByName(part)
+    return jumps, reach
+
+
+def chosen_leaves(nodes: DataFrame, reach: DataFrame, top: int | None) -> DataFrame:
     """leaf_id, tree_id, n_turns, branch_score, branch_rank of the best ``top`` branches of each tree (None: all)."""
     parents = nodes.filter("parent_id IS NOT NULL").select(F.col("parent_id").alias("inner_id")).distinct()
     leaves = (nodes.select("tree_id", F.col("node_id").alias("leaf_id"))
               .join(parents, F.col("leaf_id") == F.col("inner_id"), "left_anti"))
-    reach = tables[-1].filter("up IS NULL").select("node_id", "n", "total")
     branches = (leaves.join(reach, leaves["leaf_id"] == reach["node_id"])
                 .select("tree_id", "leaf_id", F.col("n").alias("n_turns"), (F.col("total") / F.col("n")).alias("branch_score")))
     rank = F.row_number().over(Window.partitionBy("tree_id").orderBy(F.desc("branch_score"), "leaf_id"))
@@ -84,15 +96,15 @@ def chosen_leaves(nodes: DataFrame, tables: list[DataFrame], top: int | None) ->
     return ranked if top is None else ranked.filter(F.col("branch_rank") <= top)
 
 
-def paths(chosen: DataFrame, tables: list[DataFrame]) -> DataFrame:
+def paths(chosen: DataFrame, jumps: list[DataFrame]) -> DataFrame:
     """leaf_id, node_id, place (steps above the leaf) of every turn of the chosen paths.
 
     A row (leaf, node, place) at level k stands for the 2**k nodes from node
-    upwards; the self-join with level k-1 splits it in two halves.
+    upwards; the self-join with the jumps of 2**(k-1) splits it in two halves.
     """
     rows = chosen.select("leaf_id", F.col("leaf_id").alias("node_id"), F.lit(0).cast("long").alias("place"))
-    for k in range(len(tables) - 2, -1, -1):
-        jump = tables[k].filter("up IS NOT NULL").select(F.col("node_id").alias("at"), "up")
+    for k in range(len(jumps) - 1, -1, -1):
+        jump = jumps[k].select(F.col("node_id").alias("at"), "up")
         upper = (rows.join(jump, rows["node_id"] == jump["at"])
                  .select("leaf_id", F.col("up").alias("node_id"), (F.col("place") + (1 << k)).alias("place")))
         rows = written(rows.unionByName(upper), "chat-path")
@@ -106,13 +118,13 @@ def format_trees(nodes: DataFrame, top: int | None = 1) -> DataFrame:
     ``top`` branches of each tree are formatted (None: every branch).
     """
     nodes = nodes.select("tree_id", "node_id", "parent_id", "score", "role", "text")
-    tables = climb(nodes)
-    chosen = written(chosen_leaves(nodes, tables, top), "chat-chosen")
+    jumps, reach = climb(nodes)
+    chosen = written(chosen_leaves(nodes, reach, top), "chat-chosen")
     role = F.concat(F.lit(START), _escape_role(F.col("role")), F.lit("\n"))
     turn = nodes.select(F.col("node_id").alias("turn_id"), F.struct(
         role.alias("head"), _escape(F.col("text")).alias("body"),
         F.coalesce(F.col("role") == LEARNED_ROLE, F.lit(False)).alias("learned")).alias("turn"))
-    walked = paths(chosen, tables)
+    walked = paths(chosen, jumps)
     turns = walked.join(turn, walked["node_id"] == turn["turn_id"]).select(
         "leaf_id", F.struct((-F.col("place")).alias("order"), F.col("turn.head").alias("head"),
                             F.col("turn.body").alias("body"), F.col("turn.learned").alias("learned")).alias("t"))
