@@ -3,18 +3,19 @@
 import pytest
 
 import __spark_entry__ as E
+from brewlens.plans.queries import REGISTRY
 from conftest import SMALL
 
 ROWS_ONLY = {"fuzzy_best_match", "entity_create_leaders", "link_all"}
 EAGER = {"upper_median", "json_roundtrip", "stream_ingest_equals_batch", "stream_windows", "link_all",
-         "entity_create_leaders"}
+         "entity_create_leaders", "link_stats", "link_mentions", "link_reviews", "link_dimensions"}
 
 
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - EAGER))
+@pytest.mark.parametrize("name", sorted(set(REGISTRY) - EAGER))
 def test_no_cartesian_product(spark, name):
     p = plan(E.queries()[name](spark, SMALL))
     assert "CartesianProduct" not in p
