@@ -165,6 +165,13 @@ def extract_posts(posts: DataFrame, id_col: str = "id", title_col: str = "title"
     return d.drop("raw_text")
 
 
+def processed_reviews(extracted: DataFrame, now: str | None = None, language: str = LX.LANGUAGE) -> DataFrame:
+    """``processed_reviews`` rows of :func:`extract_posts` output (``now``: processing time, default the clock)."""
+    at = F.lit(now).cast("timestamp") if now else F.current_timestamp()
+    return extracted.select(F.col("id").cast("string").alias("post_id"), "cleaned_text", "sentiment_score",
+                            F.lit(language).alias("language"), "word_count", at.alias("processed_at"))
+
+
 def keywords(df: DataFrame, id_col: str, text_col: str, top_n: int = LX.KEYWORDS_TOP_N,
              stop_words: Sequence[str] = LX.STOP_WORDS, token_hook=None) -> DataFrame:
     """Top-N tokens per document by count, ties by first occurrence.

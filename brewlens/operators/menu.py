@@ -119,14 +119,20 @@ def customization_groups(spark) -> DataFrame:
 
 
 def menu_items(items: DataFrame, rules: str) -> DataFrame:
-    """items(name, category, description, page_text) -> inferred attributes."""
+    """items(name, category, description, page_text) -> inferred attributes, with the
+    ``customizations`` (group -> options) and ``nutrition`` (fact -> value) maps."""
+    groups = [x for name, options in LX.CUSTOMIZATIONS[rules] for x in (F.lit(name), F.array(*[F.lit(o) for o in options]))]
+    empty = F.create_map().cast("map<string,string>")
+    found = calories(F.col("page_text"))
     return items.select(
         "*",
         temperature(F.col("name"), F.col("category"), rules).alias("temperature"),
         has_caffeine(F.col("name"), F.col("description"), rules).alias("has_caffeine"),
         is_seasonal(F.col("name"), rules).alias("is_seasonal"),
         sizes(F.col("page_text"), rules).alias("sizes"),
-        calories(F.col("page_text")).alias("calories"))
+        found.alias("calories"),
+        F.create_map(*groups).alias("customizations"),
+        F.when(found.isNotNull(), F.create_map(F.lit("calories"), found)).otherwise(empty).alias("nutrition"))
 
 
 def page_links(pages: DataFrame, url_col: str = "url", html_col: str = "html",

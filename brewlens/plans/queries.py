@@ -7,6 +7,7 @@ order differs between engines), dates are ISO strings.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -203,15 +204,13 @@ CATALOG_WANTED = ["region", "nation", "customer", "supplier", "part", "orders",
 
 
 def catalog_counts(spark, sf_dir):
-    import os
     present = {}
     for name in CATALOG_WANTED:
-        path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-        if os.path.exists(path) or not path.startswith("/"):
-            try:
-                present[name] = spark.read.parquet(path)
-            except Exception:  # noqa: BLE001 -- a missing table is a status
-                pass
+        try:
+            present[name] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        except AnalysisException as missing:        # any other error is an error
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
     out = Q.catalog_counts(spark, present, CATALOG_WANTED)
     cols = {n: ",".join(df.columns) for n, df in present.items()}
     col_expr = F.coalesce(*[F.when(F.col("table_name") == n, F.lit(c)) for n, c in cols.items()], F.lit(None))
@@ -825,3 +824,23 @@ def link_dimensions(spark, sf_dir):
 
 
 REGISTRY.update({"link_mentions": link_mentions, "link_reviews": link_reviews, "link_dimensions": link_dimensions})
+
+
+def processed_reviews(spark, sf_dir):
+    """The row that extraction stores for each post."""
+    e = X.processed_reviews(_extracted_documents(spark, sf_dir), S.FIXED_NOW)
+    return e.select("post_id", "cleaned_text", F.round("sentiment_score", R).alias("sentiment_score"), "language", "word_count",
+                    F.date_format("processed_at", "yyyy-MM-dd HH:mm:ss").alias("processed_at"))
+
+
+def menu_records(spark, sf_dir):
+    """Menu items with their option and nutrition maps, as sorted text."""
+    m = _menu_rows(spark, sf_dir)
+    options = F.transform(F.array_sort(F.map_keys("customizations")),
+                          lambda k: F.concat(k, F.lit("="), F.array_join(F.element_at("customizations", k), "|")))
+    facts = F.transform(F.map_keys("nutrition"), lambda k: F.concat(k, F.lit("="), F.element_at("nutrition", k)))
+    return m.select("item_id", "source", "name", F.array_join(options, ";").alias("customizations"),
+                    F.array_join(facts, ";").alias("nutrition"))
+
+
+REGISTRY.update({"processed_reviews": processed_reviews, "menu_records": menu_records})
