@@ -39,7 +39,7 @@ ALPHA = 0.4
 MIN_COUNT = 2
 HEAVY = 4096             # n-grams in the broadcast table, at most this many words and as many pairs
 SHARE = 2000             # a task names an n-gram that is one in so many of its block
-BLOCK_WORDS = 1 << 21
+BLOCK_WORDS = 1 << 20
 CHUNK = 1 << 15          # pairs in a row, so that places in the row's lists fit 16 bits
 START = W.U(1)           # hash of the context before the first word
 END = W.U(2)             # hash of "no word follows"
@@ -211,32 +211,49 @@ def score(docs: DataFrame, alpha: float = ALPHA, min_count: int = MIN_COUNT) ->
 
     def look_up(table: pa.Table) -> pa.Table:
         heavy = shared.value
+        bucket = int(table.column("bucket")[0].as_py())
         word, number, first, second, at = lists(table, PAIRS, "word", "number", "first", "next", "at")
+        sums = lists(table, SUMS, "word", "number", "value")
         v = flat([a[i.view(np.uint16)] for a, i in zip(word, first)]).view(W.U)
         w = flat([a[i.view(np.uint16)] for a, i in zip(word, second)]).view(W.U)
-        doc = flat([a[i.view(np.uint16)] for a, i in zip(number, at)])
-        rows = []
-        keys, which, counts = np.unique(v, return_inverse=True, return_counts=True)
-        own = heavy.count(keys)
-        c_v = np.where(own > 0, own, counts)[which]
-        here = own == 0           # of a word that is not heavy all occurrences as a context are here
-        bucket = int(table.column("bucket")[0].as_py())
-        rows.append(_row(bucket, TABLE, word=keys[here].view(np.int64), number=counts[here]))
-        follows = w != END
-        v, w, doc, c_v = v[follows], w[follows], doc[follows], c_v[follows]
-        _, which, counts = np.unique(pair_hash(v, w), return_inverse=True, return_counts=True)
-        c_pair = counts[which] if len(which) else np.zeros(0, np.int64)
-        seen = c_pair >= min_count
-        c_w = heavy.count(w)
-        value = np.where(seen, np.log(np.maximum(c_pair, 1) / np.maximum(c_v, 1)),
-                         log_alpha + np.where(c_w > 0, np.log(np.maximum(c_w, 1) / max(1, heavy.total)), 0.0))
-        sums = lists(table, SUMS, "word", "number", "value")
-        for s, x in zip(sums, (doc, np.zeros(len(doc), np.int64), value)):
-            s.append(x)
+        value, rare = np.zeros(len(v)), np.zeros(len(v), bool)
+        keys, counts = [], []
+        # sixteenths that hold whole count groups, so that little is held besides the pairs
+        sixteenth = np.where(heavy.count(v) > 0, pair_hash(v, w), v) >> W.U(60)
+        order = np.argsort(sixteenth.astype(np.uint8), kind="stable")
+        edges = np.searchsorted(sixteenth[order], np.arange(17, dtype=W.U))
+        del sixteenth
+        for a, b in zip(edges, edges[1:]):
+            some = order[a:b]
+            vs, ws = v[some], w[some]
+            key, which, n = np.unique(vs, return_inverse=True, return_counts=True)
+            own = heavy.count(key)
+            # of a word that is not heavy all occurrences as a context are here
+            keys.append(key[own == 0])
+            counts.append(n[own == 0])
+            c_v = np.where(own > 0, own, n)[which]
+            follows = ws != END
+            some, vs, ws, c_v = some[follows], vs[follows], ws[follows], c_v[follows]
+            _, which, n = np.unique(pair_hash(vs, ws), return_inverse=True, return_counts=True)
+            c_pair = n[which] if len(which) else np.zeros(0, np.int64)
+            c_w = heavy.count(ws)
+            value[some] = np.where(
+                c_pair >= min_count, np.log(np.maximum(c_pair, 1) / np.maximum(c_v, 1)),
+                log_alpha + np.where(c_w > 0, np.log(np.maximum(c_w, 1) / max(1, heavy.total)), 0.0))
+            rare[some] = (c_pair < min_count) & (c_w == 0)
+        rows = [_row(bucket, TABLE, word=flat(keys).view(np.int64), number=flat(counts))]
+        asks, done = [], 0
+        for ids, places in zip(number, at):
+            places = places.view(np.uint16)
+            part = slice(done, done + len(places))
+            for s, x in zip(sums, (ids, np.zeros(len(ids), np.int64),
+                                   np.bincount(places, weights=value[part], minlength=len(ids)))):
+                s.append(x)
+            asks.append(ids[places[rare[part]]])
+            done = part.stop
         ids, n, total = summed(sums)
         rows.append(_row(bucket, SUMS, word=ids, number=n, value=total))
-        ask = ~seen & (c_w == 0)
-        w, doc = w[ask], doc[ask]
+        w, doc = w[rare], flat(asks)
         to = bucket_of(w)
         order = np.lexsort((doc, to))
         w, doc, to = w[order], doc[order], to[order]
