@@ -17,7 +17,7 @@ A document's score is the sum of log S over its words.
 3. In a bucket the counts are joined to the occurrences.  Scores are summed by
    document; words whose pair is too rare ask the bucket of the word, which
    holds its count.
-4. The sums of all buckets are added up by document.
+4. The sums of all buckets go to the buckets of their documents and are added up.
 
 Defined cases: null or empty text has 0 words and score 0; rows with equal ids
 are one document whose words and scores add up (null ids are one of them); an
@@ -274,12 +274,23 @@ def score(docs: DataFrame, alpha: float = ALPHA, min_count: int = MIN_COUNT) ->
         for s, x in zip(sums, (doc, np.zeros(len(doc), np.int64), value)):
             s.append(x)
         ids, n, total = summed(sums)
+        # on to the bucket of the document, again in columns
+        to = bucket_of(W.mix(ids.view(W.U)))
+        order = np.argsort(to, kind="stable")
+        ids, n, total, to = ids[order], n[order], total[order], to[order]
+        cuts = np.flatnonzero(np.append(True, to[1:] != to[:-1])) if len(ids) else np.zeros(0, np.int64)
+        return pa.Table.from_batches([_batch([
+            _row(int(to[a]), SUMS, word=ids[a:b], number=n[a:b], value=total[a:b])
+            for a, b in zip(cuts.tolist(), np.append(cuts[1:], len(ids)).tolist())])])
+
+    def add_up(table: pa.Table) -> pa.Table:
+        ids, n, total = summed(lists(table, SUMS, "word", "number", "value"))
         return pa.table({"doc_id": ids, "n_words": n, "log_score": total})
 
     rows = docs.select("doc_id", "text").mapInArrow(explode, ROWS)
     looked = rows.groupBy("bucket").applyInArrow(look_up, ROWS)
-    parts = looked.groupBy("bucket").applyInArrow(answer, "doc_id long, n_words long, log_score double")
-    whole = parts.groupBy("doc_id").agg(F.sum("n_words").alias("n_words"), F.sum("log_score").alias("log_score"))
+    answered = looked.groupBy("bucket").applyInArrow(answer, ROWS)
+    whole = answered.groupBy("bucket").applyInArrow(add_up, "doc_id long, n_words long, log_score double")
     kind = dict(docs.dtypes)["doc_id"]
     return whole.select(F.when(F.col("doc_id") != NO_ID, F.col("doc_id")).cast(kind).alias("doc_id"), "n_words", "log_score",
                         (F.col("log_score") / F.greatest(F.col("n_words"), F.lit(1))).alias("mean_log_score"))
