@@ -28,6 +28,13 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path as a URI with its file system (``hdfs://...``, ``file:///...``), as Spark would read it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    uri = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString()
+    return "file:///" + uri[5:].lstrip("/") if uri.startswith("file:") else uri
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write to a fresh folder under the shared checkpoint folder and read it back:
     cuts the lineage, survives lost executors, and is computed once."""

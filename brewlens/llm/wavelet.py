@@ -15,9 +15,12 @@ Files go to the shared checkpoint folder by its URI.  A task writes under a
 name of its own attempt, and the manifest, which Spark commits, names the
 files that count, so lost executors and repeated attempts leave no doubt.
 
-Words repeat, so a task encodes each distinct word of a slice once: the
-tokenizer drops white space and never joins across it, so the ids of a text
-are those of its words in a row (tested on whole and on hostile texts).
+Words repeat, so a task encodes each distinct piece of text once.  Pieces are
+words, cut further into runs of letters, single digits and runs of marks: the
+tokenizer cuts there too and never joins across, so the ids of a text are
+those of its pieces in a row.  Words that need more care (apostrophes, special
+tokens, characters beyond Latin-1) are encoded whole.  Tests compare with the
+ids of whole and of hostile texts.
 
 Defined cases: null text is empty (only the end id); null ids come first;
 equal ids stay in one run, in the order of their texts; an empty table gives
@@ -37,20 +40,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brewlens.llm import words as W
-from brewlens.llm.common import prepare, shuffle_partitions, written
+from brewlens.llm.common import prepare, qualified, shuffle_partitions, written
 from brewlens.session import scratch_path
 
 MAGIC = b"WVM1"
 END_ID = 1
 SHARD_TOKENS = 1 << 21
 BLOCK = 512                # bits per running count
-CACHE_WORDS = 1 << 19      # distinct words an encoder remembers
+CACHE_WORDS = 1 << 19      # distinct pieces an encoder remembers
+JOINED = 64                # pieces encoded in one text
 
 
 # ------------------------------------------------------------------ the matrix
 def build(ids: np.ndarray, bits: int) -> tuple[list[np.ndarray], list[int]]:
     """Packed bit-planes, and the zeros of each."""
     planes, zeros = [], []
+    ids = ids.astype(np.uint16 if bits <= 16 else np.uint32)
     for level in range(bits - 1, -1, -1):
         bit = (ids >> ids.dtype.type(level) & ids.dtype.type(1)).astype(bool)
         planes.append(np.packbits(bit))
@@ -190,28 +195,48 @@ class Encoder:
     def __init__(self, tokenizer_file: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.known: dict[bytes, bytes] = {}      # word: its ids, four bytes each
-
-    def _words(self, found: list[bytes]) -> list[bytes]:
+        self.known: dict[bytes, bytes] = {}      # a piece: its ids, four bytes each
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        vocabulary = self.tokenizer.get_vocab()
+        # ids that end a pre-token, where the vocabulary tells
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if suffix and t.endswith(suffix)]] = True
+
+    def _single(self, pieces: list[bytes]) -> None:
+        for p, e in zip(pieces, self.tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)):
+            self.known[p] = np.array(e.ids, np.uint32).tobytes()
+
+    def _joined(self, pieces: list[bytes]) -> None:
+        """Pieces that are one pre-token each, some in a text: the end-of-word ids part them again."""
+        runs = [pieces[a:a + JOINED] for a in range(0, len(pieces), JOINED)]
+        for run, e in zip(runs, self.tokenizer.encode_batch_fast([b" ".join(r).decode() for r in runs], add_special_tokens=False)):
+            ids = np.array(e.ids, np.uint32)
+            stops = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            if len(stops) != len(run) or stops[-1] != 4 * len(ids):
+                self._single(run)
+                continue
+            raw = ids.tobytes()
+            self.known.update(zip(run, (raw[x:y] for x, y in zip([0, *stops], stops))))
+
+    def _words(self, found: list[bytes], whole: list[bool]) -> list[bytes]:
+        """Ids of every piece; ``whole`` marks words that are not one pre-token."""
         known = self.known
-        new = [w for w in found if w not in known]
-        if len(known) + len(new) > CACHE_WORDS:
+        if len(known) > CACHE_WORDS:
             known.clear()
-            new = found
-        for a in range(0, len(new), 10_000):
-            some = new[a:a + 10_000]
-            for w, e in zip(some, self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)):
-                known[w] = np.array(e.ids, np.uint32).tobytes()
-        return [known[w] for w in found]
+        new = [(p, h) for p, h in zip(found, whole) if p not in known]
+        for some, encode in (([p for p, h in new if h], self._single), ([p for p, h in new if not h], self._joined)):
+            for a in range(0, len(some), 10_000):
+                encode(some[a:a + 10_000])
+        return [known[p] for p in found]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, each with the end id; their lengths)."""
         n = len(texts)
         data, _ = W.buffers(texts)
-        w = W.words(texts, spans=True)
+        w = W.units(texts)
         raw = data.tobytes()
         distinct, at, which = np.unique(w.hash, return_index=True, return_inverse=True)
-        lists = self._words([raw[a:b] for a, b in zip(w.start[at].tolist(), w.end[at].tolist())]) if len(at) else []
+        lists = self._words([raw[a:b] for a, b in zip(w.start[at].tolist(), w.end[at].tolist())], w.shape[at].tolist())
         sizes = np.array([len(x) // 4 for x in lists], np.int64)
         flat = np.frombuffer(b"".join(lists), np.uint32)
         starts = np.cumsum(sizes) - sizes
@@ -232,7 +257,7 @@ class Encoder:
 def write_shards(docs: DataFrame, tokenizer_file: str, folder: str, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """Write the files; the manifest: shard (order), file, docs, n_tokens, one row per file."""
     prepare(docs.sparkSession)
-    parts = shuffle_partitions(docs.sparkSession)
+    parts, target = shuffle_partitions(docs.sparkSession), qualified(docs.sparkSession, folder)
     ordered = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
                .repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text"))
 
@@ -241,7 +266,7 @@ def write_shards(docs: DataFrame, tokenizer_file: str, folder: str, shard_tokens
         from pyspark import TaskContext
         os.environ["TOKENIZERS_PARALLELISM"] = "false"     # a task has one core
         context = TaskContext.get()
-        store, root = pafs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
+        store, root = pafs.FileSystem.from_uri(target)
         store.create_dir(root, recursive=True)
         encoder = Encoder(tokenizer_file)
         serial, doc_ids, lengths, held, size = 0, [], [], [], 0

@@ -139,6 +139,67 @@ def words(texts: pa.Array, lower: bool = False, shapes: bool = False, spans: boo
     return w
 
 
+def _unit_classes():
+    codes = np.arange(256)
+    kind = np.full(256, 3, np.uint8)                                   # marks
+    kind[(codes >= 65) & (codes <= 90) | (codes >= 97) & (codes <= 122)] = 1
+    kind[(codes >= 48) & (codes <= 57)] = 2
+    # bytes that need a tokenizer's own view of the word: control characters, all beyond
+    # Latin-1, the apostrophe (contractions) and the bracket of special tokens
+    kind[(codes < 32) | (codes >= 127) | (codes == 39) | (codes == 60)] = 4
+    return kind
+
+
+def units(texts: pa.Array) -> Words:
+    """Words cut further where a pre-tokenizer cuts: runs of letters, single digits, runs of
+    marks.  Letters are a-z, A-Z and the letters of Latin-1; A-Z fold in the hash.  A word with
+    any other character, an apostrophe or ``<`` stays whole; ``shape`` marks these."""
+    data, offsets = buffers(texts)
+    space, low_value, _, _, _ = _byte_tables()
+    classes = _unit_classes()
+    out: list[tuple] = []
+    at, n = 0, len(data)
+    while at < n:
+        stop = min(at + SEGMENT, n)
+        while stop < n:                          # move the cut to the next space
+            window = space[data[stop:stop + 4096]]
+            hit = int(window.argmax())
+            if window[hit]:
+                stop += hit
+                break
+            stop += len(window)
+        b = data[at:stop]
+        up, down = _power_tables(len(b))
+        inside = ~space[b]
+        first = offsets[np.searchsorted(offsets, at):np.searchsorted(offsets, stop)] - at
+        begin = inside.copy()
+        begin[1:] &= ~inside[:-1]
+        begin[first] = inside[first]
+        kind = classes[b]
+        lead = np.flatnonzero(b[:-1] == 0xC3)
+        letter = lead[(b[lead + 1] != 0x97) & (b[lead + 1] != 0xB7)]
+        kind[letter] = kind[letter + 1] = 1
+        word = np.cumsum(begin) - 1
+        words_here = int(word[-1]) + 1 if len(word) else 0
+        hard = np.zeros(max(1, words_here), bool)
+        hard[word[inside & (kind == 4)]] = True
+        start = inside & ~hard[word]
+        start[1:] &= (kind[1:] != kind[:-1]) | (kind[1:] == 2)
+        start |= begin
+        s = np.flatnonzero(start)
+        # a unit ends at the next unit or where its word ends
+        last = inside.copy()
+        last[:-1] &= ~inside[1:] | start[1:]
+        e = np.flatnonzero(last) + 1
+        total = np.zeros(len(b) + 1, U)
+        np.cumsum(low_value[b] * up[:len(b)], out=total[1:], dtype=U)
+        out.append((np.searchsorted(offsets, at + s, "right") - 1, mix((total[e] - total[s]) * down[s]), at + s, at + e,
+                    hard[word[s]]))
+        at = stop
+    cols = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64), np.zeros(0, U)] + [np.zeros(0, np.int64)] * 3
+    return Words(cols[0].astype(np.int64), cols[1], cols[4].astype(bool), cols[2], cols[3])
+
+
 def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE):
     """Cut a batch into runs of whole rows of about ``limit`` bytes of text."""
     texts = batch.column(column)
