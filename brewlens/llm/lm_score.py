@@ -146,14 +146,16 @@ def score(docs: DataFrame, alpha: float = ALPHA, min_count: int = MIN_COUNT) ->
     spark = docs.sparkSession
     prepare(spark)
     buckets = shuffle_partitions(spark)
-    shared = spark.sparkContext.broadcast(heavy_ngrams(docs))
+    table = heavy_ngrams(docs)
+    # plain arrays: workers need no copy of this package to unpickle them
+    shared = spark.sparkContext.broadcast((table.keys, table.counts, table.total))
     log_alpha = float(np.log(alpha))
 
     def bucket_of(hashes):
         return ((hashes >> W.U(32)) % W.U(buckets)).astype(np.int64)
 
     def explode(batches):
-        heavy = shared.value
+        heavy = Heavy(*shared.value)
         held, size, turn = [], 0, 0
 
         def deal(parts):
@@ -210,7 +212,7 @@ def score(docs: DataFrame, alpha: float = ALPHA, min_count: int = MIN_COUNT) ->
         return keys, _totals(ids, n)[1].astype(np.int64), total
 
     def look_up(table: pa.Table) -> pa.Table:
-        heavy = shared.value
+        heavy = Heavy(*shared.value)
         bucket = int(table.column("bucket")[0].as_py())
         word, number, first, second, at = lists(table, PAIRS, "word", "number", "first", "next", "at")
         sums = lists(table, SUMS, "word", "number", "value")
@@ -263,7 +265,7 @@ def score(docs: DataFrame, alpha: float = ALPHA, min_count: int = MIN_COUNT) ->
         return pa.Table.from_batches([_batch(rows)])
 
     def answer(table: pa.Table) -> pa.Table:
-        heavy = shared.value
+        heavy = Heavy(*shared.value)
         word, number = lists(table, TABLE, "word", "number")
         keys, counts = _totals(flat(word), flat(number))
         asked, doc = (flat(x) for x in lists(table, ASKS, "word", "number"))

@@ -360,7 +360,9 @@ def tied(docs: DataFrame, settings: Settings) -> DataFrame:
     """(a, b): sets that agree on a part, each with the least of those that agree."""
     spark = docs.sparkSession
     buckets = shuffle_partitions(spark)
-    shared = spark.sparkContext.broadcast(common_shingles(docs, settings))
+    common = common_shingles(docs, settings)
+    # plain arrays: workers need no copy of this package to unpickle them
+    shared = spark.sparkContext.broadcast((common.shingle, common.seen))
 
     def deal(ids, doc, signature):
         bucket = (signature >> W.U(40)).astype(np.int64) % buckets
@@ -373,6 +375,7 @@ def tied(docs: DataFrame, settings: Settings) -> DataFrame:
 
     def run(batches):
         held, size, seen = [], 0, np.zeros(0, np.int64)
+        often = Common(*shared.value)
         for batch in batches:
             for part in W.slices(batch):
                 w = W.words(part.column("text"), lower=True)
@@ -385,7 +388,7 @@ def tied(docs: DataFrame, settings: Settings) -> DataFrame:
                 fresh &= ~np.isin(ids, seen) & part.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
                 use = fresh[doc]
                 n = np.where(fresh, n, 0)
-                d, s = ties(doc[use], value[use], n, settings.percent, shared.value)
+                d, s = ties(doc[use], value[use], n, settings.percent, often)
                 held.append((ids[d], s))
                 seen = np.concatenate([seen, ids[fresh]])
                 size += len(d)
