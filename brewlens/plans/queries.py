@@ -777,9 +777,9 @@ from brewlens.operators import linktables as LT  # noqa: E402
 
 
 def _linked_tables(spark, sf_dir):
-    """Extractions of the part reviews, linked against an empty ledger."""
+    """Extractions of all documents and the part reviews, linked against an empty ledger."""
     terms = LX.FLAVOR_TERMS
-    d = S.documents_and_parts(spark, sf_dir).where(F.col("doc_id") < 0).select(
+    d = S.documents_and_parts(spark, sf_dir).select(
         F.col("doc_id").alias("id"), F.lit(None).cast("string").alias("title"), F.col("text").alias("body"))
     e = X.extract_posts(d, flavor_terms=terms).select(
         F.col("id").alias("processed_review_id"), F.col("id").cast("string").alias("post_id"), "flavors", "roasters", "origins")
