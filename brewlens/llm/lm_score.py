@@ -1,22 +1,25 @@
 """Stupid-backoff language-model scores, computed by joins on n-gram hashes.
 
 Counts are taken over all documents, and every document is scored against
-them:  S(w | v) = c(v w) / c(v) where the pair was counted ``min_count`` times
-or more, else ``alpha`` * c(w) / N.  A text starts with the context ``<s>``.
-A document's score is the sum of log S over its words.
-
-1. Heavy words and pairs.  Every task names those that make up a share of its
-   block; the ``HEAVY`` most frequent of them are counted exactly over all
-   documents.  That table has a fixed bound and is broadcast.  It decides
-   routes, and spares the hottest n-grams the shuffle; the scores do not
-   depend on it.
-2. All other pairs are exploded and dealt by the hash of their context (by the
-   hash of the pair where the context is heavy), in columns: blocks with a
-   local dictionary of word hashes.  A bucket thus holds all occurrences of
-   its n-grams: its count table, and the documents that ask for it.
+them.  For a context h of up to ``order - 1`` words  S(w | h) = c(h w) / c(h)
+where the n-gram was counted ``min_count`` times or more, else
+``alpha`` * S(w | h without its first word); at last S(w) = c(w) / N.  A text
+starts with the word ``<s>``, so its first words have shorter contexts.  A
+document's score is the sum of log S over its words.
+
+1. Heavy n-grams.  Every task names those that make up a share of its block;
+   the ``HEAVY`` most frequent of them (for each length) are counted exactly
+   over all documents.  That table has a fixed bound and is broadcast.  It
+   decides routes, and spares the hottest n-grams the shuffle; the scores do
+   not depend on it.
+2. All other occurrences are exploded, each with the words before it, and dealt
+   by the hash of the last context word v; where v is heavy, by the hash of the
+   shortest n-gram ending in the word that is not heavy.  They travel in
+   columns: blocks with a local dictionary of word hashes.  A bucket thus
+   holds all occurrences of every longer n-gram too, at any order.
 3. In a bucket the counts are joined to the occurrences.  Scores are summed by
-   document; words whose pair is too rare ask the bucket of the word, which
-   holds its count.
+   document.  What the bucket cannot know it asks of the bucket that holds the
+   count: words that backed off to the end, and contexts that end in a heavy word.
 4. The sums of all buckets go to the buckets of their documents and are added up.
 
 Defined cases: null or empty text has 0 words and score 0; rows with equal ids
@@ -36,34 +39,54 @@ from brewlens.llm import words as W
 from brewlens.llm.common import prepare, shuffle_partitions
 
 ALPHA = 0.4
+ORDER = 2                # words in the longest n-gram; the query sets its own
 MIN_COUNT = 2
-HEAVY = 4096             # n-grams in the broadcast table, at most this many words and as many pairs
+HEAVY = 4096             # n-grams in the broadcast table, at most this many of each length
 SHARE = 2000             # a task names an n-gram that is one in so many of its block
 BLOCK_WORDS = 1 << 20
-CHUNK = 1 << 15          # pairs in a row, so that places in the row's lists fit 16 bits
+CHUNK = 1 << 15          # n-grams in a row at most; fewer at a higher order, so that places in the row's lists fit 16 bits
 START = W.U(1)           # hash of the context before the first word
 END = W.U(2)             # hash of "no word follows"
+ABSENT = W.U(3)          # hash of "before the start"
 NO_ID = -(1 << 63)
 ROWS = ("bucket int, kind int, word array<long>, number array<long>, value array<double>, "
-        "first array<smallint>, next array<smallint>, at array<smallint>")
-PAIRS, TABLE, ASKS, SUMS = range(4)
-NAMES = ["bucket", "kind", "word", "number", "value", "first", "next", "at"]
-TYPES = [pa.int32(), pa.int32(), *map(pa.list_, (pa.int64(), pa.int64(), pa.float64(), pa.int16(), pa.int16(), pa.int16()))]
+        "places array<smallint>, at array<smallint>")
+GRAMS, TABLE, ASKS, UNDER, SUMS = range(5)
+NAMES = ["bucket", "kind", "word", "number", "value", "places", "at"]
+TYPES = [pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.float64()),
+         pa.list_(pa.int16()), pa.list_(pa.int16())]
 
 
-def contexts(w: W.Words):
-    """(context hashes, last) of every word: the word before it in the text, or START."""
-    before = np.empty_like(w.hash)
-    before[1:] = w.hash[:-1]
-    opens = np.ones(len(w.doc), bool)
+def windows(w: W.Words, order: int):
+    """Columns of the ``order`` words that end in each word, START and ABSENT before a text; and which words are last."""
+    n = len(w.hash)
+    opens = np.ones(n, bool)
     opens[1:] = w.doc[1:] != w.doc[:-1]
-    before[opens] = START
-    closes = np.roll(opens, -1)
-    return before, closes
+    place = np.arange(n)
+    place -= np.maximum.accumulate(np.where(opens, place, 0))
+    columns = [w.hash]
+    for back in range(1, order):
+        column = np.full(n, ABSENT)
+        column[back:] = w.hash[:n - back] if back < n else column[back:]
+        columns.insert(0, np.where(place >= back, column, np.where(place == back - 1, START, ABSENT)))
+    return columns, np.roll(opens, -1)
 
 
-def pair_hash(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    return W.combine([first, second], 5)
+def gram_hash(columns: list[np.ndarray], k: int) -> np.ndarray:
+    """Hash of the last k columns; a word is its own."""
+    return columns[-1] if k == 1 else W.combine(columns[-k:], 5)
+
+
+def routes(columns: list[np.ndarray], heavy: "Heavy"):
+    """(key by which an occurrence is dealt, count of its last context word if that is heavy)."""
+    in_v = heavy.count(columns[-2])
+    key, open_ = np.where(in_v > 0, ABSENT, columns[-2]), in_v > 0
+    for k in range(2, len(columns) + 1):
+        open_ = open_ & (columns[-k] != ABSENT)
+        hashes = gram_hash(columns, k)
+        key = np.where(open_, hashes, key)
+        open_ = open_ & (heavy.count(hashes) > 0)
+    return key, in_v
 
 
 def _row(bucket: int, kind: int, **lists) -> dict:
@@ -95,22 +118,26 @@ class Heavy:
         return np.where(self.keys[at] == hashes, self.counts[at], 0)
 
 
-def heavy_ngrams(docs: DataFrame) -> Heavy:
+def heavy_ngrams(docs: DataFrame, order: int) -> Heavy:
     texts = docs.select("text")
 
+    def grams(w: W.Words):
+        columns, _ = windows(w, order)
+        return [w.hash] + [gram_hash(columns, k)[columns[-k] != ABSENT] for k in range(2, order + 1)], columns
+
     def name(batches):
         held, size = [], 0
 
         def told(parts):
             every = np.concatenate(parts)
             keys, counts = np.unique(every, return_counts=True)
-            keep = counts * SHARE >= len(every) // 2
+            keep = counts * SHARE >= len(every) // order
             return pa.RecordBatch.from_pydict({"ngram": keys[keep].view(np.int64), "seen": counts[keep]})
 
         for batch in batches:
             for part in W.slices(batch):
                 w = W.words(part.column("text"))
-                held += [w.hash, pair_hash(contexts(w)[0], w.hash)]
+                held += grams(w)[0]
                 size += len(w.hash)
                 if size >= BLOCK_WORDS // 2:
                     yield told(held)
@@ -119,7 +146,7 @@ def heavy_ngrams(docs: DataFrame) -> Heavy:
             yield told(held)
 
     named = texts.mapInArrow(name, "ngram long, seen long").groupBy("ngram").agg(F.sum("seen").alias("seen"))
-    some = [r["ngram"] for r in named.orderBy(F.desc("seen"), "ngram").limit(2 * HEAVY).collect()]
+    some = [r["ngram"] for r in named.orderBy(F.desc("seen"), "ngram").limit(order * HEAVY).collect()]
     wanted = np.sort(np.append(np.array(some, np.int64).view(W.U), START))
 
     def count(batches):
@@ -127,9 +154,9 @@ def heavy_ngrams(docs: DataFrame) -> Heavy:
         for batch in batches:
             for part in W.slices(batch):
                 w = W.words(part.column("text"))
-                before, closes = contexts(w)
+                every, columns = grams(w)
                 total += len(w.hash)
-                for keys in (w.hash, pair_hash(before, w.hash), before[before == START]):
+                for keys in (*every, columns[-2][columns[-2] == START]):
                     at = np.minimum(np.searchsorted(wanted, keys), len(wanted) - 1)
                     seen += np.bincount(at[wanted[at] == keys], minlength=len(wanted))
         yield pa.RecordBatch.from_pydict({"place": np.arange(len(wanted) + 1), "seen": np.append(seen, total)})
@@ -141,12 +168,15 @@ def heavy_ngrams(docs: DataFrame) -> Heavy:
     return Heavy(wanted, seen[:-1], int(seen[-1]))
 
 
-def score(docs: DataFrame, alpha: float = ALPHA, min_count: int = MIN_COUNT) -> DataFrame:
+def score(docs: DataFrame, alpha: float = ALPHA, min_count: int = MIN_COUNT, order: int = ORDER) -> DataFrame:
     """doc_id, n_words, log_score, mean_log_score of every document."""
+    if order < 2:
+        raise ValueError("the order is 2 at least")
     spark = docs.sparkSession
     prepare(spark)
     buckets = shuffle_partitions(spark)
-    table = heavy_ngrams(docs)
+    table = heavy_ngrams(docs, order)
+    chunk = min(CHUNK, (1 << 16) // order)
     # plain arrays: workers need no copy of this package to unpickle them
     shared = spark.sparkContext.broadcast((table.keys, table.counts, table.total))
     log_alpha = float(np.log(alpha))
@@ -159,20 +189,20 @@ def score(docs: DataFrame, alpha: float = ALPHA, min_count: int = MIN_COUNT) ->
         held, size, turn = [], 0, 0
 
         def deal(parts):
-            ids, n, scores, v, w, doc = (np.concatenate(x) for x in zip(*parts))
-            bucket = np.where(heavy.count(v) > 0, bucket_of(pair_hash(v, w)), bucket_of(v))
-            order = np.lexsort((v, bucket))
-            v, w, doc, bucket = v[order], w[order], doc[order], bucket[order]
-            cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(v) else np.zeros(0, np.int64)
+            ids, n, scores, key, doc, *columns = (np.concatenate(x) for x in zip(*parts))
+            bucket = bucket_of(key)
+            by = np.lexsort((columns[-2], bucket))
+            doc, bucket, columns = doc[by], bucket[by], [c[by] for c in columns]
+            cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(doc) else np.zeros(0, np.int64)
             rows = []
-            for a, b in zip(cuts.tolist(), np.append(cuts[1:], len(v)).tolist()):
-                for c in range(a, b, CHUNK):
-                    e = min(b, c + CHUNK)
-                    known, place = np.unique(np.concatenate([v[c:e], w[c:e]]), return_inverse=True)
+            for a, b in zip(cuts.tolist(), np.append(cuts[1:], len(doc)).tolist()):
+                for c in range(a, b, chunk):
+                    e = min(b, c + chunk)
+                    known, place = np.unique(np.concatenate([x[c:e] for x in columns]), return_inverse=True)
                     own, at = np.unique(doc[c:e], return_inverse=True)
-                    first, second = place[:e - c].astype(np.uint16).view(np.int16), place[e - c:].astype(np.uint16).view(np.int16)
-                    rows.append(_row(int(bucket[c]), PAIRS, word=known.view(np.int64), number=own, first=first,
-                                     next=second, at=at.astype(np.uint16).view(np.int16)))
+                    places = place.astype(np.uint16).view(np.int16)       # one column after another
+                    rows.append(_row(int(bucket[c]), GRAMS, word=known.view(np.int64), number=own, places=places,
+                                     at=at.astype(np.uint16).view(np.int16)))
             # words and scores already known, by document; any bucket will do
             rows.append(_row(turn % buckets, SUMS, word=ids, number=n, value=scores))
             return _batch(rows)
@@ -181,17 +211,26 @@ def score(docs: DataFrame, alpha: float = ALPHA, min_count: int = MIN_COUNT) ->
             for part in W.slices(batch):
                 w = W.words(part.column("text"))
                 ids = part.column("doc_id").cast(pa.int64()).fill_null(NO_ID).to_numpy(zero_copy_only=False)
-                before, closes = contexts(w)
+                columns, closes = windows(w, order)
                 # a last word occurs as a context that nothing follows
-                v = np.concatenate([before, w.hash[closes]])
-                u = np.concatenate([w.hash, np.full(int(closes.sum()), END)])
+                columns = [np.concatenate([c, after[closes]]) for c, after in
+                           zip(columns, [*columns[1:], np.full(len(w.hash), END)])]
                 doc = np.concatenate([w.doc, w.doc[closes]])
-                in_v, in_pair = heavy.count(v), heavy.count(pair_hash(v, u))
-                done = (in_v > 0) & (in_pair >= min_count)
-                known = np.bincount(doc[done], weights=np.log(in_pair[done] / in_v[done]), minlength=part.num_rows)
-                send = ~done & ~((in_v > 0) & (u == END))
-                held.append((ids, np.bincount(w.doc, minlength=part.num_rows), known, v[send], u[send], ids[doc[send]]))
-                size += len(u)
+                key, in_v = routes(columns, heavy)
+                # known here: all n-grams that end in the word, and the longest context, are heavy
+                done, seen, under = in_v > 0, np.zeros(len(doc), np.int64), np.zeros(len(doc), np.int64)
+                for k in range(2, order + 1):
+                    there = columns[-k] != ABSENT
+                    count = heavy.count(gram_hash(columns, k))
+                    done &= ~there | (count > 0)
+                    seen = np.where(there, count, seen)
+                    under = np.where(there, heavy.count(gram_hash(columns[:-1], k - 1)), under)
+                done &= (seen >= min_count) & (under > 0)
+                known = np.bincount(doc[done], weights=np.log(seen[done] / under[done]), minlength=part.num_rows)
+                send = ~done & ~((in_v > 0) & (columns[-1] == END))
+                held.append((ids, np.bincount(w.doc, minlength=part.num_rows), known, key[send], ids[doc[send]],
+                             *[c[send] for c in columns]))
+                size += len(doc)
                 if size >= BLOCK_WORDS:
                     yield deal(held)
                     held, size, turn = [], 0, turn + 1
@@ -214,67 +253,108 @@ def score(docs: DataFrame, alpha: float = ALPHA, min_count: int = MIN_COUNT) ->
     def look_up(table: pa.Table) -> pa.Table:
         heavy = Heavy(*shared.value)
         bucket = int(table.column("bucket")[0].as_py())
-        word, number, first, second, at = lists(table, PAIRS, "word", "number", "first", "next", "at")
+        word, number, places, at = lists(table, GRAMS, "word", "number", "places", "at")
         sums = lists(table, SUMS, "word", "number", "value")
-        v = flat([a[i.view(np.uint16)] for a, i in zip(word, first)]).view(W.U)
-        w = flat([a[i.view(np.uint16)] for a, i in zip(word, second)]).view(W.U)
-        value, rare = np.zeros(len(v)), np.zeros(len(v), bool)
+        columns = [flat([a[i[m * len(d):(m + 1) * len(d)].view(np.uint16)] for a, i, d in zip(word, places, at)])
+                   .view(W.U) for m in range(order)]
+        size = len(columns[-1])
+        value, asked, ask = np.zeros(size), np.zeros(size, np.int8), np.zeros(size, W.U)
         keys, counts = [], []
-        # sixteenths that hold whole count groups, so that little is held besides the pairs
-        sixteenth = np.where(heavy.count(v) > 0, pair_hash(v, w), v) >> W.U(60)
-        order = np.argsort(sixteenth.astype(np.uint8), kind="stable")
-        edges = np.searchsorted(sixteenth[order], np.arange(17, dtype=W.U))
+
+        def totals(hashes):
+            distinct, which, n = np.unique(hashes, return_inverse=True, return_counts=True)
+            return distinct, n, n[which] if len(which) else np.zeros(0, np.int64)
+
+        # sixteenths that hold whole count groups, so that little is held besides the n-grams
+        sixteenth = routes(columns, heavy)[0] >> W.U(60)
+        by = np.argsort(sixteenth.astype(np.uint8), kind="stable")
+        edges = np.searchsorted(sixteenth[by], np.arange(17, dtype=W.U))
         del sixteenth
         for a, b in zip(edges, edges[1:]):
-            some = order[a:b]
-            vs, ws = v[some], w[some]
-            key, which, n = np.unique(vs, return_inverse=True, return_counts=True)
-            own = heavy.count(key)
-            # of a word that is not heavy all occurrences as a context are here
-            keys.append(key[own == 0])
-            counts.append(n[own == 0])
-            c_v = np.where(own > 0, own, n)[which]
-            follows = ws != END
-            some, vs, ws, c_v = some[follows], vs[follows], ws[follows], c_v[follows]
-            _, which, n = np.unique(pair_hash(vs, ws), return_inverse=True, return_counts=True)
-            c_pair = n[which] if len(which) else np.zeros(0, np.int64)
-            c_w = heavy.count(ws)
-            value[some] = np.where(
-                c_pair >= min_count, np.log(np.maximum(c_pair, 1) / np.maximum(c_v, 1)),
-                log_alpha + np.where(c_w > 0, np.log(np.maximum(c_w, 1) / max(1, heavy.total)), 0.0))
-            rare[some] = (c_pair < min_count) & (c_w == 0)
-        rows = [_row(bucket, TABLE, word=flat(keys).view(np.int64), number=flat(counts))]
-        asks, done = [], 0
-        for ids, places in zip(number, at):
-            places = places.view(np.uint16)
-            part = slice(done, done + len(places))
+            some = by[a:b]
+            cols = [c[some] for c in columns]
+            # c(h) of the contexts: of a word that is not heavy all occurrences as a context are here
+            in_v = heavy.count(cols[-2])
+            key, n, here = totals(cols[-2])
+            light = heavy.count(key) == 0
+            keys.append(key[light])
+            counts.append(n[light])
+            under = [np.where(in_v > 0, in_v, here)]
+            for k in range(2, order):
+                hashes = gram_hash(cols[:-1], k)
+                broad = heavy.count(hashes)
+                under.append(np.where(broad > 0, broad, np.where(in_v > 0, 0, totals(hashes)[2])))    # 0: to be asked for
+            follows = cols[-1] != END
+            some, cols, under = some[follows], [c[follows] for c in cols], [u[follows] for u in under]
+            in_w = heavy.count(cols[-1])
+            steps = np.zeros(len(some), np.int64)       # longest n-gram of the word, less one
+            x = np.where(in_w > 0, np.log(np.maximum(in_w, 1) / max(1, heavy.total)), 0.0)
+            kind, of, level = np.where(in_w > 0, 0, ASKS), cols[-1], np.zeros(len(some), np.int64)
+            for k in range(2, order + 1):
+                there = np.flatnonzero(cols[-k] != ABSENT)
+                steps[there] = k - 1
+                hashes = gram_hash([c[there] for c in cols], k)
+                broad = heavy.count(hashes)
+                key, n, here = totals(hashes)
+                c_k = np.where(broad > 0, broad, here)
+                if k < order:       # counts that other buckets ask for: contexts whose last word is heavy
+                    first = np.unique(hashes, return_index=True)[1]
+                    give = (in_w[there][first] > 0) & (broad[first] == 0) & (n >= min_count)
+                    keys.append(key[give])
+                    counts.append(n[give])
+                use = c_k >= min_count
+                hit, c_h = there[use], under[k - 2][there[use]]
+                x[hit] = np.log(c_k[use]) - np.log(np.maximum(c_h, 1))
+                kind[hit] = np.where(c_h > 0, 0, UNDER)
+                of = of.copy()
+                of[hit] = gram_hash([c[hit] for c in cols[:-1]], k - 1)
+                level[hit] = k - 1
+            value[some] = x + log_alpha * (steps - level)
+            asked[some], ask[some] = kind, of
+        rows = [_row(bucket, TABLE, word=[], number=[])]
+        key, n = flat(keys), flat(counts)
+        to = bucket_of(key.view(W.U))
+        by = np.argsort(to, kind="stable")
+        key, n, to = key[by], n[by], to[by]
+        cuts = np.flatnonzero(np.append(True, to[1:] != to[:-1])) if len(key) else np.zeros(0, np.int64)
+        for a, b in zip(cuts.tolist(), np.append(cuts[1:], len(key)).tolist()):
+            rows.append(_row(int(to[a]), TABLE, word=key[a:b].view(np.int64), number=n[a:b]))
+        who, start = [], 0
+        for ids, spots in zip(number, at):
+            spots = spots.view(np.uint16)
+            part = slice(start, start + len(spots))
             for s, x in zip(sums, (ids, np.zeros(len(ids), np.int64),
-                                   np.bincount(places, weights=value[part], minlength=len(ids)))):
+                                   np.bincount(spots, weights=value[part], minlength=len(ids)))):
                 s.append(x)
-            asks.append(ids[places[rare[part]]])
-            done = part.stop
+            who.append(ids[spots])
+            start = part.stop
+        who = flat(who)
         ids, n, total = summed(sums)
         rows.append(_row(bucket, SUMS, word=ids, number=n, value=total))
-        w, doc = w[rare], flat(asks)
-        to = bucket_of(w)
-        order = np.lexsort((doc, to))
-        w, doc, to = w[order], doc[order], to[order]
-        cuts = np.flatnonzero(np.append(True, to[1:] != to[:-1])) if len(w) else np.zeros(0, np.int64)
-        for a, b in zip(cuts.tolist(), np.append(cuts[1:], len(w)).tolist()):
-            rows.append(_row(int(to[a]), ASKS, word=w[a:b].view(np.int64), number=doc[a:b]))
+        for kind in (ASKS, UNDER):
+            mine = asked == kind
+            w, doc = ask[mine], who[mine]
+            to = bucket_of(w)
+            by = np.lexsort((doc, to))
+            w, doc, to = w[by], doc[by], to[by]
+            cuts = np.flatnonzero(np.append(True, to[1:] != to[:-1])) if len(w) else np.zeros(0, np.int64)
+            for a, b in zip(cuts.tolist(), np.append(cuts[1:], len(w)).tolist()):
+                rows.append(_row(int(to[a]), kind, word=w[a:b].view(np.int64), number=doc[a:b]))
         return pa.Table.from_batches([_batch(rows)])
 
     def answer(table: pa.Table) -> pa.Table:
         heavy = Heavy(*shared.value)
         word, number = lists(table, TABLE, "word", "number")
         keys, counts = _totals(flat(word), flat(number))
-        asked, doc = (flat(x) for x in lists(table, ASKS, "word", "number"))
-        value = np.zeros(len(asked))
-        if len(asked):
-            value = np.log(counts[np.searchsorted(keys, asked)] / heavy.total)
         sums = lists(table, SUMS, "word", "number", "value")
-        for s, x in zip(sums, (doc, np.zeros(len(doc), np.int64), value)):
-            s.append(x)
+        for kind in (ASKS, UNDER):
+            asked, doc = (flat(x) for x in lists(table, kind, "word", "number"))
+            value = np.zeros(len(asked))
+            if len(asked):
+                value = np.log(counts[np.searchsorted(keys, asked)])
+                value = value - np.log(heavy.total) if kind == ASKS else -value
+            for s, x in zip(sums, (doc, np.zeros(len(doc), np.int64), value)):
+                s.append(x)
         ids, n, total = summed(sums)
         # on to the bucket of the document, again in columns
         to = bucket_of(W.mix(ids.view(W.U)))

@@ -9,16 +9,20 @@ WORDS = SPLIT.format(t="coalesce(text, '')")
 OP1 = f"""
 WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents),
 o AS MATERIALIZED (
-  SELECT doc_id, w[i] AS w, CASE WHEN i > 1 THEN w[i - 1] END AS v
+  SELECT doc_id, i, w[i] AS w, CASE WHEN i > 1 THEN w[i - 1] END AS v, CASE WHEN i > 2 THEN w[i - 2] END AS u
   FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
 uni AS (SELECT w, count(*) AS n FROM o GROUP BY w),
 ctx AS (SELECT w AS v, n FROM uni UNION ALL SELECT NULL, count(*) FROM o WHERE v IS NULL),
 bi AS (SELECT v, w, count(*) AS n FROM o GROUP BY v, w),
+tri AS (SELECT u, v, w, count(*) AS n FROM o WHERE i > 1 GROUP BY u, v, w),
 s AS (
-  SELECT o.doc_id, ln(CASE WHEN bi.n >= 2 THEN bi.n::DOUBLE / ctx.n
-                           ELSE 0.4 * uni.n::DOUBLE / (SELECT count(*) FROM o) END) AS x
+  SELECT o.doc_id, ln(CASE WHEN tri.n >= 2 THEN tri.n::DOUBLE / two.n
+                           WHEN bi.n >= 2 THEN CASE WHEN i > 1 THEN 0.4 ELSE 1.0 END * bi.n::DOUBLE / ctx.n
+                           ELSE CASE WHEN i > 1 THEN 0.4 * 0.4 ELSE 0.4 END * uni.n::DOUBLE / (SELECT count(*) FROM o) END) AS x
   FROM o JOIN bi ON bi.v IS NOT DISTINCT FROM o.v AND bi.w = o.w
-  JOIN ctx ON ctx.v IS NOT DISTINCT FROM o.v JOIN uni ON uni.w = o.w),
+  JOIN ctx ON ctx.v IS NOT DISTINCT FROM o.v JOIN uni ON uni.w = o.w
+  LEFT JOIN tri ON o.i > 1 AND tri.u IS NOT DISTINCT FROM o.u AND tri.v = o.v AND tri.w = o.w
+  LEFT JOIN bi two ON o.i > 1 AND two.v IS NOT DISTINCT FROM o.u AND two.w = o.v),
 t AS (SELECT doc_id, count(*) AS n, sum(x) AS x FROM s GROUP BY doc_id)
 SELECT d.doc_id, coalesce(t.n, 0)::BIGINT AS n_words, round(coalesce(t.x, 0.0), 4) AS log_score,
   round(coalesce(t.x / t.n, 0.0), 6) AS mean_log_score

@@ -16,7 +16,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op1_lm_scoring(spark, sf_dir):
-    return lm_score.score(documents(spark, sf_dir)).select(
+    return lm_score.score(documents(spark, sf_dir), order=3).select(
         "doc_id", "n_words", F.round("log_score", 4).alias("log_score"),
         F.round("mean_log_score", 6).alias("mean_log_score"))
 
