@@ -18,11 +18,10 @@ difference are metrics, and every step uses their triangle inequality.
 4. A region is joined exactly and recursively.  Pivot sets split it into
    Voronoi cells; a set is replicated into every cell whose pivot is at most
    twice the threshold distance further than its own, which is as far as a
-   linked partner can be.  Sets within the threshold of a pivot are linked to
-   it; once the sets between one and two thresholds away are compared, the
-   ball is settled and leaves the region.
-5. A region that is too large for one task takes the ball step as a job of its
-   own: its rows are dealt over many tasks, each with the few pivots.
+   linked partner can be.  In the cell of its own pivot a set is compared with
+   all sets of fitting size, so each of its links is found and counted once.
+5. A region that is too large for one task is cut into blocks; every ordered
+   pair of blocks is a task, so that no task holds more than a region may.
 
 Random document pivots alone cannot make the first regions here: unrelated
 texts are all at distance 1 from each other, and then every window holds
@@ -31,7 +30,8 @@ everything (see README).
 Defined cases: null or wordless text has an empty set, links with nothing and
 is its own component; fewer words than a shingle make one shingle; equal rows
 and equal sets are linked; a row without id has no component and links
-nothing; an empty table gives no rows; other columns are ignored by ``join``
+nothing; ``n_links`` counts the other rows that a row is linked to directly,
+equal ones too; an empty table gives no rows; other columns are ignored by ``join``
 and ride along in ``deduplicate``.  Shingles are compared by 64-bit hashes.
 """
 
@@ -59,7 +59,7 @@ BROADCAST_ROWS = 1 << 20   # a table of ids with fewer rows (24 MB) is broadcast
 class Settings:
     size: int = 5              # words in a shingle
     percent: int = 80          # linked: 100 * intersection >= percent * union
-    region_shingles: int = 4 << 20   # a region with more is split by jobs, not inside a task
+    region_shingles: int = 4 << 20   # a region with more is cut into blocks, a task for each pair of them
     cell_members: int = 192    # a region of fewer is not split into cells
     pivots: int = 6
 
@@ -170,12 +170,13 @@ def _list(values: np.ndarray, edges: np.ndarray) -> pa.ListArray:
 class Region:
     """The sets of one region, for exact distances inside one task."""
 
-    def __init__(self, sizes: np.ndarray, values: np.ndarray, percent: int):
-        self.n, self.percent = sizes.astype(np.int64), percent
+    def __init__(self, sizes: np.ndarray, values: np.ndarray, weight: np.ndarray, percent: int):
+        self.n, self.weight, self.percent = sizes.astype(np.int64), weight, percent
         self.end = np.cumsum(self.n)
         self.token = np.unique(values, return_inverse=True)[1].astype(np.int64)
         self.mark = np.zeros(int(self.token.max(initial=0)) + 1, bool)
         self.root = np.arange(len(sizes))
+        self.links = np.zeros(len(sizes), np.int64)     # rows linked to a set, its own rows too
 
     def shares(self, p: int, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Sizes of intersection and union of p with the members of ``among``."""
@@ -197,117 +198,79 @@ class Region:
         return x
 
     def unite(self, p: int, others) -> None:
-        for x in others:
+        for x in others[self.root[others] != self.root[p]]:
             a, b = self.find(p), self.find(int(x))
             if a != b:
                 self.root[max(a, b)] = min(a, b)
 
-    def balls(self, alive: np.ndarray) -> None:
-        """Join all of ``alive``: settle one ball after another."""
-        while len(alive) > 1:
-            p = int(alive[0])
-            inter, union = self.shares(p, alive)
-            ball = 100 * inter >= self.percent * union
-            # a set linked to one in the ball is at most two thresholds from the pivot
-            near = ~ball & (100 * inter >= (2 * self.percent - 100) * union)
-            self.unite(p, alive[ball])
-            for a in alive[near]:
-                got, whole = self.shares(int(a), alive)
-                self.unite(int(a), alive[100 * got >= self.percent * whole])
-            alive = alive[~ball & ~near]
-
-    def join(self, alive: np.ndarray, cell_members: int, pivots: int) -> None:
-        """Voronoi cells with windows while they get smaller, then balls."""
-        if len(alive) <= cell_members:
-            self.balls(alive)
+    def compare(self, home: np.ndarray, alive: np.ndarray) -> None:
+        """Links of every set of ``home`` with those of ``alive``."""
+        alive = alive[np.argsort(self.n[alive], kind="stable")]
+        sizes = self.n[alive]
+        low = np.searchsorted(sizes, -(-self.n[home] * self.percent // 100))
+        high = np.searchsorted(sizes, self.n[home] * 100 // self.percent, "right")
+        for p, a, b in zip(home.tolist(), low.tolist(), high.tolist()):
+            inter, union = self.shares(p, alive[a:b])
+            linked = alive[a:b][100 * inter >= self.percent * union]
+            self.links[p] += self.weight[linked].sum()
+            self.unite(p, linked)
+
+    def join(self, home: np.ndarray, alive: np.ndarray, cell_members: int, pivots: int) -> None:
+        """Voronoi cells with windows while they get smaller, then sets one by one."""
+        if len(alive) <= cell_members or not len(home):
+            self.compare(home, alive)
             return
-        chosen, distance = [int(alive[0])], []
+        every = np.union1d(home, alive)
+        chosen, distance = [int(every[0])], []
         for _ in range(pivots):
-            inter, union = self.shares(chosen[-1], alive)
-            self.unite(chosen[-1], alive[100 * inter >= self.percent * union])
+            inter, union = self.shares(chosen[-1], every)
             distance.append(1.0 - inter / union)
-            chosen.append(int(alive[np.argmax(np.min(distance, axis=0))]))   # farthest from all so far
+            chosen.append(int(every[np.argmax(np.min(distance, axis=0))]))   # farthest from all so far
         distance = np.array(distance)
+        own = np.argmin(distance, axis=0)[np.searchsorted(every, home)]
         # 2e-9 covers the rounding of the quotients
-        window = distance - distance.min(axis=0) <= 2 * (100 - self.percent) / 100 + 2e-9
-        members = window.sum(axis=1)
-        if members.max() > 0.7 * len(alive):
-            self.balls(alive)
+        window = (distance - distance.min(axis=0) <= 2 * (100 - self.percent) / 100 + 2e-9)[:, np.searchsorted(every, alive)]
+        if window.sum(axis=1).max() > 0.7 * len(alive):
+            self.compare(home, alive)
             return
-        for cell in window:
-            self.join(alive[cell], cell_members, pivots)
+        for k, cell in enumerate(window):
+            self.join(home[own == k], alive[cell], cell_members, pivots)
 
 
-def region_edges(table: pa.Table, settings: Settings) -> pa.Table:
-    """(a, b): every member with the least member it is linked to, directly or over others."""
+def region_links(table: pa.Table, settings: Settings) -> pa.Table:
+    """(a, b, links): every member with the least member it is linked to, directly or over others,
+    and for those of the home block the rows of the other block it is linked to."""
     table = table.combine_chunks()
     ids = table.column("set_id").to_numpy()
     lists = table.column("shingles").combine_chunks()
-    keep = np.unique(ids, return_index=True)[1]
-    ids, lists = ids[keep], lists.take(pa.array(keep))
     sizes = np.diff(lists.offsets.to_numpy())
-    region = Region(sizes, lists.flatten().to_numpy(), settings.percent)
-    region.join(np.arange(len(ids)), settings.cell_members, settings.pivots)
+    region = Region(sizes, lists.flatten().to_numpy(), table.column("weight").to_numpy(), settings.percent)
+    home, other = (table.column(c).to_numpy(zero_copy_only=False) for c in ("home", "other"))
+    region.join(np.flatnonzero(home), np.flatnonzero(other), settings.cell_members, settings.pivots)
     roots = np.array([region.find(x) for x in range(len(ids))], np.int64)
-    other = np.flatnonzero(roots != np.arange(len(ids)))
-    return pa.table({"a": pa.array(ids[other]), "b": pa.array(ids[roots[other]])})
+    tell = home | (roots != np.arange(len(ids)))
+    return pa.table({"a": pa.array(ids[tell]), "b": pa.array(ids[roots[tell]]), "links": pa.array(region.links[tell])})
 
 
-def _settle_large(members: DataFrame, settings: Settings) -> tuple[list[DataFrame], list[DataFrame]]:
-    """Regions too large for a task: ball rounds as jobs.
+def blocks(members: DataFrame, settings: Settings) -> DataFrame:
+    """Members dealt to tasks: region, home_block, other_block, and whether a row is of either block.
 
-    ``members`` has region, set_id, n, shingles.  Returns edges found and
-    member tables (region, set_id, shingles) that are small enough for a task.
+    ``members`` has region, set_id, n, weight, shingles.  A region that fits a task is one block.
     """
-    edges, small, turn = [], [], 0
-    p, near = settings.percent, 2 * settings.percent - 100
-    while True:
-        sizes = members.groupBy("region").agg(F.sum("n").alias("shingle_sum"), F.count(F.lit(1)).alias("sets"))
-        big = written(sizes.filter((F.col("shingle_sum") > settings.region_shingles) & (F.col("sets") > 1))
-                      .select(F.col("region").alias("big"), F.ceil(F.col("shingle_sum") / settings.region_shingles)
-                              .cast("int").alias("deals")), "join-big")
-        small.append(members.join(big, members["region"] == big["big"], "left_anti").select("region", "set_id", "shingles"))
-        if not big.limit(1).count():
-            return edges, small
-        turn += 1
-        large = written(members.join(big, members["region"] == big["big"]).select(
-            "region", "set_id", "n", "shingles", "deals",
-            F.pmod(F.xxhash64("set_id"), F.col("deals").cast("long")).alias("deal")), "join-large")
-        # a few pivots of each region, the same for all its deals
-        least = large.groupBy("region").agg(F.min(F.struct(F.xxhash64("set_id", F.lit(turn)).alias("h"), "set_id")).alias("m"))
-        pivot = written(large.join(least.select(F.col("region").alias("r"), F.col("m.set_id").alias("s")),
-                            (F.col("region") == F.col("r")) & (F.col("set_id") == F.col("s")))
-                        .select("region", F.col("set_id").alias("pivot"), "shingles",
-                                F.explode(F.sequence(F.lit(0).cast("long"), F.col("deals").cast("long") - 1)).alias("deal")), "join-pivots")
-
-        def measure(key, left: pa.Table, right: pa.Table) -> pa.Table:
-            left, right = left.combine_chunks(), right.combine_chunks()
-            own = np.unique(right.column("shingles").combine_chunks().flatten().to_numpy())
-            lists = left.column("shingles").combine_chunks()
-            n = np.diff(lists.offsets.to_numpy()).astype(np.int64)
-            total = np.zeros(int(n.sum()) + 1, np.int64)
-            np.cumsum(np.isin(lists.flatten().to_numpy(), own), out=total[1:])
-            end = np.cumsum(n)
-            inter = total[end] - total[end - n]
-            union = n + len(own) - inter
-            ring = np.where(100 * inter >= p * union, 0, np.where(100 * inter >= near * union, 1, 2))
-            return pa.table({"region": left.column("region"), "set_id": left.column("set_id"),
-                             "n": left.column("n"), "shingles": lists, "deals": left.column("deals"),
-                             "ring": pa.array(ring, pa.int32()),
-                             "pivot": pa.array(np.full(len(n), right.column("pivot")[0].as_py()), pa.int64())})
-
-        seen = written(large.groupBy("region", "deal").cogroup(pivot.groupBy("region", "deal")).applyInArrow(
-            measure, "region long, set_id long, n long, shingles array<long>, deals int, ring int, pivot long"), "join-seen")
-        edges.append(seen.filter("ring = 0 AND set_id != pivot").select(F.col("set_id").alias("a"), F.col("pivot").alias("b")))
-        # the ball is dealt out; the sets around it go to every deal and are joined there
-        around = seen.filter("ring = 1")
-        deal = F.pmod(F.xxhash64("set_id"), F.col("deals").cast("long"))
-        ball = seen.filter("ring = 0").withColumn("deal", deal)
-        copies = around.withColumn("deal", F.explode(F.sequence(F.lit(0).cast("long"), F.col("deals").cast("long") - 1)))
-        has = around.select(F.col("region").alias("edged")).distinct()
-        ball = ball.join(has, ball["region"] == has["edged"], "left_semi")
-        small.append(ball.unionByName(copies).select(F.xxhash64("region", "pivot", "deal").alias("region"), "set_id", "shingles"))
-        members = seen.filter("ring > 0").select("region", "set_id", "n", "shingles")
+    sizes = members.groupBy("region").agg(F.sum("n").alias("shingle_sum"))
+    big = written(sizes.filter(F.col("shingle_sum") > settings.region_shingles).select(
+        F.col("region").alias("big"), F.ceil(2 * F.col("shingle_sum") / settings.region_shingles).cast("int").alias("cuts")),
+        "join-big")
+    cut = members.join(big, members["region"] == big["big"], "left").select(
+        "region", "set_id", "weight", "shingles", F.coalesce("cuts", F.lit(1)).alias("cuts"))
+    cut = cut.withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("cuts").cast("long")).cast("int"))
+    mate = cut.withColumn("mate", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
+    as_home = mate.select("region", F.col("block").alias("home_block"), F.col("mate").alias("other_block"), "set_id", "weight",
+                          "shingles", F.lit(True).alias("home"), (F.col("block") == F.col("mate")).alias("other"))
+    as_other = mate.filter("block != mate").select(
+        "region", F.col("mate").alias("home_block"), F.col("block").alias("other_block"), "set_id", "weight", "shingles",
+        F.lit(False).alias("home"), F.lit(True).alias("other"))
+    return as_home.unionByName(as_other)
 
 
 def sizes_and_ids(docs: DataFrame, settings: Settings) -> DataFrame:
@@ -418,15 +381,16 @@ def tied(docs: DataFrame, settings: Settings) -> DataFrame:
 
 
 def join(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """doc_id, n_shingles, component_id (least doc_id reachable by links) of every row."""
+    """doc_id, n_shingles, component_id (least doc_id reachable by links), n_links (other rows
+    linked to directly) of every row."""
     prepare(docs.sparkSession)
     kind = dict(docs.dtypes)["doc_id"]
     measured = written(sizes_and_ids(docs, settings), "join-sets")
     named = measured.filter("doc_id IS NOT NULL AND n_shingles > 0")
     region_of = components(tied(docs, settings))
-    first = named.groupBy("set_id").agg(F.min("doc_id").alias("first_id"))
+    first = named.groupBy("set_id").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("weight"))
     wanted = written(region_of.join(first, region_of["node"] == first["set_id"])
-                     .select(F.col("root").alias("region"), "set_id", "first_id"), "join-regions")
+                     .select(F.col("root").alias("region"), "set_id", "first_id", "weight"), "join-regions")
 
     def gather(batches):
         for batch in batches:
@@ -437,30 +401,32 @@ def join(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
                 lists = _list(value.view(np.int64), np.append(0, np.cumsum(n)))
                 right = pa.array(ids.view(np.int64) == part.column("set_id").to_numpy())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("region"), part.column("set_id"), pa.array(n, pa.int64()), lists],
-                    ["region", "set_id", "n", "shingles"]).filter(right)
+                    [part.column("region"), part.column("set_id"), pa.array(n, pa.int64()), part.column("weight"), lists],
+                    ["region", "set_id", "n", "weight", "shingles"]).filter(right)
 
     texts = docs.select("doc_id", "text")
     if wanted.count() <= BROADCAST_ROWS:       # else both sides are shuffled
         wanted = F.broadcast(wanted)
-    members = (texts.join(wanted, texts["doc_id"] == wanted["first_id"]).select("region", "set_id", "text")
-               .mapInArrow(gather, "region long, set_id long, n long, shingles array<long>"))
+    members = (texts.join(wanted, texts["doc_id"] == wanted["first_id"]).select("region", "set_id", "weight", "text")
+               .mapInArrow(gather, "region long, set_id long, n long, weight long, shingles array<long>"))
     members = written(members.dropDuplicates(["set_id"]), "join-members")
-    found, small = _settle_large(members, settings)
-    for table in small:
-        found.append(table.groupBy("region").applyInArrow(lambda t: region_edges(t, settings), "a long, b long"))
-    linked = found[0]
-    for more in found[1:]:
-        linked = linked.unionByName(more)
-    root_of = components(linked)
-    keyed = written(named.join(root_of, named["set_id"] == root_of["node"], "left")
-                    .select("doc_id", "n_shingles", F.coalesce("root", "set_id").alias("class_id")), "join-classes")
+    found = written(blocks(members, settings).groupBy("region", "home_block", "other_block").applyInArrow(
+        lambda t: region_links(t, settings), "a long, b long, links long"), "join-links")
+    root_of = components(found.select("a", "b"))
+    links = found.groupBy(F.col("a").alias("linked")).agg(F.sum("links").alias("links"))
+    group = first.select(F.col("set_id").alias("set"), "weight")
+    classes = written(group.join(root_of, group["set"] == root_of["node"], "left").join(links, group["set"] == links["linked"], "left")
+                      .select("set", F.coalesce("root", "set").alias("class_id"),
+                              (F.coalesce("links", "weight") - 1).alias("n_links")), "join-sets-linked")
+    keyed = written(named.join(classes, named["set_id"] == classes["set"])
+                    .select("doc_id", "n_shingles", "class_id", "n_links"), "join-classes")
     least = written(keyed.groupBy("class_id").agg(F.min("doc_id").alias("component_id"))
                     .select(F.col("class_id").alias("class"), "component_id"), "join-least")
     # both sides are exchanged for this join, so the rows of a hot class can be split
-    whole = keyed.join(least, keyed["class_id"] == least["class"]).select("doc_id", "n_shingles", "component_id")
+    whole = keyed.join(least, keyed["class_id"] == least["class"]).select("doc_id", "n_shingles", "component_id", "n_links")
     alone = measured.filter("doc_id IS NULL OR n_shingles = 0").select(
-        "doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).cast(kind).alias("component_id"))
+        "doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).cast(kind).alias("component_id"),
+        F.lit(0).cast("long").alias("n_links"))
     return whole.unionByName(alone)
 
 

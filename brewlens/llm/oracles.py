@@ -86,7 +86,7 @@ s AS MATERIALIZED (
 n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 -- sets of equal content first, so that copies meet once
 sets AS MATERIALIZED (SELECT doc_id, md5(string_agg(g, chr(10) ORDER BY g)) AS k FROM s GROUP BY doc_id),
-first AS MATERIALIZED (SELECT k, min(doc_id) AS rep FROM sets GROUP BY k),
+first AS MATERIALIZED (SELECT k, min(doc_id) AS rep, count(*) AS copies FROM sets GROUP BY k),
 fs AS MATERIALIZED (SELECT s.doc_id, s.g FROM s JOIN first ON s.doc_id = first.rep),
 links AS MATERIALIZED (
   SELECT p.a, p.b FROM (
@@ -98,10 +98,12 @@ reach AS (
   SELECT rep AS a, rep AS b FROM first
   UNION
   SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
-comp AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
-SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(comp.component_id, d.doc_id) AS component_id
+comp AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+near AS (SELECT links.a, sum(first.copies) AS n FROM links JOIN first ON first.rep = links.b GROUP BY links.a)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(comp.component_id, d.doc_id) AS component_id,
+  (coalesce(first.copies - 1, 0) + coalesce(near.n, 0))::BIGINT AS n_links
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN sets USING (doc_id) LEFT JOIN first USING (k)
-LEFT JOIN comp ON comp.a = first.rep
+LEFT JOIN comp ON comp.a = first.rep LEFT JOIN near ON near.a = first.rep
 """
 
 # --------------------------------------------------------------------- op4
