@@ -348,7 +348,7 @@ def tied(docs: DataFrame, settings: Settings) -> DataFrame:
                 # one of equal sets is enough
                 fresh = np.zeros(part.num_rows, bool)
                 fresh[np.unique(ids, return_index=True)[1]] = True
-                fresh &= ~np.isin(ids, seen) & part.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
+                fresh &= ~np.isin(ids, seen)
                 use = fresh[doc]
                 n = np.where(fresh, n, 0)
                 d, s = ties(doc[use], value[use], n, settings.percent, often)
@@ -387,7 +387,8 @@ def join(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     kind = dict(docs.dtypes)["doc_id"]
     measured = written(sizes_and_ids(docs, settings), "join-sets")
     named = measured.filter("doc_id IS NOT NULL AND n_shingles > 0")
-    region_of = components(tied(docs, settings))
+    # rows without id link nothing: they must not stand for the equal sets of rows that have one
+    region_of = components(tied(docs.filter("doc_id IS NOT NULL"), settings))
     first = named.groupBy("set_id").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("weight"))
     wanted = written(region_of.join(first, region_of["node"] == first["set_id"])
                      .select(F.col("root").alias("region"), "set_id", "first_id", "weight"), "join-regions")
