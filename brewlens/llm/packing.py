@@ -3,7 +3,8 @@
 Documents are dealt by hash into shards of a few thousand; a shard is packed
 by best-fit decreasing.  A bin carries two bitmaps: places taken per source
 (at most ``per_source`` documents of one source share a bin) and the duplicate
-clusters it holds (copies of one text never share a bin).  Open bins are kept
+clusters it holds (texts of one cluster never share a bin; by default that is
+copies of one text, with ``near_clusters`` all near copies).  Open bins are kept
 in the order of their room left; an item starts at the successor of its own
 size and walks on until a bin is compatible, which is then the tightest one.
 
@@ -23,10 +24,11 @@ from __future__ import annotations
 from bisect import bisect_left, insort
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brewlens.llm.common import prepare
+from brewlens.llm import ngram_join
+from brewlens.llm.common import prepare, written
 from brewlens.llm.mixing import n_words
 
 CAPACITY = 4096
@@ -34,10 +36,27 @@ PER_SOURCE = 8
 SHARD_DOCS = 4096
 
 
-def items(docs: DataFrame) -> DataFrame:
-    """doc_id, n_tokens (words and an end token), source, cluster (hash of the text) of every document."""
+def text_hash() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
+def near_clusters(docs: DataFrame, settings: ngram_join.Settings = ngram_join.Settings()) -> DataFrame:
+    """doc_id, text, source, near_cluster of every document: the least text hash of its class in the
+    n-gram join.  Classes are matched by the text, so rows without id or with equal ids have theirs."""
+    docs = docs.select("doc_id", "text", "source")
+    named = ngram_join.join(docs.select(text_hash().alias("doc_id"), "text"), settings)
+    classes = named.select(F.col("doc_id").alias("named"), F.col("component_id").alias("near_cluster")).distinct()
+    return docs.withColumn("hash", text_hash()).join(classes, F.col("hash") == F.col("named")).drop("hash", "named")
+
+
+def items(docs: DataFrame, cluster: str | None = None) -> DataFrame:
+    """doc_id, n_tokens (words and an end token), source, cluster of every document.
+
+    ``cluster`` names the column that holds it (null: conflicts with nothing); by default it is
+    the hash of the text.
+    """
     return docs.select("doc_id", (n_words(F.col("text")) + 1).alias("n_tokens"), "source",
-                       F.xxhash64(F.coalesce("text", F.lit(""))).alias("cluster"))
+                       (text_hash() if cluster is None else F.col(cluster)).alias("cluster"))
 
 
 def best_fit(sized: list[tuple[int, int, int]], capacity: int, per_source: int) -> list[int]:
@@ -117,5 +136,6 @@ def pack(sized: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOURC
         run, f"bin_id long, doc_id {kind}, piece int, start long, n_tokens long, source string, cluster long")
 
 
-def pack_documents(docs: DataFrame, **options) -> DataFrame:
-    return pack(items(docs), **options)
+def pack_documents(docs: DataFrame, cluster: str | None = None, **options) -> DataFrame:
+    # dealt and counted from a written table: the classes are joined once
+    return pack(items(docs, cluster) if cluster is None else written(items(docs, cluster), "pack-items"), **options)

@@ -55,7 +55,7 @@ def op5_mixing_sources(spark, sf_dir):
 
 
 def op6_best_fit_packing(spark, sf_dir):
-    return packing.pack_documents(documents(spark, sf_dir))
+    return packing.pack_documents(packing.near_clusters(documents(spark, sf_dir)), cluster="near_cluster")
 
 
 def op7_token_wavelet(spark, sf_dir):
