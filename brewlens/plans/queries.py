@@ -159,9 +159,9 @@ def not_exists(spark, sf_dir):
 def clean_text(spark, sf_dir):
     d = S.table(spark, sf_dir, "documents").select(
         F.lit("doc").alias("kind"), F.col("doc_id").alias("id"), T.clean_text("text").alias("cleaned"))
-    p = S.table(spark, sf_dir, "pages").select(
+    p = MN.page_fields(S.table(spark, sf_dir, "pages")).select(
         F.lit("page").alias("kind"), F.col("page_id").alias("id"),
-        T.clean_text(F.concat_ws(" ", "url", S.page_title(F.col("html")))).alias("cleaned"))
+        T.clean_text(F.concat_ws(" ", "url", "page_text")).alias("cleaned"))
     u = d.unionByName(p)
     return u.select("kind", "id", "cleaned", F.length("cleaned").cast("long").alias("n"))
 
@@ -170,9 +170,9 @@ def min_len(spark, sf_dir):
     d = S.table(spark, sf_dir, "documents").select(
         F.lit("doc").alias("kind"), F.col("doc_id").alias("id"),
         T.post_text(F.lit(None).cast("string"), F.col("text")).alias("t"))
-    p = S.table(spark, sf_dir, "pages").select(
+    p = MN.page_fields(S.table(spark, sf_dir, "pages")).select(
         F.lit("page").alias("kind"), F.col("page_id").alias("id"),
-        T.post_text(S.page_title(F.col("html")), F.lit(None).cast("string")).alias("t"))
+        T.post_text(S.page_title(F.col("html")), F.col("page_text")).alias("t"))
     u = d.unionByName(p)
     return (u.where(F.length("t") >= LX.MIN_TEXT_CHARS)
             .select("kind", "id", F.length("t").cast("long").alias("n")))
@@ -735,10 +735,9 @@ REGISTRY["menu_links"] = menu_links
 
 def lexicon_table_hits(spark, sf_dir):
     """Whole-word hits of a lexicon table derived from the benchmark passages:
-    all their words and word pairs, and their opening four words."""
+    all their words, word pairs and four-word runs."""
     b = S.table(spark, sf_dir, "benchmark").select(X.words_of(F.col("text")).alias("w"))
-    lexicon = b.select(F.explode_outer(X.word_ngrams(F.col("w"), 2)).alias("term")).unionByName(
-        b.where(F.size("w") >= 4).select(F.array_join(F.slice("w", 1, 4), " ").alias("term"))).where(F.col("term").isNotNull())
+    lexicon = b.select(F.explode_outer(X.word_ngrams(F.col("w"), (1, 2, 4))).alias("term")).where(F.col("term").isNotNull())
     docs = S.table(spark, sf_dir, "documents").select("doc_id", "text")
     return X.lexicon_join(docs, "doc_id", "text", lexicon)
 
