@@ -178,6 +178,92 @@ FROM (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256 FROM documents)
 WINDOW same AS (PARTITION BY text_sha256)
 """
 
+# --------------------------------------------------------------------- crc32
+# FIXED VALUES: the crc32 of the sixteen half bytes (reflected polynomial 0xEDB88320)
+_NIBBLES = ("[0, 498536548, 997073096, 651767980, 1994146192, 1802195444, 1303535960, 1342533948, "
+            "3988292384, 4027552580, 3604390888, 3412177804, 2607071920, 2262029012, 2685067896, 3183342108]")
+
+
+def _crc32(codes: str) -> str:
+    """Unsigned crc32 of a list of bytes, half a byte at a time."""
+    half = f"xor(c >> 4, {_NIBBLES}[((c & 15) + 1)::INT]::BIGINT)"
+    return (f"xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform({codes}, lambda b: [b::BIGINT, -1::BIGINT]))), "
+            f"lambda s, b: list_transform([CASE WHEN b < 0 THEN s ELSE xor(s, b) END], lambda c: {half})[1]), 4294967295::BIGINT)")
+
+
+# --------------------------------------------------------------------- op11
+OP11 = rf"""
+WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents),
+h AS (SELECT doc_id, {_crc32("list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x))")} AS h FROM documents),
+g AS (SELECT doc_id, w, len(w) AS n, h % 10 = 0 AND len(w) > 0 AS changed, h // 10 AS g FROM d JOIN h USING (doc_id)),
+a AS (SELECT *, CASE WHEN changed THEN g % n END AS a FROM g),
+p AS (SELECT *, CASE WHEN changed THEN 1 + (n - a) // (3 + g % 8) END AS p FROM a),
+o AS MATERIALIZED (
+  SELECT doc_id, i, CASE WHEN changed AND i >= a THEN w[a + (i - a) % p + 1] ELSE w[i + 1] END AS x
+  FROM (SELECT *, unnest(range(0, n)) AS i FROM p)),
+grams AS (
+  SELECT doc_id, i, x || ' ' || lead(x, 1) OVER s || ' ' || lead(x, 2) OVER s || ' ' || lead(x, 3) OVER s
+    || ' ' || lead(x, 4) OVER s || ' ' || lead(x, 5) OVER s AS six
+  FROM o WINDOW s AS (PARTITION BY doc_id ORDER BY i)),
+again AS (
+  SELECT b.doc_id, b.i, c.i - b.i AS q FROM grams b JOIN grams c
+  ON b.doc_id = c.doc_id AND b.six = c.six AND b.i < c.i),
+islands AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM again),
+stretch AS (
+  SELECT doc_id, q, min(i) AS start, count(*) + 5 + q AS length FROM islands GROUP BY doc_id, q, island
+  HAVING count(*) + 5 + q >= greatest(12, 2 * q)),
+runs AS MATERIALIZED (SELECT doc_id, start, length, min(q) AS period FROM stretch GROUP BY doc_id, start, length),
+told AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS t
+  FROM runs GROUP BY doc_id),
+best AS (SELECT doc_id, start, length, period FROM runs
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length DESC, start, period) = 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (
+  SELECT o.doc_id, string_agg(o.x, ' ' ORDER BY o.i) AS t FROM o LEFT JOIN gone ON gone.doc_id = o.doc_id AND gone.i = o.i
+  WHERE gone.i IS NULL GROUP BY o.doc_id)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(told.n_runs, 0)::BIGINT AS n_runs, best.start::BIGINT AS start,
+  best.length::BIGINT AS length, best.period::BIGINT AS period, (1000 * best.length // best.period)::BIGINT AS exponent_milli,
+  sha256(coalesce(told.t, '')) AS runs_sha256, sha256(coalesce(kept.t, '')) AS collapsed_sha256
+FROM d LEFT JOIN told ON told.doc_id = d.doc_id LEFT JOIN best ON best.doc_id = d.doc_id
+  LEFT JOIN kept ON kept.doc_id = d.doc_id
+"""
+
+# --------------------------------------------------------------------- op12
+_LOWERED = "translate(r, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_BYTES = ("flatten(list_transform(string_split(doc_id::VARCHAR || ':' || r, ''), "
+          "lambda x: CASE WHEN ord(x) < 128 THEN [ord(x)] ELSE [195, ord(x) - 64] END))")
+
+OP12 = rf"""
+WITH RECURSIVE found AS (
+  SELECT doc_id, {_LOWERED} AS r, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')) AS r FROM documents)
+  GROUP BY ALL HAVING length(r) >= 6),
+digest AS (SELECT r, n, {_crc32(_BYTES)} AS h FROM found),
+vocab AS MATERIALIZED (
+  SELECT w, sum(n)::BIGINT AS n
+  FROM (SELECT CASE WHEN h % 199 = 0 THEN substr(r, 1, (h % length(r))::INT) || substr(r, (h % length(r))::INT + 2) ELSE r END AS w, n
+        FROM digest)
+  WHERE length(w) >= 6 GROUP BY w HAVING sum(n) >= 5),
+place AS (SELECT w, n, unnest(range(1, length(w) + 1)) AS i FROM vocab),
+cut AS MATERIALIZED (SELECT w, n, i, substr(w, 1, i::INT - 1) AS pre, substr(w, i::INT + 1) AS post FROM place),
+pair AS (
+  SELECT a.w, b.w AS v, b.n FROM cut a JOIN cut b ON a.i = b.i AND a.pre = b.pre AND a.post = b.post AND a.w <> b.w
+  UNION SELECT c.w, v.w, v.n FROM cut c JOIN vocab v ON v.w = c.pre || c.post
+  UNION SELECT v.w, c.w, c.n FROM cut c JOIN vocab v ON v.w = c.pre || c.post),
+near AS (SELECT w, count(*) AS n_near FROM pair GROUP BY w),
+top AS (SELECT w, v, n FROM pair QUALIFY row_number() OVER (PARTITION BY w ORDER BY n DESC, v) = 1),
+form AS MATERIALIZED (
+  SELECT vocab.w, CASE WHEN top.n >= 5 * vocab.n THEN top.v END AS form, CASE WHEN top.n >= 5 * vocab.n THEN top.n END AS form_n
+  FROM vocab LEFT JOIN top USING (w)),
+climb(w, top) AS (
+  SELECT w, w FROM vocab
+  UNION ALL SELECT climb.w, form.form FROM climb JOIN form ON form.w = climb.top WHERE form.form IS NOT NULL)
+SELECT vocab.w AS word, form.form, climb.top AS root, vocab.n, coalesce(near.n_near, 0)::BIGINT AS n_near, form.form_n::BIGINT AS form_n
+FROM vocab JOIN form USING (w) LEFT JOIN near USING (w) JOIN climb ON climb.w = vocab.w
+  JOIN form last ON last.w = climb.top AND last.form IS NULL
+"""
+
 ORACLES = {
     "op1_lm_scoring": OP1,
     "op2_quality_rules": OP2,
@@ -185,4 +271,6 @@ ORACLES = {
     "op4_chat_formatting": OP4,
     "op5_mixing_sources": OP5,
     "op8_exact_dedup": OP8,
+    "op11_periodic_runs": OP11,
+    "op12_spelling_variants": OP12,
 }

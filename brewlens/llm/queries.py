@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brewlens.llm import (chat, digest_index, lm_score, mixing, ngram_join, packing, quality_classifier, rules,
-                          toxicity, wavelet)
+from brewlens.llm import (chat, digest_index, edit_fingerprint, lm_score, mixing, ngram_join, packing, periodic_runs,
+                          quality_classifier, rules, spelling, toxicity, wavelet)
 from brewlens.llm.common import read_table
 from brewlens.llm.oracles import ORACLES  # noqa: F401
 
@@ -75,6 +75,18 @@ def op10_toxicity(spark, sf_dir):
     return toxicity.classify(documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
 
 
+def op11_periodic_runs(spark, sf_dir):
+    return periodic_runs.report(periodic_runs.planted(documents(spark, sf_dir)))
+
+
+def op12_spelling_variants(spark, sf_dir):
+    return spelling.variants(documents(spark, sf_dir))
+
+
+def op13_edit_fingerprints(spark, sf_dir):
+    return edit_fingerprint.compare_with_next(documents(spark, sf_dir))
+
+
 REGISTRY = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_quality_rules": op2_quality_rules,
@@ -86,4 +98,7 @@ REGISTRY = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_toxicity": op10_toxicity,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_edit_fingerprints": op13_edit_fingerprints,
 }
