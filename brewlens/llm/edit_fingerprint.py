@@ -14,10 +14,10 @@ length, chance agreement (1 in 16) is taken off.  For search, digits sampled
 from the two longest whole octaves make bands; texts that share a band are
 candidates, and the likeness verifies them.
 
-Spark.  Texts are dealt by ranges of the id and sorted once; a row is compared
-with its successor as the rows stream by, so a task holds two texts.  The last
-row of a range is finished from the first of the next, in a second small job
-on rows of which there is one per range.
+Spark.  Ids that occur, chosen by their hash, cut the order of ids into ranges;
+each range also gets a copy of the first row of the next one.  Texts are
+exchanged once, by range, and sorted; a row is compared with its successor as
+the rows stream by, so a task holds two texts.
 
 Defined cases: null text is empty; empty texts are alike (1) and unlike all
 others (0); rows are ordered by id (null first), equal ids by text; a single
@@ -29,13 +29,13 @@ from __future__ import annotations
 
 import hashlib
 import random
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from functools import cache
 from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brewlens.llm.common import prepare, shuffle_partitions, written
@@ -206,7 +206,10 @@ def search(queries: DataFrame, prints: DataFrame, least: float = 0.7) -> DataFra
     Equal fingerprints are folded before the bands are made, so a group of copies is one row of a
     band; the band is an ordinary join key that adaptive execution can split.
     """
-    keys = F.udf(band_keys, "array<string>")
+    @F.arrow_udf("array<string>")
+    def keys(prints: pa.Array) -> pa.Array:
+        return pa.array([band_keys(x) for x in prints.to_pylist()], pa.list_(pa.string()))
+
     folded = written(prints.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n_docs")), "fingerprints")
     banded = folded.select("fingerprint", "n_docs", F.explode(keys("fingerprint")).alias("band"))
     asked = queries.select("fingerprint").distinct().select(F.col("fingerprint").alias("asked"),
@@ -247,58 +250,57 @@ class _Row:
                 not self.bands.isdisjoint(band_keys(edited)), not self.bands.isdisjoint(after.bands))
 
 
+def range_starts(docs: DataFrame, ranges: int, first) -> list:
+    """At most ``ranges - 1`` ids that occur, ascending, which cut the ids into ranges of about one size.
+
+    They come from a sample by hash of the distinct ids, a few for each range; ``first``, the id that all rows
+    begin with, is not one of them, so no range is empty.
+    """
+    ids = docs.select("doc_id").dropna().distinct()
+    some = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(16 * ranges).collect()
+    some = sorted(r["doc_id"] for r in some)
+    return sorted({some[k * len(some) // ranges] for k in range(1, ranges) if some} - {first})
+
+
 def compare_with_next(docs: DataFrame) -> DataFrame:
     """Every row with its edited text (the second half replaced by the start of the next document) and the
     likeness of its fingerprint to that text's and to the next document's."""
     spark = docs.sparkSession
     prepare(spark)
+    ranges = shuffle_partitions(spark)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     result = (f"doc_id {id_type}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
               "near_edited double, near_next double, edited_banded boolean, next_banded boolean")
     kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.bool_(), pa.bool_()]
-    ordered = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-               .repartitionByRange(shuffle_partitions(spark), "doc_id").sortWithinPartitions("doc_id", "text"))
-
-    def arrow(rows, id_kind):
-        return [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[] for _ in RESULT], [id_kind, *kinds])]
+    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    ends = docs.agg(F.min("doc_id").alias("least"), F.count_if(F.col("doc_id").isNull()).alias("nulls")).first()
+    first = None if ends["nulls"] else ends["least"]
+    starts = range_starts(docs, ranges, first)
+
+    @F.arrow_udf("int")
+    def range_of(ids: pa.Array) -> pa.Array:
+        return pa.array([0 if x is None else bisect_right(starts, x) for x in ids.to_pylist()], pa.int32())
+
+    rows = docs.withColumn("part", range_of("doc_id")).withColumn("extra", F.lit(False))
+    # the first row of each range goes to the range before, that of the first range to the last
+    heads = spark.createDataFrame([(x, k) for k, x in enumerate(starts)] + [(first, len(starts))], f"head {id_type}, part int")
+    extra = (docs.join(F.broadcast(heads), docs["doc_id"].eqNullSafe(heads["head"]))     # one row a range
+             .groupBy("part").agg(F.min("text").alias("text"))
+             .select(F.lit(None).cast(id_type).alias("doc_id"), "text", "part", F.lit(True).alias("extra")))
+    ordered = rows.unionByName(extra).repartitionByRange(ranges, "part").sortWithinPartitions("part", "extra", "doc_id", "text")
 
     def run(batches):
-        from pyspark import TaskContext
-        part, before, id_kind = TaskContext.get().partitionId(), None, None
-
-        def out(rows, ends=(None, None, None)):
-            # ends: the range, whether its first, whether its last row; only these keep their text
-            extra = [pa.array([x] * len(rows), t) for x, t in zip(ends, (pa.int32(), pa.string(), pa.string()))]
-            return pa.RecordBatch.from_arrays(arrow(rows, id_kind) + extra, RESULT + ["part", "first_text", "last_text"])
-
+        before, open_part = None, None
         for batch in batches:
-            id_kind, rows = batch.schema.field("doc_id").type, []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
+            out = []
+            for doc_id, text, part, extra in zip(*(batch.column(c) if c == "text" else batch.column(c).to_pylist()
+                                                   for c in ("doc_id", "text", "part", "extra"))):
                 row = _Row(doc_id, text.as_py())
-                if before is None:
-                    yield out([(doc_id, *[None] * len(kinds))], (part, row.text, None))
-                else:
-                    rows.append(before.against(row))
-                before = row
-            yield out(rows)
-        if before is not None:
-            yield out([(before.doc_id, *[None] * len(kinds))], (part, None, before.text))
-
-    done = written(ordered.mapInArrow(run, result + ", part int, first_text string, last_text string"), "edit-fingerprints")
-    # one row per range: the last of each meets the first of the next, after the last range comes the first
-    firsts = done.filter("first_text IS NOT NULL").select(F.col("part").alias("first_part"), "first_text")
-    every = Window.orderBy("first_part")
-    whole = every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    follow = firsts.select("first_part", F.coalesce(F.lead("first_part").over(every), F.min("first_part").over(whole))
-                           .alias("follows"))
-    lasts = done.filter("last_text IS NOT NULL").select("doc_id", "part", "last_text")
-    ends = (lasts.join(follow, lasts["part"] == follow["first_part"]).drop("first_part")
-            .join(firsts, F.col("follows") == F.col("first_part")).select("doc_id", "last_text", "first_text"))
-
-    def finish(batches):
-        for batch in batches:
-            rows = [_Row(d, a.as_py()).against(_Row(None, b.as_py())) for d, a, b in
-                    zip(batch.column("doc_id").to_pylist(), batch.column("last_text"), batch.column("first_text"))]
-            yield pa.RecordBatch.from_arrays(arrow(rows, batch.schema.field("doc_id").type), RESULT)
+                if before is not None and part == open_part:
+                    out.append(before.against(row))
+                before, open_part = None if extra else row, part
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*out) if out else [[] for _ in RESULT],
+                                                [batch.schema.field("doc_id").type, *kinds])], RESULT)
 
-    return done.filter("part IS NULL").select(*RESULT).unionByName(ends.mapInArrow(finish, result))
+    return ordered.mapInArrow(run, result)
