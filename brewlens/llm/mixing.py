@@ -1,20 +1,27 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
 Documents are folded into cells (source, language, topic) with their token
-counts.  Raking scales the cells' weights until the weighted tokens meet the
-target share of every source, language and topic.  The weights, scaled to a
-token budget and cut at 1, are the probabilities by which documents are drawn.
-A draw depends on the id alone, so it repeats on any cluster.
-
-The cells stay a DataFrame: sums are grouped with partial aggregation and
-joined back on the marginal's value, and each round is written to the shared
-checkpoint folder.  Only two numbers per step of the budget search go to the
-driver.
+counts.  Every value of a dimension has a factor; a cell's documents are drawn
+with probability ``min(1, product of its three factors)``.  Raking goes over
+the dimensions in turn and sets each factor so that the expected tokens of its
+value meet their target, with the cells that are cut at 1 counted as they are,
+so cutting does not spoil what was fitted.  It ends when a whole round finds
+every value within TOLERANCE of its target, and if some target cannot be met
+together with the others, when rounds no longer bring the largest error down.
+
+Targets are shares of the token budget.  A value that has fewer tokens than
+its share asks for gives all it has, and the others share the rest
+(``targets``), so single targets are always within reach.
+
+The cells and the factors stay DataFrames: sums are grouped with partial
+aggregation, and only the small factor tables are written in each step.  One
+number per round goes to the driver.  A draw depends on the id alone, so it
+repeats on any cluster.
 
 Defined cases: null source, language or topic is a value of its own; null or
-empty text has 0 tokens and its cell's probability; equal ids are drawn
-together; an empty table gives no rows; other columns ride along in
-``sample``.
+empty text has 0 tokens and its cell's probability; a value without tokens
+keeps the factor it starts with; equal ids are drawn together; an empty table
+gives no rows; other columns ride along in ``sample``.
 """
 
 from __future__ import annotations
@@ -27,9 +34,10 @@ from pyspark.sql import functions as F
 from brewlens.llm.common import written
 
 DIMENSIONS = {"source": 0.7, "lang": 0.8, "topic": 0.9}   # target share ~ (token share) ** exponent
-ROUNDS = 10
 BUDGET = 0.6            # share of all tokens to draw
-BUDGET_STEPS = 8
+TOLERANCE = 1e-4        # of a target, for every value
+STALLED = 0.99          # a round that leaves so much of the best error so far is of no use,
+PATIENCE = 3            # and after so many in a row the targets cannot be met together
 SPACE = " \t\n\x0b\x0c\r"
 
 
@@ -56,47 +64,72 @@ def measured(docs: DataFrame) -> DataFrame:
                           topic_of(F.col("row.text"), F.col("n_tokens")).alias("topic"), "n_tokens")
 
 
-def tempered_targets(cells: DataFrame, dimension: str, exponent: float) -> DataFrame:
-    """Target tokens per value: shares to the power of the exponent, scaled back to all tokens."""
-    shares = cells.groupBy(dimension).agg(F.sum("tokens").cast("double").alias("t"))
-    raised = shares.select(F.col(dimension).alias("value"), F.pow(F.col("t"), F.lit(exponent)).alias("raised"), "t")
-    total = raised.agg(F.sum("raised").alias("raised"), F.sum("t").alias("t")).first()     # two numbers
-    return raised.select("value", (F.col("raised") / F.lit(total["raised"] or 1.0) * F.lit(total["t"] or 0.0)).alias("target"))
+def targets(cells: DataFrame, dimension: str, exponent: float, budget: float) -> DataFrame:
+    """(value, target): tokens to draw of each value.
 
+    Shares go by the tokens to the power of the exponent.  Values whose share is more than they have give all
+    of it; what is missing is shared by the others, until no further value is short.
+    """
+    have = written(cells.groupBy(F.col(dimension).alias("value")).agg(F.sum("tokens").cast("double").alias("have"))
+                   .withColumn("raised", F.pow("have", F.lit(exponent))), "mix-have")
+    scale, short = None, -1
+    while True:
+        full = F.lit(False) if scale is None else F.col("raised") * scale >= F.col("have")
+        got = have.agg(F.sum("have").alias("all"), F.sum(F.when(full, F.col("have"))).alias("full"),
+                       F.sum(F.when(~full, F.col("raised"))).alias("open"),
+                       F.count_if(full).alias("short")).first()           # four numbers
+        if not got["open"] or got["short"] == short:
+            break
+        scale, short = (budget * got["all"] - (got["full"] or 0.0)) / got["open"], got["short"]
+    return have.select("value", F.least("have", F.col("raised") * F.lit(scale or 0.0)).alias("target"))
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
-    """Cells with ``weight``: one pass over all marginals a round.
 
-    ``targets`` maps a dimension to (value, target tokens).  A value without a
-    target, or with no weighted tokens, keeps its weight.
-    """
-    fitted = cells.withColumn("weight", F.lit(1.0))
-    for _ in range(rounds):
-        for dimension, target in targets.items():
-            sums = fitted.groupBy(F.col(dimension).alias("value")).agg(F.sum(F.col("tokens") * F.col("weight")).alias("now"))
-            ratio = (sums.join(target.withColumnRenamed("value", "wanted"), F.col("value").eqNullSafe(F.col("wanted")))
-                     .filter("now > 0").select(F.col("value"), (F.col("target") / F.col("now")).alias("ratio")))
-            fitted = (fitted.join(ratio, F.col(dimension).eqNullSafe(F.col("value")), "left")
-                      .withColumn("weight", F.col("weight") * F.coalesce("ratio", F.lit(1.0))).drop("value", "ratio"))
-        fitted = written(fitted, "rake")
-    return fitted
-
-
-def budgeted(fitted: DataFrame, budget: float, steps: int = BUDGET_STEPS) -> DataFrame:
-    """Cells with ``probability`` = min(1, scale * weight).
-
-    The scale is raised until the expected tokens meet the budget: cells cut
-    at 1 give what they have, the others share the rest.
+def _named(factors: dict[str, DataFrame], cells: DataFrame) -> DataFrame:
+    """The cells with a column factor_<dimension> for each."""
+    for d, f in factors.items():
+        f = f.select(F.col("value").alias(f"value_{d}"), F.col("factor").alias(f"factor_{d}"))
+        cells = cells.join(f, F.col(d).eqNullSafe(F.col(f"value_{d}"))).drop(f"value_{d}")
+    return cells
+
+
+def _product(dimensions) -> Column:
+    return reduce(lambda a, b: a * b, [F.col(f"factor_{d}") for d in dimensions])
+
+
+def rake(cells: DataFrame, wanted: dict[str, DataFrame], start: float, tolerance: float = TOLERANCE) -> dict[str, DataFrame]:
+    """(value, target, factor, error) for each dimension; ``error`` is the relative distance of the value's expected
+    tokens from its target as the last round found it.
+
+    ``cells`` has the dimensions and tokens, ``wanted`` maps a dimension to (value, target tokens).
     """
-    scale = None
-    for _ in range(steps):
-        full = F.lit(False) if scale is None else F.col("weight") * scale >= 1
-        got = fitted.agg(F.sum("tokens").alias("all"), F.sum(F.when(full, F.col("tokens"))).alias("full"),
-                         F.sum(F.when(~full, F.col("weight") * F.col("tokens"))).alias("open")).first()
-        if not got["open"]:
-            break
-        scale = (budget * got["all"] - (got["full"] or 0)) / got["open"]
-    return fitted.withColumn("probability", F.least(F.lit(1.0), F.col("weight") * F.lit(scale or 1.0)))
+    factors = {d: t.select("value", "target", F.lit(start if k == 0 else 1.0).alias("factor"))
+               for k, (d, t) in enumerate(wanted.items())}
+    best, idle = None, 0
+    while True:
+        for d in wanted:
+            fitted = _named(factors, cells)
+            tokens, now = F.col("tokens"), _product(wanted)
+            # expected tokens are a sum of min(tokens, factor * others * tokens), which is concave in the
+            # factor; both quotients are tangents' answers, never above the right one, and the second is exact
+            # once the cells that are cut are known
+            other = _product([x for x in wanted if x != d]) if len(wanted) > 1 else F.lit(1.0)
+            sums = fitted.groupBy(F.col(d).alias("summed")).agg(
+                F.sum(other * tokens).alias("plain"), F.sum(F.least(F.lit(1.0), now) * tokens).alias("drawn"),
+                F.sum(F.when(now >= 1, tokens).otherwise(0)).alias("cut"),
+                F.sum(F.when(now < 1, other * tokens).otherwise(0.0)).alias("open"))
+            told = factors[d].join(sums, F.col("value").eqNullSafe(F.col("summed")))
+            exact = F.when(F.col("open") > 0, (F.col("target") - F.col("cut")) / F.col("open"))
+            fit = F.greatest(F.col("target") / F.col("plain"), exact)
+            miss = F.when(F.col("target") > 0, F.abs(F.col("drawn") / F.col("target") - 1)).otherwise(0.0)
+            # where all is cut and the target is all there is, the factor stays
+            factors[d] = written(told.select(
+                "value", "target", F.when((F.col("plain") > 0) & (miss > 1e-12), fit).otherwise(F.col("factor")).alias("factor"),
+                miss.alias("error")), "mix-factors")
+        error = reduce(DataFrame.unionByName, [f.select("error") for f in factors.values()]).agg(F.max("error")).first()[0] or 0.0
+        idle = 0 if best is None or error < STALLED * best else idle + 1
+        best = error if best is None else min(best, error)
+        if error <= tolerance or idle >= PATIENCE:
+            return factors
 
 
 def draw(doc_id: Column, seed: str) -> Column:
@@ -105,12 +138,13 @@ def draw(doc_id: Column, seed: str) -> Column:
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
-def cell_probabilities(each: DataFrame, dimensions: dict[str, float], budget: float, rounds: int) -> DataFrame:
-    """One row a cell: cell_<dimension>, weight, probability."""
+def cell_probabilities(each: DataFrame, dimensions: dict[str, float], budget: float) -> DataFrame:
+    """One row a cell: cell_<dimension>, weight, probability.  The weight is the uncut probability over the budget."""
     cells = written(each.groupBy(*dimensions).agg(F.sum("n_tokens").alias("tokens")), "mix-cells")
-    targets = {d: written(tempered_targets(cells, d, e), "mix-target") for d, e in dimensions.items()}
-    return written(budgeted(rake(cells, targets, rounds), budget).select(
-        *[F.col(d).alias(f"cell_{d}") for d in dimensions], "weight", "probability"), "mix-probabilities")
+    wanted = {d: written(targets(cells, d, e, budget), "mix-target") for d, e in dimensions.items()}
+    fitted = _named(rake(cells, wanted, budget), cells).withColumn("uncut", _product(dimensions))
+    return written(fitted.select(*[F.col(d).alias(f"cell_{d}") for d in dimensions], (F.col("uncut") / budget).alias("weight"),
+                                 F.least(F.lit(1.0), "uncut").alias("probability")), "mix-probabilities")
 
 
 def _with_cells(each: DataFrame, cells: DataFrame, dimensions, seed: str) -> DataFrame:
@@ -120,18 +154,16 @@ def _with_cells(each: DataFrame, cells: DataFrame, dimensions, seed: str) -> Dat
     return each.join(cells, match).withColumn("kept", draw(each["doc_id"], seed) < F.col("probability"))
 
 
-def mix(docs: DataFrame, dimensions: dict[str, float] | None = None, budget: float = BUDGET, rounds: int = ROUNDS,
-        seed: str = ":mix") -> DataFrame:
+def mix(docs: DataFrame, dimensions: dict[str, float] | None = None, budget: float = BUDGET, seed: str = ":mix") -> DataFrame:
     """doc_id, source, lang, topic, n_tokens, weight, probability, kept for every document."""
     dimensions = dimensions or DIMENSIONS
     each = written(measured(docs).drop("row"), "mix-measured")
-    joined = _with_cells(each, cell_probabilities(each, dimensions, budget, rounds), dimensions, seed)
+    joined = _with_cells(each, cell_probabilities(each, dimensions, budget), dimensions, seed)
     return joined.select("doc_id", "source", "lang", "topic", "n_tokens", "weight", "probability", "kept")
 
 
-def sample(docs: DataFrame, dimensions: dict[str, float] | None = None, budget: float = BUDGET, rounds: int = ROUNDS,
-           seed: str = ":mix") -> DataFrame:
+def sample(docs: DataFrame, dimensions: dict[str, float] | None = None, budget: float = BUDGET, seed: str = ":mix") -> DataFrame:
     """The drawn documents with all their columns."""
     dimensions = dimensions or DIMENSIONS
-    cells = cell_probabilities(measured(docs).drop("row"), dimensions, budget, rounds)
+    cells = cell_probabilities(measured(docs).drop("row"), dimensions, budget)
     return _with_cells(measured(docs), cells, dimensions, seed).filter("kept").select("row.*").select(docs.columns)

@@ -125,6 +125,20 @@ FROM c GROUP BY conv_id
 _DIMS = {"source": 0.7, "lang": 0.8, "topic": 0.9}
 
 
+def _raked(d: str, inner: str) -> str:
+    """One dimension's step: the factors of its values from window sums over their cells."""
+    other = " * ".join(f"f_{x}" for x in _DIMS if x != d)
+    now = " * ".join(f"f_{x}" for x in _DIMS)
+    return f"""
+  SELECT * EXCLUDE (f_{d}, e_{d}, plain, drawn, cut, open), miss AS e_{d},
+    CASE WHEN plain > 0 AND miss > 1e-12
+         THEN greatest(t_{d} / plain, CASE WHEN open > 0 THEN (t_{d} - cut) / open END) ELSE f_{d} END AS f_{d}
+  FROM (SELECT * EXCLUDE (miss), CASE WHEN t_{d} > 0 THEN abs(drawn / t_{d} - 1) ELSE 0 END AS miss
+  FROM (SELECT *, sum({other} * tokens) OVER v AS plain, sum(least(1.0, {now}) * tokens) OVER v AS drawn,
+    sum(CASE WHEN {now} >= 1 THEN tokens ELSE 0 END) OVER v AS cut,
+    sum(CASE WHEN {now} < 1 THEN {other} * tokens ELSE 0 END) OVER v AS open FROM ({inner}) WINDOW v AS (PARTITION BY {d})))"""
+
+
 def _mixing() -> str:
     steps = [f"""
 m AS MATERIALIZED (
@@ -135,36 +149,39 @@ m AS MATERIALIZED (
   FROM (SELECT doc_id, source, lang, coalesce(text, '') AS t, len({WORDS})::BIGINT AS n_tokens FROM documents)),
 cells AS MATERIALIZED (SELECT source, lang, topic, sum(n_tokens)::DOUBLE AS tokens FROM m GROUP BY ALL)"""]
     for d, e in _DIMS.items():
+        # values in the order in which they run short; the right scale is the largest answer
         steps.append(f"""
-target_{d} AS MATERIALIZED (
-  SELECT {d} AS v, pow(t, {e}) / sum(pow(t, {e})) OVER () * sum(t) OVER () AS target
-  FROM (SELECT {d}, sum(tokens) AS t FROM cells GROUP BY {d}))""")
-    steps.append("\nf0 AS MATERIALIZED (SELECT *, 1.0::DOUBLE AS w FROM cells)")
-    last = 0
-    for _ in range(10):
-        for d in _DIMS:
-            steps.append(f"""
-f{last + 1} AS MATERIALIZED (
-  SELECT c.source, c.lang, c.topic, c.tokens,
-    c.w * CASE WHEN sum(c.tokens * c.w) OVER (PARTITION BY c.{d}) > 0
-               THEN g.target / sum(c.tokens * c.w) OVER (PARTITION BY c.{d}) ELSE 1 END AS w
-  FROM f{last} c JOIN target_{d} g ON g.v IS NOT DISTINCT FROM c.{d})""")
-            last += 1
-    steps.append(f"\ns0 AS MATERIALIZED (SELECT 0.6 * sum(tokens) / sum(w * tokens) AS scale FROM f{last})")
-    for k in range(7):
-        steps.append(f"""
-s{k + 1} AS MATERIALIZED (
-  SELECT CASE WHEN sum(w * tokens) FILTER (w * scale < 1) > 0
-    THEN (0.6 * sum(tokens) - coalesce(sum(tokens) FILTER (w * scale >= 1), 0)) / sum(w * tokens) FILTER (w * scale < 1)
-    ELSE any_value(scale) END AS scale
-  FROM f{last}, s{k})""")
-    return "WITH " + ",".join(steps) + f"""
-SELECT m.doc_id, m.source, m.lang, m.topic, m.n_tokens, round(f.w, 6) AS weight,
-  round(least(1.0, f.w * s7.scale), 6) AS probability,
-  ('0x' || substr(md5(m.doc_id::VARCHAR || ':mix'), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0
-    < least(1.0, f.w * s7.scale) AS kept
-FROM m JOIN f{last} f ON f.source IS NOT DISTINCT FROM m.source AND f.lang IS NOT DISTINCT FROM m.lang
-  AND f.topic = m.topic, s7
+have_{d} AS (SELECT {d} AS v, sum(tokens) AS h, pow(sum(tokens), {e}) AS r FROM cells GROUP BY {d}),
+scale_{d} AS (
+  SELECT max((0.6 * whole - gone) / rest) AS scale
+  FROM (SELECT sum(h) OVER () AS whole, coalesce(sum(h) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS gone,
+          sum(r) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest
+        FROM have_{d} WHERE h > 0 WINDOW w AS (ORDER BY r / h DESC, v))),
+target_{d} AS MATERIALIZED (SELECT v, least(h, r * scale) AS t FROM have_{d}, scale_{d})""")
+    facts = ", ".join(f"t_{d}.t AS t_{d}" for d in _DIMS)
+    joins = " ".join(f"JOIN target_{d} t_{d} ON t_{d}.v IS NOT DISTINCT FROM c.{d}" for d in _DIMS)
+    inner = ("SELECT * EXCLUDE (err), NULL::DOUBLE AS miss FROM it WHERE err IS NULL OR (err > 1e-4 AND idle < 3)")
+    body = inner
+    for k, d in enumerate(_DIMS):
+        body = _raked(d, body if k == 0 else f"SELECT *, NULL::DOUBLE AS miss FROM ({body})")
+    order = ("source, lang, topic, tokens, t_source, t_lang, t_topic, f_source, f_lang, f_topic, e_source, e_lang, e_topic, "
+             "n, best, idle")
+    names = order.replace("n, best, idle", "")
+    steps.append(f"""
+it AS (
+  SELECT c.source, c.lang, c.topic, c.tokens, {facts}, 0.6::DOUBLE AS f_source, 1.0::DOUBLE AS f_lang, 1.0::DOUBLE AS f_topic,
+    0.0::DOUBLE AS e_source, 0.0::DOUBLE AS e_lang, 0.0::DOUBLE AS e_topic, 0 AS n, NULL::DOUBLE AS best, 0 AS idle,
+    NULL::DOUBLE AS err
+  FROM cells c {joins}
+  UNION ALL
+  SELECT {names} n + 1, least(coalesce(best, err), err), CASE WHEN best IS NULL OR err < 0.99 * best THEN 0 ELSE idle + 1 END, err
+  FROM (SELECT *, max(greatest(e_source, e_lang, e_topic)) OVER () AS err FROM ({body}))),
+f AS MATERIALIZED (SELECT *, f_source * f_lang * f_topic AS p FROM it WHERE n = (SELECT max(n) FROM it))""")
+    return "WITH RECURSIVE " + ",".join(steps) + """
+SELECT m.doc_id, m.source, m.lang, m.topic, m.n_tokens, round(f.p / 0.6, 6) AS weight,
+  round(least(1.0, f.p), 6) AS probability,
+  ('0x' || substr(md5(m.doc_id::VARCHAR || ':mix'), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0 < least(1.0, f.p) AS kept
+FROM m JOIN f ON f.source IS NOT DISTINCT FROM m.source AND f.lang IS NOT DISTINCT FROM m.lang AND f.topic = m.topic
 """
 
 
