@@ -8,6 +8,11 @@ the index by sort-merge, and the rest is appended.  Decisions are then looked
 up in the index, so running a batch twice gives the same decisions and adds
 nothing.
 
+The layout (number of buckets, type of the id) is written beside the index
+when it is made.  Whoever opens it later takes the layout from there, whatever
+its own session's settings, and an id of another type is refused: files
+bucketed in two ways would let known texts in again.
+
 Defined cases: null text counts as empty; a null id never beats another id,
 and where all rows of a group lack an id they all stay; rows repeating id and
 text are one document (the same decision on each, ``deduplicate`` returns one);
@@ -16,12 +21,12 @@ an empty table gives no rows; columns besides doc_id and text ride along.
 
 from __future__ import annotations
 
-import hashlib
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from brewlens.llm.common import shuffle_partitions
+from brewlens.llm.common import shuffle_partitions, written
 from brewlens.session import scratch_path
 
 
@@ -33,16 +38,28 @@ def digests(docs: DataFrame) -> DataFrame:
 class DigestIndex:
     """The index under ``path``; opening it again (any session) finds what was appended.
 
-    ``buckets`` is fixed when the index is first made: choose it for the size
-    the index will reach (about 128 MB of digests a bucket).
+    ``buckets`` only counts when the index is first made: choose it for the size
+    the index will reach (about 128 MB of digests a bucket).  One writer at a time.
     """
 
     def __init__(self, spark: SparkSession, path: str, id_type: str = "bigint", buckets: int = 16):
         self.spark, self.path = spark, path
-        self.name = "digest_index_" + hashlib.md5(path.encode()).hexdigest()[:16]
-        self.buckets = buckets
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} (digest STRING, keep_id {id_type}, group_size BIGINT) "
-                  f"USING parquet CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{path}'")
+        layout = self._layout(id_type, buckets)
+        if layout["id_type"] != id_type:
+            raise ValueError(f"the index at {path} has ids of type {layout['id_type']}, not {id_type}")
+        self.buckets = layout["buckets"]
+        # a name of our own: another session or an earlier opening may have said something else about the path
+        self.name = "digest_index_" + uuid.uuid4().hex[:16]
+        spark.sql(f"CREATE TABLE {self.name} (digest STRING, keep_id {id_type}, group_size BIGINT) "
+                  f"USING parquet CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS "
+                  f"LOCATION '{path}/digests'")
+
+    def _layout(self, id_type: str, buckets: int) -> dict:
+        """The layout written beside the digests; a new index gets the one asked for."""
+        where = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/layout")
+        if not where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
+            self.spark.createDataFrame([(id_type, buckets)], "id_type string, buckets int").coalesce(1).write.json(f"{self.path}/layout")
+        return self.spark.read.schema("id_type string, buckets int").json(f"{self.path}/layout").first().asDict()
 
     def table(self) -> DataFrame:
         self.spark.catalog.refreshTable(self.name)
@@ -52,7 +69,8 @@ class DigestIndex:
         """Add the digests that the index lacks; of equal new texts the largest id stays."""
         once = digests(docs).groupBy("digest", "doc_id").agg(F.count(F.lit(1)).alias("rows"))
         groups = once.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.sum("rows").alias("group_size"))
-        fresh = groups.join(self.table(), "digest", "left_anti")
+        # bucketed and sorted on this side, so a merge reads the index without exchanging it
+        fresh = groups.join(self.table().hint("merge"), "digest", "left_anti")
         (fresh.select("digest", "keep_id", "group_size").repartition(self.buckets, "digest")
          .write.insertInto(self.name))
 
@@ -63,8 +81,8 @@ class DigestIndex:
         adaptive execution can split the rows of a hot digest.
         """
         self.spark.catalog.refreshTable(self.name)
-        index = self.spark.read.schema(self.table().schema).parquet(self.path)
-        joined = digests(docs).join(index, "digest")
+        index = self.spark.read.schema(self.table().schema).parquet(f"{self.path}/digests")
+        joined = digests(docs).join(index.hint("merge"), "digest")
         return joined.select("doc_id", "keep_id", "group_size",
                              F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
                              F.col("digest").alias("text_sha256"))
@@ -79,21 +97,30 @@ def decisions(docs: DataFrame, path: str | None = None) -> DataFrame:
     spark = docs.sparkSession
     index = DigestIndex(spark, path or scratch_path(spark, "digest-index"), dict(docs.dtypes)["doc_id"],
                         max(8, shuffle_partitions(spark)))
-    index.append(docs)
-    return index.decide(docs)
+    try:
+        index.append(docs)
+        return index.decide(docs)
+    finally:
+        index.close()
+
+
+def _row_key(doc_id: Column, digest: Column) -> Column:
+    return F.concat(F.coalesce(F.concat(F.lit("="), doc_id.cast("string")), F.lit("null")), F.lit(":"), digest)
 
 
 def deduplicate(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """The rows that stay, with all their columns, one for each text."""
+    """The rows that stay, with all their columns, one for each text.
+
+    Of the rows of a text the kept id's stays; should several rows repeat id and text, one of them
+    does.  The rows are exchanged once, by id and digest, so copies of one text are not gathered.
+    """
     decided = decisions(docs, path)
-    dropped = decided.filter(~F.col("kept")).select("doc_id").distinct()
-    repeats = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").limit(1).count()
-    lost = dropped.withColumnRenamed("doc_id", "dropped_id")
-    if not repeats:
-        return docs.join(lost, docs["doc_id"].eqNullSafe(lost["dropped_id"]), "left_anti")
-    # ids occur more than once: decide row by row, on the digest as well
-    rows = docs.select(F.struct("*").alias("row"), "doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest"))
-    kept = decided.filter("kept").select(F.col("doc_id").alias("kept_id"), "text_sha256").distinct()
-    rows = rows.join(kept, rows["doc_id"].eqNullSafe(kept["kept_id"]) & (rows["digest"] == kept["text_sha256"]), "left_semi")
-    once = rows.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id", "digest"])
-    return once.unionByName(rows.filter("doc_id IS NULL")).select("row.*")
+    # only what does not simply stay: ids that lose, and ids that repeat their text
+    told = decided.groupBy(_row_key(F.col("doc_id"), F.col("text_sha256")).alias("key")).agg(
+        F.first("kept").alias("stays"), F.count(F.lit(1)).alias("rows"), F.first("doc_id").alias("id"))
+    told = written(told.filter("NOT stays OR (rows > 1 AND id IS NOT NULL)").select("key", "stays"), "digest-dropped")
+    rows = docs.select(F.struct("*").alias("row"),
+                       _row_key(F.col("doc_id"), F.sha2(F.coalesce("text", F.lit("")), 256)).alias("key"))
+    joined = rows.join(told.hint("merge"), "key", "left").withColumn(
+        "copy", F.row_number().over(Window.partitionBy("key").orderBy(F.lit(1))))
+    return joined.filter("stays IS NULL OR (stays AND copy = 1)").select("row.*")

@@ -134,27 +134,90 @@ def test_index_persists_and_repeats_add_nothing(spark, tmp_path):
     again = {r["doc_id"]: (r["keep_id"], r["kept"]) for r in digest_index.decisions(frame(spark, second), path).collect()}
     assert a == {0: True, 1: False, 2: True, 3: True}
     assert b == again == {10: (3, False), 11: (12, False), 12: (12, True), 13: (13, True)}
-    assert size == 3 and digest_index.DigestIndex(spark, path).table().count() == 5
+    assert size == 3
+    index = digest_index.DigestIndex(spark, path)
+    assert index.table().count() == 5
+    index.close()
+
+
+def test_a_reopened_index_keeps_its_layout(spark, tmp_path):
+    path, data = str(tmp_path / "index"), rows([f"text {i}" for i in range(200)])
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold")}
+    tables = {t.name for t in spark.catalog.listTables()}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        for partitions in (8, 16, 3):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            out = digest_index.decisions(frame(spark, data), path).collect()
+            assert len(out) == 200 and all(r["kept"] and r["group_size"] == 1 for r in out)
+            index = digest_index.DigestIndex(spark, path)
+            assert index.buckets == 8 and index.table().count() == 200
+            plan = index.table().hint("merge")._jdf.queryExecution().executedPlan().toString()
+            assert "Bucketed: true" in plan or "bucket" in plan.lower()
+            index.close()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {t.name for t in spark.catalog.listTables()} == tables       # no name is left behind
+    with pytest.raises(ValueError, match="bigint"):
+        digest_index.decisions(spark.createDataFrame([("x", "t")], "doc_id string, text string"), path)
+
+
+def test_appending_merges_without_broadcast(spark, tmp_path):
+    index = digest_index.DigestIndex(spark, str(tmp_path / "index"))
+    groups = digest_index.digests(frame(spark, rows(["a", "b"]))).groupBy("digest").count()
+    plan = groups.join(index.table().hint("merge"), "digest", "left_anti")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    index.close()
 
 
 # ------------------------------------------------------------------ mixing
-def test_raking_meets_the_marginals(spark):
-    r = random.Random(4)
-    cells = [(s, l, t, r.randrange(1, 1000)) for s in ("a", "b", None) for l in ("en", "de") for t in ("x", "y", "z")]
-    df = spark.createDataFrame(cells, "source string, lang string, topic string, tokens long")
-    targets = {d: mixing.written(mixing.tempered_targets(df, d, e), "test-target") for d, e in mixing.DIMENSIONS.items()}
-    fitted = mixing.rake(df, targets, rounds=40).collect()
-    total = sum(c[3] for c in cells)
-    for k, (d, e) in enumerate(mixing.DIMENSIONS.items()):
-        have = Counter()
-        for c in cells:
-            have[c[k]] += c[3]
-        raised = {v: n ** e for v, n in have.items()}
-        got = Counter()
-        for c in fitted:
-            got[c[d]] += c["tokens"] * c["weight"]
-        for v in have:
-            assert got[v] == pytest.approx(raised[v] / sum(raised.values()) * total, rel=1e-6)
+def shares_wanted(have, exponent, budget):
+    """Tokens to draw of each value: tempered shares, values that run short give all they have."""
+    total, short = budget * sum(have.values()), set()
+    while True:
+        rest = {v: n ** exponent for v, n in have.items() if v not in short}
+        scale = (total - sum(have[v] for v in short)) / sum(rest.values())
+        more = {v for v in rest if rest[v] * scale > have[v]}
+        if not more:
+            return {v: have[v] if v in short else rest[v] * scale for v in have}
+        short |= more
+
+
+@pytest.mark.parametrize("seed", [4, 5, 6])
+def test_raking_meets_every_target_with_production_parameters(spark, seed):
+    r = random.Random(seed)
+    cells = [(s, l, t, int(10 ** r.uniform(0, 5))) for s in ("a", "b", None, "rare") for l in ("en", "de") for t in ("x", "y", "z")]
+    df = spark.createDataFrame(cells, "source string, lang string, topic string, n_tokens long")
+    fitted = mixing.cell_probabilities(df, mixing.DIMENSIONS, mixing.BUDGET).collect()
+    tokens = {c[:3]: c[3] for c in cells}
+    drawn = {(c["cell_source"], c["cell_lang"], c["cell_topic"]): c["probability"] * tokens[c[0], c[1], c[2]] for c in fitted}
+    assert all(0 < c["probability"] <= 1 for c in fitted) and (seed != 4 or any(c["probability"] == 1 for c in fitted))
+    for k, e in enumerate(mixing.DIMENSIONS.values()):
+        have, got = Counter(), Counter()
+        for c, n in tokens.items():
+            have[c[k]] += n
+            got[c[k]] += drawn[c]
+        for v, target in shares_wanted(have, e, mixing.BUDGET).items():
+            assert got[v] == pytest.approx(target, rel=1e-3)
+
+
+def test_targets_that_cannot_be_met_together_end(spark):
+    # all of source a is in topic x, which is to be drawn less often than a
+    cells = [("a", "x", 1000), ("b", "x", 10), ("b", "y", 100_000)]
+    df = spark.createDataFrame(cells, "source string, topic string, n_tokens long")
+    got = mixing.cell_probabilities(df, {"source": 0.1, "topic": 1.0}, 0.5).collect()
+    assert len(got) == 3 and all(0 <= c["probability"] <= 1 for c in got)
+
+
+def test_shares_of_the_given_documents(spark):
+    out = mixing.mix(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).toPandas()
+    out["drawn"] = out["n_tokens"] * out["probability"]
+    for d, e in mixing.DIMENSIONS.items():
+        sums = out.groupby(d)[["n_tokens", "drawn"]].sum()
+        wanted = shares_wanted(sums["n_tokens"].to_dict(), e, mixing.BUDGET)
+        for v in wanted:
+            assert sums["drawn"][v] == pytest.approx(wanted[v], rel=1e-3)
 
 
 def test_mix_draws_by_probability(spark):
@@ -165,7 +228,7 @@ def test_mix_draws_by_probability(spark):
     assert len(out) == len(data) and {r["doc_id"] for r in out} == set(range(len(data)))
     tokens = sum(r["n_tokens"] for r in out)
     expected = sum(r["n_tokens"] * r["probability"] for r in out)
-    assert expected == pytest.approx(0.6 * tokens, rel=1e-6)
+    assert expected == pytest.approx(0.6 * tokens, rel=1e-3)
     drawn = sum(r["n_tokens"] for r in out if r["kept"])
     assert drawn == pytest.approx(expected, rel=0.1)
     sampled = mixing.sample(docs)
