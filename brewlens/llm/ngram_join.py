@@ -37,7 +37,7 @@ and ride along in ``deduplicate``.  Shingles are compared by 64-bit hashes.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -62,6 +62,7 @@ class Settings:
     region_shingles: int = 4 << 20   # a region with more is cut into blocks, a task for each pair of them
     cell_members: int = 192    # a region of fewer is not split into cells
     pivots: int = 6
+    count_links: bool = True   # else only the classes are told: sets of one class are not compared further
 
 
 def bands(percent: int, limit: int) -> np.ndarray:
@@ -170,8 +171,8 @@ def _list(values: np.ndarray, edges: np.ndarray) -> pa.ListArray:
 class Region:
     """The sets of one region, for exact distances inside one task."""
 
-    def __init__(self, sizes: np.ndarray, values: np.ndarray, weight: np.ndarray, percent: int):
-        self.n, self.weight, self.percent = sizes.astype(np.int64), weight, percent
+    def __init__(self, sizes: np.ndarray, values: np.ndarray, weight: np.ndarray, percent: int, count_links: bool = True):
+        self.n, self.weight, self.percent, self.count_links = sizes.astype(np.int64), weight, percent, count_links
         self.end = np.cumsum(self.n)
         self.token = np.unique(values, return_inverse=True)[1].astype(np.int64)
         self.mark = np.zeros(int(self.token.max(initial=0)) + 1, bool)
@@ -202,6 +203,7 @@ class Region:
             a, b = self.find(p), self.find(int(x))
             if a != b:
                 self.root[max(a, b)] = min(a, b)
+                self.root[int(x)] = min(a, b)
 
     def compare(self, home: np.ndarray, alive: np.ndarray) -> None:
         """Links of every set of ``home`` with those of ``alive``."""
@@ -210,8 +212,11 @@ class Region:
         low = np.searchsorted(sizes, -(-self.n[home] * self.percent // 100))
         high = np.searchsorted(sizes, self.n[home] * 100 // self.percent, "right")
         for p, a, b in zip(home.tolist(), low.tolist(), high.tolist()):
-            inter, union = self.shares(p, alive[a:b])
-            linked = alive[a:b][100 * inter >= self.percent * union]
+            among = alive[a:b]
+            if not self.count_links:        # what is known to be of one class adds nothing
+                among = among[self.root[among] != self.find(p)]
+            inter, union = self.shares(p, among)
+            linked = among[100 * inter >= self.percent * union]
             self.links[p] += self.weight[linked].sum()
             self.unite(p, linked)
 
@@ -244,7 +249,8 @@ def region_links(table: pa.Table, settings: Settings) -> pa.Table:
     ids = table.column("set_id").to_numpy()
     lists = table.column("shingles").combine_chunks()
     sizes = np.diff(lists.offsets.to_numpy())
-    region = Region(sizes, lists.flatten().to_numpy(), table.column("weight").to_numpy(), settings.percent)
+    region = Region(sizes, lists.flatten().to_numpy(), table.column("weight").to_numpy(), settings.percent,
+                    settings.count_links)
     home, other = (table.column(c).to_numpy(zero_copy_only=False) for c in ("home", "other"))
     region.join(np.flatnonzero(home), np.flatnonzero(other), settings.cell_members, settings.pivots)
     roots = np.array([region.find(x) for x in range(len(ids))], np.int64)
@@ -273,57 +279,56 @@ def blocks(members: DataFrame, settings: Settings) -> DataFrame:
     return as_home.unionByName(as_other)
 
 
-def sizes_and_ids(docs: DataFrame, settings: Settings) -> DataFrame:
-    """doc_id, n_shingles, set_id of every row."""
-    def run(batches):
-        for batch in batches:
-            for part in W.slices(batch):
-                w = W.words(part.column("text"), lower=True)
-                doc, value = W.shingles(w, part.num_rows, settings.size)
-                n, ids = set_ids(doc, value, part.num_rows)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()),
-                                                  pa.array(ids.view(np.int64))], ["doc_id", "n_shingles", "set_id"])
-    return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {dict(docs.dtypes)['doc_id']}, n_shingles long, set_id long")
-
-
-def common_shingles(docs: DataFrame, settings: Settings) -> Common:
-    """Shingles that several distinct sets of a block share, the ``COMMON_MOST`` most frequent."""
+def sets_and_common(docs: DataFrame, settings: Settings) -> tuple[DataFrame, Common]:
+    """doc_id, n_shingles, set_id of every row, and the ``COMMON_MOST`` most frequent of the shingles that
+    several distinct sets of a block share.  One pass over the texts tells both."""
     def run(batches):
         held, size, ids_seen = [], 0, np.zeros(0, W.U)
 
-        def told(parts):
+        def told(parts, kind):
             shingle, sets = np.unique(np.concatenate(parts), return_counts=True)
             keep = sets >= COMMON_LEAST
-            return pa.RecordBatch.from_pydict({"shingle": shingle[keep].view(np.int64), "seen": sets[keep]})
+            shingle, sets = pa.array(shingle[keep].view(np.int64)), pa.array(sets[keep])
+            gone = [pa.nulls(len(shingle), t) for t in (kind, pa.int64(), pa.int64())]
+            return pa.RecordBatch.from_arrays([*gone, shingle, sets], columns)
 
+        columns, kind = ["doc_id", "n_shingles", "set_id", "shingle", "seen"], None
         for batch in batches:
+            kind = batch.schema.field("doc_id").type
             for part in W.slices(batch):
                 w = W.words(part.column("text"), lower=True)
                 doc, value = W.shingles(w, part.num_rows, settings.size)
-                ids = set_ids(doc, value, part.num_rows)[1]
+                n, ids = set_ids(doc, value, part.num_rows)
+                none = pa.nulls(part.num_rows, pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids.view(np.int64)),
+                                                  none, none], columns)
+                # rows without id link nothing
+                has_id = part.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
+                at = np.flatnonzero(has_id)
                 fresh = np.zeros(part.num_rows, bool)
-                fresh[np.unique(ids, return_index=True)[1]] = True
+                fresh[at[np.unique(ids[at], return_index=True)[1]]] = True
                 fresh &= ~np.isin(ids, ids_seen)
                 ids_seen = np.concatenate([ids_seen, ids[fresh]])
                 held.append(value[fresh[doc]])
                 size += len(held[-1])
                 if size >= COMMON_BLOCK:
-                    yield told(held)
+                    yield told(held, kind)
                     held, size, ids_seen = [], 0, np.zeros(0, W.U)
         if size:
-            yield told(held)
+            yield told(held, kind)
 
-    named = docs.select("text").mapInArrow(run, "shingle long, seen long").groupBy("shingle").agg(F.sum("seen").alias("seen"))
+    both = written(docs.select("doc_id", "text").mapInArrow(
+        run, f"doc_id {dict(docs.dtypes)['doc_id']}, n_shingles long, set_id long, shingle long, seen long"), "join-sets")
+    named = both.filter("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("seen").alias("seen"))
     most = named.orderBy(F.desc("seen"), "shingle").limit(COMMON_MOST).toPandas()
-    return Common(most["shingle"].to_numpy(np.int64).view(W.U), most["seen"].to_numpy(np.int64))
+    common = Common(most["shingle"].to_numpy(np.int64).view(W.U), most["seen"].to_numpy(np.int64))
+    return both.filter("shingle IS NULL").select("doc_id", "n_shingles", "set_id"), common
 
 
-def tied(docs: DataFrame, settings: Settings) -> DataFrame:
+def tied(docs: DataFrame, common: Common, settings: Settings) -> DataFrame:
     """(a, b): sets that agree on a part, each with the least of those that agree."""
     spark = docs.sparkSession
     buckets = shuffle_partitions(spark)
-    common = common_shingles(docs, settings)
     # plain arrays: workers need no copy of this package to unpickle them
     shared = spark.sparkContext.broadcast((common.shingle, common.seen))
 
@@ -382,13 +387,13 @@ def tied(docs: DataFrame, settings: Settings) -> DataFrame:
 
 def join(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """doc_id, n_shingles, component_id (least doc_id reachable by links), n_links (other rows
-    linked to directly) of every row."""
+    linked to directly; without ``count_links`` null) of every row."""
     prepare(docs.sparkSession)
     kind = dict(docs.dtypes)["doc_id"]
-    measured = written(sizes_and_ids(docs, settings), "join-sets")
+    measured, common = sets_and_common(docs, settings)
     named = measured.filter("doc_id IS NOT NULL AND n_shingles > 0")
     # rows without id link nothing: they must not stand for the equal sets of rows that have one
-    region_of = components(tied(docs.filter("doc_id IS NOT NULL"), settings))
+    region_of = components(tied(docs.filter("doc_id IS NOT NULL"), common, settings))
     first = named.groupBy("set_id").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("weight"))
     wanted = written(region_of.join(first, region_of["node"] == first["set_id"])
                      .select(F.col("root").alias("region"), "set_id", "first_id", "weight"), "join-regions")
@@ -418,7 +423,8 @@ def join(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     group = first.select(F.col("set_id").alias("set"), "weight")
     classes = written(group.join(root_of, group["set"] == root_of["node"], "left").join(links, group["set"] == links["linked"], "left")
                       .select("set", F.coalesce("root", "set").alias("class_id"),
-                              (F.coalesce("links", "weight") - 1).alias("n_links")), "join-sets-linked")
+                              (F.coalesce("links", "weight") - 1 if settings.count_links else F.lit(None).cast("long")).alias("n_links")),
+                      "join-sets-linked")
     keyed = written(named.join(classes, named["set_id"] == classes["set"])
                     .select("doc_id", "n_shingles", "class_id", "n_links"), "join-classes")
     least = written(keyed.groupBy("class_id").agg(F.min("doc_id").alias("component_id"))
@@ -427,12 +433,12 @@ def join(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     whole = keyed.join(least, keyed["class_id"] == least["class"]).select("doc_id", "n_shingles", "component_id", "n_links")
     alone = measured.filter("doc_id IS NULL OR n_shingles = 0").select(
         "doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).cast(kind).alias("component_id"),
-        F.lit(0).cast("long").alias("n_links"))
+        F.lit(0 if settings.count_links else None).cast("long").alias("n_links"))
     return whole.unionByName(alone)
 
 
 def deduplicate(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """One document of each group of linked ones (the least id) with all columns; rows without an id stay."""
-    drop = (join(docs, settings).filter("component_id IS NOT NULL AND component_id != doc_id")
+    drop = (join(docs, replace(settings, count_links=False)).filter("component_id IS NOT NULL AND component_id != doc_id")
             .select(F.col("doc_id").alias("dropped_id")).distinct())
     return docs.join(drop, docs["doc_id"] == drop["dropped_id"], "left_anti").select(docs.columns)

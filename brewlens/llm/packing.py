@@ -10,7 +10,8 @@ size and walks on until a bin is compatible, which is then the tightest one.
 
 A text longer than a bin fills whole bins; its rest is packed as an item.
 
-Only ids, lengths, sources and cluster ids are shuffled, never texts.  A
+Packing shuffles ids, lengths, sources and cluster ids only; ``near_clusters``
+also what the n-gram join shuffles (shingle hashes, and the texts of sets that have a tie).  A
 source or cluster with a third of all rows is spread over all shards by the
 hash, and no group is gathered.
 
@@ -40,23 +41,24 @@ def text_hash() -> Column:
     return F.xxhash64(F.coalesce("text", F.lit("")))
 
 
-def near_clusters(docs: DataFrame, settings: ngram_join.Settings = ngram_join.Settings()) -> DataFrame:
-    """doc_id, text, source, near_cluster of every document: the least text hash of its class in the
-    n-gram join.  Classes are matched by the text, so rows without id or with equal ids have theirs."""
-    docs = docs.select("doc_id", "text", "source")
+def near_clusters(docs: DataFrame, settings: ngram_join.Settings = ngram_join.Settings(count_links=False)) -> DataFrame:
+    """doc_id, n_tokens, source, near_cluster of every document: the least text hash of its class in the
+    n-gram join.  Classes are matched by the text's hash, so rows without id or with equal ids have theirs;
+    texts are read, not shuffled."""
     named = ngram_join.join(docs.select(text_hash().alias("doc_id"), "text"), settings)
     classes = named.select(F.col("doc_id").alias("named"), F.col("component_id").alias("near_cluster")).distinct()
-    return docs.withColumn("hash", text_hash()).join(classes, F.col("hash") == F.col("named")).drop("hash", "named")
+    narrow = docs.select("doc_id", (n_words(F.col("text")) + 1).alias("n_tokens"), "source", text_hash().alias("hash"))
+    return narrow.join(classes, narrow["hash"] == classes["named"]).drop("hash", "named")
 
 
 def items(docs: DataFrame, cluster: str | None = None) -> DataFrame:
     """doc_id, n_tokens (words and an end token), source, cluster of every document.
 
     ``cluster`` names the column that holds it (null: conflicts with nothing); by default it is
-    the hash of the text.
+    the hash of the text.  Without a text column ``docs`` has n_tokens.
     """
-    return docs.select("doc_id", (n_words(F.col("text")) + 1).alias("n_tokens"), "source",
-                       (text_hash() if cluster is None else F.col(cluster)).alias("cluster"))
+    n = (n_words(F.col("text")) + 1).alias("n_tokens") if "text" in docs.columns else F.col("n_tokens")
+    return docs.select("doc_id", n, "source", (text_hash() if cluster is None else F.col(cluster)).alias("cluster"))
 
 
 def best_fit(sized: list[tuple[int, int, int]], capacity: int, per_source: int) -> list[int]:
