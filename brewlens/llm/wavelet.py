@@ -8,19 +8,24 @@ the next plane is cut.  With running counts of ones per block a file answers
 access, rank (count of a token before a place), select (place of the k-th
 occurrence) and occurrence lookup from the planes alone.
 
-File: magic ``WVM1``; a length-prefixed JSON header; the doc table (ids,
-lengths) and the planes, each zlib-compressed.  The header names the places.
+File: magic ``WVM2``; the length of a JSON header; the header (counts and the
+places of what follows); the document table (ids and lengths, an Arrow stream,
+zlib-compressed); then per plane the running counts of ones at every block,
+the rank directory, and the plane's bits.  Both are stored as they are, so
+``TokenFile`` answers from a few bytes of each plane and never reads the rest.
 
 Files go to the shared checkpoint folder by its URI.  A task writes under a
 name of its own attempt, and the manifest, which Spark commits, names the
 files that count, so lost executors and repeated attempts leave no doubt.
+Where each file starts among all ids is a running sum over the manifest.
 
 Words repeat, so a task encodes each distinct piece of text once.  Pieces are
 words, cut further into runs of letters, single digits and runs of marks: the
 tokenizer cuts there too and never joins across, so the ids of a text are
 those of its pieces in a row.  Words that need more care (apostrophes, special
-tokens, characters beyond Latin-1) are encoded whole.  Tests compare with the
-ids of whole and of hostile texts.
+tokens, characters beyond Latin-1) are encoded whole.  A tokenizer that does not
+cut like this, or keeps capitals apart, is given whole texts instead.  An
+encoder and what it remembers live as long as their Python worker.
 
 Defined cases: null text is empty (only the end id); null ids come first;
 equal ids stay in one run, in the order of their texts; an empty table gives
@@ -36,14 +41,14 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from brewlens.llm import words as W
 from brewlens.llm.common import prepare, qualified, shuffle_partitions, written
 from brewlens.session import scratch_path
 
-MAGIC = b"WVM1"
+MAGIC = b"WVM2"
 END_ID = 1
 SHARD_TOKENS = 1 << 21
 BLOCK = 512                # bits per running count
@@ -76,16 +81,19 @@ def unfold(planes: list[np.ndarray], zeros: list[int], n: int) -> np.ndarray:
     return ids
 
 
+def running_ones(plane: np.ndarray) -> np.ndarray:
+    """Ones before every block of a packed plane, and all of them."""
+    ones = np.bitwise_count(plane).astype(np.int64)
+    per = np.add.reduceat(ones, np.arange(0, len(ones), BLOCK // 8)) if len(ones) else ones
+    return np.concatenate([[0], np.cumsum(per)])
+
+
 class WaveletMatrix:
     """Rank and select over packed planes of ``n`` ids."""
 
-    def __init__(self, planes: list[np.ndarray], zeros: list[int], n: int):
+    def __init__(self, planes: list, zeros: list[int], n: int, counts: list | None = None):
         self.planes, self.zeros, self.n, self.bits = planes, zeros, n, len(planes)
-        self.counts = []
-        for p in planes:
-            ones = np.bitwise_count(p).astype(np.int64)
-            per = np.add.reduceat(ones, np.arange(0, len(ones), BLOCK // 8)) if len(ones) else ones
-            self.counts.append(np.concatenate([[0], np.cumsum(per)]))
+        self.counts = [running_ones(p) for p in planes] if counts is None else counts
 
     def _ones(self, level: int, place: int) -> int:
         block = place // BLOCK
@@ -159,42 +167,104 @@ class WaveletMatrix:
 
 
 # ------------------------------------------------------------------ the file
-def dump(doc_ids: list, lengths: np.ndarray, ids: np.ndarray) -> bytes:
+def dump(doc_ids: pa.Array, lengths: np.ndarray, ids: np.ndarray) -> bytes:
     bits = max(1, int(ids.max(initial=0)).bit_length())
     planes, zeros = build(ids, bits)
-    parts = [zlib.compress(json.dumps(doc_ids).encode(), 1), zlib.compress(lengths.astype("<i8").tobytes(), 1),
-             *[zlib.compress(p.tobytes(), 1) for p in planes]]
-    head = json.dumps({"n": len(ids), "docs": len(doc_ids), "bits": bits, "zeros": zeros,
-                       "sizes": [len(p) for p in parts]}).encode()
+    table, held = pa.table({"doc_id": doc_ids, "length": pa.array(lengths, pa.int64())}), pa.BufferOutputStream()
+    with pa.ipc.new_stream(held, table.schema) as out:
+        out.write_table(table)
+    parts = [zlib.compress(held.getvalue().to_pybytes(), 1)]
+    for p in planes:
+        parts += [running_ones(p).astype("<u4").tobytes(), p.tobytes()]
+    head = json.dumps({"n": len(ids), "docs": len(doc_ids), "zeros": zeros, "sizes": [len(p) for p in parts]}).encode()
     return b"".join([MAGIC, len(head).to_bytes(4, "little"), head, *parts])
 
 
-def load(data: bytes) -> tuple[list, np.ndarray, list[np.ndarray], list[int], int]:
-    """doc ids, lengths, planes, zeros, number of ids."""
-    if data[:4] != MAGIC:
-        raise ValueError("not a token file")
-    at = 8 + int.from_bytes(data[4:8], "little")
-    head = json.loads(data[8:at])
-    parts = []
-    for size in head["sizes"]:
-        parts.append(zlib.decompress(data[at:at + size]))
-        at += size
-    return (json.loads(parts[0]), np.frombuffer(parts[1], "<i8"), [np.frombuffer(p, np.uint8) for p in parts[2:]],
-            head["zeros"], head["n"])
+class _Stored:
+    """Numbers at a place of a file, read as they are asked for."""
+
+    def __init__(self, file, at: int, size: int, kind: str):
+        self.file, self.at, self.kind = file, at, np.dtype(kind)
+        self.length = size // self.kind.itemsize
+
+    def __len__(self) -> int:
+        return self.length
+
+    def __getitem__(self, which):
+        first, stop, _ = which.indices(self.length) if isinstance(which, slice) else (which, which + 1, 1)
+        size = self.kind.itemsize
+        got = np.frombuffer(self.file.read_at(max(0, stop - first) * size, self.at + first * size), self.kind)
+        return got if isinstance(which, slice) else got[0]
+
+
+class TokenFile:
+    """A token file, opened for reading at any place (a pyarrow file or buffer reader)."""
+
+    def __init__(self, file):
+        self.file = file
+        if file.read_at(4, 0) != MAGIC:
+            raise ValueError("not a token file")
+        size = int.from_bytes(file.read_at(4, 4), "little")
+        self.head = json.loads(file.read_at(size, 8))
+        self.edges = (8 + size + np.append(0, np.cumsum(self.head["sizes"]))).tolist()
+        self.n, self.n_docs = self.head["n"], self.head["docs"]
+
+    def _part(self, k: int) -> tuple[int, int]:
+        return self.edges[k], self.edges[k + 1] - self.edges[k]
 
+    def documents(self) -> pa.Table:
+        """doc_id and length of every document, in order."""
+        at, size = self._part(0)
+        with pa.ipc.open_stream(zlib.decompress(self.file.read_at(size, at))) as table:
+            return table.read_all()
 
-def open_matrix(data: bytes) -> WaveletMatrix:
-    _, _, planes, zeros, n = load(data)
-    return WaveletMatrix(planes, zeros, n)
+    def matrix(self) -> WaveletMatrix:
+        """Access, rank, select and occurrences; each reads some bytes of every plane."""
+        parts = range(1, len(self.edges) - 1, 2)
+        return WaveletMatrix([_Stored(self.file, *self._part(k + 1), "u1") for k in parts], self.head["zeros"], self.n,
+                             [_Stored(self.file, *self._part(k), "<u4") for k in parts])
+
+    def ids(self) -> np.ndarray:
+        """All ids."""
+        planes = [np.frombuffer(self.file.read_at(size, at), np.uint8)
+                  for at, size in map(self._part, range(2, len(self.edges) - 1, 2))]
+        return unfold(planes, self.head["zeros"], self.n)
 
 
 # ------------------------------------------------------------------ encoding
+def cuts_like_units(spec: dict) -> bool:
+    """True where a tokenizer's ids of a text are those of its pieces (``words.units``) in a row, whatever their case."""
+    def flat(step, inner):
+        return [x for s in step[inner] for x in flat(s, inner)] if step and step["type"] == "Sequence" else [step] if step else []
+
+    normal = flat(spec["normalizer"], "normalizers")
+    cuts = flat(spec["pre_tokenizer"], "pretokenizers")
+    first = cuts[0] if cuts else {}
+    return ("Lowercase" in [s["type"] for s in normal]
+            and all(s["type"] in ("NFC", "Lowercase") or s["type"] == "Replace" and s["pattern"] == {"Regex": r"\s+"} for s in normal)
+            and first.get("type") == "Split" and first["behavior"] == "Removed" and first["invert"]
+            and first["pattern"].get("Regex", "").endswith(r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+            and all(s["type"] == "ByteLevel" and not s["add_prefix_space"] and not s["use_regex"] for s in cuts[1:]))
+
+
+_encoders: dict = {}
+
+
+def encoder(tokenizer_file: str) -> Encoder:
+    """The encoder of this Python worker; it outlives the task."""
+    if tokenizer_file not in _encoders:
+        _encoders.clear()                     # one at a time, so memory stays bounded
+        _encoders[tokenizer_file] = Encoder(tokenizer_file)
+    return _encoders[tokenizer_file]
+
+
 class Encoder:
-    """Ids of whole texts: each distinct word of a slice is encoded once."""
+    """Ids of whole texts: each distinct word is encoded once."""
 
     def __init__(self, tokenizer_file: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
+        self.by_piece = cuts_like_units(json.loads(self.tokenizer.to_str()))
         self.known: dict[bytes, bytes] = {}      # a piece: its ids, four bytes each
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         vocabulary = self.tokenizer.get_vocab()
@@ -232,6 +302,10 @@ class Encoder:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, each with the end id; their lengths)."""
         n = len(texts)
+        if not self.by_piece:
+            found = self.tokenizer.encode_batch_fast([t or "" for t in texts.to_pylist()], add_special_tokens=False)
+            lists = [[*e.ids, END_ID] for e in found]
+            return (np.array([i for x in lists for i in x], np.uint32), np.array([len(x) for x in lists], np.int64))
         data, _ = W.buffers(texts)
         w = W.units(texts)
         raw = data.tobytes()
@@ -268,27 +342,26 @@ def write_shards(docs: DataFrame, tokenizer_file: str, folder: str, shard_tokens
         context = TaskContext.get()
         store, root = pafs.FileSystem.from_uri(target)
         store.create_dir(root, recursive=True)
-        encoder = Encoder(tokenizer_file)
         serial, doc_ids, lengths, held, size = 0, [], [], [], 0
 
         def flush():
             nonlocal serial, doc_ids, lengths, held, size
             name = f"shard-{context.partitionId():08d}-{serial:08d}-{uuid.uuid4().hex[:12]}.wvm"
-            ids, n = np.concatenate(held), np.concatenate(lengths)
+            named, n = pa.concat_arrays(doc_ids), np.concatenate(lengths)
             with store.open_output_stream(f"{root}/{name}") as out:
-                out.write(dump(doc_ids, n, ids))
+                out.write(dump(named, n, np.concatenate(held)))
             row = pa.RecordBatch.from_pydict({
                 "part": pa.array([context.partitionId()], pa.int32()), "serial": pa.array([serial], pa.int32()),
-                "file": [name], "docs": pa.array([len(doc_ids)], pa.int64()), "n_tokens": pa.array([len(ids)], pa.int64())})
+                "file": [name], "docs": pa.array([len(named)], pa.int64()), "n_tokens": pa.array([size], pa.int64())})
             serial, doc_ids, lengths, held, size = serial + 1, [], [], [], 0
             return row
 
         for batch in batches:
             for part in W.slices(batch):
-                ids, n = encoder.encode(part.column("text"))
+                ids, n = encoder(tokenizer_file).encode(part.column("text"))
                 held.append(ids)
                 lengths.append(n)
-                doc_ids += part.column("doc_id").to_pylist()
+                doc_ids.append(part.column("doc_id"))
                 size += len(ids)
                 if size >= shard_tokens:
                     yield flush()
@@ -298,40 +371,77 @@ def write_shards(docs: DataFrame, tokenizer_file: str, folder: str, shard_tokens
     return written(ordered.mapInArrow(run, "part int, serial int, file string, docs long, n_tokens long"), "token-manifest")
 
 
-def read_documents(spark, folder: str, manifest: DataFrame, id_type: str) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 of every document, read back from the files."""
-    files = [(r["part"], r["serial"], r["file"], r["n_tokens"]) for r in manifest.collect()]   # one small row per shard
-    result = f"doc_id {id_type}, start long, n_tokens long, ids_crc32 long"
-    if not files:
-        return spark.createDataFrame([], result)
-    base, bases = 0, []
-    for part, serial, name, n in sorted(files):
-        bases.append((name, base))
-        base += n
-    starts = spark.createDataFrame(bases, "file string, base long")
-    found = (spark.read.format("binaryFile").option("pathGlobFilter", "*.wvm").load(folder)
-             .select(F.element_at(F.split("path", "/"), -1).alias("name"), "content"))
-    shards = found.join(F.broadcast(starts), found["name"] == starts["file"]).select("base", "content")
+def placed(manifest: DataFrame) -> DataFrame:
+    """The manifest with ``base``, the ids in all files before.  The ranges' sums are a row each, and only
+    these meet in one window; files are summed within their range."""
+    ranges = manifest.groupBy("part").agg(F.sum("n_tokens").alias("sum"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.select(F.col("part").alias("range"), F.coalesce(F.sum("sum").over(before), F.lit(0)).alias("before"))
+    inside = Window.partitionBy("part").orderBy("serial").rowsBetween(Window.unboundedPreceding, -1)
+    return (manifest.join(ranges, manifest["part"] == ranges["range"])
+            .withColumn("base", F.col("before") + F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
+            .drop("range", "before"))
+
+
+def on_files(manifest: DataFrame, folder: str, work, schema: str) -> DataFrame:
+    """``work(TokenFile, row)`` on every file of the manifest; it yields the batches of ``schema``.
+
+    The files are dealt out; a task opens one after another.
+    """
+    spark = manifest.sparkSession
+    target = qualified(spark, folder)
 
     def run(batches):
+        store, root = pafs.FileSystem.from_uri(target)
         for batch in batches:
-            for base, content in zip(batch.column("base").to_pylist(), batch.column("content")):
-                doc_ids, lengths, planes, zeros, n = load(content.as_py())
-                ids = unfold(planes, zeros, n).astype("<u4")
-                ends = np.cumsum(lengths)
-                crc = [zlib.crc32(ids[a:b]) for a, b in zip((ends - lengths).tolist(), ends.tolist())]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc_ids, id_arrow), pa.array(base + ends - lengths), pa.array(lengths), pa.array(crc, pa.int64())],
-                    ["doc_id", "start", "n_tokens", "ids_crc32"])
+            for row in batch.to_pylist():
+                with store.open_input_file(f"{root}/{row['file']}") as file:
+                    yield from work(TokenFile(file), row)
+
+    return manifest.repartition(shuffle_partitions(spark), "file").mapInArrow(run, schema)
+
+
+def read_documents(folder: str, manifest: DataFrame, id_type: str) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 of every document, read back from the files."""
+    def work(file, row):
+        table, ids = file.documents(), file.ids().astype("<u4")
+        lengths = table.column("length").to_numpy()
+        ends = np.cumsum(lengths)
+        crc = [zlib.crc32(ids[a:b]) for a, b in zip((ends - lengths).tolist(), ends.tolist())]
+        yield pa.RecordBatch.from_arrays(
+            [table.column("doc_id").combine_chunks(), pa.array(row["base"] + ends - lengths), pa.array(lengths),
+             pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
+
+    return on_files(placed(manifest), folder, work, f"doc_id {id_type}, start long, n_tokens long, ids_crc32 long")
+
+
+def occurrences(folder: str, manifest: DataFrame, tokens: list[int]) -> DataFrame:
+    """(token, place): every place of the tokens among all ids, by rank and select on each file, which reads
+    only some bytes of it."""
+    def work(file, row):
+        matrix = file.matrix()
+        for token in tokens:
+            places = matrix.occurrences(token)
+            for a in range(0, len(places), 100_000):
+                some = np.array(places[a:a + 100_000], np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), token)), pa.array(row["base"] + some)],
+                                                 ["token", "place"])
+
+    return on_files(placed(manifest), folder, work, "token long, place long")
+
+
+def counts(folder: str, manifest: DataFrame, tokens: list[int]) -> DataFrame:
+    """(token, n): how often each token occurs in all files, by rank on each file."""
+    def work(file, row):
+        matrix = file.matrix()
+        yield pa.RecordBatch.from_arrays([pa.array(tokens, pa.int64()), pa.array([matrix.count(t) for t in tokens], pa.int64())],
+                                         ["token", "n"])
 
-    id_arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[id_type]
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
-    return shards.mapInArrow(run, result)
+    return on_files(manifest, folder, work, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
 
 
 def encode_documents(docs: DataFrame, tokenizer_file: str, folder: str | None = None,
                      shard_tokens: int = SHARD_TOKENS) -> DataFrame:
-    spark = docs.sparkSession
-    folder = folder or scratch_path(spark, "token-files")
+    folder = folder or scratch_path(docs.sparkSession, "token-files")
     manifest = write_shards(docs, tokenizer_file, folder, shard_tokens)
-    return read_documents(spark, folder, manifest, dict(docs.dtypes)["doc_id"])
+    return read_documents(folder, manifest, docs.schema["doc_id"].dataType.simpleString())
