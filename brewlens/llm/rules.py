@@ -7,7 +7,9 @@ too much of its words is rejected; so is one that fails the base rules.
 
 All work is inside the row: no shuffle, and nothing is gathered.  Repeated
 3-word windows are found by sorting one long per window (hash bits above,
-position below), which compares as a primitive.
+position below), which compares as a primitive; the windows whose hash bits
+stand beside equal ones are then sorted by their words, so hashes that only
+look alike in very long texts do not count.
 
 Defined cases: null text has no words and fails the base rules; blank lines
 are kept and never count; ties and duplicate rows are judged alike; an empty
@@ -81,11 +83,18 @@ def clean(docs: DataFrame) -> DataFrame:
                     "xxhash64(w, get(t.words, i + 1), get(t.words, i + 2)), bits) + i)")
     windows = F.sort_array(F.slice(window, F.lit(1), F.greatest(F.lit(0), F.col("n_words") - 2)))
     step = step.select(*own, "t", "n_words", "bits", windows.alias("windows"))
-    # positions of windows whose hash stands beside an equal one, in text order
-    again = F.expr("sort_array(transform(filter(windows, (x, j) ->"
+    # windows whose hash bits stand beside equal ones, with their words
+    alike = F.expr("transform(filter(windows, (x, j) ->"
                    " shiftright(x, bits) <=> shiftright(get(windows, j + 1), bits)"
                    " OR shiftright(x, bits) <=> shiftright(get(windows, j - 1), bits)),"
-                   " x -> x & (shiftleft(1L, bits) - 1L)))")
+                   " x -> x & (shiftleft(1L, bits) - 1L))")
+    step = step.select(*own, "t", "n_words", alike.alias("alike"))
+    told = F.expr("sort_array(transform(alike, p -> struct(concat_ws(' ', t.words[int(p)], t.words[int(p) + 1], t.words[int(p) + 2])"
+                  " AS told, p AS at)))")
+    step = step.select(*own, "t", "n_words", told.alias("told"))
+    # positions of windows whose words stand beside equal ones, in text order
+    again = F.expr("sort_array(transform(filter(told, (x, j) ->"
+                   " x.told <=> get(told, j + 1).told OR x.told <=> get(told, j - 1).told), x -> x.at))")
     step = step.select(*own, "t", "n_words", again.alias("at"),
                        F.filter("t.lines", lambda x: x.rlike(WORD)).alias("full_lines"),
                        F.filter("t.lines", line_passes).alias("good_lines"))
