@@ -46,9 +46,9 @@ def _escape_role(c: Column) -> Column:
 
 
 def _unescape_role(c: Column) -> Column:
-    # a NUL stands for an escaped backslash between the two steps
-    plain = F.replace(F.replace(c, F.lit("\\\\"), F.lit("\u0000")), F.lit("\\n"), F.lit("\n"))
-    return _unescape(F.replace(plain, F.lit("\u0000"), F.lit("\\")))
+    # between escaped backslashes, taken from the left, a backslash can only begin an escaped line break
+    parts = F.transform(F.split(c, r"\\\\", -1), lambda part: F.replace(part, F.lit("\\n"), F.lit("\n")))
+    return _unescape(F.array_join(parts, "\\"))
 
 
 def climb(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
