@@ -25,7 +25,7 @@ def auc(pairs):
 def test_held_out_accuracy(spark):
     labels = {r["doc_id"]: r for r in spark.read.parquet(f"{MEDIUM}/labels.parquet").collect()}
     for name, label, modulus, rest, least in (("op9_quality_classifier", "quality", 5, 0, 0.97),
-                                              ("op10_toxicity", "toxic", 4, 2, 0.8)):
+                                              ("op10_toxicity", "toxic", 4, 2, 0.85)):
         out = REGISTRY[name](spark, MEDIUM).collect()
         assert len(out) == 1000 and all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3) for r in out)
         assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % modulus == rest) for r in out)

@@ -1,6 +1,7 @@
 """Language-model scores, line rules, chat formatting and token files against plain Python."""
 
 import math
+import json
 import zlib
 from collections import Counter
 
@@ -152,12 +153,29 @@ def test_chat_linear_with_ties_and_nulls(spark):
     assert chat.format_trees(chat.linear(df.limit(0))).count() == 0
 
 
+def test_roles_with_any_characters_come_back(spark):
+    roles = ["a\0b", "back\\slash", "line\nbreak", "\\n", "\\\\n\n\\", "<|im_end|>", "\0", "", "<||", "\n\n"]
+    data = [(k, 0, role, "t") for k, role in enumerate(roles)]
+    df = spark.createDataFrame(data, "conv_id long, turn long, role string, text string")
+    out = chat.format_trees(chat.linear(df)).select("tree_id", chat.read_turns(F.col("formatted")).alias("turns"))
+    assert {r["tree_id"]: [tuple(t) for t in r["turns"]] for r in out.collect()} == {k: [(role, "t")] for k, role in enumerate(roles)}
+
+
+def test_a_very_long_text_has_no_repeats_that_do_not_exist(spark):
+    distinct = " ".join(f"{i:x}" for i in range(6_000_000))
+    got = rules.clean(frame(spark, rows([distinct, distinct[:1000] + " " + distinct[:1000]]))).select("doc_id", "n_words", "n_repeat_words").collect()
+    told = {r["doc_id"]: (r["n_words"], r["n_repeat_words"]) for r in got}
+    assert told[0] == (6_000_000, 0) and told[1][1] > 0
+
+
 # ------------------------------------------------------------------ token files
 def test_wavelet_matrix_answers():
     r = np.random.default_rng(3)
     for n, top in ((1, 1), (7, 2), (513, 9), (5000, 40000)):
         ids = r.integers(0, top, n).astype(np.uint32)
-        m = wavelet.open_matrix(wavelet.dump([1], np.array([n]), ids))
+        file = wavelet.TokenFile(Counting(wavelet.dump(pa.array([1]), np.array([n]), ids)))
+        assert file.documents().to_pydict() == {"doc_id": [1], "length": [n]} and file.ids().tolist() == ids.tolist()
+        m = file.matrix()
         assert [m.access(i) for i in range(0, n, max(1, n // 50))] == ids[::max(1, n // 50)].tolist()
         for token in {0, int(ids[0]), int(ids[-1]), top, 1 << 30}:
             places = np.flatnonzero(ids == token).tolist()
@@ -166,6 +184,36 @@ def test_wavelet_matrix_answers():
             assert m.select(token, len(places)) == -1 == m.select(token, -1)
 
 
+class Counting(pa.BufferReader):
+    """A file that knows how much was read."""
+    read = 0
+
+    def read_at(self, size, at):
+        self.read += size
+        return super().read_at(size, at)
+
+
+def test_a_token_file_is_read_in_places():
+    ids = np.random.default_rng(4).integers(0, 49_000, 400_000).astype(np.uint32)
+    data = wavelet.dump(pa.array(["a"]), np.array([len(ids)]), ids)
+    source = Counting(data)
+    m = wavelet.TokenFile(source).matrix()
+    assert m.access(234_567) == ids[234_567] and m.rank(int(ids[9]), 300_000) == (ids[:300_000] == ids[9]).sum()
+    assert source.read < len(data) / 100
+
+
+def test_tokenizers_that_keep_capitals_get_whole_texts():
+    from tokenizers import Tokenizer
+    name = TOKENIZER.replace("word_bpe_49k", "byte_bpe_50k")
+    t, texts = Tokenizer.from_file(name), ["A a A.", "word WORD Word", "", " two  spaces\n", "12 ab"]
+    assert wavelet.cuts_like_units(json.loads(Tokenizer.from_file(TOKENIZER).to_str()))
+    assert not wavelet.cuts_like_units(json.loads(t.to_str()))
+    ids, n = wavelet.Encoder(name).encode(pa.array(texts))
+    ends = np.cumsum(n)
+    for x, a, b in zip(texts, ends - n, ends):
+        assert ids[a:b].tolist() == t.encode(x, add_special_tokens=False).ids + [1]
+
+
 def test_word_by_word_encoding_equals_whole_texts():
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(TOKENIZER)
@@ -190,5 +238,22 @@ def test_token_files_read_back(spark):
         assert (r["start"], r["n_tokens"], r["ids_crc32"]) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         start += len(ids)
     assert wavelet.encode_documents(frame(spark, []), TOKENIZER).count() == 0
+    nulls = wavelet.encode_documents(frame(spark, [(None, "b", "en", "s", 1), (2, "c", "en", "s", 1), (None, None, "en", "s", 1)]), TOKENIZER)
+    assert [r["doc_id"] for r in nulls.orderBy("start").collect()] == [None, None, 2]
+    dated = spark.sql("SELECT DATE '2024-01-02' AS doc_id, 'x' AS text")
+    assert wavelet.encode_documents(dated, TOKENIZER).first()["doc_id"].isoformat() == "2024-01-02"
+
+
+def test_places_of_tokens_over_all_files(spark, tmp_path):
+    data, before = rows(hostile_texts()[:20]), spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    manifest = wavelet.write_shards(frame(spark, data), TOKENIZER, str(tmp_path), shard_tokens=100)
+    assert manifest.count() > 3
+    ids = np.concatenate([wavelet.Encoder(TOKENIZER).encode(pa.array([d[1]]))[0] for d in data])
+    tokens = [1, int(ids[0]), int(ids[50]), 12_345]
+    found = sorted(map(tuple, wavelet.occurrences(str(tmp_path), manifest, tokens).collect()))
+    assert found == sorted((t, p) for t in set(tokens) for p in np.flatnonzero(ids == t).tolist())
+    assert dict(map(tuple, wavelet.counts(str(tmp_path), manifest, tokens).collect())) == {t: int((ids == t).sum()) for t in tokens}
+    wavelet.read_documents(str(tmp_path), manifest, "bigint").count()
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") in (before, "1000")
 
 
