@@ -733,11 +733,14 @@ def menu_links(spark, sf_dir):
 REGISTRY["menu_links"] = menu_links
 
 
+from brewlens.operators import containment as CT  # noqa: E402
+
+
 def lexicon_table_hits(spark, sf_dir):
     """Whole-word hits of a lexicon table derived from the benchmark passages:
-    all their words, word pairs and four-word runs."""
+    all their words, word pairs, three- and four-word runs."""
     b = S.table(spark, sf_dir, "benchmark").select(X.words_of(F.col("text")).alias("w"))
-    lexicon = b.select(F.explode_outer(X.word_ngrams(F.col("w"), (1, 2, 4))).alias("term")).where(F.col("term").isNotNull())
+    lexicon = b.select(F.explode_outer(X.word_ngrams(F.col("w"), 4)).alias("term")).where(F.col("term").isNotNull())
     docs = S.table(spark, sf_dir, "documents").select("doc_id", "text")
     return X.lexicon_join(docs, "doc_id", "text", lexicon)
 
@@ -745,6 +748,17 @@ def lexicon_table_hits(spark, sf_dir):
 REGISTRY["lexicon_table_hits"] = lexicon_table_hits
 
 
+def substring_table_hits(spark, sf_dir):
+    """Substring hits of all four-word runs of the benchmark passages, as they stand there."""
+    w = S.table(spark, sf_dir, "benchmark").select(F.split("text", " ").alias("w"))
+    runs = F.expr("transform(sequence(1, greatest(size(w) - 3, 0)), i -> array_join(slice(w, i, 4), ' '))")
+    lexicon = w.select(F.explode_outer(F.when(F.size("w") >= 4, runs)).alias("term")).where(F.col("term").isNotNull())
+    return CT.substring_join(S.table(spark, sf_dir, "documents"), "doc_id", "text", lexicon)
+
+
+REGISTRY["substring_table_hits"] = substring_table_hits
+
+
 def extractions_upsert(spark, sf_dir):
     """Stored extractions re-extracted with a wider lexicon: flavors, roasters,
     origins, brew methods and price are replaced; process_methods keeps the
