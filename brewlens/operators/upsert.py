@@ -106,10 +106,14 @@ def ids_writeback(reviews: DataFrame, links: DataFrame, review_key: str, id_col:
     One aggregate per review (bounded by the review's own mentions), ordered by
     ``order_col``; reviews without links keep their stored array.
     """
-    arr = (links.groupBy(review_key)
-           .agg(F.sort_array(F.collect_list(F.struct(F.col(order_col), F.col(id_col)))).alias("_s"))
-           .select(review_key, F.transform("_s", lambda s: s[id_col]).alias(target_col)))
-    return update_from(reviews, arr, [review_key], [target_col])
+    return update_from(reviews, id_arrays(links, review_key, id_col, order_col, target_col), [review_key], [target_col])
+
+
+def id_arrays(links: DataFrame, review_key: str, id_col: str, order_col: str, target_col: str) -> DataFrame:
+    """(review_key, target_col): each review's linked ids as an array, ordered by ``order_col``."""
+    return (links.groupBy(review_key)
+            .agg(F.sort_array(F.collect_list(F.struct(F.col(order_col), F.col(id_col)))).alias("_s"))
+            .select(review_key, F.transform("_s", lambda s: s[id_col]).alias(target_col)))
 
 
 def write_snapshot(df: DataFrame, name: str, partition_by: Sequence[str] | None = None) -> str:

@@ -337,6 +337,7 @@ REGISTRY.update({
 
 
 # ------------------------------------------------------------ keyed writes
+from brewlens.operators import keyed as KT  # noqa: E402
 from brewlens.operators import upsert as U  # noqa: E402
 
 
@@ -356,17 +357,23 @@ def _customer_rows(spark, sf_dir):
         F.col("c_mktsegment").alias("segment"), "c_acctbal")
 
 
-def insert_ignore(spark, sf_dir):
+def _insert_ignore_sides(spark, sf_dir):
     c = _customer_rows(spark, sf_dir)
     target = c.where(F.col("segment").isin("BUILDING", "AUTOMOBILE")).select(
         "id", "name", "segment", F.lit("T").alias("version"))
     first = c.where(F.col("c_acctbal") > 5000).select("id", "name", "segment", F.lit("A").alias("version"),
                                                       F.lit(0).alias("seq"))
     second = c.select("id", "name", "segment", F.lit("B").alias("version"), F.lit(1).alias("seq"))
+    return target, first, second
+
+
+def insert_ignore(spark, sf_dir):
+    target, first, second = _insert_ignore_sides(spark, sf_dir)
     return U.insert_ignore(target, first.unionByName(second), ["id"], ["seq"])
 
 
-def upsert_partial(spark, sf_dir):
+def _upsert_sides(spark, sf_dir):
+    """Stored rows of the customers with a balance, and an update for each customer with orders."""
     c = _customer_rows(spark, sf_dir)
     target = c.where(F.col("c_acctbal") >= 0).select(
         "id", F.col("name").alias("cleaned_text"), F.col("c_acctbal").alias("sentiment_score"),
@@ -379,11 +386,49 @@ def upsert_partial(spark, sf_dir):
         F.lit("en").alias("language"),
         F.count(F.lit(1)).cast("int").alias("word_count"),
         F.lit(S.FIXED_NOW).cast("timestamp").alias("processed_at"))
-    m = U.upsert(target, upd, ["id"], ["cleaned_text", "sentiment_score", "processed_at"])
+    return target, upd, ["cleaned_text", "sentiment_score", "processed_at"]
+
+
+def _upserted(m):
     return m.select("id", "cleaned_text", F.round("sentiment_score", R).alias("sentiment_score"), "language",
                     "word_count", F.date_format("processed_at", "yyyy-MM-dd HH:mm:ss").alias("processed_at"))
 
 
+def upsert_partial(spark, sf_dir):
+    target, upd, changed = _upsert_sides(spark, sf_dir)
+    return _upserted(U.upsert(target, upd, ["id"], changed))
+
+
+def keyed_upsert(spark, sf_dir):
+    """The same upsert written into a bucketed table, in two batches: first the orders of customers whose
+    segment begins with a letter up to F, then all of them, so keys of the first come again."""
+    target, upd, changed = _upsert_sides(spark, sf_dir)
+    table = KT.KeyedTable.create(target, scratch_path(spark, "keyed-reviews"), ["id"], buckets=16)
+    some = _customer_rows(spark, sf_dir).where(F.col("segment") < "G").select("id")
+    table.upsert_into(upd.join(some, "id", "left_semi"), changed)
+    table.upsert_into(upd, changed)
+    return _upserted(table.read())
+
+
+def keyed_insert_ignore(spark, sf_dir):
+    """The same insert-ignore into a bucketed table; the second batch comes twice and adds nothing the second time."""
+    target, first, second = _insert_ignore_sides(spark, sf_dir)
+    table = KT.KeyedTable.create(target, scratch_path(spark, "keyed-posts"), ["id"], buckets=16)
+    table.insert_ignore_into(first, ["seq"])
+    table.insert_ignore_into(second, ["seq"])
+    table.insert_ignore_into(second, ["seq"])
+    return table.read()
+
+
+def keyed_writeback(spark, sf_dir):
+    """Array write-back into a bucketed table of orders, line by line item number."""
+    orders, lines = _writeback_sides(spark, sf_dir)
+    table = KT.KeyedTable.create(orders, scratch_path(spark, "keyed-orders"), ["id"], buckets=16)
+    arrays = U.id_arrays(lines, "id", "l_partkey", "l_linenumber", "mentioned_flavor_ids")
+    table.update_into(arrays, ["mentioned_flavor_ids"])
+    return _written_back(table.read())
+
+
 def rankings_upsert(spark, sf_dir):
     fe = S.flavor_mentions_from_events(spark, sf_dir)
     pr = S.reviews_from_customer(spark, sf_dir)
@@ -400,21 +445,32 @@ def rankings_upsert(spark, sf_dir):
                     F.date_format("computed_at", "yyyy-MM-dd HH:mm:ss").alias("computed_at"))
 
 
-def ids_writeback(spark, sf_dir):
+def _writeback_sides(spark, sf_dir):
     o = S.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"),
                                                  F.array().cast("array<bigint>").alias("mentioned_flavor_ids"))
     li = S.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("id"), "l_partkey", "l_linenumber")
-    w = U.ids_writeback(o, li, "id", "l_partkey", "l_linenumber", "mentioned_flavor_ids")
+    return o, li
+
+
+def _written_back(w):
     return w.select("id", F.array_join(F.transform("mentioned_flavor_ids", lambda x: x.cast("string")), ",")
                     .alias("ids"))
 
 
+def ids_writeback(spark, sf_dir):
+    o, li = _writeback_sides(spark, sf_dir)
+    return _written_back(U.ids_writeback(o, li, "id", "l_partkey", "l_linenumber", "mentioned_flavor_ids"))
+
+
 REGISTRY.update({
     "union_dedupe_last": union_dedupe_last,
     "insert_ignore": insert_ignore,
     "upsert_partial": upsert_partial,
     "rankings_upsert": rankings_upsert,
     "ids_writeback": ids_writeback,
+    "keyed_upsert": keyed_upsert,
+    "keyed_insert_ignore": keyed_insert_ignore,
+    "keyed_writeback": keyed_writeback,
 })
 
 
