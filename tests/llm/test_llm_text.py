@@ -248,7 +248,7 @@ def test_places_of_tokens_over_all_files(spark, tmp_path):
     data, before = rows(hostile_texts()[:20]), spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     manifest = wavelet.write_shards(frame(spark, data), TOKENIZER, str(tmp_path), shard_tokens=100)
     assert manifest.count() > 3
-    ids = np.concatenate([wavelet.Encoder(TOKENIZER).encode(pa.array([d[1]]))[0] for d in data])
+    ids = np.concatenate([wavelet.Encoder(TOKENIZER).encode(pa.array([d[1]], pa.string()))[0] for d in data])
     tokens = [1, int(ids[0]), int(ids[50]), 12_345]
     found = sorted(map(tuple, wavelet.occurrences(str(tmp_path), manifest, tokens).collect()))
     assert found == sorted((t, p) for t in set(tokens) for p in np.flatnonzero(ids == t).tolist())
