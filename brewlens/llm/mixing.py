@@ -13,9 +13,10 @@ Targets are shares of the token budget.  A value that has fewer tokens than
 its share asks for gives all it has, and the others share the rest
 (``targets``), so single targets are always within reach.
 
-The cells and the factors stay DataFrames: sums are grouped with partial
-aggregation, and only the small factor tables are written in each step.  One
-number per round goes to the driver.  A draw depends on the id alone, so it
+The cells stay a DataFrame: sums are grouped with partial aggregation and
+joined back by merging (adaptive execution can split the cells of a frequent
+value), and each step is written to the shared checkpoint folder.  One number
+per round goes to the driver.  A draw depends on the id alone, so it
 repeats on any cluster.
 
 Defined cases: null source, language or topic is a value of its own; null or
@@ -64,72 +65,78 @@ def measured(docs: DataFrame) -> DataFrame:
                           topic_of(F.col("row.text"), F.col("n_tokens")).alias("topic"), "n_tokens")
 
 
-def targets(cells: DataFrame, dimension: str, exponent: float, budget: float) -> DataFrame:
-    """(value, target): tokens to draw of each value.
+def targets(cells: DataFrame, dimensions: dict[str, float], budget: float) -> DataFrame:
+    """(dimension, value, target): tokens to draw of each value of each dimension.
 
-    Shares go by the tokens to the power of the exponent.  Values whose share is more than they have give all
-    of it; what is missing is shared by the others, until no further value is short.
+    Shares go by the tokens to the power of the dimension's exponent.  Values whose share is more than they
+    have give all of it; what is missing is shared by the others, until no further value is short.
     """
-    have = written(cells.groupBy(F.col(dimension).alias("value")).agg(F.sum("tokens").cast("double").alias("have"))
-                   .withColumn("raised", F.pow("have", F.lit(exponent))), "mix-have")
-    scale, short = None, -1
+    each = [cells.groupBy(F.lit(d).alias("dimension"), F.col(d).cast("string").alias("value"))
+            .agg(F.sum("tokens").cast("double").alias("have")).withColumn("raised", F.pow("have", F.lit(e)))
+            for d, e in dimensions.items()]
+    have = written(reduce(DataFrame.unionByName, each), "mix-have")
+    scales: dict[str, float] = dict.fromkeys(dimensions, 0.0)
+    short: dict[str, int] = dict.fromkeys(dimensions, -1)
     while True:
-        full = F.lit(False) if scale is None else F.col("raised") * scale >= F.col("have")
-        got = have.agg(F.sum("have").alias("all"), F.sum(F.when(full, F.col("have"))).alias("full"),
-                       F.sum(F.when(~full, F.col("raised"))).alias("open"),
-                       F.count_if(full).alias("short")).first()           # four numbers
-        if not got["open"] or got["short"] == short:
-            break
-        scale, short = (budget * got["all"] - (got["full"] or 0.0)) / got["open"], got["short"]
-    return have.select("value", F.least("have", F.col("raised") * F.lit(scale or 0.0)).alias("target"))
-
-
-def _named(factors: dict[str, DataFrame], cells: DataFrame) -> DataFrame:
-    """The cells with a column factor_<dimension> for each."""
-    for d, f in factors.items():
-        f = f.select(F.col("value").alias(f"value_{d}"), F.col("factor").alias(f"factor_{d}"))
-        cells = cells.join(f, F.col(d).eqNullSafe(F.col(f"value_{d}"))).drop(f"value_{d}")
-    return cells
-
-
-def _product(dimensions) -> Column:
-    return reduce(lambda a, b: a * b, [F.col(f"factor_{d}") for d in dimensions])
-
-
-def rake(cells: DataFrame, wanted: dict[str, DataFrame], start: float, tolerance: float = TOLERANCE) -> dict[str, DataFrame]:
-    """(value, target, factor, error) for each dimension; ``error`` is the relative distance of the value's expected
-    tokens from its target as the last round found it.
-
-    ``cells`` has the dimensions and tokens, ``wanted`` maps a dimension to (value, target tokens).
+        scale = F.lit(0.0)
+        for d, x in scales.items():
+            scale = F.when(F.col("dimension") == d, F.lit(x)).otherwise(scale)
+        drawn = F.least("have", F.col("raised") * scale)
+        full = F.col("raised") * scale >= F.col("have")
+        found = have.groupBy("dimension").agg(
+            F.sum("have").alias("all"), F.sum(F.when(full, F.col("have")).otherwise(0.0)).alias("full"),
+            F.sum(F.when(full, 0.0).otherwise(F.col("raised"))).alias("open"),
+            F.count_if(full & (F.col("have") > 0)).alias("short")).collect()                  # a row a dimension
+        moved = [r for r in found if r["open"] > 0 and r["short"] != short[r["dimension"]]]
+        if not moved:
+            return have.select("dimension", "value", drawn.alias("target"))
+        for r in moved:
+            scales[r["dimension"]] = (budget * r["all"] - r["full"]) / r["open"]
+            short[r["dimension"]] = r["short"]
+
+
+def rake(cells: DataFrame, wanted: DataFrame, dimensions, start: float, tolerance: float = TOLERANCE) -> DataFrame:
+    """The cells with target_, factor_ and error_<dimension>: the error is the relative distance of the value's
+    expected tokens from its target as the last round found it.
+
+    ``cells`` has the dimensions and tokens, ``wanted`` (dimension, value, target).
     """
-    factors = {d: t.select("value", "target", F.lit(start if k == 0 else 1.0).alias("factor"))
-               for k, (d, t) in enumerate(wanted.items())}
-    best, idle = None, 0
+    state = cells
+    for k, d in enumerate(dimensions):
+        own = wanted.filter(F.col("dimension") == d).select(F.col("value").alias("named"), F.col("target").alias(f"target_{d}"))
+        state = (state.join(own, F.col(d).cast("string").eqNullSafe(F.col("named"))).drop("named")
+                 .withColumn(f"factor_{d}", F.lit(start if k == 0 else 1.0)).withColumn(f"error_{d}", F.lit(0.0)))
+    state = written(state, "mix-state")
+    best, idle, tokens, now = None, 0, F.col("tokens"), _product(dimensions)
     while True:
-        for d in wanted:
-            fitted = _named(factors, cells)
-            tokens, now = F.col("tokens"), _product(wanted)
+        for d in dimensions:
             # expected tokens are a sum of min(tokens, factor * others * tokens), which is concave in the
             # factor; both quotients are tangents' answers, never above the right one, and the second is exact
             # once the cells that are cut are known
-            other = _product([x for x in wanted if x != d]) if len(wanted) > 1 else F.lit(1.0)
-            sums = fitted.groupBy(F.col(d).alias("summed")).agg(
+            others = [x for x in dimensions if x != d]
+            other = _product(others) if others else F.lit(1.0)
+            sums = state.groupBy(F.col(d).alias("summed")).agg(
                 F.sum(other * tokens).alias("plain"), F.sum(F.least(F.lit(1.0), now) * tokens).alias("drawn"),
                 F.sum(F.when(now >= 1, tokens).otherwise(0)).alias("cut"),
                 F.sum(F.when(now < 1, other * tokens).otherwise(0.0)).alias("open"))
-            told = factors[d].join(sums, F.col("value").eqNullSafe(F.col("summed")))
-            exact = F.when(F.col("open") > 0, (F.col("target") - F.col("cut")) / F.col("open"))
-            fit = F.greatest(F.col("target") / F.col("plain"), exact)
-            miss = F.when(F.col("target") > 0, F.abs(F.col("drawn") / F.col("target") - 1)).otherwise(0.0)
+            # a merge join: a broadcast for every step would pile up on the driver
+            told = state.join(sums.hint("merge"), F.col(d).eqNullSafe(F.col("summed")))
+            target = F.col(f"target_{d}")
+            exact = F.when(F.col("open") > 0, (target - F.col("cut")) / F.col("open"))
+            fit = F.greatest(target / F.col("plain"), exact)
+            miss = F.when(target > 0, F.abs(F.col("drawn") / target - 1)).otherwise(0.0)
             # where all is cut and the target is all there is, the factor stays
-            factors[d] = written(told.select(
-                "value", "target", F.when((F.col("plain") > 0) & (miss > 1e-12), fit).otherwise(F.col("factor")).alias("factor"),
-                miss.alias("error")), "mix-factors")
-        error = reduce(DataFrame.unionByName, [f.select("error") for f in factors.values()]).agg(F.max("error")).first()[0] or 0.0
+            new = F.when((F.col("plain") > 0) & (miss > 1e-12), fit).otherwise(F.col(f"factor_{d}"))
+            state = written(told.withColumn(f"error_{d}", miss).withColumn(f"factor_{d}", new).select(state.columns), "mix-state")
+        error = state.agg(F.max(F.greatest(*[F.col(f"error_{d}") for d in dimensions], F.lit(0.0)))).first()[0] or 0.0
         idle = 0 if best is None or error < STALLED * best else idle + 1
         best = error if best is None else min(best, error)
         if error <= tolerance or idle >= PATIENCE:
-            return factors
+            return state
+
+
+def _product(dimensions) -> Column:
+    return reduce(lambda a, b: a * b, [F.col(f"factor_{d}") for d in dimensions])
 
 
 def draw(doc_id: Column, seed: str) -> Column:
@@ -141,8 +148,7 @@ def draw(doc_id: Column, seed: str) -> Column:
 def cell_probabilities(each: DataFrame, dimensions: dict[str, float], budget: float) -> DataFrame:
     """One row a cell: cell_<dimension>, weight, probability.  The weight is the uncut probability over the budget."""
     cells = written(each.groupBy(*dimensions).agg(F.sum("n_tokens").alias("tokens")), "mix-cells")
-    wanted = {d: written(targets(cells, d, e, budget), "mix-target") for d, e in dimensions.items()}
-    fitted = _named(rake(cells, wanted, budget), cells).withColumn("uncut", _product(dimensions))
+    fitted = rake(cells, targets(cells, dimensions, budget), dimensions, budget).withColumn("uncut", _product(dimensions))
     return written(fitted.select(*[F.col(d).alias(f"cell_{d}") for d in dimensions], (F.col("uncut") / budget).alias("weight"),
                                  F.least(F.lit(1.0), "uncut").alias("probability")), "mix-probabilities")
 
