@@ -1,7 +1,7 @@
 """Keyed tables on plain Parquet: writes read and replace only the buckets they touch.
 
 A keyed table is a folder partitioned by ``key_bucket = pmod(xxhash64(keys), buckets)``;
-its layout (keys, number of buckets) lies beside the data, so every later
+its layout (keys, number of buckets, schema) lies beside the data, so every later
 writer uses the same one.  A write folds its batch to one row per key, finds
 the buckets of those keys, reads these alone (partition pruning) and writes
 them alone: files of other buckets keep their names and times.
@@ -20,6 +20,7 @@ and pile up in one bucket.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,7 +31,7 @@ from brewlens.operators import upsert as U
 from brewlens.session import scratch_path
 
 BUCKET = "key_bucket"
-_LAYOUT = "keys array<string>, buckets int"
+_LAYOUT = "keys array<string>, buckets int, schema string"
 
 
 class KeyedTable:
@@ -40,13 +41,13 @@ class KeyedTable:
         self.spark, self.path = spark, path
         layout = spark.read.schema(_LAYOUT).json(f"{path}/_layout").first()
         self.keys, self.buckets = list(layout["keys"]), layout["buckets"]
-        self.schema = spark.read.parquet(f"{path}/data").drop(BUCKET).schema     # of the rows, without the bucket
+        self.schema = StructType.fromJson(json.loads(layout["schema"]))      # of the rows, without the bucket
 
     @classmethod
     def create(cls, rows: DataFrame, path: str, keys: Sequence[str], buckets: int = 64) -> KeyedTable:
         """Write ``rows`` (one per key) as a new keyed table.  Choose about 1 GB a bucket."""
         spark = rows.sparkSession
-        spark.createDataFrame([(list(keys), buckets)], _LAYOUT).coalesce(1).write.json(f"{path}/_layout")
+        spark.createDataFrame([(list(keys), buckets, rows.schema.json())], _LAYOUT).coalesce(1).write.json(f"{path}/_layout")
         told = rows.withColumn(BUCKET, _bucket(keys, buckets))
         told.repartition(buckets, BUCKET).write.partitionBy(BUCKET).parquet(f"{path}/data")
         table = cls(spark, path)

@@ -476,6 +476,7 @@ REGISTRY.update({
 
 # ------------------------------------------------------------ linking
 from brewlens.operators import link as L  # noqa: E402
+from brewlens.operators import nameindex as NI  # noqa: E402
 from brewlens.session import checkpoint_root  # noqa: E402
 
 
@@ -504,7 +505,35 @@ def entity_create_leaders(spark, sf_dir):
     return L.create_entities(S.name_probes_from_customer(spark, sf_dir), S.entities_from_supplier(spark, sf_dir))
 
 
+def name_match_known(spark, sf_dir):
+    """Exact and fuzzy matches of mentions whose entity is known by construction."""
+    probes = S.known_probes_from_part(spark, sf_dir).withColumn("entity_type", F.lit("roaster"))
+    m = L.match_entities(probes, L.entity_cache(S.known_names_from_part(spark, sf_dir)))
+    return m.select("probe_id", "entity_id", "method", F.round("ratio", R).alias("ratio"))
+
+
+def name_index_match(spark, sf_dir):
+    """The same from a stored index that was filed in two parts."""
+    cache = L.entity_cache(S.known_names_from_part(spark, sf_dir))
+    later = F.col("pos_id") % 2 == 1
+    index = NI.NameIndex.create(cache.where(~later), scratch_path(spark, "name-index"), buckets=16)
+    index.add(cache.where(later))
+    probes = S.known_probes_from_part(spark, sf_dir).withColumn("entity_type", F.lit("roaster"))
+    return index.match(probes).select("probe_id", "entity_id", "method", F.round("ratio", R).alias("ratio"))
+
+
+def name_create_known(spark, sf_dir):
+    """Find-or-create where no entity exists: the first mention of a name creates it, the others follow."""
+    none = S.known_names_from_part(spark, sf_dir).limit(0)
+    made = L.create_entities(S.known_probes_from_part(spark, sf_dir, slugs=False), none)
+    first = made.where(F.col("method") == "created").groupBy("entity_id").agg(F.min_by("name", "seq").alias("leader"))
+    return made.join(first, "entity_id").select("probe_id", "method", T.slugify("leader").alias("slug"))
+
+
 REGISTRY.update({
+    "name_match_known": name_match_known,
+    "name_index_match": name_index_match,
+    "name_create_known": name_create_known,
     "alias_lookup": alias_lookup,
     "origin_key_lookup": origin_key_lookup,
     "fuzzy_best_match": fuzzy_best_match,

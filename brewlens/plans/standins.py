@@ -200,6 +200,39 @@ def entities_from_supplier(spark, sf_dir) -> DataFrame:
                     F.when(F.col("s_acctbal") >= 0, F.lit("roaster")).otherwise(F.lit("cafe")).alias("entity_type"))
 
 
+def _invented_name(seed):
+    """Two words of nine letters each, spelled from the md5 of a text: names that resemble no other."""
+    letters = F.translate(F.md5(seed.cast("binary")), "0123456789", "ghijklmnop")
+    return F.concat(F.substring(letters, 1, 9), F.lit(" "), F.substring(letters, 10, 9))
+
+
+def known_names_from_part(spark, sf_dir) -> DataFrame:
+    """An entity for every third part, under an invented name."""
+    from brewlens.functions.text import slugify
+    p = table(spark, sf_dir, "part").where(F.col("p_partkey") % 3 == 0)
+    name = F.initcap(_invented_name(F.concat("p_name", F.col("p_partkey").cast("string"))))
+    return p.select(F.col("p_partkey").alias("id"), name.alias("name"), slugify(name).alias("slug"),
+                    F.lit("roaster").alias("entity_type"))
+
+
+def known_probes_from_part(spark, sf_dir, slugs: bool = True) -> DataFrame:
+    """A mention of every part's entity (that of the last third key): the whole name in capitals, the name less
+    one letter, and the slug or, for odd keys, a name nobody has.  Without ``slugs`` the third is again a
+    name less a letter."""
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    base = p.where(k % 3 == 0).select(k.alias("base"), F.initcap(_invented_name(F.concat("p_name", k.cast("string")))).alias("whole"))
+    at = k % 15 + 2
+    less = F.concat(F.substr("whole", F.lit(1), at - 1), F.substr("whole", at + 1))
+    from brewlens.functions.text import slugify
+    third = F.when(k % 2 == 0, slugify(F.col("whole"))).otherwise(_invented_name(F.concat(F.lit("x"), k.cast("string"))))
+    padded = F.concat(F.lit("  "), F.upper("whole"), F.lit(" ")) if slugs else F.upper("whole")
+    name = (F.when(k % 3 == 0, padded).when((k % 3 == 1) | F.lit(not slugs), less)
+            .otherwise(third))
+    return p.select(k, (k - k % 3).alias("base")).join(base, "base").select(
+        k.alias("probe_id"), k.alias("seq"), name.alias("name"))
+
+
 def name_probes_from_customer(spark, sf_dir) -> DataFrame:
     """customer names respelled as supplier names with one character dropped
     (the second to last), in customer-key order: near matches and near
