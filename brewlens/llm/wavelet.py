@@ -62,23 +62,28 @@ def build(ids: np.ndarray, bits: int) -> tuple[list[np.ndarray], list[int]]:
     planes, zeros = [], []
     ids = ids.astype(np.uint16 if bits <= 16 else np.uint32)
     for level in range(bits - 1, -1, -1):
-        bit = (ids >> ids.dtype.type(level) & ids.dtype.type(1)).astype(bool)
+        bit = (ids & ids.dtype.type(1 << level)) != 0
         planes.append(np.packbits(bit))
-        ids = np.concatenate([ids[~bit], ids[bit]])
-        zeros.append(int(len(bit) - bit.sum()))
+        ones = int(np.count_nonzero(bit))
+        zeros.append(len(bit) - ones)
+        if level:
+            moved = np.empty_like(ids)
+            np.compress(~bit, ids, out=moved[:len(bit) - ones])
+            np.compress(bit, ids, out=moved[len(bit) - ones:])
+            ids = moved
     return planes, zeros
 
 
 def unfold(planes: list[np.ndarray], zeros: list[int], n: int) -> np.ndarray:
     """All ids: the planes undone from the last to the first."""
-    ids = np.zeros(n, np.uint32)
+    ids = np.zeros(n, np.uint16 if len(planes) <= 16 else np.uint32)
     for level, (plane, z) in enumerate(zip(reversed(planes), reversed(zeros))):
-        bit = np.unpackbits(plane, count=n).astype(bool)
-        back = np.empty(n, np.uint32)
+        bit = np.unpackbits(plane, count=n).view(bool)
+        back = np.empty_like(ids)
         back[~bit] = ids[:z]
-        back[bit] = ids[z:] | np.uint32(1 << level)
+        back[bit] = ids[z:] | ids.dtype.type(1 << level)
         ids = back
-    return ids
+    return ids.astype(np.uint32)
 
 
 def running_ones(plane: np.ndarray) -> np.ndarray:
@@ -266,6 +271,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.by_piece = cuts_like_units(json.loads(self.tokenizer.to_str()))
         self.known: dict[bytes, bytes] = {}      # a piece: its ids, four bytes each
+        self.before: dict[bytes, bytes] = {}     # the same, of the turn before
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         vocabulary = self.tokenizer.get_vocab()
         # ids that end a pre-token, where the vocabulary tells
@@ -290,10 +296,15 @@ class Encoder:
 
     def _words(self, found: list[bytes], whole: list[bool]) -> list[bytes]:
         """Ids of every piece; ``whole`` marks words that are not one pre-token."""
-        known = self.known
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        new = [(p, h) for p, h in zip(found, whole) if p not in known]
+        if len(self.known) > CACHE_WORDS // 2:       # pieces not met since the last turn are forgotten
+            self.before, self.known = self.known, {}
+        known, before, new = self.known, self.before, []
+        for p, h in zip(found, whole):
+            if p not in known:
+                if p in before:
+                    known[p] = before[p]
+                else:
+                    new.append((p, h))
         for some, encode in (([p for p, h in new if h], self._single), ([p for p, h in new if not h], self._joined)):
             for a in range(0, len(some), 10_000):
                 encode(some[a:a + 10_000])
@@ -417,7 +428,9 @@ def read_documents(folder: str, manifest: DataFrame, id_type: str) -> DataFrame:
 
 def occurrences(folder: str, manifest: DataFrame, tokens: list[int]) -> DataFrame:
     """(token, place): every place of the tokens among all ids, by rank and select on each file, which reads
-    only some bytes of it."""
+    only some bytes of it.  A token asked for twice is told once."""
+    tokens = list(dict.fromkeys(tokens))
+
     def work(file, row):
         matrix = file.matrix()
         for token in tokens:
@@ -432,6 +445,8 @@ def occurrences(folder: str, manifest: DataFrame, tokens: list[int]) -> DataFram
 
 def counts(folder: str, manifest: DataFrame, tokens: list[int]) -> DataFrame:
     """(token, n): how often each token occurs in all files, by rank on each file."""
+    tokens = list(dict.fromkeys(tokens))
+
     def work(file, row):
         matrix = file.matrix()
         yield pa.RecordBatch.from_arrays([pa.array(tokens, pa.int64()), pa.array([matrix.count(t) for t in tokens], pa.int64())],
