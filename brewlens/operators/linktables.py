@@ -25,11 +25,12 @@ def link_reviews(extractions: DataFrame, reviews: DataFrame, flavor_terms: DataF
     ``extractions``: processed_review_id, post_id, flavors, roasters, origins.
     ``reviews``: id and the three id arrays.  ``entities``: id, entity_type,
     name, slug, verified.  ``origins``: id, country, region, normalized_name.
-    ``ledger``: processed_review_id.  ``context_chars`` cuts a mention's context
-    (None: whole).
+    ``ledger``: processed_review_id.  ``context_chars`` cuts a mention's context further than
+    the extraction did (None: as extracted).
 
     Returns flavor_extractions (new rows), coffee_mentions (new rows),
-    entities, origins, reviews and ledger (new snapshots).
+    entities, origins, reviews and ledger (new snapshots); and what is new of the last four as
+    new_entities, new_origins, linked_reviews and linked_ids.
     """
     checkpoint_root(extractions.sparkSession)
     todo = extractions.join(ledger.select("processed_review_id"), "processed_review_id", "left_anti").checkpoint()
@@ -74,5 +75,10 @@ def link_reviews(extractions: DataFrame, reviews: DataFrame, flavor_terms: DataF
     done = ids_writeback(done, placed.select(key.alias("id"), F.col("origin_id").cast("string").alias("origin_id"), "pos"), "id",
                          "origin_id", "pos", "mentioned_origins")
     new_ledger = insert_ignore(ledger.select("processed_review_id"), todo.select("processed_review_id"), ["processed_review_id"])
+    new_origins = lookup.where("created").select(F.col("origin_id").alias("id"), "country", "region", "normalized_name")
+    linked_ids = todo.select("processed_review_id").distinct()
+    linked = done.join(linked_ids.select(F.col("processed_review_id").alias("id")), "id", "left_semi")
     return {"flavor_extractions": flavor_rows, "coffee_mentions": mentions, "entities": entity_table,
-            "origins": origin_table, "reviews": done, "ledger": new_ledger}
+            "origins": origin_table, "reviews": done, "ledger": new_ledger,
+            "new_entities": new_entities.select(entities.columns), "new_origins": new_origins, "linked_reviews": linked,
+            "linked_ids": linked_ids}

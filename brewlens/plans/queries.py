@@ -622,44 +622,7 @@ def extract_all(spark, sf_dir):
         F.array_join("keywords", ",").alias("keywords"))
 
 
-def link_all(spark, sf_dir):
-    """Extraction -> flavor links -> roaster entities -> origins, per review."""
-    terms = LX.FLAVOR_TERMS + S.VOLUME_TERMS
-    e = _extracted_documents(spark, sf_dir, terms).withColumn("post_id", F.col("id").cast("string"))
-    # reused by four linking branches and by every creation round: cut the lineage once
-    checkpoint_root(spark)
-    e = e.checkpoint()
-    flavor_dim = spark.createDataFrame([(i + 1, t, t, []) for i, t in enumerate(terms)],
-                                       "id long, term string, normalized_term string, synonyms array<string>")
-    facts = e.select(F.col("id").alias("processed_review_id"), "post_id",
-                     F.posexplode("flavors").alias("pos", "f")).select(
-        "processed_review_id", "post_id", "pos", F.col("f.term").alias("term"), F.col("f.context").alias("context"),
-        F.col("f.intensity").alias("intensity"), F.col("f.sentiment").alias("sentiment"),
-        F.col("f.confidence").alias("confidence"), F.col("f.is_primary").alias("is_primary"))
-    fl = L.link_flavors(facts, L.flavor_alias_table(flavor_dim))
-    mentions = e.select("id", "post_id", F.posexplode("roasters").alias("pos", "r"))
-    # processing order: review, then mention position
-    order = F.struct("id", "pos")
-    probes = mentions.select(order.alias("probe_id"), "id", order.alias("seq"), F.col("r.name").alias("name"))
-    ents = L.create_entities(probes.select("probe_id", "seq", "name"), S.entities_from_supplier(spark, sf_dir))
-    rl = probes.select("probe_id", "id").join(ents.select("probe_id", "entity_id"), "probe_id")
-    origins = e.select("id", F.explode("origins").alias("country"))
-    lookup, _ = L.find_or_create_origins(S.origins_from_nation(spark, sf_dir),
-                                         origins.select("country", F.lit(None).cast("string").alias("region")))
-    ol = origins.select("id", T.origin_key("country").alias("normalized_name")).join(lookup, "normalized_name")
-    per = (e.select("id")
-           .join(fl.groupBy(F.col("processed_review_id").alias("id")).agg(F.count(F.lit(1)).alias("flavors_linked")),
-                 "id", "left")
-           .join(rl.groupBy("id").agg(F.count(F.lit(1)).alias("roasters_linked")), "id", "left")
-           .join(ol.groupBy("id").agg(F.count(F.lit(1)).alias("origins_linked")), "id", "left"))
-    return per.select("id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c)
-                              for c in ("flavors_linked", "roasters_linked", "origins_linked")])
-
-
-REGISTRY.update({
-    "extract_all": extract_all,
-    "link_all": link_all,
-})
+REGISTRY["extract_all"] = extract_all
 
 
 # ------------------------------------------------------------ sources and streams
@@ -857,71 +820,133 @@ def extractions_upsert(spark, sf_dir):
                     F.array_join("process_methods", ",").alias("process_methods"), "price")
 
 
-def link_stats(spark, sf_dir):
-    """Run statistics of the linking pass summed over reviews."""
-    per = link_all(spark, sf_dir)
-    return per.agg(*[F.sum(c).cast("long").alias(c) for c in ("flavors_linked", "roasters_linked", "origins_linked")],
-                   F.lit(0).cast("long").alias("products_linked"),
-                   F.count_if(F.col("flavors_linked") > 0).alias("reviews_with_flavors"),
-                   F.count_if(F.col("roasters_linked") > 0).alias("reviews_with_roasters"))
-
-
 REGISTRY["extractions_upsert"] = extractions_upsert
-REGISTRY["link_stats"] = link_stats
 
 
 # ------------------------------------------------------------ the tables that linking writes
-from brewlens.operators import linktables as LT  # noqa: E402
+from brewlens.operators.linkstore import LinkStore  # noqa: E402
 
 
-def _linked_tables(spark, sf_dir):
-    """Extractions of all documents and the part reviews, linked against an empty ledger."""
-    terms = LX.FLAVOR_TERMS
-    d = S.documents_and_parts(spark, sf_dir).select(
+def _posts_to_link(spark, sf_dir):
+    """Every document and the part reviews as posts; the part reviews have negative ids."""
+    return S.documents_and_parts(spark, sf_dir).select(
         F.col("doc_id").alias("id"), F.lit(None).cast("string").alias("title"), F.col("text").alias("body"))
-    e = X.extract_posts(d, flavor_terms=terms).select(
-        F.col("id").alias("processed_review_id"), F.col("id").cast("string").alias("post_id"), "flavors", "roasters", "origins")
-    reviews = e.select(F.col("processed_review_id").alias("id"), F.array().cast("array<long>").alias("mentioned_flavor_ids"),
-                       F.array().cast("array<long>").alias("mentioned_roaster_ids"),
-                       F.array().cast("array<string>").alias("mentioned_origins"))
-    flavor_dim = spark.createDataFrame([(i + 1, t, t, []) for i, t in enumerate(terms)],
-                                       "id long, term string, normalized_term string, synonyms array<string>")
-    entities = S.entities_from_supplier(spark, sf_dir).select("id", "entity_type", "name", "slug", F.lit(True).alias("verified"))
-    ledger = spark.createDataFrame([], "processed_review_id long")
-    return LT.link_reviews(e, reviews, flavor_dim, entities, S.origins_from_nation(spark, sf_dir), ledger, LX.CONTEXT_CHARS)
+
+
+def _to_link(posts):
+    """Extractions of posts, as linking takes them."""
+    e = X.extract_posts(posts, flavor_terms=LX.FLAVOR_TERMS)
+    return e.select(F.col("id").alias("processed_review_id"), F.col("id").cast("string").alias("post_id"), "flavors", "roasters",
+                    "origins")
+
+
+def _flavor_dimension(spark):
+    return spark.createDataFrame([(i + 1, t, t, []) for i, t in enumerate(LX.FLAVOR_TERMS)],
+                                 "id long, term string, normalized_term string, synonyms array<string>")
+
+
+def _new_store(spark, sf_dir):
+    entities = S.entities_from_supplier(spark, sf_dir).withColumn("verified", F.lit(True))
+    return LinkStore.create(spark, scratch_path(spark, "link-store"),
+                            {"entities": entities, "origins": S.origins_from_nation(spark, sf_dir)}, buckets=8)
+
+
+_STORES: dict = {}
+
+
+def _link_store(spark, sf_dir):
+    """The store of a table folder, linked once per application from stored extractions: first the part
+    reviews, then everything, which meets a filled ledger and the mentions of the first run."""
+    key = (spark.sparkContext.applicationId, checkpoint_root(spark), sf_dir)
+    if key not in _STORES:
+        stored = scratch_path(spark, "extractions")
+        _to_link(_posts_to_link(spark, sf_dir)).write.parquet(stored)
+        extractions, store = spark.read.parquet(stored), _new_store(spark, sf_dir)
+        for run, batch in (("parts", extractions.where(F.col("processed_review_id") < 0)), ("all", extractions)):
+            store.link(batch, _flavor_dimension(spark), run, LX.CONTEXT_CHARS)
+        _STORES[key] = store.path
+    return LinkStore(spark, _STORES[key])
+
+
+def _mentions(store):
+    named = store.read("entities").select(F.col("id").alias("roaster_id"), "slug")
+    return store.read("coffee_mentions").join(named, "roaster_id").select(
+        "post_id", "slug", "mention_text", "mention_context", "confidence_score")
 
 
 def link_mentions(spark, sf_dir):
     """coffee_mentions rows; the entity is named by its slug."""
-    t = _linked_tables(spark, sf_dir)
-    named = t["entities"].select(F.col("id").alias("roaster_id"), "slug")
-    return t["coffee_mentions"].join(named, "roaster_id").select("post_id", "slug", "mention_text", "mention_context",
-                                                                 "confidence_score")
+    return _mentions(_link_store(spark, sf_dir))
 
 
 def link_reviews(spark, sf_dir):
-    """The three arrays on each review: flavor ids, entity slugs, and the number of origins."""
-    t = _linked_tables(spark, sf_dir)
-    names = t["entities"].select(F.col("id").alias("entity_id"), "slug")
-    flat = t["reviews"].select("id", "mentioned_flavor_ids", F.size("mentioned_origins").cast("long").alias("n_origins"),
-                               F.posexplode_outer("mentioned_roaster_ids").alias("pos", "entity_id"))
-    back = flat.join(names, "entity_id", "left").groupBy("id", "mentioned_flavor_ids", "n_origins").agg(
-        F.array_sort(F.collect_list(F.when(F.col("slug").isNotNull(), F.struct("pos", "slug")))).alias("s"))
-    return back.select("id", F.array_join(F.transform("mentioned_flavor_ids", lambda x: x.cast("string")), ",").alias("flavor_ids"),
-                       F.array_join(F.transform("s", lambda x: x["slug"]), ",").alias("roasters"), "n_origins")
+    """The three arrays on each review: flavor ids, entity slugs, and the origins by their keys."""
+    store = _link_store(spark, sf_dir)
+    reviews = store.read("reviews")
+
+    def named(column, ids, names, name):
+        # the array's ids replaced by what the dimension calls them, in order
+        flat = reviews.select("id", F.posexplode(column).alias("pos", ids)).join(names, ids)
+        return flat.groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", name))), lambda x: x[name]).alias(column))
+
+    slugs = named("mentioned_roaster_ids", "entity_id", store.read("entities").select(F.col("id").alias("entity_id"), "slug"), "slug")
+    origins = named("mentioned_origins", "origin_id",
+                    store.read("origins").select(F.col("id").cast("string").alias("origin_id"), "normalized_name"), "normalized_name")
+    out = reviews.select("id", "mentioned_flavor_ids", F.size("mentioned_origins").cast("long").alias("n_origins")) \
+        .join(slugs, "id", "left").join(origins, "id", "left")
+    return out.select("id", F.array_join(F.transform("mentioned_flavor_ids", lambda x: x.cast("string")), ",").alias("flavor_ids"),
+                      F.coalesce(F.array_join("mentioned_roaster_ids", ","), F.lit("")).alias("roasters"), "n_origins",
+                      F.coalesce(F.array_join(F.array_sort("mentioned_origins"), ","), F.lit("")).alias("origins"))
 
 
 def link_dimensions(spark, sf_dir):
     """Entities and origins after linking, as one table of names."""
-    t = _linked_tables(spark, sf_dir)
-    e = t["entities"].select(F.lit("entity").alias("kind"), "name", F.col("slug").alias("key"),
-                              F.when(F.col("verified"), "known").otherwise("new").alias("state"))
-    o = t["origins"].select(F.lit("origin").alias("kind"), F.col("country").alias("name"), F.col("normalized_name").alias("key"),
-                            F.lit("").alias("state"))
+    store = _link_store(spark, sf_dir)
+    e = store.read("entities").select(F.lit("entity").alias("kind"), "name", F.col("slug").alias("key"),
+                                      F.when(F.col("verified"), "known").otherwise("new").alias("state"))
+    o = store.read("origins").select(F.lit("origin").alias("kind"), F.col("country").alias("name"),
+                                     F.col("normalized_name").alias("key"), F.lit("").alias("state"))
     return e.unionByName(o)
 
 
-REGISTRY.update({"link_mentions": link_mentions, "link_reviews": link_reviews, "link_dimensions": link_dimensions})
+def link_all(spark, sf_dir):
+    """Links per review: flavors, roasters, origins."""
+    sizes = {"flavors_linked": "mentioned_flavor_ids", "roasters_linked": "mentioned_roaster_ids",
+             "origins_linked": "mentioned_origins"}
+    return _link_store(spark, sf_dir).read("reviews").select(
+        "id", *[F.size(c).cast("long").alias(n) for n, c in sizes.items()])
+
+
+def link_stats(spark, sf_dir):
+    """Statistics observed while the runs were written, summed over them."""
+    names = ["flavors_linked", "roasters_linked", "origins_linked", "products_linked", "reviews_with_flavors",
+             "reviews_with_roasters", "reviews_linked", "entities_created", "origins_created"]
+    return _link_store(spark, sf_dir).run_statistics().agg(*[F.sum(n).alias(n) for n in names])
+
+
+def link_backlog(spark, sf_dir):
+    """Reviews still to link after the run over the part reviews alone: the ledger is filled, the documents open."""
+    store = _link_store(spark, sf_dir)
+    first = store.spark.read.parquet(f"{store.path}/runs/parts/linked_ids").select("processed_review_id")
+    open_ids = Q.backlog(store.read("reviews").select("id"), first.select(F.col("processed_review_id").alias("id")), "id", "id")
+    return open_ids.select("id")
+
+
+def stream_link(spark, sf_dir):
+    """Posts land as JSON files, the part reviews first; each micro-batch is extracted and linked into the
+    stored tables.  The last batch is then replayed by its id, which changes nothing."""
+    land, ckpt, store = scratch_path(spark, "landing-link"), scratch_path(spark, "ckpt-link"), _new_store(spark, sf_dir)
+    posts = _posts_to_link(spark, sf_dir)
+    for part, some in (("a", posts.where("id < 0")), ("b", posts.where("id >= 0"))):
+        some.write.json(f"{land}/{part}")
+        ST.link_stream(spark, f"{land}/*", _ddl(POST_SCHEMA), store.path, _to_link, _flavor_dimension(spark), ckpt,
+                       LX.CONTEXT_CHARS)
+    store.link(_to_link(posts), _flavor_dimension(spark), "batch-1", LX.CONTEXT_CHARS)
+    return _mentions(store)
+
+
+REGISTRY.update({"link_mentions": link_mentions, "link_reviews": link_reviews, "link_dimensions": link_dimensions,
+                 "link_all": link_all, "link_stats": link_stats, "link_backlog": link_backlog, "stream_link": stream_link})
 
 
 def processed_reviews(spark, sf_dir):

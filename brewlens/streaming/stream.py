@@ -4,6 +4,8 @@
   into a parquet table.  Exactly-once on the key: a replayed micro-batch finds
   its rows already present and adds nothing.  No watermark here: dropping
   late posts would lose data.
+* ``link_stream``: landed posts -> extraction -> the stored tables of linking,
+  one named run per micro-batch.
 * ``daily_partials``: watermark on event time, 1-day tumbling windows per
   term: count, sentiment sum, +/-0.3 counts, appended when the window closes.
   The 7/30/365-day figures are a batch roll-up of these partials.
@@ -20,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from brewlens.functions import lexicons as LX
+from brewlens.operators.linkstore import LinkStore
 from brewlens.operators.upsert import dedupe
 from brewlens.sources.ingest import TS_FORMAT
 
@@ -85,6 +88,24 @@ def ingest(spark: SparkSession, landing: str, schema: T.StructType, key: list[st
     return _run(w, available_now)
 
 
+def link_stream(spark: SparkSession, landing: str, schema: T.StructType, store: str, extract, flavor_terms: DataFrame,
+                checkpoint: str, context_chars: int | None = None, available_now: bool = True,
+                max_files_per_trigger: int | None = None):
+    """Stream landed posts through ``extract`` (posts -> extractions) into the link store at path ``store``.
+
+    A micro-batch is a run named by its id: replayed, its finished plan is applied again, which changes
+    nothing.  Entities, origins, mentions and the ledger are carried from batch to batch by the store.
+    """
+    src = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        src = src.option("maxFilesPerTrigger", max_files_per_trigger)
+
+    def link_batch(batch: DataFrame, batch_id: int) -> None:
+        LinkStore(batch.sparkSession, store).link(extract(batch), flavor_terms, f"batch-{batch_id}", context_chars)
+
+    return _run(src.json(landing).writeStream.foreachBatch(link_batch).option("checkpointLocation", checkpoint), available_now)
+
+
 def _by_day(events: DataFrame, time_col: str, term_col: str, sentiment_col: str) -> DataFrame:
     s = F.col(sentiment_col)
     return (events.groupBy(F.window(time_col, "1 day").alias("w"), F.col(term_col).alias("term"))
