@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from brewlens.llm.common import shuffle_partitions, written
-from brewlens.session import scratch_path
+from brewlens.session import path_exists, scratch_path
 
 
 def digests(docs: DataFrame) -> DataFrame:
@@ -56,9 +56,8 @@ class DigestIndex:
 
     def _layout(self, id_type: str, buckets: int) -> dict:
         """The layout written beside the digests; a new index gets the one asked for."""
-        where = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/layout")
-        if not where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
-            self.spark.createDataFrame([(id_type, buckets)], "id_type string, buckets int").coalesce(1).write.json(f"{self.path}/layout")
+        if not path_exists(self.spark, f"{self.path}/layout/_SUCCESS"):
+            self.spark.createDataFrame([(id_type, buckets)], "id_type string, buckets int").coalesce(1).write.mode("overwrite").json(f"{self.path}/layout")
         return self.spark.read.schema("id_type string, buckets int").json(f"{self.path}/layout").first().asDict()
 
     def table(self) -> DataFrame:
