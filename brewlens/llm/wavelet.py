@@ -52,7 +52,7 @@ MAGIC = b"WVM2"
 END_ID = 1
 SHARD_TOKENS = 1 << 21
 BLOCK = 512                # bits per running count
-CACHE_WORDS = 1 << 19      # distinct pieces an encoder remembers
+TABLE_SLOTS = 1 << 22      # an encoder remembers half as many pieces (about 100 MB)
 JOINED = 64                # pieces encoded in one text
 
 
@@ -263,52 +263,101 @@ def encoder(tokenizer_file: str) -> Encoder:
     return _encoders[tokenizer_file]
 
 
+class Pieces:
+    """The ids of pieces by their hash: an open-addressing table on arrays, looked up for many hashes at once."""
+
+    def __init__(self, slots: int = TABLE_SLOTS):
+        self.slots = slots
+        self.keys = np.zeros(self.slots, np.uint64)
+        self.entry = np.full(self.slots, -1, np.int32)
+        self.start, self.size = np.zeros(self.slots // 2, np.int64), np.zeros(self.slots // 2, np.int64)
+        self.ids, self.n, self.n_ids = np.zeros(1 << 16, np.uint32), 0, 0
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The entry of each hash, -1 where there is none."""
+        out = np.full(len(hashes), -1, np.int32)
+        left, slot = np.arange(len(hashes)), (hashes & np.uint64(self.slots - 1)).astype(np.int64)
+        while len(left):
+            found = self.entry[slot]
+            hit = (self.keys[slot] == hashes[left]) & (found >= 0)
+            out[left[hit]] = found[hit]
+            on = (found >= 0) & ~hit
+            left, slot = left[on], (slot[on] + 1) & (self.slots - 1)
+        return out
+
+    def add(self, hashes: np.ndarray, lists: list[np.ndarray]) -> np.ndarray:
+        """Remember new, distinct hashes (the table stays half empty); their entries."""
+        sizes = np.array([len(x) for x in lists], np.int64)
+        total = self.n_ids + int(sizes.sum())
+        if total > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros(max(total, 2 * len(self.ids)) - len(self.ids), np.uint32)])
+        if len(lists):
+            self.ids[self.n_ids:total] = np.concatenate(lists)
+        entries = np.arange(self.n, self.n + len(hashes), dtype=np.int32)
+        self.start[entries], self.size[entries] = self.n_ids + np.cumsum(sizes) - sizes, sizes
+        self.n, self.n_ids = self.n + len(hashes), total
+        left, slot = np.arange(len(hashes)), (hashes & np.uint64(self.slots - 1)).astype(np.int64)
+        while len(left):
+            free = self.entry[slot] < 0
+            self.entry[slot[free]] = entries[left[free]]         # of several the last one stays
+            own = self.entry[slot] == entries[left]
+            self.keys[slot[own]] = hashes[left[own]]
+            left, slot = left[~own], (slot[~own] + 1) & (self.slots - 1)
+        return entries
+
+
 class Encoder:
     """Ids of whole texts: each distinct word is encoded once."""
 
-    def __init__(self, tokenizer_file: str):
+    def __init__(self, tokenizer_file: str, slots: int = TABLE_SLOTS):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.by_piece = cuts_like_units(json.loads(self.tokenizer.to_str()))
-        self.known: dict[bytes, bytes] = {}      # a piece: its ids, four bytes each
-        self.before: dict[bytes, bytes] = {}     # the same, of the turn before
+        self.slots, self.known = slots, Pieces(slots)
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         vocabulary = self.tokenizer.get_vocab()
         # ids that end a pre-token, where the vocabulary tells
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if suffix and t.endswith(suffix)]] = True
 
-    def _single(self, pieces: list[bytes]) -> None:
-        for p, e in zip(pieces, self.tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)):
-            self.known[p] = np.array(e.ids, np.uint32).tobytes()
+    def _single(self, pieces: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
-    def _joined(self, pieces: list[bytes]) -> None:
+    def _joined(self, pieces: list[str]) -> list[np.ndarray]:
         """Pieces that are one pre-token each, some in a text: the end-of-word ids part them again."""
-        runs = [pieces[a:a + JOINED] for a in range(0, len(pieces), JOINED)]
-        for run, e in zip(runs, self.tokenizer.encode_batch_fast([b" ".join(r).decode() for r in runs], add_special_tokens=False)):
+        runs, out = [pieces[a:a + JOINED] for a in range(0, len(pieces), JOINED)], []
+        for run, e in zip(runs, self.tokenizer.encode_batch_fast([" ".join(r) for r in runs], add_special_tokens=False)):
             ids = np.array(e.ids, np.uint32)
-            stops = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
-            if len(stops) != len(run) or stops[-1] != 4 * len(ids):
-                self._single(run)
-                continue
-            raw = ids.tobytes()
-            self.known.update(zip(run, (raw[x:y] for x, y in zip([0, *stops], stops))))
-
-    def _words(self, found: list[bytes], whole: list[bool]) -> list[bytes]:
-        """Ids of every piece; ``whole`` marks words that are not one pre-token."""
-        if len(self.known) > CACHE_WORDS // 2:       # pieces not met since the last turn are forgotten
-            self.before, self.known = self.known, {}
-        known, before, new = self.known, self.before, []
-        for p, h in zip(found, whole):
-            if p not in known:
-                if p in before:
-                    known[p] = before[p]
-                else:
-                    new.append((p, h))
-        for some, encode in (([p for p, h in new if h], self._single), ([p for p, h in new if not h], self._joined)):
-            for a in range(0, len(some), 10_000):
-                encode(some[a:a + 10_000])
-        return [known[p] for p in found]
+            stops = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(stops) != len(run) or stops[-1] != len(ids):
+                out += self._single(run)
+            else:
+                out += [ids[x:y] for x, y in zip([0, *stops], stops)]
+        return out
+
+    def _entries(self, w, raw: bytes) -> np.ndarray:
+        """The table's entry of every unit; those it lacks are encoded.  ``shape`` marks words that are not one pre-token."""
+        entry = self.known.find(w.hash)
+        lacking = np.flatnonzero(entry < 0)
+        if not len(lacking):
+            return entry
+        hashes, at, which = np.unique(w.hash[lacking], return_index=True, return_inverse=True)
+        if self.known.n + len(hashes) > self.known.slots // 2:
+            # full: begin anew with this slice, with more room if one very long text needs it
+            distinct = len(np.unique(w.hash))
+            self.known = Pieces(max(self.slots, 2 << distinct.bit_length()))
+            return self._entries(w, raw)
+        first = lacking[at]
+        whole = w.shape[first]
+        pieces = [raw[a:b].decode() for a, b in zip(w.start[first].tolist(), w.end[first].tolist())]
+        lists: list = [None] * len(pieces)
+        for mine, encode in ((np.flatnonzero(whole).tolist(), self._single), (np.flatnonzero(~whole).tolist(), self._joined)):
+            for a in range(0, len(mine), 10_000):
+                some = mine[a:a + 10_000]
+                for k, ids in zip(some, encode([pieces[k] for k in some])):
+                    lists[k] = ids
+        entry[lacking] = self.known.add(hashes, lists)[which]
+        return entry
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, each with the end id; their lengths)."""
@@ -319,23 +368,17 @@ class Encoder:
             return (np.array([i for x in lists for i in x], np.uint32), np.array([len(x) for x in lists], np.int64))
         data, _ = W.buffers(texts)
         w = W.units(texts)
-        raw = data.tobytes()
-        distinct, at, which = np.unique(w.hash, return_index=True, return_inverse=True)
-        lists = self._words([raw[a:b] for a, b in zip(w.start[at].tolist(), w.end[at].tolist())], w.shape[at].tolist())
-        sizes = np.array([len(x) // 4 for x in lists], np.int64)
-        flat = np.frombuffer(b"".join(lists), np.uint32)
-        starts = np.cumsum(sizes) - sizes
-        per_word = sizes[which] if len(at) else np.zeros(0, np.int64)
-        lengths = np.bincount(w.doc, weights=per_word, minlength=n).astype(np.int64) + 1
+        entry = self._entries(w, data.tobytes())
+        sizes = self.known.size[entry]
+        lengths = np.bincount(w.doc, weights=sizes, minlength=n).astype(np.int64) + 1
         ends = np.cumsum(lengths)
         ids = np.empty(int(ends[-1]) if n else 0, np.uint32)
         own = np.ones(len(ids), bool)
         own[ends - 1] = False
         ids[ends - 1] = END_ID
-        if len(at):
-            total = np.cumsum(per_word)
-            shift = np.repeat(starts[which] - (total - per_word), per_word)
-            ids[own] = flat[shift + np.arange(len(shift))]
+        if len(entry):
+            shift = np.repeat(self.known.start[entry] - (np.cumsum(sizes) - sizes), sizes)
+            ids[own] = self.known.ids[shift + np.arange(len(shift))]
         return ids, lengths
 
 

@@ -193,6 +193,23 @@ class Counting(pa.BufferReader):
         return super().read_at(size, at)
 
 
+@pytest.mark.parametrize("slots", [16, 1 << 10])
+def test_a_small_table_of_pieces_gives_the_same_ids(slots):
+    texts = pa.array([x for x in hostile_texts() if x is None or len(x) < 5000] * 2, pa.string())
+    small, large = wavelet.Encoder(TOKENIZER, slots), wavelet.Encoder(TOKENIZER)
+    for a in range(0, len(texts), 7):
+        got, want = small.encode(texts[a:a + 7]), large.encode(texts[a:a + 7])
+        assert got[0].tolist() == want[0].tolist() and got[1].tolist() == want[1].tolist()
+
+
+def test_pieces_that_share_a_slot_are_told_apart():
+    pieces, hashes = wavelet.Pieces(64), np.array([1, 65, 129, 63, 127, 2], np.uint64)
+    entries = pieces.add(hashes, [np.full(k, k, np.uint32) for k in range(6)])
+    assert pieces.find(hashes).tolist() == entries.tolist() == list(range(6))
+    assert pieces.find(np.array([193, 0, 3], np.uint64)).tolist() == [-1, -1, -1]
+    assert [pieces.ids[pieces.start[e]:pieces.start[e] + pieces.size[e]].tolist() for e in entries] == [[k] * k for k in range(6)]
+
+
 def test_a_token_file_is_read_in_places():
     ids = np.random.default_rng(4).integers(0, 49_000, 400_000).astype(np.uint32)
     data = wavelet.dump(pa.array(["a"]), np.array([len(ids)]), ids)
