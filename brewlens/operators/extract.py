@@ -38,14 +38,18 @@ def confidence_sql(ctx: str, sent: str) -> str:
             f"ELSE (CASE WHEN abs({sent}) > 0.5 THEN CAST(0.7 AS DOUBLE) ELSE CAST(0.6 AS DOUBLE) END) END")
 
 
+def _cut(sql: str, context_chars: int | None) -> str:
+    return sql if context_chars is None else f"substring({sql}, 1, {context_chars})"
+
+
 def flavor_facts(df: DataFrame, text_col: str, out: str = "flavors",
-                 terms: Sequence[str] = LX.FLAVOR_TERMS) -> DataFrame:
+                 terms: Sequence[str] = LX.FLAVOR_TERMS, context_chars: int | None = LX.CONTEXT_CHARS) -> DataFrame:
     """Add ``out``: array<struct<term, ord, context, sentiment, intensity,
     confidence, is_primary>> for the flavor terms contained in ``text_col``.
 
     Context = first sentence (of the lower-cased text) containing the term;
     sentiment of the context (0.0 when empty); primary = top 3 by confidence,
-    ties by lexicon order.
+    ties by lexicon order.  The context is stored up to ``context_chars`` (None: whole).
     """
     lt, sents, hits, f0, f1, f2 = (f"_{out}_{n}" for n in ("lt", "sents", "hits", "f0", "f1", "f2"))
     d = df.withColumn(lt, F.lower(F.col(text_col)))
@@ -62,7 +66,7 @@ def flavor_facts(df: DataFrame, text_col: str, out: str = "flavors",
         f"'confidence', {confidence_sql('f.context', 'f.sentiment')}))"))
     d = d.withColumn(out, F.expr(
         f"transform({f2}, f -> named_struct('term', f.term, 'ord', f.ord, "
-        f"'context', substring(f.context, 1, {LX.CONTEXT_CHARS}), 'sentiment', f.sentiment, "
+        f"'context', {_cut('f.context', context_chars)}, 'sentiment', f.sentiment, "
         f"'intensity', f.intensity, 'confidence', f.confidence, "
         f"'is_primary', size(filter({f2}, g -> g.confidence > f.confidence OR "
         f"(g.confidence = f.confidence AND g.ord < f.ord))) < {LX.PRIMARY_FLAVORS}))"))
@@ -70,7 +74,7 @@ def flavor_facts(df: DataFrame, text_col: str, out: str = "flavors",
 
 
 def roaster_facts(df: DataFrame, text_col: str, out: str = "roasters",
-                  names: Sequence[str] = LX.KNOWN_ROASTERS) -> DataFrame:
+                  names: Sequence[str] = LX.KNOWN_ROASTERS, context_chars: int | None = LX.CONTEXT_CHARS) -> DataFrame:
     """Add ``out``: array<struct<name, context>> of roaster mentions.
 
     Known names contained in the lower-cased text (title-cased, context = the
@@ -81,12 +85,11 @@ def roaster_facts(df: DataFrame, text_col: str, out: str = "roasters",
     low, segs, known, pat = (f"_{out}_{n}" for n in ("low", "segs", "known", "pat"))
     titled = {n: n.title() for n in names}
     edge = "'" + T.EDGE_WS.replace("\\", "\\\\") + "'"      # a SQL literal: backslashes count twice
+    segment = f"regexp_replace(coalesce(try_element_at(filter({segs}, s -> contains(lower(s), n)), 1), ''), {edge}, '')"
     d = df.withColumn(low, F.lower(F.col(text_col))).withColumn(segs, F.split(F.col(text_col), "[.]", -1))
     d = d.withColumn(known, F.expr(
         f"transform({_hits_sql(low, names)}, n -> named_struct("
-        f"'name', {_case_map('n', titled)}, "
-        f"'context', substring(regexp_replace(coalesce(try_element_at(filter({segs}, s -> contains(lower(s), n)), 1), ''), "
-        f"{edge}, ''), 1, {LX.CONTEXT_CHARS})))"))
+        f"'name', {_case_map('n', titled)}, 'context', {_cut(segment, context_chars)}))"))
     d = d.withColumn(pat, F.regexp_extract_all(F.col(text_col), F.lit(T.BRAND_PATTERN), 1))
     d = d.withColumn(out, F.expr(
         f"concat({known}, transform(filter(transform({pat}, (m, i) -> named_struct('m', m, 'i', i)), "
@@ -139,7 +142,7 @@ def _canonical(t):
 
 def extract_posts(posts: DataFrame, id_col: str = "id", title_col: str = "title",
                   body_col: str = "body", flavor_terms: Sequence[str] = LX.FLAVOR_TERMS,
-                  sentiment_fn=None) -> DataFrame:
+                  sentiment_fn=None, context_chars: int | None = LX.CONTEXT_CHARS) -> DataFrame:
     """One-pass extraction for every post with at least 10 characters of text.
 
     Returns id, cleaned_text, sentiment_score, word_count, flavors, roasters,
@@ -149,15 +152,15 @@ def extract_posts(posts: DataFrame, id_col: str = "id", title_col: str = "title"
 
     ``sentiment_fn`` is the scorer hook: a function from a column name to a
     Column (for example a user's pandas UDF); by default the built-in lexicon
-    scorer, which stays in the JVM.
+    scorer, which stays in the JVM.  ``context_chars`` cuts stored contexts (None: whole).
     """
     d = posts.select(F.col(id_col).alias("id"), T.post_text(title_col, body_col).alias("raw_text"))
     d = d.where(F.length("raw_text") >= LX.MIN_TEXT_CHARS)
     d = d.withColumn("cleaned_text", T.clean_text("raw_text"))
     d = d.withColumn("sentiment_score", (sentiment_fn or T.sentiment)("cleaned_text"))
     d = d.withColumn("word_count", T.word_count(F.lower("cleaned_text")))
-    d = flavor_facts(d, "cleaned_text", terms=flavor_terms)
-    d = roaster_facts(d, "raw_text")
+    d = flavor_facts(d, "cleaned_text", terms=flavor_terms, context_chars=context_chars)
+    d = roaster_facts(d, "raw_text", context_chars=context_chars)
     d = origin_names(d, "cleaned_text")
     d = d.withColumn("brew_methods", T.lexicon_hits("cleaned_text", LX.BREW_METHODS))
     d = d.withColumn("process_methods", F.array().cast("array<string>"))
@@ -172,30 +175,73 @@ def processed_reviews(extracted: DataFrame, now: str | None = None, language: st
                             F.lit(language).alias("language"), "word_count", at.alias("processed_at"))
 
 
+def _with_top_tokens(df: DataFrame, tokens, top_n: int, out: str) -> DataFrame:
+    """Add ``out``: array<struct<less, pos, token>> of a row's ``top_n`` tokens by count (``less`` is the negative
+    count), ties by first occurrence.
+
+    All in the row: (token, position) pairs are sorted, equal tokens stand in runs, and a run's length is its
+    count.  What the lambdas read is a column of its own at each step.
+    """
+    words, runs, starts = (f"_{out}_{n}" for n in ("words", "runs", "starts"))
+    d = df.withColumn(words, tokens)
+    d = d.withColumn(runs, F.sort_array(F.transform(words, lambda x, i: F.struct(x.alias("token"), i.alias("pos")))))
+    begins = F.transform(runs, lambda x, i: F.when((i == 0) | (x["token"] != F.get(runs, i - 1)["token"]), i))
+    d = d.withColumn(starts, F.filter(begins, lambda x: x.isNotNull()))
+    counted = F.transform(starts, lambda a, k: F.struct(
+        (a - F.coalesce(F.get(starts, k + 1), F.size(runs))).alias("less"), F.get(runs, a)["pos"].alias("pos"),
+        F.get(runs, a)["token"].alias("token")))
+    return d.withColumn(out, F.slice(F.sort_array(counted), 1, top_n)).drop(words, runs, starts)
+
+
+def _keyword_tokens(text_col: str, stop_words: Sequence[str]):
+    words = F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(T.KEYWORD_TOKENS), 0)
+    return F.filter(words, lambda x: ~x.isin(list(stop_words)))
+
+
 def keywords(df: DataFrame, id_col: str, text_col: str, top_n: int = LX.KEYWORDS_TOP_N,
              stop_words: Sequence[str] = LX.STOP_WORDS, token_hook=None) -> DataFrame:
-    """Top-N tokens per document by count, ties by first occurrence.
+    """Top-N tokens per document by count, ties by first occurrence; nothing is exchanged.
 
     Tokens are lower-case alphabetic runs minus stop words; ``token_hook``
     (Column -> Column, e.g. a pandas UDF running a tagger) may map each token
-    to its lemma or to null to drop it.
-    ``posexplode`` + one hash aggregate on (doc, token) with map-side combine,
-    then a per-document rank whose ``<= N`` filter is a window-group limit.
+    to its lemma or to null to drop it.  A UDF cannot run inside an array
+    function, so with a hook each token is a row until the hook has run.
     """
+    tokens = _keyword_tokens(text_col, stop_words)
+    d = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
+    if token_hook is None:
+        d = _with_top_tokens(d, _keyword_tokens("_text", stop_words), top_n, "top")
+    else:
+        each = df.select(F.col(id_col).alias("doc_id"), F.posexplode_outer(tokens).alias("pos", "token"))
+        each = each.where(F.col("token").isNotNull()).withColumn("token", token_hook(F.col("token")))
+        lists = each.where(F.col("token").isNotNull()).groupBy("doc_id").agg(
+            F.transform(F.sort_array(F.collect_list(F.struct("pos", "token"))), lambda x: x["token"]).alias("_tokens"))
+        d = _with_top_tokens(lists, F.col("_tokens"), top_n, "top")
     # the _outer form: a plain explode makes the optimizer infer a size > 0
     # filter, which would tokenize every text twice (once below any repartition)
-    toks = df.select(F.col(id_col).alias("doc_id"),
-                     F.posexplode_outer(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(T.KEYWORD_TOKENS), 0))
-                     .alias("pos", "token"))
-    toks = toks.where(F.col("token").isNotNull() & ~F.col("token").isin(list(stop_words)))
-    if token_hook is not None:
-        # tagger / lemmatiser hook: Column -> Column (lemma, or null to drop the token)
-        toks = toks.withColumn("token", token_hook(F.col("token"))).where(F.col("token").isNotNull())
-    counts = toks.groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("cnt"), F.min("pos").alias("first_pos"))
-    w = Window.partitionBy("doc_id").orderBy(F.col("cnt").desc(), F.col("first_pos"))
-    return (counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top_n)
-            .select("doc_id", F.col("rank").cast("long").alias("rank"), F.col("token").alias("keyword"),
-                    F.col("cnt").cast("long").alias("cnt")))
+    ranked = d.select("doc_id", F.posexplode_outer("top").alias("place", "t")).where(F.col("t").isNotNull())
+    return ranked.select("doc_id", (F.col("place") + 1).cast("long").alias("rank"), F.col("t.token").alias("keyword"),
+                         (-F.col("t.less")).cast("long").alias("cnt"))
+
+
+def sentiment_join(docs: DataFrame, id_col: str, text_col: str, lexicon: DataFrame,
+                   negators: Sequence[str] = tuple(LX.NEGATORS), factor: float = LX.NEGATION_FACTOR) -> DataFrame:
+    """(doc_id, sentiment): the lexicon score with the lexicon as a table (word, polarity) of any size.
+
+    The same rule as :func:`brewlens.functions.text.sentiment_sql`: every token that is a word of the
+    lexicon adds its polarity, times ``factor`` after a negator; the score is the mean, 0.0 without a hit.
+    Tokens (with the one before) are equi-joined with the lexicon; ids are unique.  A word given
+    twice counts with its larger polarity.
+    """
+    words = lexicon.groupBy(F.lower("word").alias("word")).agg(F.max("polarity").alias("polarity"))
+    d = docs.select(F.col(id_col).alias("doc_id"),
+                    F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(T.WORD_TOKENS), 0).alias("_tokens"))
+    pairs = F.transform("_tokens", lambda x, i: F.struct(x.alias("word"), F.when(i > 0, F.get("_tokens", i - 1)).alias("before")))
+    said = d.select("doc_id", F.explode_outer(pairs).alias("t")).where(F.col("t").isNotNull()).select("doc_id", "t.word", "t.before")
+    weight = F.when(F.col("before").isin(list(negators)), F.lit(factor)).otherwise(F.lit(1.0))
+    scored = said.join(words, "word").groupBy("doc_id").agg(F.avg(F.col("polarity") * weight).alias("sentiment"))
+    return docs.select(F.col(id_col).alias("doc_id")).join(scored, "doc_id", "left").select(
+        "doc_id", F.coalesce("sentiment", F.lit(0.0)).alias("sentiment"))
 
 
 def drink_mentions(posts: DataFrame, comments: DataFrame, post_key: str = "post_id",
@@ -219,16 +265,9 @@ def drink_mentions(posts: DataFrame, comments: DataFrame, post_key: str = "post_
 
 
 def with_keywords(extracted: DataFrame, top_n: int = LX.KEYWORDS_TOP_N) -> DataFrame:
-    """Attach each post's top-N keywords (in rank order) to the extraction.
-
-    The per-post list is at most N entries, so gathering it is bounded.
-    """
-    kw = keywords(extracted, "id", "cleaned_text", top_n)
-    lists = (kw.groupBy(F.col("doc_id").alias("id"))
-             .agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", "keyword"))), lambda s: s["keyword"])
-                  .alias("keywords")))
-    return (extracted.join(lists, "id", "left")
-            .withColumn("keywords", F.coalesce("keywords", F.array().cast("array<string>"))))
+    """Attach each post's top-N keywords (in rank order) to the extraction, in the row."""
+    d = _with_top_tokens(extracted, _keyword_tokens("cleaned_text", LX.STOP_WORDS), top_n, "_top")
+    return d.withColumn("keywords", F.transform("_top", lambda x: x["token"])).drop("_top")
 
 
 WORD = r"[a-z0-9]+"

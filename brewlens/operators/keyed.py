@@ -57,6 +57,11 @@ class KeyedTable:
     def read(self) -> DataFrame:
         return self._stored().drop(BUCKET)
 
+    def read_for(self, rows: DataFrame) -> DataFrame:
+        """The stored rows of the buckets that the keys of ``rows`` fall into; other buckets are not read."""
+        touched = rows.select(_bucket(self.keys, self.buckets).alias(BUCKET)).distinct().collect()   # at most `buckets` rows
+        return self._stored(sorted(r[BUCKET] for r in touched)).drop(BUCKET)
+
     def _stored(self, buckets: list[int] | None = None) -> DataFrame:
         with_bucket = StructType([*self.schema.fields, StructField(BUCKET, IntegerType())])
         stored = self.spark.read.schema(with_bucket).parquet(f"{self.path}/data")

@@ -37,19 +37,21 @@ def flavor_alias_table(flavor_terms: DataFrame) -> DataFrame:
     return dedupe(e, ["alias"], ["id", "pos"], keep="last").select("alias", F.col("id").alias("flavor_term_id"))
 
 
-def link_flavors(facts: DataFrame, aliases: DataFrame) -> DataFrame:
+def link_flavors(facts: DataFrame, aliases: DataFrame, context_chars: int | None = LX.CONTEXT_CHARS) -> DataFrame:
     """Flavor facts -> flavor_extractions rows (insert-ignore on review x flavor).
 
     ``facts``: processed_review_id, post_id, term, context, intensity, sentiment,
     confidence, is_primary, pos (position in the review's fact list).  Unknown
     terms are dropped; defaults fill missing values; the first fact per (review,
-    flavor) wins, so its 1-based position is the mention_order.
+    flavor) wins, so its 1-based position is the mention_order.  ``context_chars`` cuts
+    the context (None: whole).
     """
+    context = F.coalesce("context", F.lit(""))
     j = facts.withColumn("_probe", T.strip(F.lower("term"))).join(aliases, F.col("_probe") == F.col("alias"), "inner")
     rows = j.select(
         "processed_review_id", "post_id", "flavor_term_id",
         F.col("term").alias("mention_text"),
-        T.truncate(F.coalesce("context", F.lit(""))).alias("sentence_context"),
+        (context if context_chars is None else T.truncate(context, context_chars)).alias("sentence_context"),
         F.coalesce("intensity", F.lit("moderate")).alias("intensity"),
         F.coalesce("sentiment", F.lit(0.0)).alias("sentiment"),
         F.coalesce("confidence", F.lit(0.5)).alias("confidence_score"),

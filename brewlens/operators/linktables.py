@@ -25,8 +25,8 @@ def link_reviews(extractions: DataFrame, reviews: DataFrame, flavor_terms: DataF
     ``extractions``: processed_review_id, post_id, flavors, roasters, origins.
     ``reviews``: id and the three id arrays.  ``entities``: id, entity_type,
     name, slug, verified.  ``origins``: id, country, region, normalized_name.
-    ``ledger``: processed_review_id.  ``context_chars`` cuts a mention's context further than
-    the extraction did (None: as extracted).
+    ``ledger``: processed_review_id.  ``context_chars`` cuts the contexts
+    (None: as extracted).
 
     Returns flavor_extractions (new rows), coffee_mentions (new rows),
     entities, origins, reviews and ledger (new snapshots); and what is new of the last four as
@@ -39,7 +39,7 @@ def link_reviews(extractions: DataFrame, reviews: DataFrame, flavor_terms: DataF
     facts = todo.select("processed_review_id", "post_id", F.posexplode("flavors").alias("pos", "f")).select(
         "processed_review_id", "post_id", "pos", *[F.col(f"f.{c}").alias(c) for c in
                                                    ("term", "context", "intensity", "sentiment", "confidence", "is_primary")])
-    flavor_rows = L.link_flavors(facts, L.flavor_alias_table(flavor_terms)).checkpoint()
+    flavor_rows = L.link_flavors(facts, L.flavor_alias_table(flavor_terms), context_chars).checkpoint()
     # roasters
     said = todo.select("processed_review_id", "post_id", F.posexplode("roasters").alias("pos", "r"))
     order = F.struct(key, "pos")

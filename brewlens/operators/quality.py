@@ -148,3 +148,27 @@ def catalog_counts(spark: SparkSession, tables: dict[str, DataFrame], wanted: Se
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def inventory(spark: SparkSession, wanted: Sequence[str]) -> DataFrame:
+    """Tables and views of the session's catalog that are wanted, by name: status, rows, columns and the row that
+    sorts first as JSON (values as text).  A name the catalog lacks is reported as missing.
+    """
+    known = {t.name for t in spark.catalog.listTables()}
+    parts = []
+    for name in sorted(wanted):
+        if name not in known and not spark.catalog.tableExists(name):
+            parts.append(spark.range(1).select(F.lit(name).alias("table_name"), F.lit("missing").alias("status"),
+                                               F.lit(0).cast("long").alias("row_count"), F.lit(None).cast("string").alias("columns"),
+                                               F.lit(None).cast("string").alias("sample")))
+            continue
+        table = spark.table(name)
+        told = table.agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*table.columns)).alias("first"))
+        sample = F.to_json(F.struct(*[F.col("first")[c].cast("string").alias(c) for c in table.columns]))
+        parts.append(told.select(F.lit(name).alias("table_name"), F.when(F.col("n") > 0, "ok").otherwise("empty").alias("status"),
+                                 F.col("n").alias("row_count"), F.lit(",".join(table.columns)).alias("columns"),
+                                 F.when(F.col("n") > 0, sample).alias("sample")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.orderBy("table_name")

@@ -125,8 +125,8 @@ def array_len_totals(spark, sf_dir):
                    F.sum(F.json_array_length(F.to_json(F.split("text", "\n")))).cast("long").alias("total_lines"))
     totals = totals.withColumn("avg_comments_per_post",
                                F.round(F.col("total_comments") / F.col("total_posts"), R))
-    kept = Q.first_k_then_filter(c, "conv_id", "turn", 3, F.lit(True)) \
-        .agg(F.count(F.lit(1)).alias("kept_first3"))
+    kept = Q.first_k_then_filter(c, "conv_id", "turn", LX.COMMENTS_FIRST_K, F.lit(True)) \
+        .agg(F.count(F.lit(1)).alias("kept_first10"))
     return M.one_row(totals, kept)
 
 
@@ -608,8 +608,14 @@ def _extracted_documents(spark, sf_dir, terms=LX.FLAVOR_TERMS):
     return X.extract_posts(d, flavor_terms=terms)
 
 
+def _posts(spark, sf_dir):
+    """Every document and the part reviews as posts; the part reviews have negative ids."""
+    return S.documents_and_parts(spark, sf_dir).select(
+        F.col("doc_id").alias("id"), F.lit(None).cast("string").alias("title"), F.col("text").alias("body"))
+
+
 def extract_all(spark, sf_dir):
-    e = X.with_keywords(_extracted_documents(spark, sf_dir))
+    e = X.with_keywords(X.extract_posts(_posts(spark, sf_dir), flavor_terms=LX.FLAVOR_TERMS))
     return e.select(
         "id", F.round("sentiment_score", R).alias("sentiment_score"), "word_count",
         F.size("flavors").cast("long").alias("n_flavors"),
@@ -744,10 +750,7 @@ def stream_extract(spark, sf_dir):
     """Posts land as JSON files; each micro-batch of new posts is extracted
     and appended (insert-ignore on id).  Equals the batch extraction."""
     land = scratch_path(spark, "landing-posts")
-    d = S.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"),
-                                                   F.lit(None).cast("string").alias("title"),
-                                                   F.col("text").alias("body"))
-    d.write.mode("overwrite").json(f"{land}/a")
+    _posts(spark, sf_dir).write.mode("overwrite").json(f"{land}/a")
     target, ckpt = scratch_path(spark, "processed"), scratch_path(spark, "ckpt-extract")
 
     def extract(batch):
@@ -811,8 +814,9 @@ def extractions_upsert(spark, sf_dir):
     """Stored extractions re-extracted with a wider lexicon: flavors, roasters,
     origins, brew methods and price are replaced; process_methods keeps the
     stored value (it is not in the update list)."""
-    stored = _extracted_documents(spark, sf_dir).withColumn("process_methods", F.array(F.lit("washed")))
-    fresh = _extracted_documents(spark, sf_dir, LX.FLAVOR_TERMS + S.VOLUME_TERMS)
+    posts = _posts(spark, sf_dir)
+    stored = X.extract_posts(posts, flavor_terms=LX.FLAVOR_TERMS).withColumn("process_methods", F.array(F.lit("washed")))
+    fresh = X.extract_posts(posts, flavor_terms=LX.FLAVOR_TERMS + S.VOLUME_TERMS)
     cols = ["id", "flavors", "roasters", "origins", "brew_methods", "process_methods", "price"]
     m = U.upsert(stored.select(*cols), fresh.select(*cols), ["id"],
                  ["flavors", "roasters", "origins", "brew_methods", "price"])
@@ -827,12 +831,6 @@ REGISTRY["extractions_upsert"] = extractions_upsert
 from brewlens.operators.linkstore import LinkStore  # noqa: E402
 
 
-def _posts_to_link(spark, sf_dir):
-    """Every document and the part reviews as posts; the part reviews have negative ids."""
-    return S.documents_and_parts(spark, sf_dir).select(
-        F.col("doc_id").alias("id"), F.lit(None).cast("string").alias("title"), F.col("text").alias("body"))
-
-
 def _to_link(posts):
     """Extractions of posts, as linking takes them."""
     e = X.extract_posts(posts, flavor_terms=LX.FLAVOR_TERMS)
@@ -860,7 +858,7 @@ def _link_store(spark, sf_dir):
     key = (spark.sparkContext.applicationId, checkpoint_root(spark), sf_dir)
     if key not in _STORES:
         stored = scratch_path(spark, "extractions")
-        _to_link(_posts_to_link(spark, sf_dir)).write.parquet(stored)
+        _to_link(_posts(spark, sf_dir)).write.parquet(stored)
         extractions, store = spark.read.parquet(stored), _new_store(spark, sf_dir)
         for run, batch in (("parts", extractions.where(F.col("processed_review_id") < 0)), ("all", extractions)):
             store.link(batch, _flavor_dimension(spark), run, LX.CONTEXT_CHARS)
@@ -936,7 +934,7 @@ def stream_link(spark, sf_dir):
     """Posts land as JSON files, the part reviews first; each micro-batch is extracted and linked into the
     stored tables.  The last batch is then replayed by its id, which changes nothing."""
     land, ckpt, store = scratch_path(spark, "landing-link"), scratch_path(spark, "ckpt-link"), _new_store(spark, sf_dir)
-    posts = _posts_to_link(spark, sf_dir)
+    posts = _posts(spark, sf_dir)
     for part, some in (("a", posts.where("id < 0")), ("b", posts.where("id >= 0"))):
         some.write.json(f"{land}/{part}")
         ST.link_stream(spark, f"{land}/*", _ddl(POST_SCHEMA), store.path, _to_link, _flavor_dimension(spark), ckpt,
@@ -967,3 +965,45 @@ def menu_records(spark, sf_dir):
 
 
 REGISTRY.update({"processed_reviews": processed_reviews, "menu_records": menu_records})
+
+
+def sentiment_table(spark, sf_dir):
+    """Sentiment from a lexicon table: every word of the benchmark passages, its polarity by a rule on its letters."""
+    words = S.table(spark, sf_dir, "benchmark").select(F.explode_outer(F.regexp_extract_all(F.lower("text"), F.lit("[a-z']+"), 0)).alias("word"))
+    words = words.where(F.col("word").isNotNull()).distinct()
+    lexicon = words.select("word", (((F.length("word") + F.ascii("word")) % 5 - 2) / 2.0).alias("polarity"))
+    scored = X.sentiment_join(S.table(spark, sf_dir, "documents"), "doc_id", "text", lexicon, negators=["the", "on"])
+    return scored.select("doc_id", F.round("sentiment", R).alias("sentiment"))
+
+
+INVENTORY = ["benchmark", "conversations", "customer", "labels", "nation", "part", "region", "supplier"]
+
+
+def catalog_inventory(spark, sf_dir):
+    """The given tables as views in the catalog, listed from there, and one name that is not there."""
+    for name in INVENTORY:
+        S.table(spark, sf_dir, name).createOrReplaceTempView(f"given_{name}")
+    return Q.inventory(spark, [f"given_{name}" for name in INVENTORY] + ["given_nothing"])
+
+
+REGISTRY.update({"sentiment_table": sentiment_table, "catalog_inventory": catalog_inventory})
+
+
+def stream_late(spark, sf_dir):
+    """Daily figures from a stream whose every seventh event lands only after all the others: those of the days
+    before are late and are added to their days."""
+    path, land, ckpt = (scratch_path(spark, n) for n in ("late-partials", "landing-late", "ckpt-late"))
+    e = S.table(spark, sf_dir, "events").select(
+        "event_id", F.col("event_type").alias("term"), F.col("ts").cast("timestamp").alias("created_at"),
+        (F.col("value") / 250.0 - 1.0).alias("sentiment"))
+    for part, some in (("a", e.where("event_id % 7 <> 0")), ("b", e.where("event_id % 7 = 0"))):
+        some.write.option("timestampFormat", IG.TS_FORMAT).json(f"{land}/{part}")
+        src = spark.readStream.schema(_ddl("event_id long, term string, created_at timestamp, sentiment double")) \
+            .option("timestampFormat", IG.TS_FORMAT).json(f"{land}/*")
+        ST.merge_partials(src, path, ckpt)
+    t = ST.open_partials(spark, path).read()
+    return t.select(F.date_format("day", "yyyy-MM-dd").alias("day"), "term", "mention_count",
+                    F.round("sentiment_sum", R).alias("sentiment_sum"), "positive_mentions", "negative_mentions", "late_mentions")
+
+
+REGISTRY["stream_late"] = stream_late

@@ -286,14 +286,15 @@ def _pick(words, key):
 
 def documents_and_parts(spark, sf_dir) -> DataFrame:
     """doc_id, lang, text of every document, and of a review made of every part
-    row (doc_id = -1 - p_partkey): brand, origin, brew method, flavor, drink."""
+    row (doc_id = -1 - p_partkey): brand, origin, brew method, flavor, drink, price."""
     from brewlens.functions import lexicons as LX
     d = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     p = table(spark, sf_dir, "part")
     k = F.col("p_partkey")
     text = F.concat(F.initcap("p_name"), F.lit(" Coffee was prominent. "), _pick(LX.FLAVOR_TERMS, k), F.lit(" notes from "),
                     _pick(LX.ORIGIN_TERMS, k), F.lit(", "), _pick(LX.BREW_METHODS, k), F.lit(" at "),
-                    _pick(LX.KNOWN_ROASTERS, F.col("p_size")), F.lit(". "), _pick(LX.DRINK_TERMS, k), F.lit("!"))
+                    _pick(LX.KNOWN_ROASTERS, F.col("p_size")), F.lit(". "), _pick(LX.DRINK_TERMS, k), F.lit("! Paid $"),
+                    F.col("p_size").cast("string"), F.lit(".50."))
     return d.unionByName(p.select((-1 - k).cast("long").alias("doc_id"), F.lit("en").alias("lang"), text.alias("text")))
 
 

@@ -9,6 +9,8 @@
 * ``daily_partials``: watermark on event time, 1-day tumbling windows per
   term: count, sentiment sum, +/-0.3 counts, appended when the window closes.
   The 7/30/365-day figures are a batch roll-up of these partials.
+* ``merge_partials``: the same daily figures kept in a keyed table, every
+  micro-batch added to the days it touches; a row may be any number of days late.
 * ``daily_distinct``: first (day, term, post) occurrences via
   ``dropDuplicatesWithinWatermark`` (streaming count-distinct is not
   supported); a batch ``count`` on top gives distinct posts per day.
@@ -22,8 +24,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from brewlens.functions import lexicons as LX
+from brewlens.operators.keyed import KeyedTable
 from brewlens.operators.linkstore import LinkStore
 from brewlens.operators.upsert import dedupe
+from brewlens.session import path_exists
 from brewlens.sources.ingest import TS_FORMAT
 
 
@@ -123,6 +127,48 @@ def daily_partials(events: DataFrame, time_col: str = "created_at", term_col: st
     return _by_day(events.withWatermark(time_col, delay), time_col, term_col, sentiment_col)
 
 
+PARTIALS = ("day date, term string, mention_count long, sentiment_sum double, sentiment_count long, positive_mentions long, "
+            "negative_mentions long, late_mentions long")
+
+
+def open_partials(spark: SparkSession, path: str, buckets: int = 64) -> KeyedTable:
+    """The keyed table of daily figures per term under ``path``, made empty if it is not there."""
+    if not path_exists(spark, f"{path}/partials/data"):
+        return KeyedTable.create(spark.createDataFrame([], PARTIALS), f"{path}/partials", ["day", "term"], buckets)
+    return KeyedTable(spark, f"{path}/partials")
+
+
+def merge_batch(batch: DataFrame, run: str, path: str, late_after_days: int = 1) -> None:
+    """Add a batch (created_at, term, sentiment) to the daily figures under ``path``.
+
+    What the touched days will hold is computed from the stored figures and written under the run's
+    name before it replaces them, so the run repeated by its name changes nothing.  Mentions of days more
+    than ``late_after_days`` before the newest day stored are counted as late, and added all the same.
+    """
+    spark = batch.sparkSession
+    table, plan = open_partials(spark, path), f"{path}/runs/{run}"
+    if not path_exists(spark, f"{plan}/_SUCCESS"):
+        newest = table.read().agg(F.max("day")).first()[0]
+        sums = _by_day(batch, "created_at", "term", "sentiment").select(F.to_date("window_start").alias("day"), *[
+            c for c in table.schema.names if c not in ("day", "late_mentions")])
+        late = F.lit(False) if newest is None else F.col("day") < F.date_sub(F.lit(newest), late_after_days)
+        sums = sums.withColumn("late_mentions", F.when(late, F.col("mention_count")).otherwise(0))
+        figures = [c for c in table.schema.names if c not in table.keys]
+        stored = table.read_for(sums).select(*table.keys, *[F.col(c).alias(f"_{c}") for c in figures])
+        joined = sums.join(stored, table.keys, "left")
+        joined.select(*table.keys, *[(F.coalesce(c, F.lit(0)) + F.coalesce(f"_{c}", F.lit(0))).cast(table.schema[c].dataType).alias(c)
+                                     for c in figures]).write.mode("overwrite").parquet(plan)
+    table.upsert_into(spark.read.parquet(plan), [c for c in table.schema.names if c not in table.keys])
+
+
+def merge_partials(events: DataFrame, path: str, checkpoint: str, late_after_days: int = 1, available_now: bool = True):
+    """Stream events (created_at, term, sentiment) into the daily figures under ``path``."""
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        merge_batch(batch, f"batch-{batch_id}", path, late_after_days)
+
+    return _run(events.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint), available_now)
+
+
 def with_open_days(closed: DataFrame, landed: DataFrame, time_col: str = "created_at", term_col: str = "term",
                    sentiment_col: str = "sentiment") -> DataFrame:
     """Closed partials plus those of the days the stream still holds open, from the landed rows."""

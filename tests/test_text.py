@@ -133,3 +133,11 @@ def test_hooks(spark):
 def test_whole_word_option(spark):
     assert one(spark, T.lexicon_hits("t", ["rose", "berry", "cold brew"], whole_word=True),
                "prose, a blueberry and cold brew") == ["cold brew"]
+
+
+def test_contexts_are_cut_only_where_asked(spark):
+    long = "Chocolate " + "very " * 100 + "much at Stumptown"
+    posts = spark.createDataFrame([(1, None, long)], "id long, title string, body string")
+    cut, whole = X.extract_posts(posts).first(), X.extract_posts(posts, context_chars=None).first()
+    assert len(cut["flavors"][0]["context"]) == len(cut["roasters"][0]["context"]) == 200
+    assert len(whole["flavors"][0]["context"]) == len(whole["roasters"][0]["context"]) == len(long)
