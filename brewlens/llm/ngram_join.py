@@ -279,29 +279,31 @@ def blocks(members: DataFrame, settings: Settings) -> DataFrame:
     return as_home.unionByName(as_other)
 
 
-def sets_and_common(docs: DataFrame, settings: Settings) -> tuple[DataFrame, Common]:
-    """doc_id, n_shingles, set_id of every row, and the ``COMMON_MOST`` most frequent of the shingles that
-    several distinct sets of a block share.  One pass over the texts tells both."""
+def sets_and_common(docs: DataFrame, settings: Settings, keep: tuple[str, ...] = ()) -> tuple[DataFrame, Common]:
+    """doc_id, n_shingles, set_id, n_words and the ``keep`` columns of every row, and the ``COMMON_MOST`` most
+    frequent of the shingles that several distinct sets of a block share.  One pass over the texts tells both."""
+    kinds = {f.name: f.dataType.simpleString() for f in docs.select("doc_id", *keep).schema}
     def run(batches):
         held, size, ids_seen = [], 0, np.zeros(0, W.U)
 
-        def told(parts, kind):
+        def told(parts, own):
             shingle, sets = np.unique(np.concatenate(parts), return_counts=True)
-            keep = sets >= COMMON_LEAST
-            shingle, sets = pa.array(shingle[keep].view(np.int64)), pa.array(sets[keep])
-            gone = [pa.nulls(len(shingle), t) for t in (kind, pa.int64(), pa.int64())]
+            often = sets >= COMMON_LEAST
+            shingle, sets = pa.array(shingle[often].view(np.int64)), pa.array(sets[often])
+            gone = [pa.nulls(len(shingle), t) for t in (*own, pa.int64(), pa.int64(), pa.int64())]
             return pa.RecordBatch.from_arrays([*gone, shingle, sets], columns)
 
-        columns, kind = ["doc_id", "n_shingles", "set_id", "shingle", "seen"], None
+        columns, kind = [*kinds, "n_shingles", "set_id", "n_words", "shingle", "seen"], None
         for batch in batches:
-            kind = batch.schema.field("doc_id").type
+            kind = [batch.schema.field(c).type for c in kinds]
             for part in W.slices(batch):
                 w = W.words(part.column("text"), lower=True)
                 doc, value = W.shingles(w, part.num_rows, settings.size)
                 n, ids = set_ids(doc, value, part.num_rows)
                 none = pa.nulls(part.num_rows, pa.int64())
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids.view(np.int64)),
-                                                  none, none], columns)
+                n_words = np.bincount(w.doc, minlength=part.num_rows)
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kinds), pa.array(n, pa.int64()),
+                                                  pa.array(ids.view(np.int64)), pa.array(n_words, pa.int64()), none, none], columns)
                 # rows without id link nothing
                 has_id = part.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
                 at = np.flatnonzero(has_id)
@@ -317,12 +319,13 @@ def sets_and_common(docs: DataFrame, settings: Settings) -> tuple[DataFrame, Com
         if size:
             yield told(held, kind)
 
-    both = written(docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {dict(docs.dtypes)['doc_id']}, n_shingles long, set_id long, shingle long, seen long"), "join-sets")
+    own = ", ".join(f"`{c}` {t}" for c, t in kinds.items())
+    both = written(docs.select("doc_id", *keep, "text").mapInArrow(
+        run, f"{own}, n_shingles long, set_id long, n_words long, shingle long, seen long"), "join-sets")
     named = both.filter("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("seen").alias("seen"))
     most = named.orderBy(F.desc("seen"), "shingle").limit(COMMON_MOST).toPandas()
     common = Common(most["shingle"].to_numpy(np.int64).view(W.U), most["seen"].to_numpy(np.int64))
-    return both.filter("shingle IS NULL").select("doc_id", "n_shingles", "set_id"), common
+    return both.filter("shingle IS NULL").select(*kinds, "n_shingles", "set_id", "n_words"), common
 
 
 def tied(docs: DataFrame, common: Common, settings: Settings) -> DataFrame:
@@ -385,12 +388,14 @@ def tied(docs: DataFrame, common: Common, settings: Settings) -> DataFrame:
     return blocks.groupBy("bucket").applyInArrow(meet, "a long, b long").distinct()
 
 
-def join(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+def join(docs: DataFrame, settings: Settings = Settings(), keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, n_shingles, component_id (least doc_id reachable by links), n_links (other rows
-    linked to directly; without ``count_links`` null) of every row."""
+    linked to directly; without ``count_links`` null) of every row; with ``keep`` these columns and
+    n_words as well."""
     prepare(docs.sparkSession)
     kind = dict(docs.dtypes)["doc_id"]
-    measured, common = sets_and_common(docs, settings)
+    measured, common = sets_and_common(docs, settings, keep)
+    also = [*keep, "n_words"] if keep else []
     named = measured.filter("doc_id IS NOT NULL AND n_shingles > 0")
     # rows without id link nothing: they must not stand for the equal sets of rows that have one
     region_of = components(tied(docs.filter("doc_id IS NOT NULL"), common, settings))
@@ -426,14 +431,14 @@ def join(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
                               (F.coalesce("links", "weight") - 1 if settings.count_links else F.lit(None).cast("long")).alias("n_links")),
                       "join-sets-linked")
     keyed = written(named.join(classes, named["set_id"] == classes["set"])
-                    .select("doc_id", "n_shingles", "class_id", "n_links"), "join-classes")
+                    .select("doc_id", "n_shingles", "class_id", "n_links", *also), "join-classes")
     least = written(keyed.groupBy("class_id").agg(F.min("doc_id").alias("component_id"))
                     .select(F.col("class_id").alias("class"), "component_id"), "join-least")
     # both sides are exchanged for this join, so the rows of a hot class can be split
-    whole = keyed.join(least, keyed["class_id"] == least["class"]).select("doc_id", "n_shingles", "component_id", "n_links")
+    whole = keyed.join(least, keyed["class_id"] == least["class"]).select("doc_id", "n_shingles", "component_id", "n_links", *also)
     alone = measured.filter("doc_id IS NULL OR n_shingles = 0").select(
         "doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).cast(kind).alias("component_id"),
-        F.lit(0 if settings.count_links else None).cast("long").alias("n_links"))
+        F.lit(0 if settings.count_links else None).cast("long").alias("n_links"), *also)
     return whole.unionByName(alone)
 
 

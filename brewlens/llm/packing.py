@@ -43,12 +43,12 @@ def text_hash() -> Column:
 
 def near_clusters(docs: DataFrame, settings: ngram_join.Settings = ngram_join.Settings(count_links=False)) -> DataFrame:
     """doc_id, n_tokens, source, near_cluster of every document: the least text hash of its class in the
-    n-gram join.  Classes are matched by the text's hash, so rows without id or with equal ids have theirs;
-    texts are read, not shuffled."""
-    named = ngram_join.join(docs.select(text_hash().alias("doc_id"), "text"), settings)
-    classes = named.select(F.col("doc_id").alias("named"), F.col("component_id").alias("near_cluster")).distinct()
-    narrow = docs.select("doc_id", (n_words(F.col("text")) + 1).alias("n_tokens"), "source", text_hash().alias("hash"))
-    return narrow.join(classes, narrow["hash"] == classes["named"]).drop("hash", "named")
+    n-gram join.  Texts are named by their hash there, so rows without id or with equal ids have their class;
+    ids, sources and word counts come along, and no further pass reads the texts."""
+    named = ngram_join.join(docs.select(text_hash().alias("doc_id"), F.col("doc_id").alias("own_id"), "source", "text"),
+                            settings, keep=("own_id", "source"))
+    return named.select(F.col("own_id").alias("doc_id"), (F.col("n_words") + 1).alias("n_tokens"), "source",
+                        F.col("component_id").alias("near_cluster"))
 
 
 def items(docs: DataFrame, cluster: str | None = None) -> DataFrame:
