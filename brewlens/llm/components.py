@@ -24,10 +24,11 @@ def components(edges: DataFrame) -> DataFrame:
     edges = edges.select("a", "b").filter("a != b")
     stars = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "cc-edges")
     while True:
-        inner = stars.select(F.col("u").alias("x")).distinct()
-        chained = stars.join(inner, stars["v"] == inner["x"], "left_semi").limit(1).count()
-        forked = stars.groupBy("u").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1).count()
-        if not chained and not forked:
+        # a node that is above one and below another, or above two: counted on both ends of every edge, in one job
+        ends = stars.select(F.col("u").alias("x"), F.lit(1).alias("above"), F.lit(0).alias("below")).unionByName(
+            stars.select(F.col("v").alias("x"), F.lit(0).alias("above"), F.lit(1).alias("below")))
+        seen = ends.groupBy("x").agg(F.sum("above").alias("above"), F.sum("below").alias("below"))
+        if not seen.filter("above > 1 OR (above > 0 AND below > 0)").limit(1).count():
             break
         both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = written(_joined_min(both).filter("v > u").select(F.col("v").alias("u"), F.col("low").alias("v"))

@@ -8,8 +8,8 @@ starts with the word ``<s>``, so its first words have shorter contexts.  A
 document's score is the sum of log S over its words.
 
 1. Heavy n-grams.  Every task names those that make up a share of its block;
-   the ``HEAVY`` most frequent of them (for each length) are counted exactly
-   over all documents.  That table has a fixed bound and is broadcast.  It
+   the most frequent of them (``order * HEAVY`` at most, over all lengths) are
+   counted exactly over all documents.  That table has a fixed bound and is broadcast.  It
    decides routes, and spares the hottest n-grams the shuffle; the scores do
    not depend on it.
 2. All other occurrences are exploded, each with the words before it, and dealt
@@ -22,8 +22,9 @@ document's score is the sum of log S over its words.
    count: words that backed off to the end, and contexts that end in a heavy word.
 4. The sums of all buckets go to the buckets of their documents and are added up.
 
-Defined cases: null or empty text has 0 words and score 0; rows with equal ids
-are one document whose words and scores add up (null ids are one of them); an
+Defined cases: ids are integers above -2**63; null or empty text has 0 words and
+score 0; rows with equal ids are one document whose words and scores add up
+(null ids are one of them); an
 empty table gives no rows; other columns are ignored.  Words are compared by
 64-bit hashes.
 """
@@ -41,7 +42,7 @@ from brewlens.llm.common import prepare, shuffle_partitions
 ALPHA = 0.4
 ORDER = 2                # words in the longest n-gram; the query sets its own
 MIN_COUNT = 2
-HEAVY = 4096             # n-grams in the broadcast table, at most this many of each length
+HEAVY = 4096             # n-grams in the broadcast table: order times so many at most, over all lengths
 SHARE = 2000             # a task names an n-gram that is one in so many of its block
 BLOCK_WORDS = 1 << 20
 CHUNK = 1 << 15          # n-grams in a row at most; fewer at a higher order, so that places in the row's lists fit 16 bits

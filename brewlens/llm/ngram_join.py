@@ -443,7 +443,13 @@ def join(docs: DataFrame, settings: Settings = Settings(), keep: tuple[str, ...]
 
 
 def deduplicate(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """One document of each group of linked ones (the least id) with all columns; rows without an id stay."""
-    drop = (join(docs, replace(settings, count_links=False)).filter("component_id IS NOT NULL AND component_id != doc_id")
-            .select(F.col("doc_id").alias("dropped_id")).distinct())
-    return docs.join(drop, docs["doc_id"] == drop["dropped_id"], "left_anti").select(docs.columns)
+    """One document of each group of linked ones (the least id) with all columns; rows without an id stay.
+
+    Rows are told apart by id and text: an id that comes again with a text of its own loses only the row that is linked.
+    """
+    text_hash = F.xxhash64(F.coalesce("text", F.lit("")))
+    told = join(docs.select("doc_id", "text", text_hash.alias("text_hash")), replace(settings, count_links=False), ("text_hash",))
+    drop = (told.filter("component_id IS NOT NULL AND component_id != doc_id")
+            .select(F.col("doc_id").alias("dropped_id"), F.col("text_hash").alias("dropped_text")).distinct())
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), text_hash.alias("hash"))
+    return rows.join(drop, (F.col("id") == F.col("dropped_id")) & (F.col("hash") == F.col("dropped_text")), "left_anti").select("row.*")

@@ -37,6 +37,7 @@ from __future__ import annotations
 import json
 import uuid
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -54,6 +55,7 @@ SHARD_TOKENS = 1 << 21
 BLOCK = 512                # bits per running count
 TABLE_SLOTS = 1 << 22      # an encoder remembers half as many pieces (about 100 MB)
 JOINED = 64                # pieces encoded in one text
+ENCODE_BYTES = 1 << 18     # of text at a time: what is gone through again and again stays in the processor's cache
 
 
 # ------------------------------------------------------------------ the matrix
@@ -285,14 +287,12 @@ class Pieces:
             left, slot = left[on], (slot[on] + 1) & (self.slots - 1)
         return out
 
-    def add(self, hashes: np.ndarray, lists: list[np.ndarray]) -> np.ndarray:
-        """Remember new, distinct hashes (the table stays half empty); their entries."""
-        sizes = np.array([len(x) for x in lists], np.int64)
-        total = self.n_ids + int(sizes.sum())
+    def add(self, hashes: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Remember new, distinct hashes (the table stays half empty) with their ids, all in a row; their entries."""
+        total = self.n_ids + len(ids)
         if total > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros(max(total, 2 * len(self.ids)) - len(self.ids), np.uint32)])
-        if len(lists):
-            self.ids[self.n_ids:total] = np.concatenate(lists)
+        self.ids[self.n_ids:total] = ids
         entries = np.arange(self.n, self.n + len(hashes), dtype=np.int32)
         self.start[entries], self.size[entries] = self.n_ids + np.cumsum(sizes) - sizes, sizes
         self.n, self.n_ids = self.n + len(hashes), total
@@ -320,20 +320,21 @@ class Encoder:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if suffix and t.endswith(suffix)]] = True
 
-    def _single(self, pieces: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-
-    def _joined(self, pieces: list[str]) -> list[np.ndarray]:
-        """Pieces that are one pre-token each, some in a text: the end-of-word ids part them again."""
-        runs, out = [pieces[a:a + JOINED] for a in range(0, len(pieces), JOINED)], []
-        for run, e in zip(runs, self.tokenizer.encode_batch_fast([" ".join(r) for r in runs], add_special_tokens=False)):
-            ids = np.array(e.ids, np.uint32)
-            stops = (np.flatnonzero(self.ends[ids]) + 1).tolist()
-            if len(stops) != len(run) or stops[-1] != len(ids):
-                out += self._single(run)
-            else:
-                out += [ids[x:y] for x, y in zip([0, *stops], stops)]
-        return out
+    def _encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts in a row, and how many each has."""
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes
+
+    def _joined(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same of pieces that are one pre-token each, some in a text: the end-of-word ids part them again."""
+        runs = [pieces[a:a + JOINED] for a in range(0, len(pieces), JOINED)]
+        ids, sizes = self._encoded([" ".join(r) for r in runs])
+        stops, edges = np.flatnonzero(self.ends[ids]) + 1, np.cumsum(sizes)
+        per_run = np.diff(np.searchsorted(stops, edges, "right"), prepend=0)
+        if len(stops) and np.array_equal(per_run, [len(r) for r in runs]) and np.isin(edges, stops).all():
+            return ids, np.diff(stops, prepend=0)
+        return self._encoded(pieces)
 
     def _entries(self, w, raw: bytes) -> np.ndarray:
         """The table's entry of every unit; those it lacks are encoded.  ``shape`` marks words that are not one pre-token."""
@@ -348,15 +349,12 @@ class Encoder:
             self.known = Pieces(max(self.slots, 2 << distinct.bit_length()))
             return self._entries(w, raw)
         first = lacking[at]
-        whole = w.shape[first]
-        pieces = [raw[a:b].decode() for a, b in zip(w.start[first].tolist(), w.end[first].tolist())]
-        lists: list = [None] * len(pieces)
-        for mine, encode in ((np.flatnonzero(whole).tolist(), self._single), (np.flatnonzero(~whole).tolist(), self._joined)):
-            for a in range(0, len(mine), 10_000):
-                some = mine[a:a + 10_000]
-                for k, ids in zip(some, encode([pieces[k] for k in some])):
-                    lists[k] = ids
-        entry[lacking] = self.known.add(hashes, lists)[which]
+        new = np.empty(len(hashes), np.int32)
+        for mine, encode in ((np.flatnonzero(w.shape[first]), self._encoded), (np.flatnonzero(~w.shape[first]), self._joined)):
+            for some in (mine[a:a + 10_000] for a in range(0, len(mine), 10_000)):
+                starts, ends = w.start[first[some]].tolist(), w.end[first[some]].tolist()
+                new[some] = self.known.add(hashes[some], *encode([raw[a:b].decode() for a, b in zip(starts, ends)]))
+        entry[lacking] = new[which]
         return entry
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -411,7 +409,7 @@ def write_shards(docs: DataFrame, tokenizer_file: str, folder: str, shard_tokens
             return row
 
         for batch in batches:
-            for part in W.slices(batch):
+            for part in W.slices(batch, limit=ENCODE_BYTES):
                 ids, n = encoder(tokenizer_file).encode(part.column("text"))
                 held.append(ids)
                 lengths.append(n)

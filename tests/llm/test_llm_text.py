@@ -204,7 +204,7 @@ def test_a_small_table_of_pieces_gives_the_same_ids(slots):
 
 def test_pieces_that_share_a_slot_are_told_apart():
     pieces, hashes = wavelet.Pieces(64), np.array([1, 65, 129, 63, 127, 2], np.uint64)
-    entries = pieces.add(hashes, [np.full(k, k, np.uint32) for k in range(6)])
+    entries = pieces.add(hashes, np.repeat(np.arange(6, dtype=np.uint32), range(6)), np.arange(6))
     assert pieces.find(hashes).tolist() == entries.tolist() == list(range(6))
     assert pieces.find(np.array([193, 0, 3], np.uint64)).tolist() == [-1, -1, -1]
     assert [pieces.ids[pieces.start[e]:pieces.start[e] + pieces.size[e]].tolist() for e in entries] == [[k] * k for k in range(6)]
