@@ -158,6 +158,7 @@ def page_links(pages: DataFrame, url_col: str = "url", html_col: str = "html",
 # include a backslash and a hyphen, as written in the collectors)
 PRODUCT_LINK = r"/menu/product/[a-zA-Z0-9\\-]+"
 ITEM_LINK = r"(?i)/en/menu/[a-z0-9\\-]+/[a-z0-9\\-]+"
+STATE_NAMES = ["__BOOTSTRAP", "__PRELOADED_STATE__", "__INITIAL_STATE__", "__APOLLO_STATE__"]
 ANCHOR = r"(?is)<a\b[^>]*href=[\"']([^\"']*)[\"'][^>]*>(.*?)</a>"
 
 
@@ -171,11 +172,34 @@ def _segments(path):
     return F.filter(F.split(path, "/"), lambda x: x != "")
 
 
-def menu_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+def state_links(html, pattern: str = PRODUCT_LINK):
+    """Links in the JSON states a page assigns in its scripts (``window.<name> = {...}``): those of the first
+    state, by the order of STATE_NAMES, that has any.
+
+    A state is parsed and written out again before it is searched, so slashes that the page escapes count.
+    """
+    out = F.array().cast("array<string>")
+    for name in reversed(STATE_NAMES):
+        text = F.regexp_extract(html, r"(?s)window\." + name + r"\s*=\s*(\{.*?\})\s*;?\s*</script>", 1)
+        told = F.to_json(F.try_parse_json(F.nullif(text, F.lit(""))))
+        found = F.coalesce(F.regexp_extract_all(told, F.lit(pattern), 0), F.array().cast("array<string>"))
+        out = F.when(F.size(found) > 0, found).otherwise(out)
+    return out
+
+
+def body_links(bodies: DataFrame, pattern: str) -> DataFrame:
+    """(page_id, links): links in the JSON bodies (page_id, mime_type, body) captured while a page was loaded."""
+    found = bodies.where(F.contains("mime_type", F.lit("application/json"))).select(
+        "page_id", F.explode(F.regexp_extract_all("body", F.lit(pattern), 0)).alias("link")).distinct()
+    return found.groupBy("page_id").agg(F.array_sort(F.collect_list("link")).alias("links"))
+
+
+def menu_links(pages: DataFrame, url_col: str = "url", html_col: str = "html", bodies: DataFrame | None = None) -> DataFrame:
     """Per page: product links (menu A), item links and categories (menu B).
 
     Each list is the first non-empty of its ordered sources -- page links,
-    then a regex over the raw page source -- as a sorted distinct list.
+    then a regex over the raw page source, then (product links) the page's JSON
+    states, then the captured JSON ``bodies`` if given -- as a sorted distinct list.
     Categories: links under ``/en/menu/`` whose path has exactly three
     segments with ``menu`` second, first anchor per path, named by its
     anchor text or else the title-cased last segment.
@@ -194,9 +218,12 @@ def menu_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
                  & (F.try_element_at(_segments(_path(h)), F.lit(2)) == "menu")), _path)
     src_items = F.regexp_extract_all(F.col("src"), F.lit(ITEM_LINK), 0)
 
-    def first_nonempty(a, b):
-        a, b = F.array_sort(F.array_distinct(a)), F.array_sort(F.array_distinct(b))
-        return F.when(F.size(a) > 0, a).otherwise(b)
+    def first_nonempty(*sources):
+        out = F.array().cast("array<string>")
+        for links in reversed(sources):
+            links = F.array_sort(F.array_distinct(links))
+            out = F.when(F.size(links) > 0, links).otherwise(out)
+        return out
 
     anchors = F.arrays_zip(F.col("hrefs").alias("href"), F.col("texts").alias("text"))
     cats = F.filter(anchors, lambda a: a["href"].contains("/en/menu/")
@@ -211,7 +238,12 @@ def menu_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
         c["path"].alias("path"),
         F.when(c["text"] != "", c["text"]).otherwise(
             F.initcap(F.replace(F.element_at(_segments(c["path"]), -1), F.lit("-"), F.lit(" ")))).alias("name")))
-    return d.select("page_id",
-                    first_nonempty(dom_products, src_products).alias("product_links"),
-                    first_nonempty(dom_items, src_items).alias("item_links"),
-                    named.alias("categories"))
+    out = d.select("page_id",
+                   first_nonempty(dom_products, src_products, state_links(F.col("src"))).alias("product_links"),
+                   first_nonempty(dom_items, src_items).alias("item_links"),
+                   named.alias("categories"))
+    for column, pattern in (("product_links", PRODUCT_LINK), ("item_links", ITEM_LINK)) if bodies is not None else ():
+        captured = body_links(bodies, pattern).select(F.col("page_id").alias("_page"), "links")
+        out = out.join(captured, out["page_id"] == captured["_page"], "left").withColumn(
+            column, F.when(F.size(column) > 0, F.col(column)).otherwise(F.coalesce("links", F.col(column)))).drop("_page", "links")
+    return out

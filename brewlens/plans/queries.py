@@ -758,8 +758,8 @@ def stream_extract(spark, sf_dir):
         return e.select("id", "sentiment_score", "word_count", F.size("flavors").cast("long").alias("n_flavors"),
                         "price")
 
-    ST.ingest(spark, f"{land}/*", _ddl(POST_SCHEMA), ["id"], target, ckpt, max_files_per_trigger=2,
-              transform=extract)
+    ST.ingest(spark, f"{land}/*", _ddl(POST_SCHEMA), ["id"], target, ckpt, max_files_per_trigger=16,
+              transform=extract, buckets=16)
     t = spark.read.parquet(target)
     return t.select("id", F.round("sentiment_score", R).alias("sentiment_score"), "word_count", "n_flavors", "price")
 
@@ -1007,3 +1007,13 @@ def stream_late(spark, sf_dir):
 
 
 REGISTRY["stream_late"] = stream_late
+
+
+def menu_json_links(spark, sf_dir):
+    """Links of pages that keep them in a JSON state or fetch them as JSON."""
+    pages, bodies = S.scripted_pages(spark, sf_dir)
+    m = MN.menu_links(pages, bodies=bodies)
+    return m.select("page_id", F.array_join("product_links", ",").alias("product_links"), F.array_join("item_links", ",").alias("item_links"))
+
+
+REGISTRY["menu_json_links"] = menu_json_links

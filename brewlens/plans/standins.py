@@ -321,3 +321,22 @@ def menu_pages(spark, sf_dir) -> DataFrame:
                     F.when(kind == 2, script).otherwise(anchors), F.lit("</body></html>"))
     return g.unionByName(p.select((-1 - F.col("p_partkey")).cast("long").alias("page_id"),
                                   F.lit("https://shop.example.com/en/menu").alias("url"), html.alias("html")))
+
+
+def scripted_pages(spark, sf_dir):
+    """The pages, and a page of every part row (page_id = -1 - p_partkey) whose links stand in no anchor: every
+    third in a JSON state with escaped slashes, every third in a captured body only, every third nowhere.
+    Returns the pages and the captured bodies."""
+    g = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    p = table(spark, sf_dir, "part")
+    k, kind = F.col("p_partkey").cast("string"), F.pmod(F.col("p_partkey"), F.lit(3))
+    page_id = (-1 - F.col("p_partkey")).alias("page_id")
+    state = F.concat(F.lit('<script>window.__PRELOADED_STATE__ = {"menu":{"items":[{"name":"'), F.col("p_name"),
+                     F.lit('","uri":"\\/menu\\/product\\/s-'), k, F.lit('"}]}};</script>'))
+    html = F.concat(F.lit("<html><head>"), F.when(kind == 0, state).otherwise(F.lit("")),
+                    F.lit('</head><body><a href="/about">about</a></body></html>'))
+    made = p.select(page_id, F.lit("https://shop.example.com/menu").alias("url"), html.alias("html"))
+    body = F.concat(F.lit('{"data":[{"url":"/menu/product/b-'), k, F.lit('"},{"url":"/en/menu/'), F.lower("p_type"), F.lit("/x-"), k, F.lit('"}]}'))
+    bodies = p.where(kind == 1).select(page_id, F.lit("application/json; charset=utf-8").alias("mime_type"), body.alias("body"))
+    other = p.select(page_id, F.lit("text/css").alias("mime_type"), F.lit('"/menu/product/never"').alias("body"))
+    return g.unionByName(made), bodies.unionByName(other)
