@@ -10,7 +10,7 @@ from brewlens.operators import extract as X
 from brewlens.operators import quality as Q
 from test_plans import plan
 
-TEXTS = ["Great roast, not great water. The the THE roast!", "", None, "no words of blame", "never bad. not bad, bad", "a b c",
+TEXTS = ["Great roast, not great water. The the THE roast!", "", None, "no words of blame", "never bad. not bad, bad", "a bad and stale cup",
          "good good good bad", "it's not good'n", "don't love"]
 
 
