@@ -150,3 +150,44 @@ def test_names_that_differ_in_letters_are_pruned(spark):
     scored = L.scored_pairs(L.similarity_candidates(left, right), left, right)
     assert {r.lid for r in scored.where("lid = rid").collect()} == {r.p_partkey for r in p.collect()}
     assert L.similarity_candidates(left, right).count() < n * n / 2
+
+
+def _invented(n, seed):
+    rnd = random.Random(seed)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnop") for _ in range(9))
+    return [f"{word()} {word()}" for _ in range(n)]
+
+
+def test_candidates_of_unlike_names_do_not_grow_with_all_pairs(spark):
+    """Names of which no two are alike: two bigrams meet in a third of all pairs, a long subsequence in hardly any."""
+    names = _invented(400, 3)
+    left = spark.createDataFrame([(i, s[:4] + s[5:]) for i, s in enumerate(names)], "lid long, lstr string")
+    right = spark.createDataFrame(list(enumerate(names)), "rid long, rstr string")
+    got = {(r.lid, r.rid) for r in L.similarity_candidates(left, right).collect()}
+    assert {(i, i) for i in range(400)} <= got and len(got) < 2 * 400
+
+
+def test_long_names_meet_by_bigrams(spark):
+    """Lengths with too many signatures lose no pair either, beside lengths that have few."""
+    rnd = random.Random(5)
+    names = []
+    for s in _invented(12, 9):
+        for text in (s, s * 2 + s[:rnd.randint(0, 9)]):
+            names += [text, *("".join(c for c in text if rnd.random() > p) for p in (0.03, 0.1, 0.15))]
+    left = spark.createDataFrame(list(enumerate(names)), "lid long, lstr string")
+    got = {(r.lid, r.rid) for r in L.similarity_candidates(left, left.toDF("rid", "rstr")).collect()}
+    need = {(i, j) for i, a in enumerate(names) for j, b in enumerate(names) if difflib.SequenceMatcher(None, a, b).ratio() > 0.85}
+    assert need <= got and len(need) > len(names)
+
+
+def test_creation_where_a_near_name_is_a_follower(spark):
+    """b follows a; c is very near b and not near a, so it leads though its nearest earlier name does not."""
+    a = "abcdefghijklmnopqrstuvwxyzabcdef"
+    chain = [a]
+    for k in range(12):
+        chain.append(chain[-1][:2 * k] + "0" + chain[-1][2 * k + 1:])
+    pdf = spark.createDataFrame([(i, i, n) for i, n in enumerate(chain)], "probe_id long, seq long, name string")
+    none = spark.createDataFrame([], "id long, name string, slug string, entity_type string")
+    got = {r.probe_id: r.entity_id for r in L.create_entities(pdf, none).collect()}
+    want = sequential([], list(enumerate(chain)))
+    assert _groups(got) == _groups(want) and len(set(want.values())) > 1
