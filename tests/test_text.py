@@ -141,3 +141,12 @@ def test_contexts_are_cut_only_where_asked(spark):
     cut, whole = X.extract_posts(posts).first(), X.extract_posts(posts, context_chars=None).first()
     assert len(cut["flavors"][0]["context"]) == len(cut["roasters"][0]["context"]) == 200
     assert len(whole["flavors"][0]["context"]) == len(whole["roasters"][0]["context"]) == len(long)
+
+
+def test_sentiment_looks_a_token_up_once(spark):
+    """One look-up of a token tells whether it is in the lexicon; texts without a word and null texts score 0."""
+    d = spark.createDataFrame([(1, "not great, great"), (2, "great"), (3, ""), (4, None), (5, "no words here")], "id long, t string")
+    scored = d.select("id", T.sentiment("t").alias("s"))
+    assert "INSET" in scored._jdf.queryExecution().optimizedPlan().toString().upper()
+    got = {r["id"]: r["s"] for r in scored.collect()}
+    assert got[2] == 1.0 and got[1] == 0.25 and got[3] == got[4] == got[5] == 0.0
