@@ -3,6 +3,7 @@
 import math
 
 import duckdb
+import pandas as pd
 import pytest
 
 import __spark_entry__ as E
@@ -23,7 +24,7 @@ def con():
 def _norm(v):
     if hasattr(v, "item") and not hasattr(v, "__len__"):
         v = v.item()
-    if v is None or (isinstance(v, float) and math.isnan(v)):
+    if v is None or v is pd.NA or (isinstance(v, float) and math.isnan(v)):
         return None
     if isinstance(v, float):
         return round(v, 9)
