@@ -56,3 +56,15 @@ def test_an_index_of_nothing_takes_names_later(spark, tmp_path):
     assert index.match(probe).count() == 0
     index.add(cache)
     assert [r["method"] for r in index.match(probe).collect()] == ["exact"]
+
+
+def test_unlike_names_are_not_compared(spark, tmp_path):
+    """Of names no two of which are alike, each meets hardly any key but its own."""
+    r = random.Random(3)
+    names = ["".join(r.choice("abcdefghijklmnop") for _ in range(19)) for _ in range(200)]
+    cache = spark.createDataFrame([(n, i, "cafe", i, 0) for i, n in enumerate(names)],
+                                  "key string, entity_id long, entity_type string, pos_id long, pos_p int")
+    index = NI.NameIndex.create(cache, str(tmp_path / "i"), buckets=4)
+    asked = spark.createDataFrame([(n[:5] + n[6:],) for n in names], "key string")
+    got = {(row["lid"], row["rid"]) for row in index.candidates(asked).collect()}
+    assert {(n[:5] + n[6:], n) for n in names} <= got and len(got) < 2 * len(names)
