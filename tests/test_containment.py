@@ -69,3 +69,31 @@ def test_no_nested_loop(spark):
             assert "NestedLoop" not in p and "Cartesian" not in p and "Python" not in p
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_terms_with_spaces_among_others(spark):
+    texts = ["we like the cold brew of the north", "a  b  c d", "the colds and the flu of it", "xx of", "of the", None, " lead and trail ",
+             "naïve  café crème", "end at space ", "\ncold brew\nof the"]
+    terms = ["e cold brew o", "of the nor", " of", "of ", "b  c", "  ", " ", "d the flu of", "ïve  café c", "at space ", "he cold", " lead and trail ",
+             "cold brew\nof", "x of y", "like the warm brew"]
+    docs, lexicon = frames(spark, texts, terms)
+    for q in (1, 2, 3, 5, 8):
+        got = sorted(map(tuple, CT.substring_join(docs, "id", "body", lexicon, q=q).collect()))
+        assert got == brute(texts, terms), q
+
+
+def test_documents_grams_are_not_shuffled_for_a_small_lexicon(spark, tmp_path):
+    docs, lexicon = frames(spark, TEXTS, ["the apple pie", "no such words", "apple", "pie"])
+    for name, df in (("docs", docs), ("lexicon", lexicon)):
+        df.write.parquet(f"{tmp_path}/{name}")
+    docs, lexicon = (spark.read.parquet(f"{tmp_path}/{name}") for name in ("docs", "lexicon"))
+    p = plan(CT.substring_join(docs, "id", "body", lexicon))
+    assert "hashpartitioning(gram" not in p and "hashpartitioning(key" not in p
+
+
+def test_grams_after_spaces_are_met_once_a_word(spark):
+    text = "several words of about seven letters " * 20
+    docs, lexicon = frames(spark, [text], ["words of about seven", "seven letters several"])
+    filed, kinds = CT._filed(lexicon, "term", CT.Q)
+    assert kinds == [(True, 8)]
+    assert CT._gram_rows(docs, "id", "body", kinds).count() <= text.count(" ")
