@@ -150,3 +150,29 @@ def test_sentiment_looks_a_token_up_once(spark):
     assert "INSET" in scored._jdf.queryExecution().optimizedPlan().toString().upper()
     got = {r["id"]: r["s"] for r in scored.collect()}
     assert got[2] == 1.0 and got[1] == 0.25 and got[3] == got[4] == got[5] == 0.0
+
+
+def test_edges_are_stripped_as_the_pattern_does_it_without_a_pass_of_the_pattern(spark):
+    edges = ["", " ", "\t\n", "\x0b\f\r", "\u0085", " \u0085", " ", "  ", "\r\n", " ", "　 ", "\n\u0085\n"]
+    rows = [(a + m + b,) for a in edges for b in edges for m in ("", "x", "a  b", "é\u0085\n y")] + [(None,)]
+    d = spark.createDataFrame(rows, "s string").select("s", T.strip_column("s").alias("got"), F.regexp_replace("s", T.EDGE_WS, "").alias("want"))
+    assert [r for r in d.collect() if r["got"] != r["want"]] == []
+
+
+def test_urls_and_brands_are_found_as_the_patterns_find_them(spark):
+    texts = ["see http://a.b/c now", "ww w", "www", "www.x y", "htt p", "", None, "awwwx  http", "Blue Bottle Coffee and Red Rock Coffee", "coffee Blue Cup",
+             "Coffee", "Old Mill  Coffeehouse", "Big Old Mill\nCoffee"]
+    d = spark.createDataFrame([(t,) for t in texts], "s string").select(
+        T.clean_column("s").alias("clean"), T.brand_names("s").alias("brands"),
+        F.regexp_replace(F.regexp_replace(F.regexp_replace("s", T.URL_PATTERN, ""), T.WS_RUN, " "), T.EDGE_WS, "").alias("clean_want"),
+        F.regexp_extract_all("s", F.lit(T.BRAND_PATTERN), 1).alias("brands_want"))
+    for r in d.collect():
+        assert r["clean"] == r["clean_want"] and r["brands"] == r["brands_want"]
+
+
+def test_words_within_words_are_hit_as_all_words_are(spark):
+    words = ["bitter", "bitterness", "it", "berry", "blueberry", "x", ""]
+    texts = ["Bitterness", "bitter it", "blue berry", "blueberry", "x", "", None]
+    got = spark.createDataFrame(list(enumerate(texts)), "i int, s string").select("i", T.lexicon_hits("s", words).alias("h")).collect()
+    for r in got:
+        assert r["h"] == [w for w in words if w and w in (texts[r["i"]] or "").lower()]

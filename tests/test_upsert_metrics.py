@@ -4,6 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from brewlens.operators import extract as X
 from brewlens.operators import metrics as M
 from brewlens.operators import quality as Q
 from brewlens.operators import upsert as U
@@ -204,3 +205,22 @@ def test_second_linking_run_adds_nothing(spark):
     assert again["coffee_mentions"].count() == again["flavor_extractions"].count() == 0
     for name in ("entities", "origins", "reviews", "ledger"):
         assert sorted(map(str, again[name].collect())) == sorted(map(str, t[name].collect()))
+
+
+def test_dedupe_by_all_other_columns_carries_a_row_once(spark):
+    rows = [(1, "a", [1, 2]), (1, "b", [1]), (1, "b", None), (None, "x", [3]), (None, None, [4]), (2, None, None)]
+    df = spark.createDataFrame(rows, "id long, s string, v array<int>")
+    for keep, want in (("last", {1: ("b", [1]), None: ("x", [3]), 2: (None, None)}), ("first", {1: ("a", [1, 2]), None: (None, [4]), 2: (None, None)})):
+        one = U.dedupe(df, ["id"], ["s", "v"], keep)
+        assert {r["id"]: (r["s"], r["v"]) for r in one.collect()} == want
+        p = one._jdf.queryExecution().optimizedPlan().toString()
+        assert "_by(" not in p
+
+
+def test_extracted_posts_are_lowered_once(spark):
+    posts = spark.createDataFrame([(1, "a title", "Sweet Kenyan berry. Drip it")], "id long, title string, body string")
+    e = X.extract_posts(posts).select("flavors", "origins", "brew_methods", "word_count")
+    p = e._jdf.queryExecution().optimizedPlan().toString()
+    assert p.count("AS _lowered") == 1 and "lower(cleaned_text" not in p and "lower(_lowered" not in p
+    r = e.first()
+    assert ([f["term"] for f in r["flavors"]], r["origins"], r["brew_methods"]) == (["berry", "sweet"], ["Kenya"], ["drip"])
