@@ -15,11 +15,14 @@ document's score is the sum of log S over its words.
 2. All other occurrences are exploded, each with the words before it, and dealt
    by the hash of the last context word v; where v is heavy, by the hash of the
    shortest n-gram ending in the word that is not heavy.  They travel in
-   columns: blocks with a local dictionary of word hashes.  A bucket thus
-   holds all occurrences of every longer n-gram too, at any order.
+   columns: blocks with a local dictionary of words (a heavy one is its place in
+   the broadcast table), packed.  A bucket thus holds all occurrences of every
+   longer n-gram too, at any order.
 3. In a bucket the counts are joined to the occurrences.  Scores are summed by
-   document.  What the bucket cannot know it asks of the bucket that holds the
-   count: words that backed off to the end, and contexts that end in a heavy word.
+   document.  A word that backs off to the end is scored in its own bucket, where
+   it is the last context word: there its count is known, and the count of its
+   pair with the word before, which says that it backs off.  Only counts of
+   contexts that end in a heavy word are asked of the bucket that holds them.
 4. The sums of all buckets go to the buckets of their documents and are added up.
 
 Defined cases: ids are integers above -2**63; null or empty text has 0 words and
@@ -50,12 +53,9 @@ START = W.U(1)           # hash of the context before the first word
 END = W.U(2)             # hash of "no word follows"
 ABSENT = W.U(3)          # hash of "before the start"
 NO_ID = -(1 << 63)
-ROWS = ("bucket int, kind int, word array<long>, number array<long>, value array<double>, "
-        "places array<smallint>, at array<smallint>")
-GRAMS, TABLE, ASKS, UNDER, SUMS = range(5)
-NAMES = ["bucket", "kind", "word", "number", "value", "places", "at"]
-TYPES = [pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.float64()),
-         pa.list_(pa.int16()), pa.list_(pa.int16())]
+ROWS = "bucket int, kind int, parts array<binary>"
+SCHEMA = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("parts", pa.list_(pa.binary()))])
+GRAMS, TABLE, UNDER, SUMS = range(4)
 
 
 def windows(w: W.Words, order: int):
@@ -90,12 +90,41 @@ def routes(columns: list[np.ndarray], heavy: "Heavy"):
     return key, in_v
 
 
-def _row(bucket: int, kind: int, **lists) -> dict:
-    return {"bucket": bucket, "kind": kind} | {k: lists.get(k) for k in NAMES[2:]}
+def pack(x: np.ndarray, rising: bool = False) -> bytes:
+    """An array as bytes: the first bytes of all values, then the second ones, each run compressed by itself;
+    ``rising`` values as steps."""
+    if rising:
+        x = np.diff(x, prepend=x.dtype.type(0))
+    runs = [pa.compress(run.tobytes(), "zstd", asbytes=True) for run in x.view(np.uint8).reshape(len(x), x.itemsize).T]
+    return np.array([len(x), *map(len, runs)], np.uint32).tobytes() + b"".join(runs)
 
 
-def _batch(rows: list[dict]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in zip(NAMES, TYPES)], NAMES)
+def unpack(data: bytes, dtype, rising: bool = False) -> np.ndarray:
+    width = np.dtype(dtype).itemsize
+    n, *sizes = np.frombuffer(data, np.uint32, 1 + width).tolist()
+    if not n:
+        return np.zeros(0, dtype)
+    runs, at = np.empty((n, width), np.uint8), 4 + 4 * width
+    for k, size in enumerate(sizes):
+        runs[:, k] = np.frombuffer(pa.decompress(data[at:at + size], n, "zstd", asbytes=True), np.uint8)
+        at += size
+    x = runs.reshape(-1).view(dtype)
+    return np.cumsum(x, dtype=dtype) if rising else x
+
+
+def _sums(bucket: int, ids: np.ndarray, n: np.ndarray, total: np.ndarray) -> tuple:
+    """Words and scores of documents; ids ascending."""
+    return bucket, SUMS, [pack(ids, True), pack(n), pack(total)]
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(SCHEMA)], schema=SCHEMA)
+
+
+def _cuts(sorted_: np.ndarray):
+    """(first, end) of every run of equal values."""
+    cuts = np.flatnonzero(np.append(True, sorted_[1:] != sorted_[:-1])) if len(sorted_) else np.zeros(0, np.int64)
+    return zip(cuts.tolist(), np.append(cuts[1:], len(sorted_)).tolist())
 
 
 def _totals(keys: np.ndarray, values: np.ndarray):
@@ -118,6 +147,16 @@ class Heavy:
         at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
         return np.where(self.keys[at] == hashes, self.counts[at], 0)
 
+    def pack(self, words: np.ndarray):
+        """(bytes of the words, their places among the words as unpacked); the words ascend."""
+        at = np.searchsorted(self.keys, words)
+        known = self.count(words) > 0
+        place = np.where(known, np.cumsum(known) - 1, np.count_nonzero(known) + np.cumsum(~known) - 1)
+        return [pack(at[known].astype(np.uint32), True), pack(words[~known], True)], place
+
+    def unpack(self, known: bytes, others: bytes) -> np.ndarray:
+        return np.concatenate([self.keys[unpack(known, np.uint32, True)], unpack(others, W.U, True)])
+
 
 def heavy_ngrams(docs: DataFrame, order: int) -> Heavy:
     texts = docs.select("text")
@@ -177,7 +216,8 @@ def score(docs: DataFrame, alpha: float = ALPHA, min_count: int = MIN_COUNT, ord
     prepare(spark)
     buckets = shuffle_partitions(spark)
     table = heavy_ngrams(docs, order)
-    chunk = min(CHUNK, (1 << 16) // order)
+    carry = max(order, 3)   # the word before the last context word tells whether that one backs off
+    chunk = min(CHUNK, (1 << 16) // carry)
     # plain arrays: workers need no copy of this package to unpickle them
     shared = spark.sparkContext.broadcast((table.keys, table.counts, table.total))
     log_alpha = float(np.log(alpha))
@@ -191,33 +231,37 @@ def score(docs: DataFrame, alpha: float = ALPHA, min_count: int = MIN_COUNT, ord
 
         def deal(parts):
             ids, n, scores, key, doc, *columns = (np.concatenate(x) for x in zip(*parts))
-            bucket = bucket_of(key)
+            light = key == columns[-2]      # heavy words come first, as in the dictionary
+            bucket = 2 * bucket_of(key) + light
             by = np.lexsort((columns[-2], bucket))
-            doc, bucket, columns = doc[by], bucket[by], [c[by] for c in columns]
-            cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(doc) else np.zeros(0, np.int64)
+            doc, bucket, columns = doc[by], bucket[by] >> 1, [c[by] for c in columns]
             rows = []
-            for a, b in zip(cuts.tolist(), np.append(cuts[1:], len(doc)).tolist()):
+            for a, b in _cuts(bucket):
                 for c in range(a, b, chunk):
                     e = min(b, c + chunk)
                     known, place = np.unique(np.concatenate([x[c:e] for x in columns]), return_inverse=True)
                     own, at = np.unique(doc[c:e], return_inverse=True)
-                    places = place.astype(np.uint16).view(np.int16)       # one column after another
-                    rows.append(_row(int(bucket[c]), GRAMS, word=known.view(np.int64), number=own, places=places,
-                                     at=at.astype(np.uint16).view(np.int16)))
+                    words, moved = heavy.pack(known)
+                    places = moved[place].astype(np.uint16).reshape(carry, e - c)
+                    rows.append((int(bucket[c]), GRAMS, [
+                        pack(own, True), pack(at.astype(np.uint16)), *words,
+                        *(pack(p, m == carry - 2) for m, p in enumerate(places))]))    # sorted by the last context word
             # words and scores already known, by document; any bucket will do
-            rows.append(_row(turn % buckets, SUMS, word=ids, number=n, value=scores))
+            ids, which = np.unique(ids, return_inverse=True)
+            n, scores = (np.bincount(which, weights=x, minlength=len(ids)) for x in (n, scores))
+            rows.append(_sums(turn % buckets, ids, n.astype(np.int64), scores))
             return _batch(rows)
 
         for batch in batches:
             for part in W.slices(batch):
                 w = W.words(part.column("text"))
                 ids = part.column("doc_id").cast(pa.int64()).fill_null(NO_ID).to_numpy(zero_copy_only=False)
-                columns, closes = windows(w, order)
+                columns, closes = windows(w, carry)
                 # a last word occurs as a context that nothing follows
                 columns = [np.concatenate([c, after[closes]]) for c, after in
                            zip(columns, [*columns[1:], np.full(len(w.hash), END)])]
                 doc = np.concatenate([w.doc, w.doc[closes]])
-                key, in_v = routes(columns, heavy)
+                key, in_v = routes(columns[-order:], heavy)
                 # known here: all n-grams that end in the word, and the longest context, are heavy
                 done, seen, under = in_v > 0, np.zeros(len(doc), np.int64), np.zeros(len(doc), np.int64)
                 for k in range(2, order + 1):
@@ -238,28 +282,46 @@ def score(docs: DataFrame, alpha: float = ALPHA, min_count: int = MIN_COUNT, ord
         if held:
             yield deal(held)
 
-    def lists(table: pa.Table, kind: int, *names: str):
-        part = table.filter(pa.compute.equal(table.column("kind"), kind))
-        return [[x.values.to_numpy() for x in part.column(name)] for name in names]
+    def parts(table: pa.Table, kind: int) -> list[list[bytes]]:
+        return table.filter(pa.compute.equal(table.column("kind"), kind)).column("parts").to_pylist()
 
     def flat(arrays, dtype=np.int64):
         return np.concatenate(arrays) if arrays else np.zeros(0, dtype)
 
+    def sums_of(table: pa.Table):
+        """Lists of the ids, words and scores of SUMS rows."""
+        got = [(unpack(i, np.int64, True), unpack(n, np.int64), unpack(x, np.float64)) for i, n, x in parts(table, SUMS)]
+        return [list(x) for x in zip(*got)] or [[], [], []]
+
     def summed(sums):
-        """SUMS lists folded to one entry for each document."""
+        """Lists of ids, words and scores folded to one entry for each document."""
         ids, n, x = (flat(s) for s in sums)
         keys, total = _totals(ids, x.astype(np.float64))
         return keys, _totals(ids, n)[1].astype(np.int64), total
 
+    def by_document(sums):
+        """SUMS rows for the buckets of the documents."""
+        ids, n, total = summed(sums)
+        to = bucket_of(W.mix(ids.view(W.U)))
+        by = np.argsort(to, kind="stable")
+        ids, n, total, to = ids[by], n[by], total[by], to[by]
+        return [_sums(int(to[a]), ids[a:b], n[a:b], total[a:b]) for a, b in _cuts(to)]
+
     def look_up(table: pa.Table) -> pa.Table:
         heavy = Heavy(*shared.value)
-        bucket = int(table.column("bucket")[0].as_py())
-        word, number, places, at = lists(table, GRAMS, "word", "number", "places", "at")
-        sums = lists(table, SUMS, "word", "number", "value")
-        columns = [flat([a[i[m * len(d):(m + 1) * len(d)].view(np.uint16)] for a, i, d in zip(word, places, at)])
-                   .view(W.U) for m in range(order)]
-        size = len(columns[-1])
-        value, asked, ask = np.zeros(size), np.zeros(size, np.int8), np.zeros(size, W.U)
+        sums = sums_of(table)
+        grams = parts(table, GRAMS)
+        del table
+        edges = np.cumsum([0] + [int(np.frombuffer(g[1], np.uint32, 1)[0]) for g in grams])
+        size = int(edges[-1])
+        columns, who = [np.empty(size, W.U) for _ in range(carry)], np.empty(size, np.int64)
+        for a, b, (own, at, known, others, *places) in zip(edges, edges[1:], grams):
+            words = heavy.unpack(known, others)
+            who[a:b] = unpack(own, np.int64, True)[unpack(at, np.uint16)]
+            for m, place in enumerate(places):
+                columns[m][a:b] = words[unpack(place, np.uint16, m == carry - 2)]
+        del grams
+        value, asked, ask = np.zeros(size), np.zeros(size, bool), np.zeros(size, W.U)
         keys, counts = [], []
 
         def totals(hashes):
@@ -267,7 +329,7 @@ def score(docs: DataFrame, alpha: float = ALPHA, min_count: int = MIN_COUNT, ord
             return distinct, n, n[which] if len(which) else np.zeros(0, np.int64)
 
         # sixteenths that hold whole count groups, so that little is held besides the n-grams
-        sixteenth = routes(columns, heavy)[0] >> W.U(60)
+        sixteenth = routes(columns[-order:], heavy)[0] >> W.U(60)
         by = np.argsort(sixteenth.astype(np.uint8), kind="stable")
         edges = np.searchsorted(sixteenth[by], np.arange(17, dtype=W.U))
         del sixteenth
@@ -276,21 +338,23 @@ def score(docs: DataFrame, alpha: float = ALPHA, min_count: int = MIN_COUNT, ord
             cols = [c[some] for c in columns]
             # c(h) of the contexts: of a word that is not heavy all occurrences as a context are here
             in_v = heavy.count(cols[-2])
-            key, n, here = totals(cols[-2])
-            light = heavy.count(key) == 0
-            keys.append(key[light])
-            counts.append(n[light])
-            under = [np.where(in_v > 0, in_v, here)]
-            for k in range(2, order):
+            under = [np.where(in_v > 0, in_v, totals(cols[-2])[2])]
+            for k in range(2, carry):
                 hashes = gram_hash(cols[:-1], k)
                 broad = heavy.count(hashes)
                 under.append(np.where(broad > 0, broad, np.where(in_v > 0, 0, totals(hashes)[2])))    # 0: to be asked for
+            # the last context word, where it is not heavy and itself backs off to the end
+            ends = (in_v == 0) & (under[1] < min_count)
+            back = sum((cols[-k][ends] != ABSENT).astype(np.int64) for k in range(3, min(order + 1, carry) + 1))
+            if order == carry:      # one word more was before it, unless the text starts here
+                back = back + ((cols[0][ends] != ABSENT) & (cols[0][ends] != START))
+            value[some[ends]] = np.log(under[0][ends] / max(1, heavy.total)) + log_alpha * back
             follows = cols[-1] != END
             some, cols, under = some[follows], [c[follows] for c in cols], [u[follows] for u in under]
             in_w = heavy.count(cols[-1])
             steps = np.zeros(len(some), np.int64)       # longest n-gram of the word, less one
             x = np.where(in_w > 0, np.log(np.maximum(in_w, 1) / max(1, heavy.total)), 0.0)
-            kind, of, level = np.where(in_w > 0, 0, ASKS), cols[-1], np.zeros(len(some), np.int64)
+            of, level, wanted = np.zeros(len(some), W.U), np.zeros(len(some), np.int64), np.zeros(len(some), bool)
             for k in range(2, order + 1):
                 there = np.flatnonzero(cols[-k] != ABSENT)
                 steps[there] = k - 1
@@ -306,68 +370,45 @@ def score(docs: DataFrame, alpha: float = ALPHA, min_count: int = MIN_COUNT, ord
                 use = c_k >= min_count
                 hit, c_h = there[use], under[k - 2][there[use]]
                 x[hit] = np.log(c_k[use]) - np.log(np.maximum(c_h, 1))
-                kind[hit] = np.where(c_h > 0, 0, UNDER)
-                of = of.copy()
+                wanted[hit] = c_h == 0
                 of[hit] = gram_hash([c[hit] for c in cols[:-1]], k - 1)
                 level[hit] = k - 1
-            value[some] = x + log_alpha * (steps - level)
-            asked[some], ask[some] = kind, of
-        rows = [_row(bucket, TABLE, word=[], number=[])]
-        key, n = flat(keys), flat(counts)
-        to = bucket_of(key.view(W.U))
-        by = np.argsort(to, kind="stable")
+            # a word that backs off to the end and is not heavy is scored in its own bucket
+            value[some] += np.where((in_w > 0) | (level > 0), x + log_alpha * (steps - level), 0.0)
+            asked[some], ask[some] = wanted, of
+        rows = []
+        key, n = flat(keys, W.U), flat(counts)
+        to = bucket_of(key)
+        by = np.lexsort((key, to))
         key, n, to = key[by], n[by], to[by]
-        cuts = np.flatnonzero(np.append(True, to[1:] != to[:-1])) if len(key) else np.zeros(0, np.int64)
-        for a, b in zip(cuts.tolist(), np.append(cuts[1:], len(key)).tolist()):
-            rows.append(_row(int(to[a]), TABLE, word=key[a:b].view(np.int64), number=n[a:b]))
-        who, start = [], 0
-        for ids, spots in zip(number, at):
-            spots = spots.view(np.uint16)
-            part = slice(start, start + len(spots))
-            for s, x in zip(sums, (ids, np.zeros(len(ids), np.int64),
-                                   np.bincount(spots, weights=value[part], minlength=len(ids)))):
-                s.append(x)
-            who.append(ids[spots])
-            start = part.stop
-        who = flat(who)
-        ids, n, total = summed(sums)
-        rows.append(_row(bucket, SUMS, word=ids, number=n, value=total))
-        for kind in (ASKS, UNDER):
-            mine = asked == kind
-            w, doc = ask[mine], who[mine]
-            to = bucket_of(w)
-            by = np.lexsort((doc, to))
-            w, doc, to = w[by], doc[by], to[by]
-            cuts = np.flatnonzero(np.append(True, to[1:] != to[:-1])) if len(w) else np.zeros(0, np.int64)
-            for a, b in zip(cuts.tolist(), np.append(cuts[1:], len(w)).tolist()):
-                rows.append(_row(int(to[a]), kind, word=w[a:b].view(np.int64), number=doc[a:b]))
+        for a, b in _cuts(to):
+            rows.append((int(to[a]), TABLE, [pack(key[a:b], True), pack(n[a:b])]))
+        told = np.flatnonzero(value)
+        ids, total = _totals(who[told], value[told])
+        for s, x in zip(sums, (ids, np.zeros(len(ids), np.int64), total)):
+            s.append(x)
+        rows += by_document(sums)
+        w, doc = ask[asked], who[asked]
+        to = bucket_of(w)
+        by = np.lexsort((w, to))
+        w, doc, to = w[by], doc[by], to[by]
+        for a, b in _cuts(to):
+            rows.append((int(to[a]), UNDER, [pack(w[a:b], True), pack(doc[a:b])]))
         return pa.Table.from_batches([_batch(rows)])
 
     def answer(table: pa.Table) -> pa.Table:
-        heavy = Heavy(*shared.value)
-        word, number = lists(table, TABLE, "word", "number")
-        keys, counts = _totals(flat(word), flat(number))
-        sums = lists(table, SUMS, "word", "number", "value")
-        for kind in (ASKS, UNDER):
-            asked, doc = (flat(x) for x in lists(table, kind, "word", "number"))
-            value = np.zeros(len(asked))
-            if len(asked):
-                value = np.log(counts[np.searchsorted(keys, asked)])
-                value = value - np.log(heavy.total) if kind == ASKS else -value
-            for s, x in zip(sums, (doc, np.zeros(len(doc), np.int64), value)):
+        told = [(unpack(w, W.U, True), unpack(n, np.int64)) for w, n in parts(table, TABLE)]
+        keys, counts = _totals(flat([w for w, _ in told], W.U), flat([n for _, n in told]))
+        sums = sums_of(table)
+        for w, doc in parts(table, UNDER):
+            asked = unpack(w, W.U, True)
+            for s, x in zip(sums, (unpack(doc, np.int64), np.zeros(len(asked), np.int64),
+                                   -np.log(counts[np.searchsorted(keys, asked)]))):
                 s.append(x)
-        ids, n, total = summed(sums)
-        # on to the bucket of the document, again in columns
-        to = bucket_of(W.mix(ids.view(W.U)))
-        order = np.argsort(to, kind="stable")
-        ids, n, total, to = ids[order], n[order], total[order], to[order]
-        cuts = np.flatnonzero(np.append(True, to[1:] != to[:-1])) if len(ids) else np.zeros(0, np.int64)
-        return pa.Table.from_batches([_batch([
-            _row(int(to[a]), SUMS, word=ids[a:b], number=n[a:b], value=total[a:b])
-            for a, b in zip(cuts.tolist(), np.append(cuts[1:], len(ids)).tolist())])])
+        return pa.Table.from_batches([_batch(by_document(sums))])
 
     def add_up(table: pa.Table) -> pa.Table:
-        ids, n, total = summed(lists(table, SUMS, "word", "number", "value"))
+        ids, n, total = summed(sums_of(table))
         return pa.table({"doc_id": ids, "n_words": n, "log_score": total})
 
     rows = docs.select("doc_id", "text").mapInArrow(explode, ROWS)
