@@ -6,6 +6,8 @@ from pyspark.sql.readwriter import DataFrameWriter
 
 from brewlens.operators import link as L
 from brewlens.operators import linkstore as LS
+from brewlens.plans import queries as Q
+from brewlens.plans import standins as S
 from test_linkstore import ENTITIES, ORIGINS, REVIEWS, SCHEMA
 
 
@@ -39,7 +41,7 @@ def planned(monkeypatch):
     return seen
 
 
-def test_linking_merges(spark, tmp_path, planned):
+def test_linking_merges(spark, tmp_path, planned, monkeypatch):
     given = {"entities": spark.createDataFrame(ENTITIES, LS.TABLES["entities"][1]),
              "origins": spark.createDataFrame(ORIGINS, LS.TABLES["origins"][1])}
     store = LS.LinkStore.create(spark, str(tmp_path / "store"), given, buckets=2)
@@ -49,6 +51,12 @@ def test_linking_merges(spark, tmp_path, planned):
     store.link(ex.where("processed_review_id <= 2"), terms, "parts")
     store.link(ex, terms, "all")
     assert planned["plans"] > 20 and planned["joins"] == []
+    # what the queries read from the store
+    monkeypatch.setattr(Q, "_link_store", lambda *_: store)
+    for query, rows in (("link_mentions", 5), ("link_reviews", 5), ("link_backlog", 3)):
+        out = getattr(Q, query)(spark, "")
+        assert broadcast_joins(out) == [], query
+        assert out.count() == rows, query
 
 
 def test_long_names_meet_by_merging(spark):
@@ -58,3 +66,13 @@ def test_long_names_meet_by_merging(spark):
     right = spark.createDataFrame([(n + "s", n + "s") for n in names], "rid string, rstr string")
     out = L.similarity_candidates(left, right)
     assert broadcast_joins(out) == [] and "Window" in out._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_name_index_merges(spark, tmp_path, planned):
+    rows = [(i, f"part {i}") for i in range(90)]
+    spark.createDataFrame(rows, "p_partkey long, p_name string").coalesce(1)._jdf.write().parquet(str(tmp_path / "part.parquet"))
+    out = Q.name_index_match(spark, str(tmp_path))
+    assert planned["plans"] > 10 and planned["joins"] == [] and broadcast_joins(out) == []
+    probes = S.known_probes_from_part(spark, str(tmp_path))
+    assert broadcast_joins(probes) == [] and probes.count() == 90
+    assert {r["method"] for r in out.collect()} == {"exact", "fuzzy"}
